@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import Scratch
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State on the executors' disks. Without preallocation an empty store takes kilobytes, not megabytes.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -34,8 +38,9 @@ def located(docs: DataFrame, scratch: Scratch) -> DataFrame:
 def keep_states(prints: DataFrame, scratch: Scratch, max_bytes_per_trigger: int) -> DataFrame:
     """(digest, size, best): streams the saved fingerprint table through the keyed state."""
     spark, path = prints.sparkSession, scratch.at("states")
-    was = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    was = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         state = (
             spark.readStream.schema(prints.schema).option("maxBytesPerTrigger", str(max_bytes_per_trigger)).parquet(scratch.at("prints"))
@@ -48,7 +53,8 @@ def keep_states(prints: DataFrame, scratch: Scratch, max_bytes_per_trigger: int)
         query = state.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", scratch.at("stream")).trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, was)
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     # a digest that several batches touched has a row from each; its size only grows
     found = spark.read.schema(state.schema).parquet(path)
     return found.groupBy("digest").agg(F.max(F.struct("size", "best")).alias("s")).select("digest", "s.size", "s.best")
