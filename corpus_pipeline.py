@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, near_dedup
+from tidemark.llm import decontaminate, exact_dedup, near_dedup, packing, quality
 from tidemark.llm.scratch import Scratch
 
 STAGES = [
+    ("quality", quality.stage),
     ("exact_dedup", exact_dedup.stage),
     ("near_dedup", near_dedup.stage),
     ("decontamination", decontaminate.stage),
+    ("packing", packing.stage),
 ]
 
 #: Neither a trained classifier nor greedy packing can be written in SQL.

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, near_dedup, oracles
+from tidemark.llm import bitplanes, decontaminate, exact_dedup, near_dedup, oracles, packing, pseudonyms, quality, quotes, secrets, url_lists
 
 QUERIES = {
+    "op1_quote_linking": quotes.op1_quote_linking,
     "op2_setsketch_near_dedup": near_dedup.op2_setsketch_near_dedup,
     "op3_streaming_exact_dedup": exact_dedup.op3_streaming_exact_dedup,
+    "op4_bit_planes": bitplanes.op4_bit_planes,
+    "op5_feistel_pseudonyms": pseudonyms.op5_feistel_pseudonyms,
+    "op6_random_indexing_quality": quality.op6_random_indexing_quality,
+    "op7_assignment_secrets": secrets.op7_assignment_secrets,
     "op8_suffix_array_decontamination": decontaminate.op8_suffix_array_decontamination,
+    "op9_variable_best_fit": packing.op9_variable_best_fit,
+    "op10_temporal_url_lists": url_lists.op10_temporal_url_lists,
 }
 
 ORACLES = {
