@@ -1,4 +1,617 @@
-"""Every query of the library by name, with the SQL that checks it."""
+"""Every query of the library by name, with the SQL that checks it on the same tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tidemark.config import DEFAULT
+from tidemark.functions import intervals as I
+from tidemark.functions import text as T
+from tidemark.operators import agreement, audio, gate, incremental, joins, narrative, providers, questions, segments
+from tidemark.plans import checks
+from tidemark.sources import fixtures as X
+from tidemark.sources import json_io
 
 QUERIES: dict = {}
-ORACLES: dict = {}
+ORACLES = checks.SQL
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def r6(c) -> object:
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+# --- agreement and gate
+
+
+def _rater_labels(spark: SparkSession, d: str) -> DataFrame:
+    rows = X.table(spark, d, "labels").select(F.col("doc_id").alias("unit"), F.explode(F.array("quality", 1 - F.col("toxic"))).alias("value"))
+    return rows
+
+
+@query
+def qc_krippendorff_alpha(spark, d):
+    return agreement.alpha_nominal(_rater_labels(spark, d)).select(r6("alpha").alias("alpha"))
+
+
+@query
+def qc_alpha_ordinal(spark, d):
+    ratings = X.responses(spark, d).select(F.col("qid").alias("unit"), F.col("response").alias("value"))
+    return agreement.alpha_ordinal(ratings).select(r6("alpha").alias("alpha"))
+
+
+@query
+def qc_cohen_kappa(spark, d):
+    return agreement.cohen_kappa(X.table(spark, d, "labels").select(F.col("quality").alias("a"), (1 - F.col("toxic")).alias("b"))).select(r6("kappa").alias("kappa"))
+
+
+@query
+def qc_gold_accuracy(spark, d):
+    return agreement.gold_accuracy(X.responses(spark, d).where("task_type = 'mcq'")).withColumn("accuracy", r6("accuracy"))
+
+
+@query
+def qc_rework(spark, d):
+    return agreement.rework(X.responses(spark, d).where("task_type = 'mcq'")).withColumn("agreement", r6("agreement"))
+
+
+@query
+def qc_mcq_alpha_non_gold(spark, d):
+    return agreement.alpha_nominal(X.responses(spark, d).where("task_type = 'mcq' and not is_gold").select(F.col("qid").alias("unit"), F.col("response").alias("value"))).select(r6("alpha").alias("alpha"))
+
+
+@query
+def qc_interval_miou(spark, d):
+    items = agreement.interval_items(X.responses(spark, d).where("task_type = 'temporal_grounding'"))
+    return agreement.pass_ratio(items, ["video_id"], DEFAULT.iou_share).withColumn("mean_iou", r6("mean_iou"))
+
+
+def _pairs_of_turns(spark, d) -> DataFrame:
+    c = X.table(spark, d, "conversations")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    return c.withColumn("reply", F.lead("text").over(w)).withColumn("by", F.lead("role").over(w)).where("role = 'user' and by = 'assistant'")
+
+
+@query
+def qc_open_agreement(spark, d):
+    grams = lambda c: T.ngrams(F.col(c))
+    return _pairs_of_turns(spark, d).select("conv_id", "turn", grams("text").alias("a"), grams("reply").alias("b")).select("conv_id", "turn", r6(T.jaccard(F.col("a"), F.col("b"))).alias("similarity"))
+
+
+@query
+def text_rouge_l(spark, d):
+    """ROUGE-L of the first turn's tokens against the reply's (the fold is quadratic, so benchmark items stand in)."""
+    b = X.table(spark, d, "benchmark")
+    pairs = b.join(b.select((F.col("item_id") - 1).alias("item_id"), F.col("text").alias("other")), "item_id")
+    return pairs.select("item_id", r6(T.rouge_l(T.tokens(F.col("text")), T.tokens(F.col("other")))).alias("rouge_l"))
+
+
+def _facts(spark, d) -> DataFrame:
+    v, e, q, r, s = X.videos(spark, d), X.events(spark, d), X.qa(spark, d), X.responses(spark, d), X.shots(spark, d)
+    n = lambda c: F.sum(c.cast("int"))
+    parts = [
+        segments.gaps(v, X.spans(spark, d), DEFAULT.coverage_eps, DEFAULT.coverage_eps, True).groupBy("video_id").agg(F.count(F.lit(1)).alias("n_gaps")),
+        e.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_events"), n((F.col("importance") == "key") & ~((F.col("s") >= 0) & (F.col("s") < F.col("e")) & (F.col("e") <= 720))).alias("n_bad_key")),
+        s.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_shots")),
+        q.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_qa"), n(F.col("task_type") == "temporal_grounding").alias("n_temporal"), n(F.col("ord") % 30 != 0).alias("n_bilingual")),
+        questions.coverage(q.withColumn("capability", F.array("capability")), X.DURATION).select("video_id", F.col("ok").alias("coverage_ok")),
+        agreement.pass_ratio(agreement.interval_items(r.where("task_type = 'temporal_grounding'")), ["video_id"], DEFAULT.iou_share).select("video_id", F.col("ratio").alias("miou_ratio")),
+    ]
+    out = v
+    for p in parts:
+        out = out.join(p, "video_id", "left")
+    zero = ("n_gaps", "n_events", "n_bad_key", "n_shots", "n_qa", "n_temporal", "n_bilingual")
+    return out.na.fill(0, list(zero)).select(
+        "*", F.lit(0).alias("n_empty_shots"), F.col("n_shots").alias("n_segments"), F.lit(0).alias("n_quiet"), F.lit(None).cast("double").alias("alpha"), F.lit(None).cast("double").alias("pipeline_miou"),
+        F.lit(None).cast("double").alias("open_ratio"), F.when(F.col("video_id") % 50 == 0, 1).otherwise(0).alias("n_failed"), F.when(F.col("video_id") % 2 == 0, True).alias("schema_valid"),
+    )
+
+
+@query
+def qc_release_gate(spark, d):
+    gated = gate.effect(gate.release_gate(_facts(spark, d)))
+    return gated.select("video_id", *gate.GATES, F.array_join("unevaluated", ",").alias("unevaluated"), F.col("pass").alias("passes"), "reasons", "review_status")
+
+
+@query
+def qc_batch_verdict(spark, d):
+    return gate.batch_verdict(gate.release_gate(_facts(spark, d)))
+
+
+# --- ordered operators
+
+
+@query
+def span_union(spark, d):
+    return segments.merge_spans(X.spans(spark, d), DEFAULT.coverage_eps)
+
+
+@query
+def span_coverage_gaps(spark, d):
+    return segments.gaps(X.videos(spark, d), X.spans(spark, d), DEFAULT.coverage_eps, DEFAULT.coverage_eps, True).select("video_id", r6("s").alias("s"), r6("e").alias("e"))
+
+
+@query
+def nonspeech_gaps(spark, d):
+    return segments.gaps(X.videos(spark, d), X.spans(spark, d), 0.0, DEFAULT.speech_gap_sec, False).select("video_id", r6("s").alias("s"), r6("e").alias("e"))
+
+
+@query
+def ocr_span_merge(spark, d):
+    return segments.merge_same_text(X.points(spark, d), DEFAULT.ocr_gap_sec)
+
+
+@query
+def caption_merge(spark, d):
+    return segments.merge_captions(X.points(spark, d), DEFAULT.caption_similarity, DEFAULT.caption_gap_sec)
+
+
+@query
+def sliding_windows_join(spark, d):
+    w = segments.sliding_windows(X.points(spark, d), DEFAULT.event_window_sec, DEFAULT.event_step_sec, X.DURATION)
+    return w.groupBy("video_id", "k", "ws", "we").agg(F.count(F.lit(1)).alias("n"), F.sum("ord").alias("ords"))
+
+
+@query
+def fixed_windows(spark, d):
+    return segments.fixed_windows(X.videos(spark, d), DEFAULT.window_sec)
+
+
+@query
+def build_windows(spark, d):
+    return segments.greedy_windows(X.shots(spark, d), DEFAULT.window_sec)
+
+
+@query
+def shot_groups(spark, d):
+    return segments.shot_groups(X.shots(spark, d), DEFAULT.shot_group_sec)
+
+
+@query
+def first_fit_clusters(spark, d):
+    return segments.first_fit_clusters(X.spans(spark, d))
+
+
+@query
+def pair_dedup(spark, d):
+    """Of clusters of two like events the longer description stays (here: later end, then larger id)."""
+    both = segments.first_fit_clusters(X.spans(spark, d)).join(X.spans(spark, d), ["video_id", "ord"])
+    g = both.groupBy("video_id", "cluster").agg(F.count(F.lit(1)).alias("n"), F.min("txt").alias("lo"), F.max("txt").alias("hi"), F.max(F.struct("e", "ord")).alias("k"), F.min(F.struct("e", "ord")).alias("m"))
+    return g.where("n = 2 and lo = hi").select("video_id", F.col("k.ord").alias("kept"), F.col("m.ord").alias("merged"))
+
+
+@query
+def anchor_cap_roundrobin(spark, d):
+    anchors = X.events(spark, d).withColumn("used", F.col("ord") % 5 == 0)
+    return segments.round_robin_cap(anchors, 40, X.DURATION).select("video_id", "ord", "bucket", "used")
+
+
+# --- joins
+
+
+def _windows(spark, d):
+    return segments.fixed_windows(X.videos(spark, d), DEFAULT.window_sec)
+
+
+@query
+def window_subtitle_join(spark, d):
+    subs = X.spans(spark, d).select("video_id", "ord", F.col("s").alias("rs"), F.col("e").alias("re"), "txt")
+    met = joins.range_join(_windows(spark, d), subs, DEFAULT.window_sec)
+    return met.groupBy("video_id", "s", "e").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rs", "ord", "txt"))), lambda x: x["txt"]), "\n").alias("subtitles"))
+
+
+@query
+def shot_segment_join(spark, d):
+    shots = X.shots(spark, d).select("video_id", "ord", F.col("s").alias("rs"), F.col("e").alias("re"))
+    return joins.range_join(_windows(spark, d), shots, DEFAULT.window_sec, strict=True).select("video_id", "s", "ord")
+
+
+@query
+def asof_frame(spark, d):
+    frames = X.points(spark, d).where("ord % 3 = 0").groupBy("video_id", F.col("t").alias("ft")).agg(F.min("t").alias("frame"))
+    asked = X.points(spark, d).select("video_id", "ord", "t")
+    return joins.asof_join(asked, frames, "t", "ft", "frame").select("video_id", "ord", "t", F.col("found").alias("frame"))
+
+
+@query
+def scene_link(spark, d):
+    return narrative.scene_of(X.spans(spark, d), X.scenes(spark, d), 60.0).select("video_id", "ord", "scene_id")
+
+
+@query
+def scene_alignment(spark, d):
+    linked = narrative.scene_of(X.spans(spark, d), X.scenes(spark, d), 60.0)
+    return narrative.alignment(linked, X.scenes(spark, d)).select("video_id", "ord", "scene_id", r6("ratio").alias("ratio"), "aligned")
+
+
+@query
+def overlap_pairs(spark, d):
+    return joins.self_overlaps(X.spans(spark, d), DEFAULT.overlap, 10.0).select("video_id", "a", "b", r6("ratio").alias("ratio"))
+
+
+@query
+def neighbour_alerts(spark, d):
+    return narrative.neighbour_alerts(X.spans(spark, d)).withColumn("ratio", r6("ratio"))
+
+
+@query
+def evidence_subtitles(spark, d):
+    """Text of the subtitles under each question's evidence, in order, and the middle of the evidence."""
+    q = X.qa(spark, d).where("task_type = 'mcq'").select("video_id", "qid", "s", "e")
+    subs = X.spans(spark, d).where("ord % 4 = 0").select("video_id", "ord", F.col("s").alias("rs"), F.col("e").alias("re"), "txt")
+    met = joins.range_join(q, subs, 20.0)
+    return met.groupBy("qid", "s", "e").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rs", "ord", "txt"))), lambda x: x["txt"]), " ").alias("txt")).select("qid", r6((F.col("s") + F.col("e")) / 2).alias("mid"), "txt")
+
+
+@query
+def responses_semi_anti(spark, d):
+    """Responses to gold keys, to other questions, and to no question."""
+    r, q = X.responses(spark, d).select("qid", "annotator"), X.qa(spark, d)
+    gold = q.where("is_gold").select("qid")
+    rest = r.join(gold, "qid", "left_anti")
+    return r.join(gold, "qid", "left_semi").select("annotator", F.lit("gold").alias("part")).unionByName(rest.select("annotator", F.lit("other").alias("part"))).groupBy("annotator", "part").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def alias_match(spark, d):
+    """Supplier mentions in several spellings against suppliers by nation."""
+    s = X.table(spark, d, "supplier")
+    names = s.select(F.col("s_suppkey").cast("string").alias("id"), F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).alias("en"), F.lit(None).cast("string").alias("zh"), F.array(F.concat(F.lit("No-"), F.col("s_suppkey").cast("string"))).alias("aliases"))
+    mention = F.when(F.col("s_suppkey") % 3 == 0, F.col("s_name")).when(F.col("s_suppkey") % 3 == 1, F.upper(F.regexp_replace("s_name", "#", "_#"))).otherwise(F.concat(F.lit("no "), F.col("s_suppkey").cast("string")))
+    return narrative.match_alias(s.select(F.col("s_suppkey").alias("k"), mention.alias("name")), names)
+
+
+# --- questions
+
+
+def _qa(spark, d) -> DataFrame:
+    return X.qa(spark, d).withColumn("capability", F.array("capability")).withColumn("n_spans", F.when(F.col("ord") % 9 == 0, 2).otherwise(1))
+
+
+@query
+def coverage_matrix(spark, d):
+    return questions.coverage(_qa(spark, d), X.DURATION)
+
+
+@query
+def drop_policy(spark, d):
+    return questions.with_drop(_qa(spark, d)).select("qid", "dropped")
+
+
+@query
+def drop_by_channel(spark, d):
+    return questions.drops_by_channel(_qa(spark, d))
+
+
+@query
+def difficulty(spark, d):
+    q = _qa(spark, d)
+    return q.groupBy(questions.difficulty(q).alias("difficulty")).agg(F.count(F.lit(1)).alias("n"), F.sum("ord").alias("ords"))
+
+
+@query
+def channel_sets(spark, d):
+    return X.qa(spark, d).select(F.explode(questions.channels_of(F.col("task_type"))).alias("channel")).groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def rescreen_combine(spark, d):
+    q = _qa(spark, d)
+    second = q.where("ord % 2 = 0").select("qid", (F.col("ord") % 17 == 0).alias("blind"), F.lit(None).cast("boolean").alias("subtitle"), (F.col("ord") % 5 == 0).alias("single_frame"))
+    kept = questions.with_drop(questions.combine_verdicts(q, second)).where("not dropped")
+    return questions.renumber(kept).select("qid", "new_qid")
+
+
+@query
+def question_dedup(spark, d):
+    rows = X.table(spark, d, "documents").select("doc_id", "text", "lang")
+    return questions.first_of_key(rows, F.md5(T.question_key(F.col("text")).cast("binary")), ["doc_id"]).select("doc_id", "n_same")
+
+
+@query
+def question_faults(spark, d):
+    q = X.qa(spark, d)
+    words = F.array(*(F.left(F.repeat(F.lit(c), 20), F.lit(6) + (F.col("ord") % m).cast("int")) for c, m in zip("abcd", (3, 5, 7, 4), strict=True)))
+    rows = q.withColumn("options", F.when(F.col("ord") % 31 == 0, F.slice(words, 1, 3)).otherwise(words)).withColumn("question", F.when(F.col("ord") % 37 == 0, "").otherwise(F.col("txt")))
+    return rows.select("qid", questions.first_fault(rows).alias("fault"))
+
+
+@query
+def capability_defaults(spark, d):
+    q = X.qa(spark, d).withColumn("c", F.when(F.col("ord") % 5 == 0, F.array(F.lit("L9_none"))).otherwise(F.array(F.col("capability"), F.lit("L9_none"))))
+    return q.select(F.explode(questions.known_capabilities(F.col("c"))).alias("capability")).groupBy("capability").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def language_prior_leak(spark, d):
+    """Benchmark items that stand word for word in a document: candidates share five inner words, the whole text decides."""
+    words = lambda c: F.filter(F.split(c, "[ \\n]"), lambda w: w != "")
+    run = lambda w, i: F.array_join(F.slice(w, i, 5), " ")
+    items = X.table(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), words(F.col("text")).alias("w")).where("size(w) >= 7")
+    items = items.select("item_id", "item", run(F.col("w"), F.lit(2)).alias("key"))
+    docs = X.table(spark, d, "documents").select("doc_id", "text", words(F.col("text")).alias("w")).where("size(w) >= 5")
+    runs = docs.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 4), lambda i: run(F.col("w"), i)))).alias("key"))
+    met = runs.join(items, "key").select("doc_id", "item_id", "item").distinct()
+    return met.join(docs.select("doc_id", "text"), "doc_id").where(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
+
+
+# --- text
+
+
+@query
+def text_lengths(spark, d):
+    return X.table(spark, d, "documents").select("doc_id", T.zh_len(F.col("text")).alias("zh_len"), T.en_len(F.col("text")).alias("en_len"), T.lang_len(F.col("text"), F.col("lang")).alias("lang_len"))
+
+
+@query
+def anchor_counts(spark, d):
+    p = X.points(spark, d)
+    clock = F.format_string("at %d:%02d then %02d:%02d", F.floor(F.col("t") / 60), F.floor(F.col("t") % 60), F.floor(F.col("v") % 24), F.floor(F.col("v") % 60))
+    return p.select("ord", T.anchors(F.when(F.col("ord") % 3 == 0, "none").otherwise(clock)).alias("n"))
+
+
+@query
+def referring_context(spark, d):
+    p = X.points(spark, d)
+    q = F.when(F.col("ord") % 4 == 0, F.concat(F.lit("the second "), "txt")).when(F.col("ord") % 4 == 1, F.concat(F.lit("he said “"), "txt", F.lit("”"))).when(F.col("ord") % 4 == 2, F.concat(F.lit("strengthen "), "txt")).otherwise(F.lit("第三次出现"))
+    return p.select("ord", T.referring(q).alias("ok"))
+
+
+@query
+def tokens(spark, d):
+    c = X.table(spark, d, "conversations").select("conv_id", "turn", T.tokens(F.concat("text", F.lit(" 约 12:30 新娘 it's 3.5"))).alias("w"))
+    return c.select("conv_id", "turn", F.size("w").alias("n"), F.md5(F.array_join("w", " ").cast("binary")).alias("digest"))
+
+
+@query
+def ngram_neardup(spark, d):
+    """Trigram similarity of each benchmark item with the next five."""
+    b = X.table(spark, d, "benchmark").select("item_id", T.ngrams(F.col("text")).alias("g"))
+    near = b.select(F.explode(F.sequence(F.col("item_id") - 5, F.col("item_id") - 1)).alias("item_id"), F.col("item_id").alias("other"), F.col("g").alias("h"))
+    return b.join(near, "item_id").select("item_id", "other", r6(T.jaccard(F.col("g"), F.col("h"))).alias("similarity"))
+
+
+@query
+def embedding_neardup(spark, d):
+    """Pairs of one label with cosine 0.4 or more; the labelled vectors are a query set of this table."""
+    e = X.table(spark, d, "embeddings")
+    pairs = e.join(e.select(F.col("vec_id").alias("other"), F.col("embedding").alias("second"), "label"), "label").where("vec_id < other")
+    return pairs.select("vec_id", "other", T.cosine(F.col("embedding"), F.col("second")).alias("c")).where("c >= 0.4").select("vec_id", "other", F.round("c", 5).alias("cosine"))
+
+
+@query
+def element_gate(spark, d):
+    x = X.table(spark, d, "documents").select("doc_id", T.elements(F.col("text")).alias("n"), T.en_len(F.col("text")).alias("words"), T.anchors(F.col("text")).alias("anchors"))
+    reasons = F.concat_ws("; ", F.when(F.col("words") < 350, "short"), F.when(F.col("anchors") < 2, "anchors"), F.when(F.col("n") < 6, "elements"))
+    return x.select("doc_id", F.col("n").cast("long").alias("n"), reasons.alias("reasons"))
+
+
+@query
+def option_prior(spark, d):
+    q = X.points(spark, d)
+    options = F.array("txt", F.lit("cat"), F.when(F.col("ord") % 5 == 0, " None of the above. ").otherwise("dog"), F.lit("tree"))
+    return q.select("ord", T.language_prior(F.when(F.col("ord") % 7 == 0, F.slice(options, 1, 3)).otherwise(options), F.when(F.col("ord") % 3 == 0, F.concat(F.lit("why "), F.upper("txt"), F.lit("?")))).alias("hit"))
+
+
+@query
+def content_hashes(spark, d):
+    return X.table(spark, d, "customer").select("c_custkey", incremental.content_hash(F.col("c_name"), F.col("c_nationkey"), F.col("c_mktsegment")).alias("hash"))
+
+
+@query
+def json_extract(spark, d):
+    p = X.table(spark, d, "events")
+    raw = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("Sure:\n```json\n"), "props", F.lit("\n```"))).when(F.col("event_id") % 4 == 1, F.col("props")).when(F.col("event_id") % 4 == 2, F.concat(F.lit("the answer is "), "props", F.lit(" ok"))).otherwise(F.lit("no data"))
+    return p.select("event_id", providers.json_body(raw).alias("body"))
+
+
+# --- intervals and misc
+
+
+@query
+def time_buckets(spark, d):
+    s = X.spans(spark, d)
+    return s.groupBy("video_id", I.time_bucket(F.col("s"), F.lit(X.DURATION)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def duration_buckets(spark, d):
+    o = X.table(spark, d, "orders").select(F.col("o_orderkey"), (F.col("o_totalprice") / 40).alias("sec"))
+    return o.select("o_orderkey", I.duration_bucket(F.col("sec")).alias("bucket"), I.quota(F.col("sec")).alias("quota"))
+
+
+@query
+def pad_fractions(spark, d):
+    return X.spans(spark, d).select("ord", r6(I.pad_fraction(F.concat_ws("|", F.col("ord").cast("string"), F.col("txt")))).alias("frac"))
+
+
+@query
+def frame_names(spark, d):
+    p = X.points(spark, d).withColumn("name", I.frame_name(F.col("t")))
+    return p.select("ord", "name", r6(I.frame_time(F.col("name"))).alias("back"))
+
+
+@query
+def frame_index_check(spark, d):
+    w = Window.partitionBy("video_id").orderBy("ord")
+    rows = X.points(spark, d).withColumn("back", F.coalesce(F.col("t") < F.lag("t").over(w), F.lit(False)))
+    a = rows.groupBy("video_id").agg(F.sum(F.col("back").cast("int")).alias("backward"), F.min("t").alias("first"), F.max("t").alias("last"))
+    return a.select("video_id", "backward", ((F.col("backward") == 0) & (F.col("first") <= 1.5) & (720 - F.col("last") <= 1.5)).alias("ok"))
+
+
+@query
+def keyframes(spark, d):
+    """Start, middle and end of each span, and three interior sample times."""
+    inner = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.col("s") + (F.col("e") - F.col("s")) * i / 4)
+    times = X.spans(spark, d).select("ord", inner.alias("inner"), r6((F.col("s") + F.col("e")) / 2).alias("mid"))
+    return times.select("ord", "mid", *(r6(F.col("inner")[i]).alias(f"inner{i + 1}") for i in range(3)))
+
+
+@query
+def every_kth_point(spark, d):
+    w = Window.partitionBy("video_id").orderBy("t", "ord")
+    return X.points(spark, d).withColumn("rn", F.row_number().over(w)).where("(rn - 1) % 4 = 0").select("video_id", "ord")
+
+
+@query
+def normalise_spans(spark, d):
+    e = X.events(spark, d).withColumn("e", F.when(F.col("ord") % 10 == 0, F.col("s")).otherwise(F.col("e")))
+    return narrative.normalise_spans(e, 700.0).select("ord", r6("s").alias("s"), r6("e").alias("e"), "importance", "todo", "narrow")
+
+
+@query
+def causal_validate(spark, d):
+    return narrative.causal_faults(X.events(spark, d))
+
+
+@query
+def character_stats(spark, d):
+    o = X.table(spark, d, "lineitem").select(F.col("l_suppkey").alias("video_id"), F.col("l_returnflag").alias("name"), F.col("l_quantity").alias("s"), (F.col("l_quantity") + F.col("l_discount") * 10 - 0.3).alias("e"))
+    return narrative.character_stats(o).withColumn("screen_time", F.round("screen_time", 4))
+
+
+def _verdicts(spark, d) -> DataFrame:
+    o = F.col("ord")
+    decision = X.pick(o % 5, ("verified", "refined", "split", "rejected", "odd"))
+    return X.spans(spark, d).select("video_id", F.concat(F.lit("c"), o.cast("string")).alias("id"), "s", "e", decision.alias("decision"), (F.col("s") + 0.25).alias("rs"), (F.col("e") + 0.5).alias("re"), ((F.col("s") + F.col("e")) / 2).alias("at"))
+
+
+@query
+def boundary_apply(spark, d):
+    return narrative.apply_verdicts(_verdicts(spark, d)).select("video_id", "id", r6("s").alias("s"), r6("e").alias("e"), "boundary_state")
+
+
+@query
+def boundary_stats(spark, d):
+    return narrative.boundary_stats(_verdicts(spark, d)).withColumn("refined_ratio", r6("refined_ratio")).withColumn("rejected_ratio", r6("rejected_ratio"))
+
+
+@query
+def event_density(spark, d):
+    return X.events(spark, d).groupBy("video_id").agg(F.round(F.count(F.lit(1)) / F.lit(0.2), 1).alias("per_hour"), F.sum((F.col("importance") == "key").cast("int")).alias("n_key"))
+
+
+@query
+def importance_batches(spark, d):
+    return narrative.batched(X.events(spark, d), 40, ["video_id"], ["s", "ord"]).groupBy("video_id", F.col("batch").cast("long").alias("batch")).agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("first"))
+
+
+@query
+def candidate_union(spark, d):
+    s = X.spans(spark, d)
+    mined = s.where("ord % 3 = 0").select("video_id", "ord", "s", "e", F.lit("mined").alias("src"))
+    window = s.where("ord % 3 <> 2").select("video_id", "ord", "s", "e", F.lit("window").alias("src"))
+    sound = s.where("ord % 4 = 0").select("video_id", "ord", "s", "e", F.lit("audio").alias("src"))
+    return narrative.numbered(narrative.union_keep_first(mined, window, sound, key=["video_id", "ord"], order=["s"]).where("e > s"), "e%d", ["video_id"], ["s", "ord"]).select("video_id", "ord", "src", "id")
+
+
+# --- audio
+
+
+def _frames(spark, d) -> DataFrame:
+    return X.points(spark, d).select("video_id", F.col("ord").alias("frame_no"), (F.col("v") / 100).alias("rms"), (F.col("ord") % 3 == 0).alias("speech"), F.floor(F.col("t") / 60).cast("long").alias("seg"))
+
+
+@query
+def rms_envelope(spark, d):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    samples = X.table(spark, d, "events").select(F.col("user_id").alias("video_id"), (F.row_number().over(w) - 1).alias("i"), F.col("value").alias("x"))
+    return audio.envelope(samples, 10).withColumn("rms", r6("rms"))
+
+
+@query
+def audio_baseline(spark, d):
+    return audio.baseline(_frames(spark, d)).withColumn("baseline", r6("baseline"))
+
+
+@query
+def audio_events(spark, d):
+    f = _frames(spark, d)
+    out = audio.segment_features(f, audio.baseline(f), ["video_id", "seg"])
+    out = out.withColumn("type", audio.classify(F.col("ratio"), F.col("peak"), F.col("burst")))
+    return out.select("video_id", "seg", "lo", "hi", r6("peak").alias("peak"), r6("ratio").alias("ratio"), r6("burst").alias("burst"), "type", audio.confidence(F.col("type")).alias("confidence"))
+
+
+@query
+def audio_active_bounds(spark, d):
+    f = _frames(spark, d)
+    return audio.active_bounds(f, audio.baseline(f), ["video_id", "seg"])
+
+
+# --- incremental and providers
+
+
+def _stage_hashes(spark, d) -> DataFrame:
+    o = X.table(spark, d, "orders")
+    return incremental.stage_hashes(o, ["o_custkey"], F.col("o_orderkey"), incremental.content_hash(F.col("o_orderkey"), F.col("o_orderstatus")))
+
+
+@query
+def stage_hashes(spark, d):
+    return _stage_hashes(spark, d)
+
+
+@query
+def stage_needs_run(spark, d):
+    now = _stage_hashes(spark, d)
+    old = now.where("o_custkey % 4 <> 0").select("o_custkey", F.when(F.col("o_custkey") % 4 == 1, "failed").otherwise("done").alias("state"), F.when(F.col("o_custkey") % 4 == 2, "stale").otherwise(F.col("hash")).alias("input_hash"))
+    return incremental.needs_run(now, old, ["o_custkey"]).select("o_custkey")
+
+
+@query
+def stage_downstream(spark, d):
+    changed = X.videos(spark, d).select("video_id", X.pick(F.col("video_id") % 7, ("S1", "S2", "S3", "S4", "S5", "S6", "S7")).alias("stage"))
+    return incremental.downstream(spark, changed)
+
+
+@query
+def manifest_latest(spark, d):
+    e = X.table(spark, d, "events").select(F.col("user_id").alias("video_id"), F.col("event_type").alias("stage"), F.col("event_id").alias("updated"), F.round("value", 6).alias("v"))
+    return incremental.latest(e, ["video_id", "stage"], "updated")
+
+
+@query
+def cache_misses(spark, d):
+    p = X.table(spark, d, "part").select("p_partkey", F.md5(F.concat("p_brand", "p_type").cast("binary")).alias("key_hash"))
+    cache = p.where("p_partkey % 50 = 0").select("key_hash")
+    return incremental.misses(p, cache).groupBy("key_hash").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def provider_recorded(spark, d):
+    p = X.table(spark, d, "part").select("p_partkey", providers.request_hash(F.lit("scene"), F.col("p_name")).alias("request_hash"))
+    tape = p.where("p_partkey % 3 <> 0").select("request_hash", F.concat(F.lit("answer "), F.col("p_partkey").cast("string")).alias("response"))
+    return providers.recorded(p, tape.groupBy("request_hash").agg(F.min("response").alias("response"))).select("p_partkey", "response", "ok")
+
+
+@query
+def usage_merge(spark, d):
+    e = X.table(spark, d, "events").select(F.col("event_type").alias("client"), F.create_map(F.lit("prompt"), F.col("event_id") % 100, F.lit("completion"), F.col("event_id") % 10).alias("usage"))
+    return providers.usage(e)
+
+
+@query
+def schema_violations(spark, d):
+    o = X.table(spark, d, "orders")
+    rules = {"status": F.col("o_orderstatus").isin("O", "F"), "price": F.col("o_totalprice") > 1000, "priority": F.col("o_orderpriority").rlike("^[1-3]")}
+    return json_io.violations(o, rules).select("o_orderkey", F.array_join("violations", ",").alias("violations"))
+
+
+@query
+def todo_union(spark, d):
+    e = X.events(spark, d)
+    a = e.where("boundary_state = 'unreviewed'").select(F.lit("boundary").alias("kind"), "ord", "video_id")
+    b = e.where("importance = 'key' and ord % 2 = 0").select(F.when(F.col("boundary_state") == "unreviewed", "boundary").otherwise("key").alias("kind"), "ord", "video_id")
+    return narrative.union_keep_first(a, b, key=["kind", "ord"], order=["video_id"])
+
+
+@query
+def assemble_tracks(spark, d):
+    """Documents back from child tables: how many elements and their order."""
+    docs = json_io.assemble(X.videos(spark, d), {"events": X.spans(spark, d).select("video_id", "ord", "s", F.lit(1).alias("_private")), "few": X.spans(spark, d).where("ord % 997 = 0").select("video_id", "ord", "e")})
+    return docs.select("video_id", F.size("events").alias("n"), F.size("few").alias("n_few"), F.element_at("events", 1)["s"].alias("first"))
