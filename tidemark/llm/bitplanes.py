@@ -27,18 +27,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import words
 from tidemark.llm.scratch import Scratch, parts
 
 MAGIC = b"TPL1"
 BLOCK_IDS = 65_536
 SHARD_IDS = 1 << 21
 END = 2
+#: The places of at most this many containers (24 bytes each) are broadcast; beyond it the containers are shuffled.
+BROADCAST_CONTAINERS = 500_000
 
 
 def planes_of(ids: np.ndarray, bits: int, unit: str) -> list[bytes]:
@@ -95,62 +97,128 @@ def read_container(content: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(out) if out else np.zeros(0, dtype="<u4")), sizes
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path), {}
+#: Encoded pieces that a worker remembers, about 30 bytes each.
+CACHE = 1_500_000
+_RNG = np.random.Generator(np.random.PCG64(31))
+_VALUES = _RNG.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: A piece may begin at a space between two of these: no white space, nor a byte that can be part of any.
+_PLAIN = np.zeros(256, dtype=bool)
+_PLAIN[0x21:0x7F] = _PLAIN[0x80:] = True
+_LEADS = np.zeros(256, dtype=bool)
+_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+class Pieces:
+    """A tokenizer file with a memory of the pieces that it has encoded, keyed by two 64-bit hashes."""
+
+    def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.spaced = np.array([(self.tok.id_to_token(i) or "").startswith("Ġ") for i in range(self.tok.get_vocab_size())])
+        self.clear()
+
+    def clear(self) -> None:
+        self.key, self.check = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+        self.start, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
+
+    def encode_new(self, pieces: list[bytes], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids of each piece). Pieces that begin with their only space are encoded in runs: each has one token
+        that begins with a space, its first. The others (odd) are encoded one by one."""
+        runs, sizes = [], np.zeros(len(pieces), dtype=np.int64)
+        plain = np.flatnonzero(~odd)
+        joined, texts, length = [], [], 0
+        for i in plain:
+            joined.append(pieces[i])
+            length += len(pieces[i])
+            if length > 1 << 16:
+                texts.append(b"".join(joined).decode())
+                joined, length = [], 0
+        if joined:
+            texts.append(b"".join(joined).decode())
+        runs = [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        run = np.concatenate(runs) if runs else np.zeros(0, dtype=np.uint32)
+        begins = np.flatnonzero(self.spaced[run])
+        if len(begins) != len(plain):
+            raise ValueError("the tokenizer joins over spaces")
+        sizes[plain] = np.diff(np.append(begins, len(run)))
+        single = [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast([pieces[i].decode() for i in np.flatnonzero(odd)], add_special_tokens=False)]
+        sizes[odd] = [len(x) for x in single]
+        ids = np.empty(sizes.sum(), dtype=np.uint32)
+        mine = np.repeat(odd, sizes)
+        ids[~mine] = run
+        ids[mine] = np.concatenate(single) if single else ids[mine]
+        return ids, sizes
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids of the block, place of each text's first id and of the end)."""
+        rows, n = len(offsets) - 1, len(raw)
+        if not n:
+            return np.zeros(0, dtype=np.uint32), np.zeros(rows + 1, dtype=np.int64)
+        near = np.concatenate((np.zeros(3, dtype=np.uint8), raw, np.zeros(1, dtype=np.uint8)))
+        cut = (raw == 0x20) & _PLAIN[near[2 : n + 2]] & _PLAIN[near[4 : n + 4]] & ~_LEADS[near[4 : n + 4]] & ~_LEADS[near[1 : n + 1]] & ~_LEADS[near[:n]]
+        head = np.zeros(n + 1, dtype=bool)
+        head[offsets] = True
+        ends_text = head[1:]
+        cut &= ~head[:n] & ~ends_text
+        starts = np.flatnonzero(cut | head[:n])
+        ends = np.append(starts[1:], n)
+        spaces = np.append(0, np.cumsum(raw == 0x20))
+        first = head[starts]
+        odd = first | (spaces[ends] - spaces[starts] != 1)
+        up, down = words._powers(n + 1)
+        keys = []
+        for values in _VALUES:
+            total = np.zeros(n + 1, dtype=np.uint64)
+            np.cumsum(values[raw] * up[:n], out=total[1:])
+            keys.append(words.mix((total[ends] - total[starts]) * down[starts] + odd.astype(np.uint64)))
+        unique, at, back = np.unique(keys[0], return_index=True, return_inverse=True)
+        check = keys[1][at]
+        if (check[back] != keys[1]).any():
+            raise ValueError("two pieces share a 64-bit hash")
+        place = np.minimum(np.searchsorted(self.key, unique), max(len(self.key) - 1, 0))
+        known = (self.key[place] == unique) & (self.check[place] == check) if len(self.key) else np.zeros(len(unique), dtype=bool)
+        fresh = np.flatnonzero(~known)
+        blob = raw.tobytes()
+        ids, sizes = self.encode_new([blob[a:b] for a, b in zip(starts[at[fresh]].tolist(), ends[at[fresh]].tolist(), strict=True)], odd[at[fresh]])
+        base = len(self.ids)
+        table = np.concatenate((self.ids, ids))
+        size, start = np.empty(len(unique), dtype=np.int64), np.empty(len(unique), dtype=np.int64)
+        size[fresh], start[fresh] = sizes, base + np.cumsum(sizes) - sizes
+        if known.any():
+            size[known], start[known] = self.size[place[known]], self.start[place[known]]
+        if len(self.key) + len(fresh) > CACHE:
+            self.clear()
+        else:
+            merged = np.argsort(np.concatenate((self.key, unique[fresh])), kind="stable")
+            self.key, self.check, self.start, self.size = (np.concatenate(x)[merged] for x in ((self.key, unique[fresh]), (self.check, check[fresh]), (self.start, start[fresh]), (self.size, size[fresh])))
+            self.ids = table
+        count = size[back]
+        total = np.append(0, np.cumsum(count))
+        source = np.arange(total[-1]) - np.repeat(total[:-1] - start[back], count)
+        return table[source], total[np.append(np.searchsorted(starts, offsets[:-1]), len(starts))]
 
 
-#: Entries of the cache of encoded pieces in a worker.
-CACHE = 400_000
+@lru_cache(maxsize=1)
+def _pieces(path: str) -> Pieces:
+    return Pieces(path)
 
 
 def encode(texts: pa.Array, path: str) -> Iterator[np.ndarray]:
     """Ids of each text by the tokenizer file at ``path``.
 
     Byte-level BPE never merges over a single space between two characters that are not white space: the space starts
-    the next piece. Texts are cut there, each distinct piece goes through the tokenizer once, and texts with any other
-    white-space neighbourhood of a space are encoded whole.
+    the next piece. Texts are cut there, and each distinct piece goes through the tokenizer once.
     """
-    tok, cache = _tokenizer(path)
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
-    pieces = pc.split_pattern(texts, " ")
-    ends = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
-    flat = pieces.flatten()
-    table = flat.dictionary_encode()
-    names, index = table.dictionary.to_pylist(), table.indices.to_numpy(zero_copy_only=False)
-    odd = np.array([not s or s[0].isspace() or s[-1].isspace() or "᠎" in (s[0], s[-1]) for s in names], dtype=bool)
-    whole = np.add.reduceat(odd[index], ends[:-1]) > 0 if len(index) else np.zeros(0, dtype=bool)
-    first = np.zeros(len(index), dtype=bool)
-    first[ends[:-1]] = True
-    # the first piece of a text has no space before it, so it is another piece
-    wanted = np.where(first, 0, 1) + 2 * index.astype(np.int64)
-    wanted[np.repeat(whole, np.diff(ends))] = -1
-    used, back = np.unique(wanted, return_inverse=True)
-    strings = [" " * (u & 1) + names[u >> 1] if u >= 0 else None for u in used.tolist()]
-    fresh = [s for s in strings if s is not None and s not in cache]
-    known = dict(zip(fresh, (np.array(e.ids, dtype="<u4") for e in tok.encode_batch_fast(fresh, add_special_tokens=False)), strict=True))
-    none = np.zeros(0, dtype="<u4")
-    vectors = [none if s is None else known[s] if s in known else cache[s] for s in strings]
-    if len(cache) + len(known) > CACHE:
-        cache.clear()
-    cache.update(known)
-    sizes = np.array([len(v) for v in vectors], dtype=np.int64)
-    table_ids = np.concatenate(vectors) if vectors else none
-    starts = np.cumsum(sizes) - sizes
-    n = sizes[back]
-    total = np.append(0, np.cumsum(n))
-    source = np.arange(total[-1]) - np.repeat(total[:-1] - starts[back], n)
-    all_ids = table_ids[source]
-    for i in range(len(texts)):
-        if whole[i]:
-            yield np.array(tok.encode(texts[i].as_py(), add_special_tokens=False).ids, dtype="<u4")
-        else:
-            yield all_ids[total[ends[i]] : total[ends[i + 1]]]
+    raw, offsets = words.buffer_of(texts)
+    for lo, hi in words.blocks(offsets):
+        ids, at = _pieces(path).encode(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        for i in range(hi - lo):
+            yield ids[at[i] : at[i + 1]]
 
 
 def _write(path: str, bits: int, unit: str):
@@ -166,16 +234,14 @@ def _write(path: str, bits: int, unit: str):
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                for name, ids in zip(rows.column(0).to_pylist(), encode(rows.column(1), path), strict=True):
-                    ids = np.append(ids, np.uint32(END))
-                    if size and size + len(ids) > SHARD_IDS:
-                        yield close()
-                        held, names, size, count = [], [], 0, count + 1
-                    held.append(ids)
-                    names.append(name)
-                    size += len(ids)
+            for name, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1), path), strict=True):
+                ids = np.append(ids, np.uint32(END))
+                if size and size + len(ids) > SHARD_IDS:
+                    yield close()
+                    held, names, size, count = [], [], 0, count + 1
+                held.append(ids)
+                names.append(name)
+                size += len(ids)
         if held:
             yield close()
 
@@ -212,6 +278,8 @@ def read_planes(containers: DataFrame) -> DataFrame:
     before_part = a_part.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))  # a row a write task
     inside = containers.select("part", "number", "n_ids").withColumn("in_part", F.sum("n_ids").over(Window.partitionBy("part").orderBy("number")) - F.col("n_ids"))
     before = inside.join(before_part, "part").select("part", "number", (F.col("base") + F.col("in_part")).alias("before"))
+    if containers.count() <= BROADCAST_CONTAINERS:
+        before = F.broadcast(before)
     return containers.join(before, ["part", "number"]).select("content", "docs", "before").mapInArrow(_read, "id long, start long, n_tokens long, ids_crc32 long")
 
 
