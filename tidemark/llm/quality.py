@@ -185,8 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[DataFrame
     table = word_vectors(docs)
     features = scratch.save(docs.select("id", "text").mapInArrow(_features(table), f"id {docs.schema['id'].dataType.simpleString()}, x binary"), "features")
     known = labels.where("id is not null and label is not null").where(part_of(F.col("id")) != 0).groupBy("id").agg((F.avg("label") >= 0.5).cast("int").alias("y"))
-    sample = features.join(known, "id").select("id", "x", "y", part_of(F.col("id")).alias("part")).orderBy(F.xxhash64("id"), "id", "x").limit(MOST_LABELLED)
-    got = sample.toPandas()  # at most MOST_LABELLED rows
+    share = min(1.0, 0.95 * MOST_LABELLED / max(1, known.count()))  # of the ids by their hash: MOST_LABELLED rows at most
+    chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < round(share * 1_000_000))
+    got = features.join(chosen, "id").select("id", "x", "y", part_of(F.col("id")).alias("part")).toPandas().sort_values(["id", "x"])
     x = np.frombuffer(b"".join(bytes(b) for b in got["x"]), dtype=np.float16).reshape(-1, 3 * DIM).astype(float)
     return features, table, Network(x, got["y"].to_numpy(dtype=int), (got["part"] != 1).to_numpy())
 
