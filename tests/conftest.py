@@ -2,14 +2,14 @@ import sys
 from pathlib import Path
 
 import duckdb
-import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
+
+from helpers import DATA  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-DATA = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
@@ -28,15 +28,3 @@ def duck():
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     return con
-
-
-def rows(frame: pd.DataFrame) -> list:
-    """Rows with columns by name and values as text, floats to six places, in any order."""
-    cols = sorted(frame.columns)
-
-    def text(v):
-        if isinstance(v, float):
-            return "None" if v != v else repr(int(v)) if v.is_integer() else repr(round(v, 6))
-        return "None" if v is None or v is pd.NA or v is pd.NaT else str(v)
-
-    return sorted(tuple(text(v) for v in r) for r in frame[cols].astype(object).itertuples(index=False))

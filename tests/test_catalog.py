@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import DATA, rows
+from helpers import DATA, rows
 from tidemark.plans import catalog
 
 

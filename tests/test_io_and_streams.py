@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import DATA
+from helpers import DATA
 from tidemark.operators import incremental
 from tidemark.sources import json_io
 from tidemark.streaming import envelopes
