@@ -18,7 +18,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_quote_linking": oracles.OP1,
     "op2_setsketch_near_dedup": oracles.OP2,
     "op3_streaming_exact_dedup": oracles.OP3,
     "op8_suffix_array_decontamination": oracles.OP8,
+    "op10_temporal_url_lists": oracles.OP10,
 }

@@ -34,3 +34,44 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        sha256(coalesce(array_to_string(s, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+_MARKS = "'^([ \\t]*>)+[ \\t]?'"
+_NORM = "regexp_replace(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\r\\x0b\\f]+', ' ', 'g'), '^ | $', '', 'g')"
+
+OP1 = f"""
+WITH RECURSIVE m AS (SELECT row_number() OVER () AS rid, conv_id AS conv, turn, role, regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g') AS text FROM conversations),
+ln AS (SELECT rid, conv, turn, i, x, regexp_extract(x, {_MARKS}) AS mark FROM (SELECT rid, conv, turn, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM m)),
+lv AS (SELECT rid, conv, turn, i, length(regexp_replace(mark, '[ \\t]', '', 'g')) AS level, substr(x, length(mark) + 1) AS body FROM ln),
+fr AS (SELECT *, CASE WHEN level IS DISTINCT FROM lag(level) OVER (PARTITION BY rid ORDER BY i) THEN 1 ELSE 0 END AS fresh FROM lv),
+nr AS (SELECT *, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS run FROM fr),
+runs AS (SELECT rid, conv, turn, run, level, string_agg(body, chr(10) ORDER BY i) AS text FROM nr GROUP BY ALL),
+replies AS (SELECT rid, regexp_replace(coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (WHERE level = 0), ''), '^[ \\t\\n\\r\\x0b\\f]+|[ \\t\\n\\r\\x0b\\f]+$', '', 'g') AS reply FROM lv GROUP BY rid),
+quoted AS (SELECT DISTINCT conv, turn, run, level, text FROM runs WHERE level > 0 AND conv IS NOT NULL AND turn IS NOT NULL AND {_NORM.format("text")} <> ''),
+pieces AS (SELECT DISTINCT conv, turn, run, level, text, norm FROM (SELECT *, {_NORM.format("piece")} AS norm FROM (SELECT *, unnest(list_concat([text], string_split(text, chr(10)))) AS piece FROM quoted)) WHERE norm <> ''),
+own AS (SELECT DISTINCT conv, turn, norm FROM (SELECT conv, turn, {_NORM.format("piece")} AS norm FROM (
+  SELECT conv, turn, text AS piece FROM runs WHERE level = 0 UNION ALL SELECT conv, turn, body FROM lv WHERE level = 0 UNION ALL SELECT m.conv, m.turn, reply FROM replies JOIN m USING (rid))) WHERE norm <> '' AND conv IS NOT NULL AND turn IS NOT NULL),
+here AS (SELECT p.conv, p.turn, p.norm, max(o.turn) AS found FROM (SELECT DISTINCT conv, turn, norm FROM pieces) p JOIN own o ON o.conv = p.conv AND o.norm = p.norm AND o.turn < p.turn GROUP BY ALL),
+first_ AS (SELECT norm, min((conv, turn)) AS f FROM own GROUP BY norm),
+met AS (SELECT p.*, h.found IS NOT NULL AS kin, CASE WHEN h.found IS NOT NULL THEN (p.conv, h.found) WHEN f.f <> (p.conv, p.turn) THEN f.f END AS source
+  FROM pieces p LEFT JOIN here h USING (conv, turn, norm) LEFT JOIN first_ f USING (norm)),
+linked AS (SELECT conv, turn, count(DISTINCT (run, level, text)) AS n_linked, max((-level, kin, length(norm), source[2], source[1])) AS best, max((-level, kin, length(norm), source[2], source[1])) FILTER (WHERE kin) AS near FROM met WHERE source IS NOT NULL GROUP BY conv, turn),
+walk(conv, turn, up, depth) AS (SELECT conv, turn, near[4], 1 FROM linked WHERE near IS NOT NULL UNION ALL SELECT w.conv, w.turn, l.near[4], w.depth + 1 FROM walk w JOIN linked l ON l.conv = w.conv AND l.turn = w.up AND l.near IS NOT NULL),
+roots AS (SELECT conv, turn, min(up) AS root, max(depth) AS depth FROM walk GROUP BY conv, turn),
+counts AS (SELECT conv, turn, count(*) AS n_quotes, max(level) AS max_level FROM quoted GROUP BY conv, turn)
+SELECT m.conv AS conv_id, m.turn, m.role, r.reply, coalesce(n_quotes, 0)::BIGINT AS n_quotes, coalesce(max_level, 0)::BIGINT AS max_level, coalesce(n_linked, 0)::BIGINT AS n_linked, near[4] AS parent_turn,
+  coalesce(root, m.turn) AS thread_turn, coalesce(depth, 0)::BIGINT AS depth, best[5] AS source_conv, best[4] AS source_turn
+FROM m JOIN replies r USING (rid) LEFT JOIN counts c ON c.conv = m.conv AND c.turn = m.turn LEFT JOIN linked l ON l.conv = m.conv AND l.turn = m.turn LEFT JOIN roots t ON t.conv = m.conv AND t.turn = m.turn
+"""
+
+_NUMBER = "(('0x' || substr(md5({0}), 1, 6))::BIGINT % {1})"
+
+OP10 = f"""
+WITH c AS (SELECT page_id, url, DATE '2024-01-01' + {_NUMBER.format("page_id::VARCHAR", 365)}::INT AS fetched, regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\\.+$', '') AS host FROM pages),
+h AS (SELECT DISTINCT host AS key, {_NUMBER.format("host", 30030)} AS n FROM c WHERE host <> ''),
+dm AS (SELECT DISTINCT key, {_NUMBER.format("'domain ' || key", 30030)} AS n FROM (SELECT regexp_extract(key, '([^.]+\\.[^.]+\\.[^.]+)$', 1) AS key FROM h) WHERE key <> ''),
+e AS (SELECT key, 3 AS rank, DATE '2024-01-01' + (n % 200)::INT AS day FROM h WHERE n % 3 = 0 UNION ALL SELECT key, 1, DATE '2024-01-01' + (n % 200 + 90)::INT FROM h WHERE n % 6 = 0
+  UNION ALL SELECT key, 2, DATE '2024-01-01' + (n % 300)::INT FROM h WHERE n % 5 = 0 UNION ALL SELECT key, 3, DATE '2024-01-01' + 182 FROM dm WHERE n % 7 = 0),
+iv AS (SELECT key, rank, day AS valid_from, lead(day) OVER (PARTITION BY key ORDER BY day) AS valid_to FROM (SELECT key, day, max(rank) AS rank FROM e GROUP BY key, day)),
+met AS (SELECT c.host, c.fetched, max((length(iv.key), iv.key, CASE rank WHEN 3 THEN 'block' ELSE 'allow' END, valid_from)) AS d FROM (SELECT DISTINCT host, fetched FROM c) c JOIN iv ON (c.host = iv.key OR ends_with(c.host, '.' || iv.key)) AND rank > 1 AND c.fetched >= valid_from AND (valid_to IS NULL OR c.fetched < valid_to) GROUP BY ALL)
+SELECT page_id, url, c.fetched::VARCHAR AS fetched, c.host, coalesce(d[3] = 'block', false) AS blocked, d[2] AS key, d[3] AS action, d[4]::VARCHAR AS valid_from FROM c LEFT JOIN met ON met.host = c.host AND met.fetched = c.fetched
+"""

@@ -80,7 +80,7 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     itself. Of a message's links the lowest quote level counts first, then the conversation's own, then the longest
     normalised text, then the latest turn. Null and empty texts have an empty reply and no quotes. Messages without
     conv_id or turn keep their reply and have no links. Messages that repeat (conv_id, turn) are one node: they share
-    links and quote counts. Other columns are ignored.
+    links, and a passage that both hold at one place counts once. Other columns are ignored.
     """
     scratch = Scratch(messages.sparkSession, "quotes")
     base = messages.select(F.col(conv_col).cast("long").alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
@@ -89,7 +89,8 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     key = lambda text: F.md5(text.cast("binary"))
 
     quoted = placed.select("conv", "turn", F.posexplode(F.filter("runs", lambda r: r["level"] > 0)).alias("at", "run")).select("conv", "turn", "at", F.col("run.level").alias("level"), F.col("run.text").alias("text"))
-    quoted = scratch.save(quoted.where(normalised(F.col("text")) != ""), "quoted")
+    quoted = quoted.where(normalised(F.col("text")) != "").withColumn("at", key(F.concat_ws(":", "at", "level", "text"))).distinct()
+    quoted = scratch.save(quoted, "quoted")
     pieces = quoted.select("conv", "turn", "at", "level", F.explode(F.array_distinct(F.concat(F.array("text"), F.split("text", "\n")))).alias("piece"))
     pieces = pieces.withColumn("norm", normalised(F.col("piece"))).where("norm <> ''")
     pieces = scratch.save(pieces.select("conv", "turn", "at", "level", key(F.col("norm")).alias("hash"), F.length("norm").alias("n")).distinct(), "pieces")

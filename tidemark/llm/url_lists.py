@@ -83,4 +83,4 @@ def op10_temporal_url_lists(spark, sf_dir: str) -> DataFrame:
         entry(blocked, "block", F.col("n") % 200).unionByName(entry(blocked.where("n % 2 = 0"), "none", F.col("n") % 200 + 90))
         .unionByName(entry(hosts.where("n % 5 = 0"), "allow", F.col("n") % 300)).unionByName(entry(domains.where("n % 7 = 0"), "block", F.lit(182)))
     )
-    return evaluate(captures, entries)
+    return evaluate(captures, entries).withColumn("fetched", F.col("fetched").cast("string")).withColumn("valid_from", F.col("valid_from").cast("string"))
