@@ -8,8 +8,10 @@ estimated from all registers and both set sizes by maximum likelihood, and the p
 are confirmed on their full shingle sets.
 
 Scale: equal sets collapse to one representative before banding, so a group of copies of any size costs one row.
-Within a bucket each member meets the bucket's least id (a star, not all pairs); only pairs of one bucket whose
-components still differ afterwards are compared directly. Components run as a Spark loop. No cap exists anywhere.
+Within a bucket each member meets the bucket's least id (a star, not all pairs). Buckets whose members are then in
+several components are compared block by block inside tasks, which return links, not pairs: the first pass keeps the
+members that the likelihood leaves a partner in another component, the second one confirms on full sets. Blocks hold
+``BLOCK`` members at most, so no bucket is one task's. Components run as a Spark loop. No cap exists anywhere.
 
 Recall: with r = 7 and 48 bands a pair at similarity 0.80 shares no band with probability 1e-5, at 0.85 below 1e-8. The
 likelihood cut of 0.65 lies more than six standard errors under 0.8.
@@ -26,12 +28,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words
 from tidemark.llm.components import components
-from tidemark.llm.scratch import Scratch
+from tidemark.llm.scratch import Scratch, parts
 
 B, A, Q = 1.02, 20.0, 2**16 - 3
 ROWS, BANDS = 7, 48
 M = ROWS * BANDS
 CUT = 0.65
+#: Least share of equal registers for which the likelihood is worked out; six standard errors under that of 0.8.
+SCREEN = 0.66
+#: Members of a bucket that are compared within one task, and columns of the incidence matrix at a time.
+BLOCK, COLUMNS = 384, 8192
 #: A side of at most this many ids is broadcast (16 bytes each); a larger one is joined by shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -147,18 +153,125 @@ def _confirm(percent: int):
     return run
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of one (key, x, y) from batches sorted by it."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+        if not rows.num_rows:
+            continue
+        k = np.stack([rows[c].to_numpy() for c in ("key", "x", "y")], axis=1)
+        cuts = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+        for a, b in zip(np.append(0, cuts)[:-1], cuts, strict=True):
+            yield rows.slice(a, b - a)
+        held = rows.slice(cuts[-1] if len(cuts) else 0)
+    if held is not None:
+        yield held
+
+
+def _partnered(percent: int):
+    """The members of a block that have a likely partner in another component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            n, c = rows["n"].to_numpy(), rows["c"].to_numpy()
+            if (c == c[0]).all():
+                continue
+            regs = np.frombuffer(b"".join(rows["regs"].to_pylist()), dtype=np.uint16).reshape(-1, M)
+            keep = np.zeros(len(n), dtype=bool)
+            for i in range(len(n) - 1):
+                rest = slice(i + 1, None)
+                close = (c[rest] != c[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+                at = i + 1 + np.flatnonzero(close)
+                at = at[~(keep[at] & keep[i])]
+                at = at[(regs[at] == regs[i]).mean(axis=1) >= SCREEN] if len(at) else at
+                if len(at):
+                    at = at[likeliest(np.broadcast_to(regs[i], (len(at), M)), regs[at], np.full(len(at), float(n[i])), n[at].astype(float)) >= CUT]
+                    keep[at] = True
+                    keep[i] |= len(at) > 0
+            if keep.any():
+                yield rows.select(["key", "id"]).filter(pa.array(keep)).combine_chunks().to_batches()[0]
+
+    return run
+
+
+def shared(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of sorted sets, by an incidence matrix a few columns at a time."""
+    every = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(every, return_inverse=True, return_counts=True)
+    several = times[column] > 1
+    column, owner = column[several], owner[several]
+    _, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column)
+    column, owner = column[order], owner[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (low, low + COLUMNS))
+        part = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        part[owner[a:b], column[a:b] - low] = 1
+        out += part @ part.T
+    return out.astype(np.int64)
+
+
+def _joined(percent: int):
+    """Confirmed links between components of a block; of several between the same components one is enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            c, ids = rows["c"].to_numpy(), rows["id"].to_numpy()
+            if (c == c[0]).all():
+                continue
+            sets = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in rows["s"]]
+            size = np.array([len(s) for s in sets])
+            both = shared(sets)
+            near = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (c[:, None] < c[None, :])
+            root: dict[int, int] = {}
+
+            def top(x: int, root: dict[int, int] = root) -> int:
+                while x in root:
+                    x = root[x]
+                return x
+
+            a, b = [], []
+            for i, j in zip(*np.nonzero(near), strict=True):
+                x, y = top(int(c[i])), top(int(c[j]))
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    a.append(ids[i])
+                    b.append(ids[j])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows (key, id, ...) dealt out so that any two of a key meet in some (x, y), sorted by it."""
+    blocks = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = rows.join(blocks, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")).drop("own", "other", "blocks")
+    return dealt.repartition(parts(rows.sparkSession), "key", "x", "y").sortWithinPartitions("key", "x", "y")
+
+
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id is in ``ids``: broadcast up to a counted bound, by shuffle beyond it."""
     small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return docs.join(F.broadcast(ids) if small else ids, "id", "left_semi")
 
 
+def _full_sets(ids: DataFrame, docs: DataFrame, k: int, scratch: Scratch, name: str) -> DataFrame:
+    """(id, s) with the whole shingle sets of ``ids``."""
+    return scratch.save(_texts(docs, scratch.save(ids.distinct(), f"{name}_ids")).select("id", "text").mapInArrow(_sets(k), "id long, s binary"), f"{name}_sets")
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, k: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
     one, other = (sketches.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("regs").alias(f"r{c}")) for c in "ab")
     likely = scratch.save(pairs.join(other, "b").join(one, "a").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_likely(CUT), pairs.select("a", "b").schema), f"{name}_likely")
-    ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
-    sets = scratch.save(_texts(docs, scratch.save(ids, f"{name}_ids")).select("id", "text").mapInArrow(_sets(k), "id long, s binary"), f"{name}_sets")
+    sets = _full_sets(likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))), docs, k, scratch, name)
     one, other = (sets.select(F.col("id").alias(c), F.col("s").alias(f"s{c}")) for c in "ab")
     out = scratch.save(likely.join(other, "b").join(one, "a").select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), likely.schema), f"{name}_links")
     scratch.drop(f"{name}_sets")
@@ -183,9 +296,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("lead")).where("c > 1").select("key", "lead")
     members = scratch.save(bands.join(shared, "key"), "members")
 
-    leads = sketches.select(F.col("id").alias("a"), F.col("n").alias("na"))
-    star = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb")).distinct()
-    star = scratch.save(star.join(leads, "a").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct(), "star")
+    star = scratch.save(members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "star")
     links = _verify(star, docs, sketches, k, percent, scratch, "star")
     found = components(links, scratch, "first")
 
@@ -193,10 +304,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = scratch.save(labelled, "labelled")
     mixed = labelled.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
     rest = scratch.save(labelled.join(mixed, "key", "left_semi"), "mixed")
-    one, other = (rest.select("key", F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("c").alias(f"c{i}")) for i in "ab")
-    cross = one.join(other, "key").where(f"ca < cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    cross = scratch.save(cross.join(star, ["a", "b"], "left_anti"), "cross")
-    links = links.unionByName(_verify(cross, docs, sketches, k, percent, scratch, "cross"))
+    likely = scratch.save(_in_blocks(rest.join(sketches.select("id", "regs"), "id")).mapInArrow(_partnered(percent), "key long, id long").distinct(), "partnered")
+    sets = _full_sets(likely.select("id"), docs, k, scratch, "cross")
+    full = rest.join(likely, ["key", "id"], "left_semi").join(sets, "id")
+    cross = scratch.save(_in_blocks(full).mapInArrow(_joined(percent), "a long, b long").distinct(), "cross_links")
+    links = links.unionByName(cross)
     found = components(links, scratch, "last")
 
     of = classes.select("high", "low", "n", F.col("id").alias("rep")).join(found.withColumnRenamed("id", "rep"), "rep", "left").select("high", "low", "n", F.coalesce("component", "rep").alias("least"))
