@@ -308,14 +308,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = _full_sets(likely.select("id"), docs, k, scratch, "cross")
     full = rest.join(likely, ["key", "id"], "left_semi").join(sets, "id")
     cross = scratch.save(_in_blocks(full).mapInArrow(_joined(percent), "a long, b long").distinct(), "cross_links")
-    links = links.unionByName(cross)
+    # an id that stands on several texts links them
+    of = classes.select("high", "low", F.col("n").alias("size"), F.col("id").alias("rep"))
+    rows = sketch.select("id", "n", "high", "low").join(of, (sketch["high"] == of["high"]) & (sketch["low"] == of["low"]) & (sketch["n"] == of["size"]), "left")
+    rows = scratch.save(rows.select("id", "n", F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep")), "rows")
+    twice = rows.where("rep is not null").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
+    links = links.unionByName(cross).unionByName(twice.join(rows, "id").where("rep <> a").select("a", F.col("rep").alias("b")))
     found = components(links, scratch, "last")
 
-    of = classes.select("high", "low", "n", F.col("id").alias("rep")).join(found.withColumnRenamed("id", "rep"), "rep", "left").select("high", "low", "n", F.coalesce("component", "rep").alias("least"))
-    rows = sketch.select("id", "n", "high", "low").join(of, ["high", "low", "n"], "left").select("id", "n", F.coalesce("least", "id").alias("least"))
-    # rows that repeat an id with other texts share the least component of the id
-    merged = found.select("id", F.col("component").alias("own"))
-    rows = rows.join(merged, "id", "left").select("id", F.col("n").alias("n_shingles"), F.least("least", F.coalesce("own", "least")).alias("component_id"))
+    rows = rows.join(found.withColumnRenamed("id", "rep"), "rep", "left")
+    rows = rows.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id"))
     return rows.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
