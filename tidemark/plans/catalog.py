@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.config import DEFAULT
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
-from tidemark.operators import agreement, audio, gate, incremental, joins, narrative, providers, questions, segments
+from tidemark.operators import agreement, audio, gate, incremental, joins, narrative, providers, questions, segments, workflow
 from tidemark.plans import checks
 from tidemark.sources import fixtures as X
 from tidemark.sources import json_io
@@ -615,3 +615,140 @@ def assemble_tracks(spark, d):
     """Documents back from child tables: how many elements and their order."""
     docs = json_io.assemble(X.videos(spark, d), {"events": X.spans(spark, d).select("video_id", "ord", "s", F.lit(1).alias("_private")), "few": X.spans(spark, d).where("ord % 997 = 0").select("video_id", "ord", "e")})
     return docs.select("video_id", F.size("events").alias("n"), F.size("few").alias("n_few"), F.element_at("events", 1)["s"].alias("first"))
+
+
+# --- composite steps
+
+
+def _captions(spark, d):
+    """Captions leave out every eighth minute, so that windows without any exist."""
+    return X.points(spark, d).where("floor(t / 90) % 4 <> 1").select("video_id", "ord", "t", "txt")
+
+
+@query
+def event_mining(spark, d):
+    drafts = workflow.mine_drafts(_captions(spark, d), X.spans(spark, d), DEFAULT.event_window_sec, DEFAULT.event_step_sec, X.DURATION, DEFAULT.caption_similarity, DEFAULT.caption_gap_sec)
+    answers = drafts.where("(video_id + k) % 3 = 0").select("video_id", "k", "s", "e", F.lit("answer").alias("txt"), F.lit("model").alias("origin"))
+    return workflow.with_fallback(drafts, answers, ["video_id", "k"])
+
+
+@query
+def group_dedup(spark, d):
+    e = X.spans(spark, d).select("video_id", F.floor(F.col("s") / 10).alias("cluster"), F.concat(F.lit("e"), F.col("ord").cast("string")).alias("id"), "ord")
+    g = e.groupBy("video_id", "cluster").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("n >= 3")
+    name = lambda c: F.concat(F.lit("e"), F.col(c).cast("string"))
+    answers = g.select("video_id", "cluster", F.when(F.col("lo") % 4 == 0, "unknown").otherwise(name("lo")).alias("keep"), F.array(name("hi"), F.lit("e-1"), name("lo")).alias("merge"))
+    out = workflow.renamed(workflow.apply_groups(e.drop("ord"), answers))
+    return out.select("video_id", "id", "dedup_id", F.array_join("sources", ",").alias("sources"))
+
+
+@query
+def importance_grading(spark, d):
+    e = X.events(spark, d).select("video_id", F.col("ord").cast("string").alias("id"))
+    grades = X.events(spark, d).where("ord % 4 <> 0").select("video_id", F.col("ord").cast("string").alias("id"), X.pick(F.col("ord") % 3, ("key", "minor", "great")).alias("importance"))
+    return workflow.graded(e, grades)
+
+
+@query
+def timeline_order(spark, d):
+    e = X.spans(spark, d).select("video_id", "s", F.col("ord").cast("string").alias("id"))
+    answers = e.where("video_id % 3 <> 0").groupBy("video_id").agg(F.reverse(F.array_sort(F.collect_list("id"))).alias("ids"))
+    answers = answers.select("video_id", F.when(F.col("video_id") % 3 == 1, F.concat("ids", F.array(F.lit("x")))).otherwise(F.slice("ids", 1, 2)).alias("ids"))
+    out = workflow.timeline(e, answers)
+    return out.select("video_id", "answered", F.md5(F.array_join("ids", ",").cast("binary")).alias("digest"))
+
+
+@query
+def verification_kpis(spark, d):
+    v = X.qa(spark, d).select("video_id", "task_type", (F.col("ord") % 3 != 0).alias("verified"), (F.col("ord") % 5 != 0).alias("passed"), (F.col("ord") % 2).alias("regen"), (F.col("ord") % 15 == 1).alias("dropped"))
+    return workflow.verification_kpis(v, ["video_id"])
+
+
+@query
+def open_item_agreement(spark, d):
+    a = X.qa(spark, d).where("task_type in ('open', 'summary')").withColumn("r", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    a = a.withColumn("text", F.when((F.col("ord") + F.col("r")) % 4 == 0, "").when((F.col("ord") + F.col("r")) % 4 == 1, F.col("txt")).otherwise(F.concat("txt", F.lit(" and other words"))))
+    return workflow.open_items(a, T.jaccard(T.ngrams(F.col("text")), T.ngrams(F.col("txt"))))
+
+
+@query
+def pipeline_temporal_ratio(spark, d):
+    q = X.qa(spark, d).where("task_type = 'temporal_grounding'").withColumn("miou", F.when(F.col("ord") % 3 != 0, (F.col("ord") % 10) / 10.0))
+    return q.groupBy("video_id").agg(F.round(F.avg(F.when(F.col("miou").isNotNull(), (F.col("miou") >= 0.5).cast("double"))), 3).alias("ratio"))
+
+
+@query
+def rescreen_summary(spark, d):
+    q = questions.with_drop(_qa(spark, d))
+    return q.agg(F.count(F.lit(1)).alias("before"), F.sum((~F.col("dropped")).cast("int")).alias("after"), F.sum(F.col("dropped").cast("int")).alias("dropped"))
+
+
+@query
+def evidence_frame_times(spark, d):
+    w = Window.partitionBy("video_id").orderBy("s", "ord")
+    two = X.spans(spark, d).withColumn("s2", F.lead("s").over(w)).withColumn("e2", F.lead("e").over(w))
+    one = F.struct("s", "e")
+    spans = F.when(F.col("s2").isNull(), F.array(one)).otherwise(F.array(one, F.struct(F.col("s2").alias("s"), F.col("e2").alias("e"))))
+    return two.select("ord", F.size(workflow.evidence_times(spans, 4)).alias("n"), r6(F.element_at(workflow.evidence_times(spans, 4), 1)).alias("first"))
+
+
+@query
+def mosaic_sizes(spark, d):
+    a = X.points(spark, d).groupBy("video_id", F.floor(F.col("t") / 40).alias("w")).agg(F.array_sort(F.collect_list("ord")).alias("f"))
+    tile = workflow.mosaic(F.col("f"))
+    return a.select("video_id", "w", F.size(tile).alias("n"), F.element_at(tile, -1).alias("last")).where("last is not null")
+
+
+@query
+def language_alignment(spark, d):
+    p = X.points(spark, d)
+    zh = F.when(F.col("ord") % 5 == 0, F.lit(None)).otherwise(F.repeat(F.lit("字"), (F.col("ord") % 9).cast("int")))
+    return p.select("ord", F.array_join(workflow.language_issues(zh, F.when(F.col("ord") % 7 == 0, "  ").otherwise(F.lit("two words"))), ",").alias("issues"))
+
+
+@query
+def description_rollup(spark, d):
+    out = workflow.two_level(X.spans(spark, d), 15)
+    return out.select("video_id", "n", "n_groups", F.md5(F.col("txt").cast("binary")).alias("digest"))
+
+
+@query
+def subtitle_rendering(spark, d):
+    speaker = F.when(F.col("ord") % 3 == 0, F.concat(F.lit("S"), (F.col("ord") % 4).cast("string")))
+    return X.spans(spark, d).select("ord", workflow.rendered(F.floor(F.col("s")), speaker, F.col("txt")).alias("line"))
+
+
+@query
+def provider_differs(spark, d):
+    c = X.table(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, "auto:alpha-1 auto:beta").when(F.col("c_custkey") % 3 == 1, "human").alias("annotator"))
+    return workflow.other_provider(c, "beta").select("c_custkey")
+
+
+@query
+def duration_guard(spark, d):
+    o = X.table(spark, d, "orders").select(F.col("o_orderkey").alias("video_id"), F.col("o_totalprice").alias("duration_sec"))
+    return workflow.duration_conflicts(o, o.select("video_id", (F.col("duration_sec") + F.col("video_id") % 11 - 3).alias("measured"))).select("video_id")
+
+
+@query
+def video_file_lookup(spark, d):
+    p = X.table(spark, d, "part").select(F.concat(F.lit("/v/"), (F.col("p_partkey") % 97).cast("string"), X.pick(F.col("p_partkey") % 4, (".mkv", ".mp4", ".txt", ".webm"))).alias("path")).distinct()
+    return workflow.first_file(json_io.listing(p, ("mp4", "mkv", "webm")))
+
+
+@query
+def qa_deficits(spark, d):
+    return workflow.deficits(questions.coverage(_qa(spark, d), X.DURATION), F.lit(150))
+
+
+@query
+def stage_reuse(spark, d):
+    e = X.table(spark, d, "events").select(F.col("user_id").alias("video_id"), F.col("event_type").alias("stage"), F.when(F.col("event_id") % 3 == 0, "failed").when(F.col("event_id") % 3 == 1, "done").otherwise("skipped").alias("state"), "event_id")
+    last = incremental.latest(e, ["video_id", "stage"], "event_id")
+    return workflow.reusable(last, X.videos(spark, d).where("video_id % 2 = 0"), 5)
+
+
+@query
+def question_round(spark, d):
+    q = X.spans(spark, d).select("video_id", "ord", F.concat(F.col("txt"), (F.col("ord") % 20).cast("string")).alias("key"))
+    return workflow.next_questions(q.where("ord % 3 <> 0"), q.where("ord % 3 = 0").select("video_id", "key").distinct(), "key", 60)

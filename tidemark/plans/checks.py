@@ -319,4 +319,64 @@ SELECT * FROM (SELECT o_orderkey, array_to_string(list_filter([CASE WHEN NOT o_o
 SELECT CASE WHEN boundary_state = 'unreviewed' THEN 'boundary' ELSE 'key' END AS kind, ord, video_id, CASE WHEN boundary_state = 'unreviewed' THEN 0 ELSE 1 END::INT AS source FROM v_events WHERE boundary_state = 'unreviewed' OR (importance = 'key' AND ord % 2 = 0)
 """),
     "assemble_tracks": _sql("SELECT video_id, count(*)::INT AS n, (count(*) FILTER (WHERE ord % 997 = 0))::INT AS n_few, arg_min(s, ord) AS first FROM v_spans GROUP BY video_id"),
+    "event_mining": _sql("""
+SELECT d.video_id, d.k, d.s, d.e, CASE WHEN (d.video_id + d.k) % 3 = 0 THEN 'answer' ELSE d.txt END AS txt, CASE WHEN (d.video_id + d.k) % 3 = 0 THEN 'model' ELSE d.origin END AS origin FROM drafts d
+""", f"""
+cap AS (SELECT *, {_ngrams("txt")} AS g FROM v_points WHERE floor(t / 90) % 4 <> 1),
+seen AS (SELECT c.*, k FROM cap c, (SELECT range AS k FROM range(24)) WHERE t >= k * 30.0 AND t <= least(k * 30.0 + 60, 720.0)),
+mk AS (SELECT *, lag(t) OVER w AS lt, lag(g) OVER w AS lg FROM seen WINDOW w AS (PARTITION BY video_id, k ORDER BY t, ord)),
+rn AS (SELECT *, sum(CASE WHEN lt IS NULL OR {_JACCARD.format(a="g", b="lg")} < 0.3 OR t - lt > 25 THEN 1 ELSE 0 END) OVER (PARTITION BY video_id, k ORDER BY t, ord) AS island FROM mk),
+di AS (SELECT video_id, k, island, txt, min((t, ord)) AS o FROM rn GROUP BY ALL),
+tx AS (SELECT video_id, k, island, left(string_agg(txt, '；' ORDER BY o), 120) AS txt FROM di GROUP BY ALL),
+drafts AS (SELECT video_id, k, s, e, txt, 'caption' AS origin FROM (SELECT video_id, k, island, min(t) AS s, max(t) AS e FROM rn GROUP BY ALL HAVING max(t) - min(t) >= 2) JOIN tx USING (video_id, k, island)
+  UNION ALL SELECT p.video_id, w.k, p.s, p.e, p.txt, 'subtitle' FROM v_spans p, (SELECT range AS k FROM range(24)) w WHERE p.s >= w.k * 30.0 AND p.s <= least(w.k * 30.0 + 60, 720.0) AND p.e - p.s >= 0.5 AND NOT EXISTS (SELECT 1 FROM seen x WHERE x.video_id = p.video_id AND x.k = w.k))
+"""),
+    "group_dedup": _sql("""
+SELECT e.video_id, CASE WHEN t.src IS NOT NULL THEN e.id || '_m1' ELSE e.id END AS id, CASE WHEN t.src IS NOT NULL THEN e.id END AS dedup_id, t.src AS sources
+FROM ev e LEFT JOIN (SELECT video_id, 'e' || lo AS id, 'e' || hi AS src FROM gr WHERE lo % 4 <> 0) t USING (video_id, id) WHERE NOT EXISTS (SELECT 1 FROM gr WHERE gr.video_id = e.video_id AND lo % 4 <> 0 AND e.id = 'e' || hi)
+""", """
+ev AS (SELECT video_id, floor(s / 10) AS cluster, 'e' || ord AS id, ord FROM v_spans),
+gr AS (SELECT video_id, cluster, min(ord) AS lo, max(ord) AS hi FROM ev GROUP BY video_id, cluster HAVING count(*) >= 3)
+"""),
+    "importance_grading": _sql("SELECT video_id, ord::VARCHAR AS id, CASE WHEN ord % 4 <> 0 AND ord % 3 = 0 THEN 'key' ELSE 'minor' END AS importance FROM v_events"),
+    "timeline_order": _sql("""
+SELECT video_id, video_id % 3 = 1 OR (video_id % 3 = 2 AND count(*) <= 2) AS answered, md5(CASE WHEN video_id % 3 = 1 OR (video_id % 3 = 2 AND count(*) <= 2) THEN string_agg(ord::VARCHAR, ',' ORDER BY ord::VARCHAR DESC) ELSE string_agg(ord::VARCHAR, ',' ORDER BY s, ord::VARCHAR) END) AS digest FROM v_spans GROUP BY video_id
+"""),
+    "verification_kpis": _sql("""
+SELECT video_id, count(*) FILTER (WHERE ord % 3 <> 0) AS verified, sum(ord % 2)::BIGINT AS regen, count(*) FILTER (WHERE ord % 15 = 1) AS dropped, """ + ", ".join(
+        f"round(count(*) FILTER (WHERE {k} AND ord % 3 <> 0 AND ord % 5 <> 0)::DOUBLE / nullif(count(*) FILTER (WHERE {k} AND ord % 3 <> 0), 0), 3) AS {n}"
+        for k, n in (("task_type = 'mcq'", "verify_agreement"), ("task_type = 'temporal_grounding'", "temporal_miou_ratio"), ("task_type IN ('open', 'summary')", "open_agreement"))
+    ) + " FROM v_qa GROUP BY video_id"),
+    "open_item_agreement": _sql(f"""
+SELECT qid, round(avg(l), 3) AS agreement, count(*) AS n_raters, avg(l) >= 0.6 AS passes FROM (SELECT qid, ({_JACCARD.format(a="a", b="b")} >= 0.5)::INT::DOUBLE AS l FROM (SELECT qid, {_ngrams("text")} AS a, {_ngrams("txt")} AS b FROM ops WHERE text <> '')) GROUP BY qid
+""", "ops AS (SELECT qid, txt, CASE (ord + r) % 4 WHEN 0 THEN '' WHEN 1 THEN txt ELSE txt || ' and other words' END AS text FROM v_qa, range(3) x(r) WHERE task_type IN ('open', 'summary'))"),
+    "pipeline_temporal_ratio": _sql("SELECT video_id, round(avg((ord % 10 >= 5)::INT::DOUBLE) FILTER (WHERE ord % 3 <> 0), 3) AS ratio FROM v_qa WHERE task_type = 'temporal_grounding' GROUP BY video_id"),
+    "rescreen_summary": _sql("SELECT count(*) AS before, count(*) FILTER (WHERE NOT dropped) AS after, count(*) FILTER (WHERE dropped) AS dropped FROM dq", _FLAGS),
+    "evidence_frame_times": _sql("SELECT ord, 4::INT AS n, round(round(s + (e - s) / 5, 3), 6) AS first FROM v_spans"),
+    "mosaic_sizes": _sql("""
+SELECT video_id, w, pow(floor(sqrt(least(n, 64))), 2)::INT AS n, f[pow(floor(sqrt(least(n, 64))), 2)::INT] AS last FROM (SELECT video_id, floor(t / 40)::BIGINT AS w, list(ord ORDER BY ord) AS f, count(*) AS n FROM v_points GROUP BY ALL) WHERE n >= 4
+"""),
+    "language_alignment": _sql("""
+SELECT ord, array_to_string(list_filter([CASE WHEN ord % 5 = 0 OR ord % 9 = 0 THEN 'zh missing' END, CASE WHEN ord % 7 = 0 THEN 'en missing' END, CASE WHEN ord % 5 <> 0 AND ord % 9 <> 0 AND ord % 7 <> 0 AND NOT (ord % 9) / 2.0 BETWEEN 0.4 AND 2.5 THEN 'length ratio' END], lambda x: x IS NOT NULL), ',') AS issues FROM v_points
+"""),
+    "description_rollup": _sql("""
+SELECT video_id, sum(n)::BIGINT AS n, count(*) AS n_groups, md5(string_agg(txt, chr(10) ORDER BY g)) AS digest FROM (SELECT video_id, g, string_agg(txt, ' ' ORDER BY s, ord) AS txt, count(*) AS n FROM (SELECT *, (row_number() OVER (PARTITION BY video_id ORDER BY s, ord) - 1) // 15 AS g FROM v_spans) GROUP BY video_id, g) GROUP BY video_id
+"""),
+    "subtitle_rendering": _sql("SELECT ord, '[' || floor(s)::BIGINT || 's] ' || CASE WHEN ord % 3 = 0 THEN '(S' || ord % 4 || ') ' ELSE '' END || txt AS line FROM v_spans"),
+    "provider_differs": "SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0",
+    "duration_guard": "SELECT o_orderkey AS video_id FROM orders WHERE o_orderkey % 11 - 3 > 5",
+    "video_file_lookup": """
+SELECT stem, arg_min(path, (r, path)) AS path FROM (SELECT DISTINCT '/v/' || p_partkey % 97 || (['.mkv', '.mp4', '.txt', '.webm'])[(p_partkey % 4 + 1)::INT] AS path, (p_partkey % 97)::VARCHAR AS stem, ([2, 1, 0, 3])[(p_partkey % 4 + 1)::INT] AS r FROM part) WHERE r > 0 GROUP BY stem
+""",
+    "qa_deficits": _sql("SELECT video_id, " + ", ".join(f"greatest(0, 2 - L{i})::BIGINT AS L{i}" for i in range(1, 6)) + ", greatest(0, 75 - mcq)::BIGINT AS mcq, greatest(0, 22 - temporal_grounding)::BIGINT AS temporal_grounding FROM cm", _COVERAGE),
+    "stage_reuse": """
+SELECT video_id FROM (SELECT user_id AS video_id, event_type AS stage, max(event_id) AS i FROM events GROUP BY ALL) WHERE i % 3 <> 0 AND video_id % 2 = 0 GROUP BY video_id HAVING count(DISTINCT stage) = 5
+""",
+    "question_round": _sql("""
+SELECT video_id, ord, key, video_id || '_q' || CASE WHEN place < 10 THEN '0' ELSE '' END || place AS qid FROM (SELECT f.*, row_number() OVER (PARTITION BY video_id ORDER BY ord) + coalesce(have, 0) AS place FROM f LEFT JOIN (SELECT video_id, count(*) AS have FROM known GROUP BY video_id) USING (video_id)) WHERE place <= 60
+""", """
+qk AS (SELECT video_id, ord, txt || ord % 20 AS key FROM v_spans),
+known AS (SELECT DISTINCT video_id, key FROM qk WHERE ord % 3 = 0),
+f AS (SELECT video_id, key, min(ord) AS ord FROM qk WHERE ord % 3 <> 0 AND NOT EXISTS (SELECT 1 FROM known n WHERE n.video_id = qk.video_id AND n.key = qk.key) GROUP BY video_id, key)
+"""),
 }
