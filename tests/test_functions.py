@@ -104,3 +104,12 @@ def test_gate_loop(spark):
     fault = F.when(F.length("response") < 2, "short")
     got = {r["prompt"].split("\n")[0]: r["response"] for r in providers.gate_loop(asked, answer, fault, 2, lambda f, _: f).collect()}
     assert got["bb"] == "bb" and got["a"] == "a\nEarlier answer failed: short"
+
+
+def test_embeddings(spark):
+    class Lengths:
+        def embed(self, texts):
+            return [[float(len(t)), 1.0] for t in texts]
+
+    got = providers.embed(spark.createDataFrame([(1, "a"), (2, "bcd")], "id long, text string"), Lengths).collect()
+    assert sorted((r["id"], r["embedding"]) for r in got) == [(1, [1.0, 1.0]), (2, [3.0, 1.0])]

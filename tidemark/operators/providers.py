@@ -70,3 +70,20 @@ def gate_loop(requests: DataFrame, answer: Callable[[DataFrame], DataFrame], fau
         if i + 1 < rounds:
             todo = todo.withColumn("prompt", F.concat_ws("\n", "first_prompt", F.concat(F.lit("Earlier answer failed: "), "fault"))).drop("response", "fault")
     return done.unionByName(todo.withColumn("response", F.lit(None).cast("string"))).drop("first_prompt")
+
+
+def embed(texts: DataFrame, make: Callable[[], object], column: str = "text") -> DataFrame:
+    """``texts`` with ``embedding`` from a provider's ``embed(texts) -> list[list[float]]``, made once a task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        provider = make()
+        for batch in batches:
+            yield batch.assign(embedding=provider.embed(batch[column].tolist()))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)
+    return texts.mapInPandas(run, f"{fields}, embedding array<float>")
+
+
+def trace(calls: DataFrame) -> DataFrame:
+    """Log rows of calls (model, text, images, retries, ok, usage, response): texts as digests, images as a count."""
+    return calls.select("model", F.sha2("text", 256).alias("input_hash"), F.size("images").alias("images"), "retries", "ok", "usage", F.left("response", F.lit(200)).alias("out_summary"))

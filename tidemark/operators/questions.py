@@ -120,3 +120,16 @@ def known_capabilities(capability: Column) -> Column:
     """Unknown capabilities go; none left means causal."""
     kept = F.array_intersect(F.coalesce(capability, F.array().cast("array<string>")), F.array(*map(F.lit, CAPABILITIES)))
     return F.when(F.size(kept) == 0, F.array(F.lit("L3_causal"))).otherwise(kept)
+
+
+def channel_requests(questions: DataFrame) -> DataFrame:
+    """One request for each question and channel that is tried on its kind: qid, task_type, channel, request_hash."""
+    from tidemark.operators.providers import request_hash
+
+    rows = questions.select("qid", "task_type", F.explode(channels_of(F.col("task_type"))).alias("channel"))
+    return rows.withColumn("request_hash", request_hash(F.col("channel"), F.col("qid")))
+
+
+def channel_verdicts(answered: DataFrame, hit: Column) -> DataFrame:
+    """A row a question with one flag a channel; null where the channel wasn't tried or answered."""
+    return answered.withColumn("hit", hit).groupBy("qid").pivot("channel", list(CHANNELS)).agg(F.bool_or("hit"))

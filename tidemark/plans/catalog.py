@@ -752,3 +752,24 @@ def stage_reuse(spark, d):
 def question_round(spark, d):
     q = X.spans(spark, d).select("video_id", "ord", F.concat(F.col("txt"), (F.col("ord") % 20).cast("string")).alias("key"))
     return workflow.next_questions(q.where("ord % 3 <> 0"), q.where("ord % 3 = 0").select("video_id", "key").distinct(), "key", 60)
+
+
+@query
+def shortcut_channels(spark, d):
+    """Recorded answers of every channel, judged by kind: the letter, the interval, the likeness."""
+    q = X.qa(spark, d)
+    asked = questions.channel_requests(q).join(q.select("qid", "ord", "s", "e", "answer"), "qid")
+    place = F.array_position(F.array(*map(F.lit, questions.CHANNELS)), F.col("channel"))
+    tape = asked.where("ord % 10 <> 0").select("request_hash", F.concat_ws("|", X.pick((F.col("ord") * place) % 4, "ABCD"), ((F.col("ord") % 8) / 8.0).cast("string")).alias("response"))
+    answered = providers.recorded(asked, tape)
+    letter, shift = F.split("response", "\\|")[0], F.split("response", "\\|")[1].cast("double")
+    near = I.iou(F.col("s"), F.col("e"), F.col("s") + shift, F.col("e") + shift) >= 0.6
+    hit = F.when(F.col("ok"), F.when(F.col("task_type") == "mcq", letter == F.col("answer")).when(F.col("task_type") == "temporal_grounding", near).otherwise(shift >= 0.85))
+    flags = questions.channel_verdicts(answered, hit)
+    return flags.select("qid", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in questions.CHANNELS))
+
+
+@query
+def call_trace(spark, d):
+    c = X.table(spark, d, "conversations").select(F.col("role").alias("model"), "text", F.array_repeat(F.lit("i"), (F.col("turn") % 4).cast("int")).alias("images"), (F.col("turn") % 3).alias("retries"), (F.col("turn") % 5 != 0).alias("ok"), F.lit(1).alias("usage"), F.col("text").alias("response"), "conv_id", "turn")
+    return providers.trace(c).drop("usage")

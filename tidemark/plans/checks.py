@@ -379,4 +379,11 @@ qk AS (SELECT video_id, ord, txt || ord % 20 AS key FROM v_spans),
 known AS (SELECT DISTINCT video_id, key FROM qk WHERE ord % 3 = 0),
 f AS (SELECT video_id, key, min(ord) AS ord FROM qk WHERE ord % 3 <> 0 AND NOT EXISTS (SELECT 1 FROM known n WHERE n.video_id = qk.video_id AND n.key = qk.key) GROUP BY video_id, key)
 """),
+    "shortcut_channels": _sql("""
+SELECT qid, """ + ", ".join(f"coalesce((bool_or(hit) FILTER (WHERE channel = '{c}'))::VARCHAR, '') AS {c}" for c in ("blind", "subtitle", "single_frame", "synopsis", "language_prior", "subtitle_locate", "blind_similar")) + f""" FROM (
+SELECT qid, channel, CASE WHEN ord % 10 = 0 THEN NULL WHEN task_type = 'mcq' THEN (ord * place) % 4 = ord % 4 WHEN task_type = 'temporal_grounding' THEN {_IOU.format(s1="s", e1="e", s2="(s + x)", e2="(e + x)")} >= 0.6 ELSE x >= 0.85 END AS hit
+FROM (SELECT *, (ord % 8) / 8.0::DOUBLE AS x, list_position(['blind','subtitle','single_frame','synopsis','language_prior','subtitle_locate','blind_similar'], channel) AS place
+  FROM (SELECT *, unnest(CASE WHEN task_type = 'mcq' THEN ['blind','subtitle','single_frame','synopsis','language_prior'] WHEN task_type = 'temporal_grounding' THEN ['subtitle_locate'] ELSE ['blind_similar'] END) AS channel FROM v_qa))) GROUP BY qid
+"""),
+    "call_trace": "SELECT role AS model, sha256(text) AS input_hash, (turn % 4)::INT AS images, turn % 3 AS retries, turn % 5 <> 0 AS ok, left(text, 200) AS out_summary FROM conversations",
 }
