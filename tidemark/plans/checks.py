@@ -99,6 +99,14 @@ _STAGE = "sh AS (SELECT o_custkey, sha256(string_agg(" + _HASH.format("o_orderke
 
 _WORDS = "[" + ", ".join(f"left(repeat('{c}', 20), (6 + ord % {m})::INT)" for c, m in zip("abcd", (3, 5, 7, 4), strict=True)) + "]"
 
+_R = "least(x.e - x.s, o.e - o.s) > 0 AND (least(x.e, o.e) - greatest(x.s, o.s)) / least(x.e - x.s, o.e - o.s) > 0.5"
+_FIRST_FIT = f"""
+o AS (SELECT video_id, ord, s, e, txt, row_number() OVER (PARTITION BY video_id ORDER BY s, e, ord) AS rn FROM v_spans),
+w AS (SELECT video_id, rn, ord, 0 AS c, [{{'s': s, 'e': e, 'c': 0}}] AS cl FROM o WHERE rn = 1
+  UNION ALL SELECT video_id, rn, ord, k, list_append(cl, {{'s': s, 'e': e, 'c': k}}) FROM (SELECT o.*, w.cl,
+    coalesce(list_min(list_transform(list_filter(w.cl, lambda x: {_R}), lambda x: x.c)), list_max(list_transform(w.cl, lambda x: x.c)) + 1) AS k FROM w JOIN o ON o.video_id = w.video_id AND o.rn = w.rn + 1))
+"""
+
 SQL: dict[str, str] = {
     "qc_krippendorff_alpha": _alpha("SELECT doc_id AS unit, quality AS value FROM labels UNION ALL SELECT doc_id, 1 - toxic FROM labels"),
     "qc_mcq_alpha_non_gold": _alpha("SELECT qid AS unit, response AS value FROM v_responses WHERE task_type = 'mcq' AND NOT is_gold"),
@@ -386,4 +394,6 @@ FROM (SELECT *, (ord % 8) / 8.0::DOUBLE AS x, list_position(['blind','subtitle',
   FROM (SELECT *, unnest(CASE WHEN task_type = 'mcq' THEN ['blind','subtitle','single_frame','synopsis','language_prior'] WHEN task_type = 'temporal_grounding' THEN ['subtitle_locate'] ELSE ['blind_similar'] END) AS channel FROM v_qa))) GROUP BY qid
 """),
     "call_trace": "SELECT role AS model, sha256(text) AS input_hash, (turn % 4)::INT AS images, turn % 3 AS retries, turn % 5 <> 0 AS ok, left(text, 200) AS out_summary FROM conversations",
+    "first_fit_clusters": _sql("SELECT video_id, ord, c::BIGINT AS cluster FROM w", _FIRST_FIT),
+    "pair_dedup": _sql("SELECT video_id, max((e, ord))[2] AS kept, min((e, ord))[2] AS merged FROM w JOIN o USING (video_id, ord) GROUP BY video_id, c HAVING count(*) = 2 AND min(txt) = max(txt)", _FIRST_FIT),
 }
