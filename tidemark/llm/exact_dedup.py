@@ -83,10 +83,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     hits = rows.select("id", "file", "at", "digest", "norm", F.length("text").alias("points")).join(several, "digest")
     hits = scratch.save(hits.withColumn("stays", F.expr("file = kfile and at = kat")), "hits")
     first = hits.where("stays").select("digest", F.col("norm").alias("first"))
-    differ = scratch.save(hits.where("not stays").join(first, "digest").where("norm <> first").select("digest").distinct(), "differ")
+    # no aggregate on the joined rows, so that a large group of copies can be split among tasks
+    differ = scratch.save(hits.where("not stays").join(first, "digest").where("norm <> first").select("digest"), "differ")
 
     out = prints.join(states, "digest").select("id", "file", "at", "sha", "digest", "size", "best")
     if not differ.isEmpty():
+        differ = differ.distinct()
         mixed = hits.join(differ, "digest", "left_semi")
         anew = mixed.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("points", F.bitwise_not("id").alias("order"), "id", "file", "at")).alias("best"))
         anew = mixed.join(anew, ["digest", "norm"]).select("id", "file", "at", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), "digest", "size", "best")
