@@ -56,3 +56,9 @@ def frame_name(t: Column) -> Column:
 
 def frame_time(name: Column) -> Column:
     return F.regexp_extract(name, r"f_(\d{7})_(\d{3})\.jpg$", 1).cast("double") + F.regexp_extract(name, r"f_(\d{7})_(\d{3})\.jpg$", 2).cast("double") / 1000
+
+
+def in_view(s: Column, e: Column, low: Column, high: Column, least: float = 2.0) -> Column:
+    """The span clamped to a view, or null if less than ``least`` is left."""
+    a, b = F.greatest(s, low), F.least(e, high)
+    return F.when(b - a >= least, F.struct(a.alias("s"), b.alias("e")))

@@ -141,3 +141,19 @@ def language_prior(options: Column, *questions: Column) -> Column:
     least = lambda o: F.when(o.rlike("[一-鿿]"), 6).otherwise(4)
     leaks = F.exists(options, lambda o: (F.length(o) >= least(o)) & F.greatest(*(F.lower(F.coalesce(q, F.lit(""))).contains(F.lower(o)) for q in questions), F.lit(False)))
     return (F.size(options) == 4) & (F.exists(options, lambda o: option_key(o).isin(*PRIOR_TEMPLATES)) | leaks)
+
+
+def description(fields: dict[str, Column]) -> Column:
+    """The first filled of the keys that answers use for a description."""
+    return first_text(*(fields[k] for k in ("description", "desc", "detailed_description") if k in fields))
+
+
+def options_text(options: Column) -> Column:
+    """``A. text`` a line."""
+    return F.array_join(F.transform(options, lambda o, i: F.concat(F.substring(F.lit("ABCDEFGH"), i + 1, F.lit(1)), F.lit(". "), o)), "\n")
+
+
+def modalities(found: Column, known: tuple[str, ...]) -> Column:
+    """Known modalities only; none left means visual."""
+    kept = F.filter(F.coalesce(found, F.array().cast("array<string>")), lambda m: m.isin(*known))
+    return F.when(F.size(kept) == 0, F.array(F.lit(known[0]))).otherwise(kept)

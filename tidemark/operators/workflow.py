@@ -155,3 +155,27 @@ def next_questions(asked: DataFrame, known: DataFrame, key: str, quota: int) ->
     n = F.row_number().over(Window.partitionBy("video_id").orderBy("ord"))
     out = fresh.withColumn("n", n).join(have, "video_id", "left").withColumn("place", F.col("n") + F.coalesce("have", F.lit(0)))
     return out.where(F.col("place") <= quota).withColumn("qid", F.format_string("%s_q%02d", F.col("video_id").cast("string"), F.col("place"))).select("video_id", "ord", key, "qid")
+
+
+def legible(ocr: DataFrame, confidence: float = 0.8) -> DataFrame:
+    return ocr.where((F.col("conf") >= confidence) & (F.trim("text") != ""))
+
+
+def anchor_pool(*tracks: DataFrame) -> DataFrame:
+    """Events, described shots and sounds as anchors by start; key ones first among equal starts."""
+    pool = tracks[0]
+    for t in tracks[1:]:
+        pool = pool.unionByName(t, allowMissingColumns=True)
+    order = Window.partitionBy("video_id").orderBy("s", F.coalesce(F.col("importance") != "key", F.lit(True)), "id")
+    return pool.withColumn("place", F.row_number().over(order))
+
+
+def coverage_report(videos: DataFrame, windows: DataFrame, eps: float = 1.0) -> DataFrame:
+    """Holes of the windows that worked, and the failed windows, each with its reason."""
+    holes = segments.gaps(videos, windows.where("ok").select("video_id", "s", "e"), eps, eps, True)
+    return holes.withColumn("reason", F.lit("uncovered")).unionByName(windows.where("not ok").select("video_id", "s", "e", F.lit("failed").alias("reason")))
+
+
+def briefs(events: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """Rows cut to ``fields`` as JSON, for prompts."""
+    return events.select("video_id", F.to_json(F.struct(*fields)).alias("brief"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.config import DEFAULT
+from tidemark.config import DEFAULT, MODALITIES
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
 from tidemark.operators import agreement, audio, gate, incremental, joins, narrative, providers, questions, segments, workflow
@@ -773,3 +773,60 @@ def shortcut_channels(spark, d):
 def call_trace(spark, d):
     c = X.table(spark, d, "conversations").select(F.col("role").alias("model"), "text", F.array_repeat(F.lit("i"), (F.col("turn") % 4).cast("int")).alias("images"), (F.col("turn") % 3).alias("retries"), (F.col("turn") % 5 != 0).alias("ok"), F.lit(1).alias("usage"), F.col("text").alias("response"), "conv_id", "turn")
     return providers.trace(c).drop("usage")
+
+
+# --- small filters and renderers
+
+
+@query
+def ocr_confidence_filter(spark, d):
+    p = X.points(spark, d).select("ord", (F.col("ord") % 11 / 10.0).alias("conf"), F.when(F.col("ord") % 7 == 0, "  ").otherwise(F.col("txt")).alias("text"))
+    return workflow.legible(p).select("ord")
+
+
+@query
+def modality_whitelist(spark, d):
+    found = F.when(F.col("ord") % 4 == 0, F.array(F.lit("smell"))).when(F.col("ord") % 4 == 1, F.array(F.lit("audio"), F.lit("smell"))).when(F.col("ord") % 4 == 2, F.array(F.lit("speech"), F.lit("visual")))
+    return X.points(spark, d).select("ord", F.array_join(T.modalities(found, MODALITIES), ",").alias("modality"))
+
+
+@query
+def language_coalesce(spark, d):
+    zh = F.when(F.col("ord") % 3 == 0, "").when(F.col("ord") % 3 == 1, "字")
+    return X.points(spark, d).select("ord", T.first_text(zh, F.col("txt")).alias("text"), T.description({"desc": zh, "detailed_description": F.lit("long")}).alias("description"))
+
+
+@query
+def event_briefs(spark, d):
+    return workflow.briefs(X.events(spark, d), ("ord", "importance", "boundary_state"))
+
+
+@query
+def window_limit(spark, d):
+    w = segments.fixed_windows(X.videos(spark, d), DEFAULT.window_sec)
+    return narrative.batched(w, 3, ["video_id"], ["s"]).where("batch = 0").select("video_id", "s", "e")
+
+
+@query
+def coverage_report(spark, d):
+    w = X.spans(spark, d).select("video_id", "s", "e", (F.col("ord") % 6 != 0).alias("ok"))
+    return workflow.coverage_report(X.videos(spark, d), w).select("video_id", r6("s").alias("s"), r6("e").alias("e"), "reason")
+
+
+@query
+def anchor_pool(spark, d):
+    e = X.events(spark, d)
+    name = lambda c: F.concat(F.lit(c), F.col("ord").cast("string")).alias("id")
+    tracks = e.where("ord % 2 = 0").select("video_id", name("e"), "s", "e", "importance"), e.where("ord % 3 = 0").select("video_id", name("s"), "s", "e"), e.where("ord % 5 = 0").select("video_id", name("a"), "s", "e")
+    return workflow.anchor_pool(*tracks).select("video_id", "id", "place")
+
+
+@query
+def span_in_view(spark, d):
+    v = I.in_view(F.col("s"), F.col("e"), F.floor(F.col("s") / 60) * 60.0 + 5, F.floor(F.col("s") / 60) * 60.0 + 55)
+    return X.spans(spark, d).select("ord", r6(v["s"]).alias("s"), r6(v["e"]).alias("e")).where("s is not null")
+
+
+@query
+def options_rendering(spark, d):
+    return X.points(spark, d).select("ord", T.options_text(F.array("txt", F.lit("cat"), F.lit("dog"))).alias("text"))

@@ -396,4 +396,15 @@ FROM (SELECT *, (ord % 8) / 8.0::DOUBLE AS x, list_position(['blind','subtitle',
     "call_trace": "SELECT role AS model, sha256(text) AS input_hash, (turn % 4)::INT AS images, turn % 3 AS retries, turn % 5 <> 0 AS ok, left(text, 200) AS out_summary FROM conversations",
     "first_fit_clusters": _sql("SELECT video_id, ord, c::BIGINT AS cluster FROM w", _FIRST_FIT),
     "pair_dedup": _sql("SELECT video_id, max((e, ord))[2] AS kept, min((e, ord))[2] AS merged FROM w JOIN o USING (video_id, ord) GROUP BY video_id, c HAVING count(*) = 2 AND min(txt) = max(txt)", _FIRST_FIT),
+    "ocr_confidence_filter": _sql("SELECT ord FROM v_points WHERE ord % 11 >= 8 AND ord % 7 <> 0"),
+    "modality_whitelist": _sql("SELECT ord, CASE ord % 4 WHEN 1 THEN 'audio' WHEN 2 THEN 'speech,visual' ELSE 'visual' END AS modality FROM v_points"),
+    "language_coalesce": _sql("SELECT ord, CASE WHEN ord % 3 = 1 THEN '字' ELSE txt END AS text, CASE WHEN ord % 3 = 1 THEN '字' ELSE 'long' END AS description FROM v_points"),
+    "event_briefs": _sql("SELECT video_id, '{\"ord\":' || ord || ',\"importance\":\"' || importance || '\",\"boundary_state\":\"' || boundary_state || '\"}' AS brief FROM v_events"),
+    "window_limit": _sql("SELECT video_id, k * 180.0::DOUBLE AS s, (k + 1) * 180.0::DOUBLE AS e FROM v_videos, range(3) r(k)"),
+    "coverage_report": _sql("SELECT *, 'uncovered' AS reason FROM (" + _GAPS.format(test="e - s > 1.0") + ") UNION ALL SELECT video_id, round(s, 6), round(e, 6), 'failed' FROM v_spans WHERE ord % 6 = 0", _UNION.format(eps=1.0).replace("WHERE e > s", "WHERE e > s AND ord % 6 <> 0")),
+    "anchor_pool": _sql("""
+SELECT video_id, id, row_number() OVER (PARTITION BY video_id ORDER BY s, coalesce(importance <> 'key', true), id) AS place FROM (SELECT video_id, 'e' || ord AS id, s, importance FROM v_events WHERE ord % 2 = 0 UNION ALL SELECT video_id, 's' || ord, s, NULL FROM v_events WHERE ord % 3 = 0 UNION ALL SELECT video_id, 'a' || ord, s, NULL FROM v_events WHERE ord % 5 = 0)
+"""),
+    "span_in_view": _sql("SELECT ord, round(a, 6) AS s, round(b, 6) AS e FROM (SELECT ord, greatest(s, floor(s / 60) * 60 + 5) AS a, least(e, floor(s / 60) * 60 + 55) AS b FROM v_spans) WHERE b - a >= 2"),
+    "options_rendering": _sql("SELECT ord, 'A. ' || txt || chr(10) || 'B. cat' || chr(10) || 'C. dog' AS text FROM v_points"),
 }
