@@ -13,7 +13,6 @@ several blocks the documents are scanned once a block and the covered spans are
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
