@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Unicode white space.
-BLANK = r"[\s\x1c-\x1f\u0085   -     　]"
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 ANCHOR = r"\d{1,2}:\d{2}"
 # Ordinals and positions that place a question, and quoted phrases.
 ZH_ORDINAL = (
@@ -41,11 +41,11 @@ PRIOR_TEMPLATES = (
 
 
 def zh_len(x: Column) -> Column:
-    return F.length(F.regexp_replace(x, BLANK, ""))
+    return F.length(F.translate(x, BLANKS, ""))
 
 
 def en_len(x: Column) -> Column:
-    return F.size(F.filter(F.split(x, BLANK + "+"), lambda w: w != ""))
+    return F.size(F.filter(F.split(F.translate(x, BLANKS, " " * len(BLANKS)), " "), lambda w: w != ""))
 
 
 def lang_len(x: Column, lang: Column) -> Column:
@@ -69,7 +69,7 @@ def tokens(x: Column) -> Column:
 
 def ngrams(x: Column, n: int = 3) -> Column:
     """Distinct character n-grams without white space; a shorter text is its own."""
-    chars = F.filter(F.split(F.regexp_replace(x, BLANK, ""), ""), lambda c: c != "")
+    chars = F.filter(F.split(F.translate(x, BLANKS, ""), ""), lambda c: c != "")
 
     def grams(c: Column) -> Column:
         runs = F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: F.concat(*(c[i + j] for j in range(n))))

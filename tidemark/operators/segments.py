@@ -6,6 +6,7 @@ timeline (hours), and videos spread over the cluster.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,17 +108,12 @@ def shot_groups(shots: DataFrame, most: float) -> DataFrame:
 def _first_fit(ratio: float):
     def run(video: pd.DataFrame) -> pd.DataFrame:
         video = video.sort_values(["s", "e", "ord"], kind="stable")
-        s, e, found = video["s"].to_numpy(), video["e"].to_numpy(), []
-        live: list[list[int]] = []
+        s, e, found, fresh = video["s"].to_numpy(), video["e"].to_numpy(), np.zeros(len(video), dtype=np.int64), 0
         for i in range(len(video)):
-            for number, cluster in enumerate(live):
-                if any((short := min(e[i] - s[i], e[j] - s[j])) > 0 and (min(e[i], e[j]) - max(s[i], s[j])) / short > ratio for j in cluster):
-                    cluster.append(i)
-                    found.append(number)
-                    break
-            else:
-                found.append(len(live))
-                live.append([i])
+            short = np.minimum(e[i] - s[i], e[:i] - s[:i])
+            met = found[:i][(short > 0) & (np.minimum(e[i], e[:i]) - np.maximum(s[i], s[:i]) > ratio * short)]
+            found[i] = met.min() if len(met) else fresh
+            fresh += not len(met)
         return pd.DataFrame({"video_id": video["video_id"], "ord": video["ord"], "cluster": found})
 
     return run

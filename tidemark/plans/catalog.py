@@ -345,7 +345,8 @@ def language_prior_leak(spark, d):
 
 @query
 def text_lengths(spark, d):
-    return X.table(spark, d, "documents").select("doc_id", T.zh_len(F.col("text")).alias("zh_len"), T.en_len(F.col("text")).alias("en_len"), T.lang_len(F.col("text"), F.col("lang")).alias("lang_len"))
+    both = X.table(spark, d, "documents").select("doc_id", "lang", T.zh_len(F.col("text")).alias("zh_len"), T.en_len(F.col("text")).alias("en_len"))
+    return both.select("doc_id", "zh_len", "en_len", F.when(F.col("lang") == "zh", F.col("zh_len")).otherwise(F.col("en_len")).alias("lang_len"))
 
 
 @query
