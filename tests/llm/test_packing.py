@@ -56,3 +56,27 @@ def test_own_lengths(spark):
     frame = spark.createDataFrame([(1, 5), (2, None), (3, 0), (4, 9000)], "doc_id long, n_tokens long")
     got = sorted((r["doc_id"], r["start"], r["length"]) for r in p.pack_documents(frame, length="n_tokens").collect())
     assert got == [(1, 0, 5), (4, 0, 8192), (4, 8192, 808)]
+
+
+def test_query_measures_token_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    data = "/root/testdata/sf0.001"
+    texts = spark.read.parquet(f"{data}/documents.parquet").toPandas().set_index("doc_id").text
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {int(i): len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in texts.items()}
+    got = p.op9_variable_best_fit(spark, data).toPandas()
+    assert got.groupby("doc_id").length.sum().to_dict() == ids
+    bins = got.groupby("bin_id")
+    assert (bins.length.sum() <= bins.bin_size.first()).all()
+
+
+def test_tokens_of_awkward_rows(spark):
+    import public_tokenizers
+
+    rows = [(1, None), (2, ""), (3, "漢字" * 30_000), (None, "a b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS length", "3 AS n")
+    got = p.pack_documents(frame, tokenizer=public_tokenizers.path("byte_bpe_50k.json")).toPandas()
+    assert got[got.doc_id.isin([1, 2])].length.tolist() == [1, 1] and got.doc_id.isna().sum() == 1
+    assert got[got.doc_id == 3].length.sum() >= 60_001 // 2 and got.length.max() == 8192

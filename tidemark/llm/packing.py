@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import words
+from tidemark.llm import bitplanes, words
 from tidemark.llm.scratch import Scratch
 
 SIZES = (512, 1024, 2048, 4096, 8192)
@@ -108,11 +108,23 @@ def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n + 1)], ["id", "n"])
 
 
-def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: str | None = None, sizes: tuple[int, ...] = SIZES) -> DataFrame:
+def _token_lengths(path: str):
+    """Token ids of each text by the tokenizer file at ``path``, and one for the end id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [len(ids) + 1 for ids in bitplanes.encode(batch.column(1), path)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["id", "n"])
+
+    return run
+
+
+def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: str | None = None, sizes: tuple[int, ...] = SIZES, tokenizer: str | None = None) -> DataFrame:
     """One row a piece: id, piece, start (in the document), length, bin_id, bin_size, bin_offset (in the bin).
 
-    A document's length is column ``length``, or without one its white-space words plus one for its end, so null and
-    empty texts are pieces of length one. Longer documents than the largest size are cut into pieces of that size and
+    A document's length is column ``length``, or its token ids by the file ``tokenizer`` plus one for the end id, or
+    without either its white-space words plus one for its end, so null and empty texts are pieces of length one. Sizes
+    are in the same unit: where they are sequence lengths of a model, only the first two make them hold. Longer documents than the largest size are cut into pieces of that size and
     a rest. Pieces of a bin don't overlap and fit its size; every token is in one piece. Documents of length null or
     below one have no piece. Repeated rows are packed each. Other columns are ignored. bin_id is unique in the result.
     """
@@ -122,7 +134,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if length:
         counted = docs.select(F.col(id_col).alias("id"), F.col(length).cast("long").alias("n"))
     else:
-        counted = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_lengths, f"id {kind}, n long")
+        counted = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_token_lengths(tokenizer) if tokenizer else _lengths, f"id {kind}, n long")
     counted = scratch.save(counted.where("n >= 1").withColumn("row", F.monotonically_increasing_id()), "lengths")
     most = sizes[-1]
     pieces = counted.select("id", "n", "row", F.explode(F.expr(f"sequence(0L, (n - 1) div {most})")).alias("piece"))
@@ -136,7 +148,9 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op9_variable_best_fit(spark, sf_dir: str) -> DataFrame:
-    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    import public_tokenizers
+
+    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
