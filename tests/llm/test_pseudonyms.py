@@ -62,3 +62,29 @@ def test_equal_values_stay_linked(spark):
     assert [r["text"] for r in got if r["doc_id"] == 2] == [new, new] and [r["text"] for r in got if r["doc_id"] == 1] == [f"card {new}!"]
     assert [r["text"] for r in got if r["doc_id"] in (3, 4)] == [None, ""] and sum(r["n_card"] for r in got) == 4
     assert p.pseudonymise(frame.limit(0), KEY).count() == 0
+
+
+CARD = "4111 1111 1111 1111"
+
+
+@pytest.mark.parametrize("text, value, kind", [
+    ("4111 1111 1111 1111 12/25", CARD, "card"), ("4111 1111 1111 1111 123", CARD, "card"), ("4111-1111-1111-1111 2 items", "4111-1111-1111-1111", "card"), ("2021 4111 1111 1111 1111", CARD, "card"),
+    ("+49 30 123 4567 2021", "+49 30 123 4567", "phone"), ("+49 30 1234567 20211", "+49 30 1234567", "phone"), ("+47 22 12 34 56 2021", "+47 22 12 34 56", "phone"), ("+49 176 123 456 78", "+49 176 123 456 78", "phone"),
+    ("+62 8123 4567 8901", "+62 8123 4567 8901", "phone"), ("+7 495 123 45 67 2021", "+7 495 123 45 67", "phone"), ("+4930123456789 2021", "+4930123456789", "phone"),
+    ("DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00", "iban"), ("pay GB82 WEST 1234 5698 7654 32 NOW", "GB82 WEST 1234 5698 7654 32", "iban"), ("BE68 5390 0754 7034 PAID", "BE68 5390 0754 7034", "iban"),
+    ("AB12 DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00", "iban"), ("NO93-8601-1117-947.", "NO93-8601-1117-947", "iban"),
+])
+def test_values_beside_other_numbers(text, value, kind):
+    new, n = p.rewritten(text, KEY)
+    assert new == text.replace(value, p._MAKERS.get(kind, p.iban)(value, KEY)) != text
+    assert n[kind] == sum(n.values()) == 1
+
+
+def test_cards_after_phones_and_cards():
+    new, n = p.rewritten(f"+49 30 123 4567 {CARD} {CARD} 99", KEY)
+    assert new == f"{p.phone('+49 30 123 4567', KEY)} {p.card(CARD, KEY)} {p.card(CARD, KEY)} 99" and n["card"] == 2
+
+
+def test_printed_and_solid_ibans_are_linked():
+    printed = p.iban("DE89 3704 0044 0532 0130 00", KEY)
+    assert printed.replace(" ", "") == p.iban("DE89370400440532013000", KEY) and p.iban(printed, KEY, True) == "DE89 3704 0044 0532 0130 00"

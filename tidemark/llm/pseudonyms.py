@@ -131,11 +131,14 @@ def ssn(text: str, key: bytes, back: bool = False) -> str | None:
 
 
 def iban(text: str, key: bytes, back: bool = False) -> str | None:
+    """Groups stay; a printed number gets the pseudonym of the same number without its separators."""
     as_number = lambda s: int("".join(str(int(c, 36)) for c in s))
-    if as_number(text[4:] + text[:4]) % 97 != 1:
+    solid = re.sub("[ -]", "", text)
+    if not 15 <= len(solid) <= 34 or as_number(solid[4:] + solid[:4]) % 97 != 1:
         return None
-    body = shuffled(text[4:], key, "iban", back)
-    return f"{text[:2]}{98 - as_number(body + text[:2] + '00') % 97:02d}{body}"
+    body = shuffled(solid[4:], key, "iban", back)
+    it = iter(f"{solid[:2]}{98 - as_number(body + solid[:2] + '00') % 97:02d}{body}")
+    return "".join(c if c in " -" else next(it) for c in text)
 
 
 _FIRST, _LAST = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
@@ -186,7 +189,9 @@ _FORMATS = re.compile(
     r"|(?P<phone>\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}[ -]?\(?\d{2,4}\)?(?:[ .-]?(?!\d{1,3}\.\d{1,3}\.\d)\d{2,4}){2,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d))(?!\w)",
     re.ASCII,
 )
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?:[ -][A-Z0-9]{4}){2,7}(?:[ -][A-Z0-9]{1,4})?)(?![A-Za-z0-9])", re.ASCII)
+_CARD_RUNS = re.compile(r"\d+(?:[ -]\d+){0,4}(?!\d)", re.ASCII)
+_RUN = re.compile(r"\d+", re.ASCII)
 _LOCAL = re.compile(r"[\w.%+-]+\Z")
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])")
 _MAKERS = {"ip": ip, "date": date, "ssn": ssn, "card": card, "phone": phone}
@@ -194,6 +199,70 @@ _MAKERS = {"ip": ip, "date": date, "ssn": ssn, "card": card, "phone": phone}
 _LOCAL_MOST = 64
 
 
+def _card_ends(text: str, at: int, end: int) -> list[int]:
+    """Ends of all card layouts that start at ``at`` and end with a group, longest first."""
+    m = _CARD_RUNS.match(text, at, end)
+    widths, ends = [], []
+    for run in _RUN.finditer(m[0]) if m else ():
+        widths.append(len(run[0]))
+        solid = len(widths) == 1 and 13 <= widths[0] <= 19
+        fours = len(widths) >= 4 and set(widths[:-1]) == {4} and widths[-1] <= 4
+        after = text[at + run.end() : at + run.end() + 1]
+        if (solid or fours or widths == [4, 6, 5]) and not (after.isalnum() or after == "_"):
+            ends.append(at + run.end())
+    return ends[::-1]
+
+
+def _phone_end(text: str) -> int:
+    """Where a phone with a country code ends among groups after it that are another number.
+
+    A space ends it when its national part is whole: nine digits whose last group has four, or that the next group
+    would lift over eleven; eight before a wider group that would; seven before the space after a group of six.
+    """
+    runs = list(_RUN.finditer(text))
+    if text[0] != "+":
+        return len(text)
+    national = -min(len(runs[0][0]), 3) if len(runs[0][0]) <= 3 else -2
+    for run, after in zip(runs, runs[1:], strict=False):
+        have, more = len(run[0]), len(after[0])
+        national += have
+        whole = national >= 9 and (have >= 4 or national + more > 11) or national >= 8 and more > have and national + more > 11 or national >= 7 and have >= 6
+        if whole and text[run.end() : after.start()].isspace():
+            return run.end()
+    return len(text)
+
+
+def _numbers(text: str, at: int, end: int, key: bytes) -> Iterator[tuple[int, int, str, str]]:
+    """Validated numbers of a stretch. Where a candidate fails, its shorter groupings are tried, then the next group."""
+    while x := _FORMATS.search(text, at, end):
+        kind, lo = x.lastgroup, x.start()
+        if kind == "card":
+            ends = _card_ends(text, lo, end)
+        else:
+            ends = [lo + _phone_end(x[0]) if kind == "phone" else x.end()]
+        for hi in ends:
+            if new := _MAKERS[kind](text[lo:hi], key):
+                yield lo, hi, kind, new
+                at = hi
+                break
+        else:
+            at = _RUN.search(text, lo).end()
+
+
+def _ibans(text: str, key: bytes) -> Iterator[tuple[int, int, str, str]]:
+    """IBANs, solid or in groups; groups after the number are left off from the right until it validates."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        lo, at = m.start(), m.start() + 4
+        hi = m.end()
+        while hi - lo >= 15:
+            if new := iban(text[lo:hi], key):
+                yield lo, hi, "iban", new
+                at = hi
+                break
+            hi = max(text.rfind(" ", lo, hi), text.rfind("-", lo, hi))
+
+
 def found(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of all validated values, without overlaps, in order."""
     out = []
@@ -209,12 +278,8 @@ def found(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     for m in _STRETCH.finditer(text):
         if m.end() - m.start() < 7:
             continue
-        for x in _FORMATS.finditer(text, m.start(), min(len(text), m.end() + 1)):
-            if new := _MAKERS[x.lastgroup](x[0], key):
-                out.append((*x.span(), x.lastgroup, new))
-    for m in _IBAN.finditer(text):
-        if new := iban(m[0], key):
-            out.append((*m.span(), "iban", new))
+        out += _numbers(text, m.start(), min(len(text), m.end() + 1), key)
+    out += _ibans(text, key)
     out.sort(key=lambda s: (s[0], -s[1]))
     kept, end = [], 0
     for s in out:
