@@ -1,5 +1,7 @@
 import hashlib
 
+import pytest
+
 from tidemark.llm import secrets as s
 
 
@@ -45,3 +47,19 @@ def test_long_lines_are_linear():
     t = time.time()
     s.lexed("a" * 200_000 + "=" + "b" * 200_000 + " x:" * 50_000)
     assert time.time() - t < 10
+
+
+@pytest.mark.parametrize("word", [w for w, _ in s.SENSITIVE])
+def test_every_sensitive_word_can_be_reported(word):
+    for literal in ("q8ZtR2mVx7LpWc4KbN9sYd3HfJ6gTa1E", "7F3A09C1D8E2B4567A1C0E9F8B2D3C46"):
+        (_, _, name, value, score), = s.lexed(f'{word} = "{literal}"')
+        assert name == word and value == literal and s.LEAST_SCORE <= score <= 1
+    for literal in ("homepage", "aaaaaaaa1", "changeme", "12345"):
+        assert s.lexed(f'{word} = "{literal}"') == [], literal
+
+
+def test_weak_names_need_strong_literals():
+    for name in ("encryption_key", "signing_key", "SSH_KEY", "client_key", "salt", "user.pin"):
+        assert len(s.lexed(f"{name} = 'q8ZtR2mVx7LpWc4KbN9sYd3HfJ6gTa1E'")) == 1, name
+        for literal in ("notification_settings_title", "user-profile-page", "primary", "Zx9kQ27p", "two plain words"):
+            assert s.lexed(f"{name} = '{literal}'") == [], (name, literal)

@@ -39,6 +39,8 @@ SENSITIVE = (
     ("accesskey", 0.9), ("credential", 0.8), ("auth", 0.6), ("bearer", 0.8), ("signature", 0.6), ("salt", 0.5), ("key", 0.4), ("pin", 0.4),
 )
 LEAST_SCORE = 0.55
+#: Above this strength a literal of mixed characters lifts the weight of its name, in proportion up to one.
+LIFTED = 0.85
 _PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|example|none|null|true|false|your[-_ ].*|<.*|\$\{?.*)$")
 
 
@@ -59,6 +61,14 @@ def strength(literal: str) -> float:
     return min(1.0, len(literal) / 20) * 0.4 + min(1.0, entropy / 4) * 0.4 + min(1.0, kinds / 3) * 0.2 - (0.3 if " " in literal else 0)
 
 
+def score(weight: float, literal: str) -> float:
+    """Weight times strength, and for strong literals of two kinds of letters and digits a part of the missing weight."""
+    s = strength(literal)
+    mixed = sum(any(map(test, literal)) for test in (str.islower, str.isupper, str.isdigit)) > 1
+    lift = max(0.0, s - LIFTED) / (1 - LIFTED) if mixed else 0.0
+    return weight * s + (1 - weight) * lift * s
+
+
 def pairs(text: str) -> list[tuple[str, int, int, str]]:
     """(name, start, end, value) of every assignment, in order; value is a literal's content or, for a bare word, itself."""
     out = []
@@ -96,9 +106,9 @@ def lexed(text: str) -> list[tuple[int, int, str, str, float]]:
         literal = constants.get(ref[1], (start, end, value)) if ref else (start, end, value)
         constants[name] = literal
         if w := sensitivity(name):
-            score = w * strength(literal[2])
-            if score >= LEAST_SCORE and score > best.get(literal[:2], ("", "", 0.0))[2]:
-                best[literal[:2]] = (name, literal[2], score)
+            got = score(w, literal[2])
+            if got >= LEAST_SCORE and got > best.get(literal[:2], ("", "", 0.0))[2]:
+                best[literal[:2]] = (name, literal[2], got)
     return [(a, b, *rest) for (a, b), rest in sorted(best.items())]
 
 
