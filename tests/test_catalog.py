@@ -19,3 +19,14 @@ def test_query(spark, duck, name):
 
 def test_every_oracle_has_a_query():
     assert set(catalog.ORACLES) <= set(catalog.QUERIES)
+
+
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_short_items_leak(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(catalog, "BROADCAST_ITEMS", most)
+    items = [(1, "moon"), (2, "red moon"), (3, "the red moon"), (4, "a b c d"), (5, "a b c d e"), (6, "a b c d e f"), (7, "a b c d e f g"), (8, ""), (9, None), (10, " \n"), (11, "not there")]
+    docs = [(1, "so the red moons rise"), (2, "x a b c d e f g y"), (3, "moon"), (4, None), (5, ""), (6, "a b\nc d"), (6, "a  b c d e f")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.language_prior_leak(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted((i, d) for i, item in items for d, text in docs if item and item.split() and item in (text or ""))

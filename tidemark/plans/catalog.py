@@ -15,6 +15,8 @@ from tidemark.sources import json_io
 
 QUERIES: dict = {}
 ORACLES = checks.SQL
+#: At most this many benchmark items of one to six words are broadcast; beyond it they meet the documents unbroadcast.
+BROADCAST_ITEMS = 10_000
 
 
 def query(f):
@@ -329,15 +331,24 @@ def capability_defaults(spark, d):
 
 @query
 def language_prior_leak(spark, d):
-    """Benchmark items that stand word for word in a document: candidates share five inner words, the whole text decides."""
+    """Benchmark items that stand word for word in a document: candidates share five inner words, the whole text decides.
+
+    Items of one to six words have no such key and are looked for in each document; items without a word are not.
+    """
     words = lambda c: F.filter(F.split(c, "[ \\n]"), lambda w: w != "")
     run = lambda w, i: F.array_join(F.slice(w, i, 5), " ")
-    items = X.table(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), words(F.col("text")).alias("w")).where("size(w) >= 7")
-    items = items.select("item_id", "item", run(F.col("w"), F.lit(2)).alias("key"))
-    docs = X.table(spark, d, "documents").select("doc_id", "text", words(F.col("text")).alias("w")).where("size(w) >= 5")
-    runs = docs.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 4), lambda i: run(F.col("w"), i)))).alias("key"))
+    items = X.table(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), words(F.col("text")).alias("w"))
+    short = items.where("size(w) between 1 and 6").select("item_id", "item")
+    items = items.where("size(w) >= 7").select("item_id", "item", run(F.col("w"), F.lit(2)).alias("key"))
+    docs = X.table(spark, d, "documents").select("doc_id", "text", words(F.col("text")).alias("w"))
+    runs = docs.where("size(w) >= 5").select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 4), lambda i: run(F.col("w"), i)))).alias("key"))
     met = runs.join(items, "key").select("doc_id", "item_id", "item").distinct()
-    return met.join(docs.select("doc_id", "text"), "doc_id").where(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
+    long = met.join(docs.select("doc_id", "text"), "doc_id").where(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
+    n = short.count()
+    if not n:
+        return long
+    short = F.broadcast(short) if n <= BROADCAST_ITEMS else short
+    return long.unionByName(docs.join(short, F.col("text").contains(F.col("item"))).select("item_id", "doc_id"))
 
 
 # --- text
