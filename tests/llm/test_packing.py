@@ -80,3 +80,19 @@ def test_tokens_of_awkward_rows(spark):
     got = p.pack_documents(frame, tokenizer=public_tokenizers.path("byte_bpe_50k.json")).toPandas()
     assert got[got.doc_id.isin([1, 2])].length.tolist() == [1, 1] and got.doc_id.isna().sum() == 1
     assert got[got.doc_id == 3].length.sum() >= 60_001 // 2 and got.length.max() == 8192
+
+
+@pytest.mark.parametrize("length, size", [(1, 1024), (5, 1024), (30, 1024), (100, 1024), (250, 1024), (400, 2048)])
+def test_sizes_for_many_short_pieces(length, size):
+    lengths = [length] * (size // length * 40)
+    where, offset, final = p.pack(lengths)
+    check(lengths, where, offset, final, p.SIZES)
+    rates = {s: p.cost(s) / (s // length * length) for s in p.SIZES}
+    assert min(rates, key=rates.get) == size and final == [size] * 40
+
+
+def test_remainder_over_many_runs():
+    lengths = sorted((1 + i % 60 for i in range(6000)), reverse=True)
+    where, offset, final = p.pack(lengths)
+    check(lengths, where, offset, final, p.SIZES)
+    assert sum(map(p.cost, final)) / sum(lengths) < 1.065

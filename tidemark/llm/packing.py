@@ -3,7 +3,8 @@
 Documents, cut where they exceed the largest sequence length, go into sequences of several permitted lengths. Within a
 shard pieces are placed longest first into the open bin with the least room that still holds them. Where no bin does,
 the size to open is chosen jointly over all permitted ones: for each, the pieces still to come that would fill it are
-looked up, and the size with the least cost for each token it would carry is opened. At the end every bin is downsized
+looked up until it is full or none fits (run by run of equal pieces), and the size with the least cost for each token it
+would carry is opened. At the end every bin is downsized
 to the least permitted length that holds its contents. A bin costs ``overhead + size + size**2 / attention``.
 
 Scale: only (id, length) rows are shuffled, into shards of about ``SHARD`` pieces by a hash of the row, which no key or
@@ -27,7 +28,6 @@ from tidemark.llm.scratch import Scratch
 SIZES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD, ATTENTION = 32.0, 32768.0
 SHARD = 16_384
-LOOKAHEAD = 16
 
 
 def cost(size: int) -> float:
@@ -55,12 +55,11 @@ def pack(lengths: list[int], sizes: tuple[int, ...] = SIZES) -> tuple[list[int],
                 if size < length:
                     continue
                 left, upto = size - length, n - i - 1  # ascending[:upto] are still to come
-                for _ in range(LOOKAHEAD):
-                    upto = bisect_right(ascending, left, 0, upto)
-                    if not upto:
-                        break
-                    upto -= 1
-                    left -= ascending[upto]
+                while upto := bisect_right(ascending, left, 0, upto):
+                    piece = ascending[upto - 1]
+                    take = min(left // piece, upto - bisect_left(ascending, piece, 0, upto))  # of the run of equal pieces
+                    left -= take * piece
+                    upto -= take
                 rate = cost(size) / max(size - left, 1)
                 if best is None or rate < best[0]:
                     best = (rate, size)
