@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from tidemark.llm import url_lists
 
 
@@ -38,6 +40,27 @@ def test_against_brute_force(spark):
     assert sorted((str(x["url"]), str(x["fetched"]), x["host"], x["blocked"], str(x["key"]), str(x["action"]), str(x["valid_from"])) for x in got) == brute(captures, entries)
 
 
+@pytest.mark.parametrize("most", [url_lists.BROADCAST_KEYS, 0])
+def test_time_of_day(spark, monkeypatch, most):
+    monkeypatch.setattr(url_lists, "BROADCAST_KEYS", most)
+    r = random.Random(6)
+    at = lambda: dt.datetime(2024, 1, r.randint(29, 31), r.randint(0, 23), r.choice((0, 30))) + dt.timedelta(r.randint(0, 2))
+    captures = [(h := r.choice(["a.example.com", "example.com", "hot.net"]), f"http://{h}/{i}", at()) for i in range(200)]
+    captures += [("hot.net", "http://hot.net/x", dt.datetime(2024, 3, 1, 8)), ("hot.net", "http://hot.net/y", dt.datetime(2024, 3, 1, 21))]
+    entries = [(r.choice(["a.example.com", "example.com", "com"]), r.choice(["block", "allow", "none"]), at()) for _ in range(60)] + [("hot.net", "block", dt.datetime(2024, 3, 1, 20)), ("hot.net", "none", dt.datetime(2024, 1, 1))]
+    frame = spark.createDataFrame([(u, d) for _, u, d in captures], "url string, fetched timestamp_ntz").selectExpr("*", "1 AS __host", "2 AS __fetch", "3 AS fetch")
+    got = url_lists.evaluate(frame, spark.createDataFrame(entries, "key string, action string, date timestamp_ntz")).collect()
+    assert sorted((str(x["url"]), str(x["fetched"]), x["host"], x["blocked"], str(x["key"]), str(x["action"]), str(x["valid_from"])) for x in got) == brute(captures, entries)
+    assert {x["url"]: x["blocked"] for x in got if x["url"][-1] in "xy"} == {"http://hot.net/x": False, "http://hot.net/y": True}
+
+
+def test_very_long_urls(spark):
+    url = "http://" + ".".join(["a" * 60] * 300) + ".example.com/" + "x" * 500_000
+    captures = spark.createDataFrame([(url, dt.date(2024, 1, 2)), (url, dt.date(2024, 1, 2))], "url string, fetched date")
+    entries = spark.createDataFrame([("example.com", "block", dt.date(2024, 1, 1))], "key string, action string, date date")
+    assert [r["blocked"] for r in url_lists.evaluate(captures, entries).collect()] == [True, True]
+
+
 def test_empty(spark):
     captures = spark.createDataFrame([("http://a.b/", dt.date(2024, 1, 1))], "url string, fetched date")
     entries = spark.createDataFrame([], "key string, action string, date date")

@@ -38,8 +38,8 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 _MARKS = "'^([ \\t]*>)+[ \\t]?'"
 _NORM = "regexp_replace(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\r\\x0b\\f]+', ' ', 'g'), '^ | $', '', 'g')"
 
-OP1 = f"""
-WITH RECURSIVE m AS (SELECT row_number() OVER () AS rid, conv_id AS conv, turn, role, regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g') AS text FROM conversations),
+_LINK_CTES = f"""
+m AS (SELECT row_number() OVER () AS rid, conv_id AS conv, turn, role, regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g') AS text FROM {{source}}),
 ln AS (SELECT rid, conv, turn, i, x, regexp_extract(x, {_MARKS}) AS mark FROM (SELECT rid, conv, turn, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM m)),
 lv AS (SELECT rid, conv, turn, i, length(regexp_replace(mark, '[ \\t]', '', 'g')) AS level, substr(x, length(mark) + 1) AS body FROM ln),
 fr AS (SELECT *, CASE WHEN level IS DISTINCT FROM lag(level) OVER (PARTITION BY rid ORDER BY i) THEN 1 ELSE 0 END AS fresh FROM lv),
@@ -58,20 +58,59 @@ linked AS (SELECT conv, turn, count(DISTINCT (run, level, text)) AS n_linked, ma
 walk(conv, turn, up, depth) AS (SELECT conv, turn, near[4], 1 FROM linked WHERE near IS NOT NULL UNION ALL SELECT w.conv, w.turn, l.near[4], w.depth + 1 FROM walk w JOIN linked l ON l.conv = w.conv AND l.turn = w.up AND l.near IS NOT NULL),
 roots AS (SELECT conv, turn, min(up) AS root, max(depth) AS depth FROM walk GROUP BY conv, turn),
 counts AS (SELECT conv, turn, count(*) AS n_quotes, max(level) AS max_level FROM quoted GROUP BY conv, turn)
+"""
+
+_MESSAGES = """
 SELECT m.conv AS conv_id, m.turn, m.role, r.reply, coalesce(n_quotes, 0)::BIGINT AS n_quotes, coalesce(max_level, 0)::BIGINT AS max_level, coalesce(n_linked, 0)::BIGINT AS n_linked, near[4] AS parent_turn,
   coalesce(root, m.turn) AS thread_turn, coalesce(depth, 0)::BIGINT AS depth, best[5] AS source_conv, best[4] AS source_turn
 FROM m JOIN replies r USING (rid) LEFT JOIN counts c ON c.conv = m.conv AND c.turn = m.turn LEFT JOIN linked l ON l.conv = m.conv AND l.turn = m.turn LEFT JOIN roots t ON t.conv = m.conv AND t.turn = m.turn
 """
 
+#: One row a message of a table ``conversations`` that has quotes.
+OP1_LINKS = f"WITH RECURSIVE {_LINK_CTES.format(source='conversations')} {_MESSAGES}"
+
+_QUOTE = "'{1}' || replace({0}, chr(10), chr(10) || '{1}')"
+
+OP1 = f"""
+WITH RECURSIVE own_ AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+one_ AS (SELECT conv_id, turn, min(text) AS text FROM own_ GROUP BY conv_id, turn),
+three AS (SELECT o.*, a.text AS back1, b.text AS back2, s.text AS other, ('0x' || substr(md5(o.conv_id || ':' || o.turn), 1, 6))::BIGINT % 8 AS k FROM own_ o
+  LEFT JOIN one_ a ON a.conv_id = o.conv_id AND a.turn + 1 = o.turn LEFT JOIN one_ b ON b.conv_id = o.conv_id AND b.turn + 2 = o.turn LEFT JOIN one_ s ON s.conv_id - 1 = o.conv_id AND s.turn = 0),
+quoting AS (SELECT conv_id, turn, role, CASE k
+  WHEN 1 THEN concat_ws(chr(10), {_QUOTE.format("back1", "> ")}, text)
+  WHEN 2 THEN concat_ws(chr(10), {_QUOTE.format("back2", ">> ")}, {_QUOTE.format("back1", "> ")}, text)
+  WHEN 3 THEN concat_ws(chr(10), text, {_QUOTE.format("replace(translate(back1, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), ' ', '  ')", ">")})
+  WHEN 4 THEN concat_ws(chr(10), {_QUOTE.format("other", "> ")}, text)
+  WHEN 5 THEN concat_ws(chr(10), '> never said ' || md5(text), text)
+  WHEN 6 THEN concat_ws(chr(10), {_QUOTE.format("string_split(back1, chr(10))[1]", "> ")}, text)
+  WHEN 7 THEN concat_ws(chr(10), {_QUOTE.format("back2", "> > ")}, text)
+  ELSE text END AS text FROM three),
+{_LINK_CTES.format(source="quoting")},
+msg AS ({_MESSAGES})
+SELECT conv_id, thread_turn, turn // 512 - thread_turn // 512 AS part, count(*) AS n_messages, sum(n_quotes)::BIGINT AS n_quotes, sum(n_linked)::BIGINT AS n_linked, max(depth) AS max_depth,
+  string_agg(turn || ':' || coalesce(parent_turn::VARCHAR, '') || ':' || coalesce(source_conv::VARCHAR, '') || ':' || coalesce(source_turn::VARCHAR, ''), ' ' ORDER BY turn, role, reply) AS links,
+  string_agg(coalesce(role, '') || ':' || reply, chr(10) || chr(10) ORDER BY turn, role, reply) AS dialogue
+FROM msg GROUP BY ALL
+"""
+
 _NUMBER = "(('0x' || substr(md5({0}), 1, 6))::BIGINT % {1})"
 
+_AT = "TIMESTAMP '2024-01-01 00:00:00' + INTERVAL ({0}) DAY + INTERVAL ({1}) HOUR"
+
 OP10 = f"""
-WITH c AS (SELECT page_id, url, DATE '2024-01-01' + {_NUMBER.format("page_id::VARCHAR", 365)}::INT AS fetched, regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\\.+$', '') AS host FROM pages),
+WITH c AS (SELECT page_id, url, {_AT.format(_NUMBER.format("'day ' || page_id", 365), _NUMBER.format("'hour ' || page_id", 24))} AS fetched,
+  regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\\.+$', '') AS host FROM pages),
 h AS (SELECT DISTINCT host AS key, {_NUMBER.format("host", 30030)} AS n FROM c WHERE host <> ''),
 dm AS (SELECT DISTINCT key, {_NUMBER.format("'domain ' || key", 30030)} AS n FROM (SELECT regexp_extract(key, '([^.]+\\.[^.]+\\.[^.]+)$', 1) AS key FROM h) WHERE key <> ''),
-e AS (SELECT key, 3 AS rank, DATE '2024-01-01' + (n % 200)::INT AS day FROM h WHERE n % 3 = 0 UNION ALL SELECT key, 1, DATE '2024-01-01' + (n % 200 + 90)::INT FROM h WHERE n % 6 = 0
-  UNION ALL SELECT key, 2, DATE '2024-01-01' + (n % 300)::INT FROM h WHERE n % 5 = 0 UNION ALL SELECT key, 3, DATE '2024-01-01' + 182 FROM dm WHERE n % 7 = 0),
-iv AS (SELECT key, rank, day AS valid_from, lead(day) OVER (PARTITION BY key ORDER BY day) AS valid_to FROM (SELECT key, day, max(rank) AS rank FROM e GROUP BY key, day)),
-met AS (SELECT c.host, c.fetched, max((length(iv.key), iv.key, CASE rank WHEN 3 THEN 'block' ELSE 'allow' END, valid_from)) AS d FROM (SELECT DISTINCT host, fetched FROM c) c JOIN iv ON (c.host = iv.key OR ends_with(c.host, '.' || iv.key)) AND rank > 1 AND c.fetched >= valid_from AND (valid_to IS NULL OR c.fetched < valid_to) GROUP BY ALL)
-SELECT page_id, url, c.fetched::VARCHAR AS fetched, c.host, coalesce(d[3] = 'block', false) AS blocked, d[2] AS key, d[3] AS action, d[4]::VARCHAR AS valid_from FROM c LEFT JOIN met ON met.host = c.host AND met.fetched = c.fetched
+e AS (SELECT key, 3 AS rank, {_AT.format("n % 200", "n % 24")} AS at FROM h WHERE n % 3 = 0
+  UNION ALL SELECT key, 1, {_AT.format("n % 200 + 90", "n % 24")} FROM h WHERE n % 6 = 0
+  UNION ALL SELECT key, 2, {_AT.format("n % 300", "n % 24")} FROM h WHERE n % 5 = 0
+  UNION ALL SELECT key, 3, {_AT.format("182", "12")} FROM dm WHERE n % 7 = 0
+  UNION ALL SELECT key, 3, {_AT.format("n % 250", "n % 24 % 12")} FROM h WHERE n % 4 = 0
+  UNION ALL SELECT key, 2, {_AT.format("n % 250", "n % 24 % 12 + 6")} FROM h WHERE n % 4 = 0),
+iv AS (SELECT key, rank, at AS valid_from, lead(at) OVER (PARTITION BY key ORDER BY at) AS valid_to FROM (SELECT key, at, max(rank) AS rank FROM e GROUP BY key, at)),
+met AS (SELECT c.host, c.fetched, max((length(iv.key), iv.key, CASE rank WHEN 3 THEN 'block' ELSE 'allow' END, valid_from)) AS d
+  FROM (SELECT DISTINCT host, fetched FROM c) c JOIN iv ON (c.host = iv.key OR ends_with(c.host, '.' || iv.key)) AND rank > 1 AND c.fetched >= valid_from AND (valid_to IS NULL OR c.fetched < valid_to) GROUP BY ALL)
+SELECT page_id, url, c.fetched::VARCHAR AS fetched, c.host, coalesce(d[3] = 'block', false) AS blocked, d[2] AS key, d[3] AS action, d[4]::VARCHAR AS valid_from
+FROM c LEFT JOIN met ON met.host = c.host AND met.fetched = c.fetched
 """

@@ -3,11 +3,12 @@
 Lines of a message that begin with ``>`` marks are quotes; the number of marks is their level. Consecutive lines of one
 level form a passage. Quoted passages, and each of their lines, are normalised and hashed, and joined to the messages
 that hold the same passage or line unquoted. A message's parent is the earlier message of its conversation that it
-quotes; parents make reply threads, and the messages come back in reply order without their quotes.
+quotes; parents make reply threads, and each thread becomes a conversation: its messages in reply order, without quotes.
 
 Scale: only hashes that some quote asks for are joined. The search for the latest earlier original runs in buckets of
 ``SPAN`` turns with a running maximum over buckets, so neither a conversation nor a passage that holds a third of all
-rows meets in one task; threads are followed by pointer doubling over linked messages. All DataFrame functions.
+rows meets in one task; threads are followed by pointer doubling over linked messages; a thread is put together in
+parts of ``SPAN`` turns, so none is collected whole. All DataFrame functions.
 """
 
 from __future__ import annotations
@@ -119,5 +120,61 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     )
 
 
+def reply_ordered(links: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role") -> DataFrame:
+    """Conversations from the rows of ``link_quotes``: one row a thread and part of it.
+
+    Columns: conv_id, thread_turn (the thread's first message), part (of ``SPAN`` turns, from 0), messages (an array of
+    (turn, role, reply, parent_turn, depth, n_quotes, n_linked, source_conv, source_turn, copies) in the order of turn,
+    role and reply), n_messages. Read by (conv_id, thread_turn, part) the rows are the reply-ordered conversation. Equal
+    messages of one place are one element with their number in copies, so a row holds ``SPAN`` turns and what different
+    texts stand on one turn. A message without conv_id or turn is a conversation by itself, with part null.
+    """
+    fields = ("parent_turn", "depth", "n_quotes", "n_linked", "source_conv", "source_turn")
+    rows = links.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), "thread_turn", F.coalesce(role_col, F.lit("")).alias("role"), "reply", *fields)
+    placed = rows.where("conv_id is not null and turn is not null")
+    message = F.struct("turn", "role", "reply", *fields, "copies")
+    once = placed.groupBy("conv_id", "thread_turn", "turn", "role", "reply", *fields).agg(F.count(F.lit(1)).alias("copies"))
+    parts_ = once.groupBy("conv_id", "thread_turn", (F.floor(F.col("turn") / SPAN) - F.floor(F.col("thread_turn") / SPAN)).alias("part")).agg(F.array_sort(F.collect_list(message)).alias("messages"), F.sum("copies").alias("n_messages"))
+    lone = rows.where("conv_id is null or turn is null").withColumn("copies", F.lit(1).cast("long"))
+    return parts_.unionByName(lone.select("conv_id", "thread_turn", F.lit(None).cast("long").alias("part"), F.array(message).alias("messages"), F.col("copies").alias("n_messages")))
+
+
+def quoting(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with quotes, by fixed rules; the table itself quotes nothing.
+
+    md5(conv_id:turn) mod 8 chooses what stands before a text: 0 nothing; 1 the message before, quoted; 2 the two before
+    at two levels; 3 (after the text) the message before in capitals with double spaces; 4 the first message of the next
+    conversation; 5 a passage that stands nowhere; 6 the first line of the message before; 7 the second message before,
+    at two levels. A quote of a message that doesn't exist is left out.
+    """
+    own = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    one = own.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
+    back = lambda n: one.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("text").alias(f"back{n}"))
+    start = one.where("turn = 0").select((F.col("conv_id") - 1).alias("conv_id"), F.col("text").alias("other"))
+    rows = own.join(back(1), ["conv_id", "turn"], "left").join(back(2), ["conv_id", "turn"], "left").join(start, "conv_id", "left")
+    number = F.conv(F.substring(F.md5(F.concat_ws(":", "conv_id", "turn").cast("binary")), 1, 6), 16, 10).cast("long") % 8
+    quote = lambda text, mark: F.concat(F.lit(mark), F.replace(text, F.lit("\n"), F.lit("\n" + mark)))
+    before, second, text = F.col("back1"), F.col("back2"), F.col("text")
+    loud = F.replace(F.translate(before, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.lit(" "), F.lit("  "))
+    lines = {
+        1: [quote(before, "> "), text], 2: [quote(second, ">> "), quote(before, "> "), text], 3: [text, quote(loud, ">")], 4: [quote(F.col("other"), "> "), text],
+        5: [F.concat(F.lit("> never said "), F.md5(text.cast("binary"))), text], 6: [quote(F.split(before, "\n")[0], "> "), text], 7: [quote(second, "> > "), text],
+    }
+    made = text
+    for n, parts_ in lines.items():
+        made = F.when(number == n, F.concat_ws("\n", *parts_)).otherwise(made)
+    return rows.select("conv_id", "turn", "role", made.alias("text"))
+
+
 def op1_quote_linking(spark, sf_dir: str) -> DataFrame:
-    return link_quotes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    """All ``conversations``, made to quote by fixed rules, as reply-ordered conversations without quotes.
+
+    A row is a part of a thread: its messages as text and, of each message, its turn, parent, source and links.
+    """
+    found = reply_ordered(link_quotes(quoting(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+    texts = lambda *cs, sep: F.array_join(F.transform("messages", lambda m: F.concat_ws(":", *(F.coalesce(m[c].cast("string"), F.lit("")) for c in cs))), sep)
+    total = lambda c: F.aggregate("messages", F.lit(0).cast("long"), lambda s, m: s + m[c] * m["copies"])
+    return found.select(
+        "conv_id", "thread_turn", "part", "n_messages", total("n_quotes").alias("n_quotes"), total("n_linked").alias("n_linked"),
+        F.array_max(F.transform("messages", lambda m: m["depth"])).alias("max_depth"), texts("turn", "parent_turn", "source_conv", "source_turn", sep=" ").alias("links"), texts("role", "reply", sep="\n\n").alias("dialogue"),
+    )
