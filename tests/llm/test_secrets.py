@@ -63,3 +63,155 @@ def test_weak_names_need_strong_literals():
         assert len(s.lexed(f"{name} = 'q8ZtR2mVx7LpWc4KbN9sYd3HfJ6gTa1E'")) == 1, name
         for literal in ("notification_settings_title", "user-profile-page", "primary", "Zx9kQ27p", "two plain words"):
             assert s.lexed(f"{name} = '{literal}'") == [], (name, literal)
+
+
+LITERAL = "Zx9!kQ27pLm4vT81"
+
+
+def found(text):
+    return [(text[a:b], name) for a, b, name, *_ in s.lexed(text)]
+
+
+def test_quoted_values_are_not_names():
+    assert found(f'host = "{LITERAL}"\npassword = "host"\n') == []
+    assert found(f'host = "{LITERAL}"\npassword = host\n') == [(LITERAL, "password")]
+
+
+def test_sums_propagate_every_part():
+    assert found('a = "Zx9!kQ27"\nb = "pLm4vT81"\nplain = a + b\n') == []
+    assert found('a = "Zx9!kQ27"\nb = "pLm4vT81"\npassword = a + b\n') == [("Zx9!kQ27", "password"), ("pLm4vT81", "password")]
+    assert found('a = "Zx9!kQ27"\npassword = a+a + "pLm4vT81"\n') == [("Zx9!kQ27", "password"), ("pLm4vT81", "password")]
+    assert found(f'a = "{LITERAL}"\na = load()\npassword = a\n') == []
+    assert found(f'a = "{LITERAL}"\npassword = read(a)\n') == []
+
+
+def test_markup_and_block_scalars():
+    assert found(f'<db user="u" password="{LITERAL}"/>') == [(LITERAL, "password")]
+    assert found(f'<add key="DbPassword" value="{LITERAL}" />') == [(LITERAL, "DbPassword")]
+    assert found(f'<add name="Colour" value="{LITERAL}" />') == []
+    assert found(f"<clientSecret>{LITERAL}</clientSecret>") == [(LITERAL, "clientSecret")]
+    assert found(f"<colour>{LITERAL}</colour>") == []
+    assert found(f"db:\n  password: |\n    {LITERAL}\n  user: me\n") == [(LITERAL, "password")]
+    assert found("tls:\n  private_key: >-\n    Zx9kQ27pLm4v\n    T81Zx9kQ27pL\n  name: x\n") == [("Zx9kQ27pLm4v\n    T81Zx9kQ27pL", "private_key")]
+    assert found("password: |\nuser: me\n") == []
+
+
+def program(r):
+    """A random program as text and, worked out from its statements alone, the literals to be told."""
+    names = ["host", "colour", "password", "authToken", "salt", "client_secret", "x1", "url"]
+    literals = [LITERAL, "Zx9!kQ27", "pLm4vT81", "changeme", "short", "q8ZtR2mVx7LpWc4KbN9sYd3HfJ6gTa1E"]
+    text, held, best = "", {}, {}
+    for _ in range(r.randint(1, 12)):
+        name, terms, parts = r.choice(names), [], []
+        n = r.choice((1, 1, 2, 3))
+        text += r.choice(("", "  ", "export ", "var "))
+        text += name + r.choice((" = ", "=", " := ", ": ", " => "))
+        known, last = True, None
+        for i in range(n):
+            kind = r.choice(("text", "text", "name", "call"))
+            if i:
+                text += " + "
+            if kind == "text":
+                q, value = r.choice("\"'"), r.choice(literals)
+                span = (len(text) + 1, len(text) + 1 + len(value))
+                text += q + value + q
+                if last == "text":
+                    parts[-1] = (parts[-1][0], span[1], parts[-1][2] + value)
+                else:
+                    parts.append((*span, value))
+            elif kind == "name":
+                other = r.choice(names)
+                span = (len(text), len(text) + len(other))
+                text += other
+                if other in held:
+                    parts += held[other]
+                elif n == 1:
+                    parts.append((*span, other))
+            else:
+                text += "load"
+                text += "(9)"
+                kind = "call"
+                last = kind
+                break
+            last = kind
+        text += r.choice(("\n", ";\n", "  # note\n"))
+        if not parts:
+            held.pop(name, None)
+            continue
+        held[name] = parts
+        value = "".join(p[2] for p in parts)
+        got = s.score(s.sensitivity(name), value) if s.sensitivity(name) else 0
+        if got >= s.LEAST_SCORE:
+            for a, b, _ in parts:
+                best[a, b] = max(best.get((a, b), 0), got)
+    return text, sorted((a, b, round(v, 9)) for (a, b), v in best.items())
+
+
+def test_programs_against_their_statements():
+    import random
+
+    for seed in range(300):
+        text, want = program(random.Random(seed))
+        assert [(a, b, round(v, 9)) for a, b, _, _, v in s.lexed(text)] == want, text
+
+
+def test_growing_sums_end():
+    text = 'a = "Zx9!kQ27"\n' + "a = a + a\n" * 500 + 'a = a + "pLm4vT81"\n' * 20_000 + "password = a\n" * 500
+    assert len(found(text)) == 20_001
+
+
+def brute_base(text):
+    """The three patterns by hand, one character after the other."""
+    out = []
+    lower = text.lower()
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    i = 0
+    while i < len(text):
+        end = None
+        for word in ("password", "passwd", "secret", "token", "apikey", "api_key"):
+            if lower[i : i + len(word)] == word and text[i : i + len(word)].isascii():
+                j = i + len(word)
+                j += text[j : j + 1] in ('"', "'") and text[j : j + 1] != ""
+                while text[j : j + 1] == " ":
+                    j += 1
+                if text[j : j + 1] in (":", "="):
+                    j += 1
+                    while text[j : j + 1] == " ":
+                        j += 1
+                    j += text[j : j + 1] in ('"', "'") and text[j : j + 1] != ""
+                    k = j
+                    while k < len(text) and text[k] in value:
+                        k += 1
+                    if k > j:
+                        end = k
+                        if k - j >= 6:
+                            out.append(("assign", i, k))
+                        break
+        i = end or i + 1
+    for kind, lead, chars, least in (("access", "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 20), ("hex", "", set("0123456789abcdef"), 24)):
+        i = 0
+        while i < len(text):
+            j = i + len(lead)
+            if text[i:j] == lead:
+                while j < len(text) and text[j] in chars:
+                    j += 1
+                if j > i + len(lead):
+                    if j - i >= least:
+                        out.append((kind, i, j))
+                    i = j
+                    continue
+            i += 1
+    return out
+
+
+def test_query_against_brute_force(spark):
+    import pandas as pd
+
+    docs = pd.read_parquet("/root/testdata/sf0.001/documents.parquet")
+    got = s.op7_assignment_secrets(spark, "/root/testdata/sf0.001").toPandas().set_index("doc_id")
+    for i, text in zip(docs.doc_id, docs.text, strict=True):
+        want = brute_base(text or "")
+        row = got.loc[i]
+        assert [row.n_assign, row.n_access, row.n_hex] == [sum(k == x for k, *_ in want) for x in ("assign", "access", "hex")]
+        assert row.base_sha256 == hashlib.sha256(s.joined(want).encode()).hexdigest()
+        assert set(filter(None, s.joined(want).split(","))) <= set(row.spans.split(","))

@@ -1,10 +1,11 @@
 """Secret scan with an assignment-aware lexer.
 
 Three base patterns are matched as they stand. Beside them a lexer reads assignments of source and configuration
-syntax (``name = "literal"``, ``name: literal``, ``"name": "literal"``, ``name := 'literal'``, ``export NAME=literal``)
-into name-literal pairs, propagates constants (a name assigned from another name, concatenated literals), and scores a
-literal by how sensitive the names are that it reaches and by its own make-up. A pair at or over ``LEAST_SCORE`` adds a
-span of kind ``lexed``; base spans always stay.
+syntax (``name = "literal"``, ``name: literal``, ``"name": "literal"``, ``name := 'literal'``, ``export NAME=literal``,
+attributes and elements of markup, ``key``/``name`` attributes beside a ``value``, block scalars) into name-literal
+pairs, propagates constants (a name assigned from other names and literals, joined by ``+``), and scores a literal by
+how sensitive the names are that it reaches and by its own make-up. Only a bare word is ever a name on the right: what
+stands in quotes is a literal. A pair at or over ``LEAST_SCORE`` adds a span of kind ``lexed``; base spans always stay.
 
 Scale: one scan, row by row, no shuffle; the scan is linear in the text and holds one text.
 """
@@ -31,7 +32,13 @@ _PAIR = re.compile(r"(?:^|(?<=[^A-Za-z0-9_.$-]))[\"']?([A-Za-z_$][A-Za-z0-9_.$-]
 _STRING = re.compile(r"\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`")
 _BARE = re.compile(r"[^\s,;#\"'`)}\]&|<>(]+")
 _NAME = re.compile(r"[$]?\{?([A-Za-z_][A-Za-z0-9_.-]*)\}?$")
-_PLUS = re.compile(r"[ \t]*\+[ \t]*")
+_PLUS = re.compile(r"[ \t]*\+(?!=)[ \t]*")
+_TAG = re.compile(r"<[A-Za-z][^<>\n]*>")
+_ATTRIBUTE = re.compile(r"(?<![A-Za-z0-9_.:-])([A-Za-z_][A-Za-z0-9_.:-]*+)[ \t]*=[ \t]*(?:\"([^\"\n]*)\"|'([^'\n]*)')")
+_ELEMENT = re.compile(r"<([A-Za-z_][A-Za-z0-9_.:-]*+)>([^<>\n]+)</\1>")
+_SCALAR = re.compile(r"[|>][+-]?[1-9]?[+-]?[ \t]*(?=\n)")
+#: Characters of a value that its score looks at; both its length and its entropy count fully long before.
+SCORED = 4096
 
 #: Words in a name, with the weight that they give a literal assigned to it.
 SENSITIVE = (
@@ -69,46 +76,145 @@ def score(weight: float, literal: str) -> float:
     return weight * s + (1 - weight) * lift * s
 
 
-def pairs(text: str) -> list[tuple[str, int, int, str]]:
-    """(name, start, end, value) of every assignment, in order; value is a literal's content or, for a bare word, itself."""
-    out = []
-    for m in _PAIR.finditer(text):
-        at = m.end()
-        pieces, lo, hi = [], None, at
-        while s := _STRING.match(text, at):
+Term = tuple[int, int, str, bool]  # start, end, content, whether it stood in quotes
+
+
+def _terms(text: str, at: int) -> list[Term]:
+    """The literals and bare words of a right side that begins at ``at``, joined by plus signs."""
+    out: list[Term] = []
+    while True:
+        if s := _STRING.match(text, at):
             k = s.lastindex
-            pieces.append(s[k])
-            lo, hi = s.start(k) if lo is None else lo, s.end(k)
-            plus = _PLUS.match(text, s.end())
-            if not plus:
-                break
-            at = plus.end()
-        if lo is None:
-            if not (b := _BARE.match(text, at)):
-                continue
-            pieces, lo, hi = [b[0]], b.start(), b.end()
-        out.append((m[1], lo, hi, "".join(pieces)))
-    return out
+            out.append((s.start(k), s.end(k), s[k], True))
+        elif b := _BARE.match(text, at):
+            call = text[b.end() : b.end() + 1] == "(" or b[0][-1] in "[{"
+            out.append((b.start(), b.end(), "" if call else b[0], False))
+            s = b
+        else:
+            return out
+        plus = _PLUS.match(text, s.end())
+        if not plus:
+            return out
+        at = plus.end()
+
+
+def _block(text: str, at: int, end: int) -> tuple[int, int, str] | None:
+    """The block scalar after a ``|`` or ``>`` that ends a line at ``end``; its key stands at ``at``: the deeper lines."""
+    indent = at - (text.rfind("\n", 0, at) + 1)
+    lines, lo, hi = [], None, end
+    while (begin := hi + 1) <= len(text):
+        stop = text.find("\n", begin)
+        stop = len(text) if stop < 0 else stop
+        line = text[begin:stop]
+        depth = len(line) - len(line.lstrip(" "))
+        if line.strip(" ") and depth <= indent:
+            break
+        if line.strip(" "):
+            lo = begin + depth if lo is None else lo
+            lines.append((line.strip(), begin + depth + len(line.strip())))
+        hi = stop
+    return (lo, lines[-1][1], "".join(x for x, _ in lines)) if lines else None
+
+
+def pairs(text: str) -> list[tuple[str, list[Term]]]:
+    """(name, terms of its value) of every assignment, in the order of the names."""
+    out, inside = [], 0
+    tags = {}  # place of an attribute named key or name: nothing, or the pair that its tag makes
+    if "<" in text:
+        for tag in _TAG.finditer(text):
+            attributes = {m[1].lower(): m for m in _ATTRIBUTE.finditer(text, *tag.span())}
+            named = attributes.get("key") or attributes.get("name")
+            if named and (value := attributes.get("value")):
+                k, v = named.lastindex, value.lastindex
+                tags[named.start(1)], tags[value.start(1)] = None, (named[k], [(value.start(v), value.end(v), value[v], True)])
+        out += [(m.start(), m[1], [(m.start(2), m.end(2), m[2], True)]) for m in _ELEMENT.finditer(text)]
+    for m in _PAIR.finditer(text):
+        if m.start(1) < inside:
+            continue
+        if m.start(1) in tags:
+            if pair := tags[m.start(1)]:
+                out.append((m.start(), *pair))
+        elif scalar := _SCALAR.match(text, m.end()):
+            if block := _block(text, m.start(), scalar.end()):
+                inside = block[1]
+                out.append((m.start(), m[1], [(*block, True)]))
+        elif terms := _terms(text, m.end()):
+            out.append((m.start(), m[1], terms))
+    return [x[1:] for x in sorted(out, key=lambda x: x[0])]
+
+
+class Value:
+    """What an expression stands for: its literals, shared with the constants that it was made of, and their text."""
+
+    __slots__ = ("parts", "text", "told")
+
+    def __init__(self, parts: list, text: str):
+        self.parts, self.text, self.told = parts, text[:SCORED], 0.0
+
+    def literals(self, got: float) -> Iterator[tuple[int, int]]:
+        """Places of the literals that weren't told with a score of ``got`` or more; they count as told."""
+        open_ = [self]
+        while open_:
+            value = open_.pop()
+            if value.told < got:
+                value.told = got
+                for part in value.parts:
+                    if isinstance(part, Value):
+                        open_.append(part)
+                    else:
+                        yield part
+
+
+def resolved(terms: list[Term], constants: dict[str, Value]) -> Value | None:
+    """The value of a right side; quoted literals that follow each other are one.
+
+    A bare word that is a constant stands for its literals. Any other is a literal where it stands alone, and unknown,
+    like the result of a call, in a sum.
+    """
+    parts: list = []
+    texts: list[str] = []
+    was_quoted = False
+    for lo, hi, value, quoted in terms:
+        if quoted:
+            if was_quoted:
+                parts[-1] = (parts[-1][0], hi)
+            else:
+                parts.append((lo, hi))
+            texts.append(value)
+        else:
+            names = [m[1] if (m := _NAME.match(v)) else "" for v in value.split("+")]
+            if all(n in constants for n in names):
+                parts += [constants[n] for n in names]
+                texts += [constants[n].text for n in names]
+            elif len(terms) == 1 and value:
+                parts.append((lo, hi))
+                texts.append(value)
+        was_quoted = quoted
+    return Value(parts, "".join(texts)) if parts else None
 
 
 def lexed(text: str) -> list[tuple[int, int, str, str, float]]:
     """(start, end, name, value, score) of the literals whose score is enough.
 
-    A bare value that is an earlier assigned name stands for that name's literal, which is scored by every name it
-    reaches; each literal is told once, by its best score.
+    A value is what its literals give together; it is scored by every name it reaches, and each of its literals is told
+    once, by its best score. A name that is assigned anew stands for its last value.
     """
-    if "=" not in text and ":" not in text:
+    if "=" not in text and ":" not in text and "<" not in text:
         return []
-    constants: dict[str, tuple[int, int, str]] = {}
+    constants: dict[str, Value] = {}
     best: dict[tuple[int, int], tuple[str, str, float]] = {}
-    for name, start, end, value in pairs(text):
-        ref = _NAME.match(value)
-        literal = constants.get(ref[1], (start, end, value)) if ref else (start, end, value)
-        constants[name] = literal
+    for name, terms in pairs(text):
+        value = resolved(terms, constants)
+        if value is None:
+            constants.pop(name, None)
+            continue
+        constants[name] = value
         if w := sensitivity(name):
-            got = score(w, literal[2])
-            if got >= LEAST_SCORE and got > best.get(literal[:2], ("", "", 0.0))[2]:
-                best[literal[:2]] = (name, literal[2], got)
+            got = score(w, value.text)
+            if got >= LEAST_SCORE:
+                for place in value.literals(got):
+                    if got > best.get(place, ("", "", 0.0))[2]:
+                        best[place] = (name, value.text, got)
     return [(a, b, *rest) for (a, b), rest in sorted(best.items())]
 
 
@@ -154,6 +260,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op7_assignment_secrets(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns over every whole text of ``documents``, with the number of lexed spans."""
     n = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
     found = find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select(F.col("id").alias("doc_id"), n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"), "base_sha256", "spans", n("lexed").alias("n_lexed"))
