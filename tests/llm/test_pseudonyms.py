@@ -88,3 +88,66 @@ def test_cards_after_phones_and_cards():
 def test_printed_and_solid_ibans_are_linked():
     printed = p.iban("DE89 3704 0044 0532 0130 00", KEY)
     assert printed.replace(" ", "") == p.iban("DE89370400440532013000", KEY) and p.iban(printed, KEY, True) == "DE89 3704 0044 0532 0130 00"
+
+
+def test_phones_are_linked_however_grouped():
+    digits = lambda t: re.sub(r"\D", "", t)
+    same = lambda *texts: len({digits(p.phone(t, KEY))[-10:] for t in texts}) == 1
+    assert same("+49 30 1234567", "+49301234567", "+49-30-123-4567") and same("(826) 555-4081", "+1 826-555-4081", "826-555-4081", "+1 (826) 555-4081")
+    assert [p.country(x) for x in ("18265554081", "74951234567", "49301234567", "35312345678", "85212345678")] == ["1", "7", "49", "353", "852"]
+    assert p.phone("+353 1 234 5678", KEY).startswith("+353 ") and p.phone(p.phone("+353 1 234 5678", KEY), KEY, True) == "+353 1 234 5678"
+
+
+def test_dates_are_linked_in_all_layouts():
+    def read(t):
+        a, b, c = map(int, re.split(r"[-/.]", t))
+        return (a, b, c) if a > 99 else (c, a, b) if b > 12 else (c, b, a)
+
+    for y, m, d in ((1999, 12, 31), (2021, 2, 28), (2003, 4, 3), (1970, 11, 5), (2020, 1, 12)):
+        layouts = [f"{y}-{m:02}-{d:02}", f"{y}/{m:02}/{d:02}", f"{y}.{m:02}.{d:02}", f"{d:02}-{m:02}-{y}", f"{d}/{m}/{y}", f"{d:02}.{m:02}.{y}"] + ([f"{m}/{d}/{y}"] if d > 12 else [])
+        new = [p.rewritten(f"on {t}, then", KEY) for t in layouts]
+        assert len({read(t[3:-6]) for t, _ in new}) == 1 and all(n["date"] == 1 for _, n in new)
+        assert all(p.date(t[3:-6], KEY, True) == was for (t, _), was in zip(new, layouts, strict=True))
+
+
+def planted(r):
+    """A text of values between words, and what must come of it."""
+    digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = r.choice("3456") + digits(14)
+        number = body + str((10 - p.luhn(body + "0")) % 10)
+        return r.choice((number, " ".join(number[i : i + 4] for i in range(0, 16, 4)), "-".join(number[i : i + 4] for i in range(0, 16, 4))))
+
+    def iban():
+        body = digits(18)
+        check = 98 - int(body + "131400") % 97
+        solid = f"DE{check:02}{body}"
+        return r.choice((solid, " ".join(solid[i : i + 4] for i in range(0, 22, 4))))
+
+    day = dt.date(1950, 1, 1) + dt.timedelta(r.randrange(30_000))
+    makers = {
+        "card": (p.card, card()), "iban": (p.iban, iban()), "ip": (p.ip, ".".join(str(r.randrange(256)) for _ in range(4))), "ssn": (p.ssn, f"{r.randint(1, 665):03}-{r.randint(1, 99):02}-{r.randint(1, 9999):04}"),
+        "date": (p.date, r.choice((day.isoformat(), f"{day:%d-%m-%Y}", f"{day:%Y/%m/%d}", f"{day.day}.{day.month}.{day.year}"))), "email": (p.email, f"{r.choice('abc')}{digits(3)}.x@mail{digits(1)}.example.org"),
+        "phone": (p.phone, r.choice((f"+49 30 {digits(7)}", f"({digits(3)}) {digits(3)}-{digits(4)}", f"+1 {digits(3)}-{digits(3)}-{digits(4)}"))),
+    }
+    text, want, counts = "", "", dict.fromkeys(p.KINDS, 0)
+    for _ in range(r.randint(0, 9)):
+        word = r.choice(("see é", "of 12 items", "version 3.1", "id 12345,", "the @ sign", "999.1.1.1 or", "\n", "and so"))
+        kind = r.choice(list(makers))
+        make, value = makers[kind]
+        close = r.choice((", ", "; ", " (", " "))
+        text += f"{word} {value}{close}the "
+        want += f"{word} {make(value, KEY)}{close}the "
+        counts[kind] += 1
+    return text, want, counts
+
+
+def test_scan_against_planted_values(spark):
+    r = random.Random(12)
+    cases = [planted(r) for _ in range(300)]
+    got = p.pseudonymise(spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string"), KEY).collect()
+    for row in got:
+        text, want, counts = cases[row["doc_id"]]
+        assert row["text"] == want, text
+        assert {k: row[f"n_{k}"] for k in p.KINDS} == counts

@@ -96,15 +96,31 @@ def card(text: str, key: bytes, back: bool = False) -> str | None:
     return _into(text, body + str((10 - luhn(body + "0")) % 10))
 
 
+# Country calling codes of two digits (ITU-T E.164). Codes that begin with 1 or 7 have one digit, all others
+# three.
+_TWO = (
+    "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58",
+    "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+)
+
+
+def country(digits: str) -> str:
+    """The country code that an international number begins with."""
+    return digits[: 1 if digits[0] in "17" else 2 if digits[:2] in _TWO else 3]
+
+
 def phone(text: str, key: bytes, back: bool = False) -> str | None:
-    """``+country`` stays; without a country code all digits are permuted."""
+    """The country code stays and the national digits are permuted, however they are grouped.
+
+    Ten digits without ``+`` are a number of country code 1, so both ways to write one get the same pseudonym.
+    """
     digits = re.sub(r"\D", "", text)
     if not 8 <= len(digits) <= 15:
         return None
-    head = len(re.match(r"\+?\d*", text)[0].lstrip("+")) if text[0] == "+" else 0
-    head = min(head, 3)
-    rest = digits[head:]
-    return _into(text, digits[:head] + str(permute(int(rest), 10 ** len(rest), key, f"phone{len(rest)}", back)).zfill(len(rest)))
+    code = country(digits) if text[0] == "+" else "1"
+    rest = digits[len(code) :] if text[0] == "+" else digits
+    new = str(permute(int(rest), 10 ** len(rest), key, f"phone{code}-{len(rest)}", back)).zfill(len(rest))
+    return _into(text, code + new if text[0] == "+" else new)
 
 
 def ip(text: str, key: bytes, back: bool = False) -> str | None:
@@ -144,8 +160,17 @@ def iban(text: str, key: bytes, back: bool = False) -> str | None:
 _FIRST, _LAST = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 
 
+def _width(d: dt.date) -> tuple[int, bool]:
+    """Days of one class have the same number of digits in every layout, and read the same where the month comes first."""
+    return (d.day > 9) + (d.day > 12), d.month > 9
+
+
 def date(text: str, key: bytes, back: bool = False) -> str | None:
-    """Year-month-day, or day and month before the year; days of 1900 to 2099 permute among themselves."""
+    """Year-month-day, or day and month before the year; days of 1900 to 2099 permute among themselves.
+
+    One permutation serves all layouts, so a date has one pseudonym however it is written. To fit every layout it stays
+    within the days of a class: day to 9, to 12 or over it, month to 9 or over it.
+    """
     a, b, c = re.split(r"[-/.]", text)
     year_first = len(a) == 4
     year, month, day = (a, b, c) if year_first else (c, b, a)
@@ -153,18 +178,18 @@ def date(text: str, key: bytes, back: bool = False) -> str | None:
     if swapped:
         month, day = day, month
     try:
-        n = dt.date(int(year), int(month), int(day)).toordinal()
+        was = dt.date(int(year), int(month), int(day))
     except ValueError:
         return None
+    n = was.toordinal()
     if not _FIRST <= n <= _LAST:
         return None
-    layout = f"date{swapped:d}{len(a)}{len(b)}{len(c)}"
-    while True:  # stay within dates that read back the same way and have as many digits
-        n = _FIRST + permute(n - _FIRST, _LAST - _FIRST + 1, key, layout, back)
+    while True:
+        n = _FIRST + permute(n - _FIRST, _LAST - _FIRST + 1, key, "date", back)
         d = dt.date.fromordinal(n)
-        y, m, t = str(d.year), str(d.month).zfill(len(month)), str(d.day).zfill(len(day))
-        if len(m) == len(month) and len(t) == len(day) and (not swapped or d.day > 12):
+        if _width(d) == _width(was):
             break
+    y, m, t = str(d.year), str(d.month).zfill(len(month)), str(d.day).zfill(len(day))
     first, second = (m, t) if year_first or swapped else (t, m)
     sep = re.findall(r"[-/.]", text)
     return f"{y}{sep[0]}{first}{sep[1]}{second}" if year_first else f"{first}{sep[0]}{second}{sep[1]}{y}"
@@ -183,7 +208,7 @@ def email(text: str, key: bytes, back: bool = False) -> str | None:
 _STRETCH = re.compile(r"[+(\d][\d .()/+-]*\d")
 _FORMATS = re.compile(
     r"(?<![\w.])(?:(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?!\.?\d)"
-    r"|(?P<date>\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![-/]?\d)"
+    r"|(?P<date>\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{4}\.\d{2}\.\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![-/]?\d)"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?!-?\d)"
     r"|(?P<card>\d{4}(?:[ -]\d{4}){2,3}[ -]\d{1,4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d)"
     r"|(?P<phone>\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}[ -]?\(?\d{2,4}\)?(?:[ .-]?(?!\d{1,3}\.\d{1,3}\.\d)\d{2,4}){2,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d))(?!\w)",
@@ -327,4 +352,5 @@ DEMO_KEY = b"tidemark demonstration key"
 
 
 def op5_feistel_pseudonyms(spark, sf_dir: str) -> DataFrame:
+    """Every whole text of ``documents`` with its validated values replaced, and how many of each kind."""
     return pseudonymise(spark.read.parquet(f"{sf_dir}/documents.parquet"), DEMO_KEY)
