@@ -1,25 +1,28 @@
 """Token ids in bit planes.
 
-Container ("TPL1", one row with the columns of a ``binaryFile`` read: path, length, content). All integers are little
-endian.
+Container files ("TPL1", named part-PPPPPP-NNNNNN.tpl). All integers are little endian.
 
     magic     4 bytes  "TPL1"
     header    u32 ids a block, u32 bits an id, u64 ids, u32 blocks, u32 documents
     index     for each block and plane: u32 length of the compressed plane
-    documents u32 ids of each document
+    documents u32 ids of each document, then i64 name of each document (the least i64: none), if bit 30 of bits is set
     planes    zstandard frames, block by block, plane by plane
 
 A block of ids is transposed: plane p holds bit p of every id, eight ids a byte (or, with ``unit="byte"``, byte p of
 every id). High planes of a vocabulary are nearly constant and shrink to a few bytes. The index gives the place of every
 plane, so a reader can fetch one block, or only some planes, without the others.
 
-Scale: documents are range-partitioned by id and encoded in order; a container is closed at ``SHARD_IDS`` ids, so memory
-and rows are bounded whatever a document's length or source. Places of documents come from two running sums over
-containers, never from one over documents.
+Scale: documents are range-partitioned by id (then by a hash of the text and the place in the input, so that neither one
+id nor rows without any fill a range) and encoded in order; a file is closed at ``SHARD_IDS`` ids, so memory is bounded
+whatever a document's length or source. Tasks write their files themselves, under a name of their own first, then move
+them to the final name: a task that runs again writes the same bytes to the same place. Files are read back as Spark's
+``binaryFile``. Places of documents come from two running sums over files, never from one over documents.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,11 +31,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
+from tidemark.llm.located import integer_ids
 from tidemark.llm.scratch import Scratch, parts
 
 MAGIC = b"TPL1"
@@ -66,26 +71,53 @@ def ids_of(planes: list[bytes], n: int, unit: str) -> np.ndarray:
     return raw.reshape(-1).view("<u4")
 
 
-def write_container(ids: np.ndarray, sizes: np.ndarray, bits: int = 16, unit: str = "bit", block: int = BLOCK_IDS, level: int = 3) -> bytes:
+_HEAD = struct.Struct("<IIQII")
+_BYTES, _NAMED = 1 << 31, 1 << 30
+_NO_NAME = -(2**63)
+
+
+def write_container(ids: np.ndarray, sizes: np.ndarray, bits: int = 16, unit: str = "bit", block: int = BLOCK_IDS, level: int = 3, names: list | None = None) -> bytes:
+    """The bytes of a container. An id that needs more than ``bits`` bits is refused."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"id {int(ids.max())} needs more than {bits} bits")
     press = zstandard.ZstdCompressor(level=level)
     frames = [press.compress(p) for at in range(0, len(ids), block) for p in planes_of(ids[at : at + block], bits, unit)]
-    count = -(-len(ids) // block)
-    head = struct.pack("<IIQII", block, bits | (1 << 31 if unit == "byte" else 0), len(ids), count, len(sizes))
-    return b"".join([MAGIC, head, np.array([len(f) for f in frames], dtype="<u4").tobytes(), sizes.astype("<u4").tobytes(), *frames])
+    head = _HEAD.pack(block, bits | (_BYTES if unit == "byte" else 0) | (0 if names is None else _NAMED), len(ids), -(-len(ids) // block), len(sizes))
+    named = b"" if names is None else np.array([_NO_NAME if x is None else x for x in names], dtype="<i8").tobytes()
+    return b"".join([MAGIC, head, np.array([len(f) for f in frames], dtype="<u4").tobytes(), sizes.astype("<u4").tobytes(), named, *frames])
 
 
-def read_container(content: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(all ids, ids of each document)."""
+def count_of(content: bytes) -> int:
+    """How many ids a container holds."""
     if content[:4] != MAGIC:
         raise ValueError("not a TPL1 container")
-    block, flags, n, count, documents = struct.unpack_from("<IIQII", content, 4)
-    bits, unit = flags & ~(1 << 31), "byte" if flags >> 31 else "bit"
+    return _HEAD.unpack_from(content, 4)[2]
+
+
+def _layout(content: bytes) -> tuple[int, int, int, bool, str, int]:
+    """(ids a block, blocks, planes a block, whether documents have names, unit, place of the documents' sizes)."""
+    block, flags, _, count, _ = _HEAD.unpack_from(content, 4)
+    bits, unit = flags & ~(_BYTES | _NAMED), "byte" if flags & _BYTES else "bit"
     width = (bits + 7) // 8 if unit == "byte" else bits
-    at = 4 + struct.calcsize("<IIQII")
-    lengths = np.frombuffer(content, dtype="<u4", count=count * width, offset=at).reshape(count, width)
-    at += 4 * count * width
+    return block, count, width, bool(flags & _NAMED), unit, 4 + _HEAD.size + 4 * count * width
+
+
+def names_of(content: bytes) -> list | None:
+    """The names of a container's documents, if it has them."""
+    *_, named, _, at = _layout(content)
+    documents = _HEAD.unpack_from(content, 4)[4]
+    if named:
+        return [None if x == _NO_NAME else x for x in np.frombuffer(content, dtype="<i8", count=documents, offset=at + 4 * documents).tolist()]
+    return None
+
+
+def read_container(content: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, ids of each document)."""
+    n, documents = count_of(content), _HEAD.unpack_from(content, 4)[4]
+    block, count, width, named, unit, at = _layout(content)
+    lengths = np.frombuffer(content, dtype="<u4", count=count * width, offset=4 + _HEAD.size).reshape(count, width)
     sizes = np.frombuffer(content, dtype="<u4", count=documents, offset=at)
-    at += 4 * documents
+    at += (12 if named else 4) * documents
     open_ = zstandard.ZstdDecompressor()
     out = []
     for b in range(count):
@@ -108,18 +140,25 @@ _LEADS = np.zeros(256, dtype=bool)
 _LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
+class _Joined(Exception):
+    """Pieces can't be told apart after encoding."""
+
+
 class Pieces:
     """A tokenizer file with a memory of the pieces that it has encoded, keyed by two 64-bit hashes."""
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.spaced = np.array([(self.tok.id_to_token(i) or "").startswith("Ġ") for i in range(self.tok.get_vocab_size())])
         self.clear()
+        #: Whether texts must be encoded whole, because this tokenizer joins over spaces.
+        self.direct = False
+        probe = [b"The", b" 1st", b" word,", b" an", " É-word".encode(), b" and", b" (x)", b" y's", b" end."]
+        apart = [i for p in probe for i in self.tok.encode(p.decode(), add_special_tokens=False).ids]
+        self.direct = apart != self.tok.encode(b"".join(probe).decode(), add_special_tokens=False).ids
 
     def clear(self) -> None:
         self.key, self.check = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
@@ -144,7 +183,7 @@ class Pieces:
         run = np.concatenate(runs) if runs else np.zeros(0, dtype=np.uint32)
         begins = np.flatnonzero(self.spaced[run])
         if len(begins) != len(plain):
-            raise ValueError("the tokenizer joins over spaces")
+            raise _Joined
         sizes[plain] = np.diff(np.append(begins, len(run)))
         single = [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast([pieces[i].decode() for i in np.flatnonzero(odd)], add_special_tokens=False)]
         sizes[odd] = [len(x) for x in single]
@@ -154,11 +193,20 @@ class Pieces:
         ids[mine] = np.concatenate(single) if single else ids[mine]
         return ids, sizes
 
+    def whole(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, each text through the tokenizer as it is."""
+        blob = raw.tobytes()
+        found = self.tok.encode_batch_fast([blob[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], add_special_tokens=False)
+        ids = [np.array(e.ids, dtype=np.uint32) for e in found]
+        return np.concatenate([*ids, np.zeros(0, dtype=np.uint32)]), np.append(0, np.cumsum([len(x) for x in ids]))
+
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids of the block, place of each text's first id and of the end)."""
         rows, n = len(offsets) - 1, len(raw)
         if not n:
             return np.zeros(0, dtype=np.uint32), np.zeros(rows + 1, dtype=np.int64)
+        if self.direct:
+            return self.whole(raw, offsets)
         near = np.concatenate((np.zeros(3, dtype=np.uint8), raw, np.zeros(1, dtype=np.uint8)))
         cut = (raw == 0x20) & _PLAIN[near[2 : n + 2]] & _PLAIN[near[4 : n + 4]] & ~_LEADS[near[4 : n + 4]] & ~_LEADS[near[1 : n + 1]] & ~_LEADS[near[:n]]
         head = np.zeros(n + 1, dtype=bool)
@@ -178,13 +226,17 @@ class Pieces:
             keys.append(words.mix((total[ends] - total[starts]) * down[starts] + odd.astype(np.uint64)))
         unique, at, back = np.unique(keys[0], return_index=True, return_inverse=True)
         check = keys[1][at]
-        if (check[back] != keys[1]).any():
-            raise ValueError("two pieces share a 64-bit hash")
+        if (check[back] != keys[1]).any():  # two pieces share a 64-bit hash
+            return self.whole(raw, offsets)
         place = np.minimum(np.searchsorted(self.key, unique), max(len(self.key) - 1, 0))
         known = (self.key[place] == unique) & (self.check[place] == check) if len(self.key) else np.zeros(len(unique), dtype=bool)
         fresh = np.flatnonzero(~known)
         blob = raw.tobytes()
-        ids, sizes = self.encode_new([blob[a:b] for a, b in zip(starts[at[fresh]].tolist(), ends[at[fresh]].tolist(), strict=True)], odd[at[fresh]])
+        try:
+            ids, sizes = self.encode_new([blob[a:b] for a, b in zip(starts[at[fresh]].tolist(), ends[at[fresh]].tolist(), strict=True)], odd[at[fresh]])
+        except _Joined:
+            self.direct = True
+            return self.whole(raw, offsets)
         base = len(self.ids)
         table = np.concatenate((self.ids, ids))
         size, start = np.empty(len(unique), dtype=np.int64), np.empty(len(unique), dtype=np.int64)
@@ -221,17 +273,28 @@ def encode(texts: pa.Array, path: str) -> Iterator[np.ndarray]:
             yield ids[at[i] : at[i + 1]]
 
 
-def _write(path: str, bits: int, unit: str):
+def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder's URI and the folder's path in it; Hadoop's ``file:/x`` counts as ``file:///x``."""
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+
+
+def _write(to: str, path: str, bits: int, unit: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
+        task = TaskContext.get()
+        part, store, folder = task.partitionId(), None, None
         held, names, size, count = [], [], 0, 0
 
         def close() -> pa.RecordBatch:
-            content = write_container(np.concatenate(held), np.array([len(x) for x in held]), bits, unit)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f"part-{part:06d}/{count:06d}.tpl"]), pa.array([len(content)]), pa.array([content], pa.binary()), pa.array([part]), pa.array([count]), pa.array([size]), pa.array([names], pa.list_(pa.int64()))],
-                ["path", "length", "content", "part", "number", "n_ids", "docs"],
-            )
+            nonlocal store, folder
+            if store is None:
+                store, folder = _store(to)
+            content = write_container(np.concatenate(held), np.array([len(x) for x in held]), bits, unit, names=names)
+            name = f"part-{part:06d}-{count:06d}.tpl"
+            own = f"{folder}/_{name}.{task.taskAttemptId()}"
+            with store.open_output_stream(own) as file:
+                file.write(content)
+            store.move(own, f"{folder}/{name}")
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size])], ["name", "n_ids"])
 
         for batch in batches:
             for name, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1), path), strict=True):
@@ -248,44 +311,60 @@ def _write(path: str, bits: int, unit: str):
     return run
 
 
-def write_planes(docs: DataFrame, to: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", bits: int = 16, unit: str = "bit", partitions: int | None = None) -> DataFrame:
-    """Encode every text and write containers to the table at ``to``, in ascending id order; returns that table.
+def write_planes(docs: DataFrame, to: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None, unit: str = "bit", partitions: int | None = None) -> int:
+    """Encode every text and write container files into the folder ``to``, in ascending id order; returns all ids' number.
 
-    Null and empty texts are the end id alone. Rows without an id come first; rows that repeat an id follow each other
-    in the order of their texts. Other columns are ignored. ``bits`` must hold the largest id.
+    ``to`` is a URI of a store that driver and executors share (file, hdfs, s3, gs, abfs). Null and empty texts are the
+    end id alone. Rows without an id come first; rows that repeat an id follow each other by a hash of their texts. The
+    id is an integer column. Other columns are ignored. ``bits`` is that of the tokenizer's largest id, if not given;
+    an id that needs more is refused.
     """
-    spark = docs.sparkSession
+    integer_ids(docs, id_col)
+    if bits is None:
+        bits = max(_pieces(tokenizer).tok.get_vocab_size() - 1, END).bit_length()
+    store, folder = _store(to)
+    store.create_dir(folder, recursive=True)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(partitions or parts(spark), "id").sortWithinPartitions("id", "text")
-    made = rows.mapInArrow(_write(tokenizer, bits, unit), "path string, length long, content binary, part long, number long, n_ids long, docs array<long>")
-    made.write.parquet(to)
-    return spark.read.schema(made.schema).parquet(to)
+    order = ["id", "hash", "place"]
+    rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(partitions or parts(docs.sparkSession), *order).sortWithinPartitions(*order).select("id", "text")
+    return rows.mapInArrow(_write(to, tokenizer, bits, unit), "name string, n_ids long").agg(F.sum("n_ids")).first()[0] or 0
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([count_of(x.as_py()) for x in batch.column(2)], pa.int64())], ["part", "number", "n_ids"])
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for content, names, before in zip(batch.column("content"), batch.column("docs"), batch.column("before"), strict=True):
-            ids, sizes = read_container(content.as_py())
+        for content, before in zip(batch.column("content"), batch.column("before"), strict=True):
+            content = content.as_py()
+            ids, sizes = read_container(content)
             ends = np.cumsum(sizes, dtype=np.int64)
             starts = ends - sizes
             crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([names.values, pa.array(starts + before.as_py()), pa.array(sizes.astype(np.int64)), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([pa.array(names_of(content), pa.int64()), pa.array(starts + before.as_py()), pa.array(sizes.astype(np.int64)), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
 
 
-def read_planes(containers: DataFrame) -> DataFrame:
-    """(id, start, n_tokens, ids_crc32) of every document, decoded from the containers."""
-    a_part = containers.groupBy("part").agg(F.sum("n_ids").alias("n"))
+def read_planes(spark: SparkSession, at: str) -> DataFrame:
+    """(id, start, n_tokens, ids_crc32) of every document, decoded from the container files in the folder ``at``."""
+    number = lambda i: F.regexp_extract("path", r"part-(\d+)-(\d+)\.tpl$", i).cast("long")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.tpl").load(at).select(number(1).alias("part"), number(2).alias("number"), "content")
+    counts = Scratch(spark, "places").save(files.mapInArrow(_counts, "part long, number long, n_ids long"), "counts")
+    a_part = counts.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before_part = a_part.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))  # a row a write task
-    inside = containers.select("part", "number", "n_ids").withColumn("in_part", F.sum("n_ids").over(Window.partitionBy("part").orderBy("number")) - F.col("n_ids"))
+    inside = counts.withColumn("in_part", F.sum("n_ids").over(Window.partitionBy("part").orderBy("number")) - F.col("n_ids"))
     before = inside.join(before_part, "part").select("part", "number", (F.col("base") + F.col("in_part")).alias("before"))
-    if containers.count() <= BROADCAST_CONTAINERS:
+    if counts.count() <= BROADCAST_CONTAINERS:
         before = F.broadcast(before)
-    return containers.join(before, ["part", "number"]).select("content", "docs", "before").mapInArrow(_read, "id long, start long, n_tokens long, ids_crc32 long")
+    return files.join(before, ["part", "number"]).select("content", "before").mapInArrow(_read, "id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op4_bit_planes(spark, sf_dir: str) -> DataFrame:
+    """The contract's query: every whole text of ``documents`` into files and back."""
     import public_tokenizers
 
-    scratch = Scratch(spark, "planes")
-    made = write_planes(spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch.at("containers"), public_tokenizers.path("byte_bpe_50k.json"))
-    return read_planes(made).withColumnRenamed("id", "doc_id")
+    at = Scratch(spark, "planes").at("containers")
+    write_planes(spark.read.parquet(f"{sf_dir}/documents.parquet"), at, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_planes(spark, at).withColumnRenamed("id", "doc_id")
