@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import near_dedup as nd
 from tidemark.llm.components import components
@@ -56,10 +57,90 @@ def test_against_brute_force(spark, k):
 
 
 def test_null_and_repeated_ids(spark):
-    text = " ".join(f"t{i}" for i in range(50))
-    rows = [(None, text), (None, text), (5, text), (5, "other words stand here in this one"), (9, text), (4, "other words stand here in this one")]
+    """Rows are nodes: an id that stands on two texts doesn't link them, and each group keeps one row."""
+    text, other = " ".join(f"t{i}" for i in range(50)), "other words stand here in this one"
+    rows = [(None, text), (None, text), (5, text), (5, other), (9, text), (4, other), (None, "no id but words of its own stand here"), (None, None), (7, ""), (7, "")]
     got = sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
-    assert got == [("4", "4", True), ("5", "4", False), ("5", "4", False), ("9", "4", False), ("None", "None", True), ("None", "None", True)]
+    assert got == [
+        ("4", "4", True), ("5", "4", False), ("5", "5", True), ("7", "7", True), ("7", "7", True), ("9", "5", False),
+        ("None", "5", False), ("None", "5", False), ("None", "None", True), ("None", "None", True),
+    ]
+
+
+@pytest.mark.parametrize("exploded", [False, True])
+def test_stage_loses_no_text_to_repeated_ids(spark, tmp_path, exploded):
+    t, u = " ".join(f"t{i}" for i in range(40)), " ".join(f"u{i}" for i in range(40))
+    rows = [(5, t), (5, u), (4, u), (None, t), (6, u + " u40")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__at", F.lit(1))
+    if exploded:  # all rows stand in one row of a file
+        frame.agg(F.collect_list(F.struct("doc_id", "text", "__at")).alias("x")).write.parquet(str(tmp_path / "d"))
+        frame = spark.read.parquet(str(tmp_path / "d")).selectExpr("inline(x)")
+    else:
+        frame.write.parquet(str(tmp_path / "d"))
+        frame = spark.read.parquet(str(tmp_path / "d"))
+    out = nd.stage(spark, frame, "")
+    assert out.columns == frame.columns
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(4, u), (5, t)]
+
+
+def test_ids_must_be_integers(spark):
+    with pytest.raises(ValueError, match="integer"):
+        nd.near_duplicates(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+def templates():
+    """Texts that share most of a template, at and under the similarity, so that buckets hold many components."""
+    r = random.Random(8)
+    base = [f"t{i}" for i in range(90)]
+    docs = [" ".join(base)]
+    for i in range(60):
+        w = base + [f"own{i}x{j}" for j in range(r.choice((8, 14, 18, 22, 26, 40)))]
+        docs.append(" ".join(w))
+        if i % 5 == 0:
+            docs.append(" ".join(w[:-2] + ["end", "here"]))
+    return [(i * 2, t) for i, t in enumerate(docs)]
+
+
+@pytest.mark.parametrize(("block", "large", "make"), [(3, 10_000, templates), (3, 4, templates), (384, 2, corpus)])
+def test_several_blocks_and_rare_shingles(spark, monkeypatch, block, large, make):
+    monkeypatch.setattr(nd, "BLOCK", block)
+    monkeypatch.setattr(nd, "LARGE", large)
+    docs = make()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in nd.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=4).collect()}
+    assert got == brute(docs, 4)
+
+
+def test_cells_hold_every_pair_with_a_leader(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 3)
+    rows = [(k, 100 * k + i, i < lead) for k, (n, lead) in enumerate(((10, 10), (10, 1), (10, 0), (11, 4), (6, 5), (2, 2))) for i in range(n)]
+    cells = {}
+    for r in nd._in_blocks(spark.createDataFrame(rows, "key long, id long, lead boolean")).collect():
+        cells.setdefault((r["key"], r["x"], r["y"]), []).append(r["id"])
+    met = {(a, b) for ids in cells.values() for a in ids for b in ids if a < b}
+    assert all((a, b) in met for k, a, one in rows for j, b, two in rows if k == j and a < b and (one or two))
+    assert all(len(ids) == len(set(ids)) for ids in cells.values())
+
+
+def test_a_large_component_meets_only_what_is_outside(spark):
+    """A bucket of 5000 near copies in one component and two other members: a row or two a member, not one a block."""
+    rows = spark.range(5002).selectExpr("7L AS key", "id", "if(id < 5000, 0L, id) AS c", "true AS lead")
+    top = nd._mixed(rows).first()
+    assert (top["top"], top["outside"]) == (0, 2)
+    dealt = nd._in_blocks(rows.withColumn("lead", F.col("c") != 0).repartition(2))
+    assert dealt.count() <= 5002 + 2 * (5002 // nd.BLOCK + 2)
+
+
+def test_a_template_of_many_texts_is_dealt_in_proportion(spark):
+    """Members (id, n, c, s) that share 84 of 100 shingles: under the similarity, and no bucket is left by rare ones."""
+    def members(n):
+        r = np.random.default_rng(1)
+        base = r.integers(0, 2**62, 84, dtype=np.int64)
+        rows = [(i, 100, i, np.sort(np.concatenate((base, r.integers(0, 2**62, 16, dtype=np.int64)))).tobytes()) for i in range(n)]
+        return nd._by_rare_shingles(spark.createDataFrame(rows, "id long, n int, c long, s binary"), 80)
+
+    small, large = (members(n).where("lead").count() for n in (300, 3000))
+    assert small == large == 0
+    assert members(3000).count() <= 3000 * 21
 
 
 def test_empty(spark):

@@ -8,13 +8,21 @@ estimated from all registers and both set sizes by maximum likelihood, and the p
 are confirmed on their full shingle sets.
 
 Scale: equal sets collapse to one representative before banding, so a group of copies of any size costs one row.
-Within a bucket each member meets the bucket's least id (a star, not all pairs). Buckets whose members are then in
-several components are compared block by block inside tasks, which return links, not pairs: the first pass keeps the
-members that the likelihood leaves a partner in another component, the second one confirms on full sets. Blocks hold
-``BLOCK`` members at most, so no bucket is one task's. Components run as a Spark loop. No cap exists anywhere.
+Within a bucket each member meets the bucket's first one (a star, not all pairs). Buckets whose members are then in
+several components are compared in cells of two blocks inside tasks, which return links, not pairs: the first pass
+keeps the members that the likelihood leaves a partner in another component, the second one confirms on full sets.
+Members of the bucket's largest component meet only those outside of it, so a group of near copies of any size costs
+a row a member for each block outside. Blocks hold ``BLOCK`` members at most, so no bucket is one task's. A mixed
+bucket with more than ``LARGE`` members outside, as one template makes of many unlike texts, isn't compared all against
+all: its members are dealt anew by the rarest shingles of their full sets. Two sets that are similar enough share one
+among the first of them (prefix filter), so the new buckets lose no link, and shingles of the template, which are
+frequent, make none. Rows dealt thus grow in proportion to the members: 2 * LARGE / BLOCK rows a member of a bucket at
+most, or its rare shingles. Components run as a Spark loop. No cap exists anywhere.
 
 Recall: with r = 7 and 48 bands a pair at similarity 0.80 shares no band with probability 1e-5, at 0.85 below 1e-8. The
-likelihood cut of 0.65 lies more than six standard errors under 0.8.
+likelihood cut of 0.65 lies more than six standard errors under 0.8. Shingles are compared as 64-bit hashes, and sets
+count as equal when their sizes and two sums of 64 bits over them are, so unequal ones are mixed up with a probability
+of about 2**-60 a pair of shingles.
 """
 
 from __future__ import annotations
@@ -28,6 +36,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words
 from tidemark.llm.components import components
+from tidemark.llm.located import integer_ids, located, picked, without
 from tidemark.llm.scratch import Scratch, parts
 
 B, A, Q = 1.02, 20.0, 2**16 - 3
@@ -38,8 +47,8 @@ CUT = 0.65
 SCREEN = 0.66
 #: Members of a bucket that are compared within one task, and columns of the incidence matrix at a time.
 BLOCK, COLUMNS = 384, 8192
-#: A side of at most this many ids is broadcast (16 bytes each); a larger one is joined by shuffle.
-BROADCAST_IDS = 2_000_000
+#: Members outside a mixed bucket's largest component up to which they meet all its members.
+LARGE = 3072
 
 _RNG = np.random.Generator(np.random.PCG64(77))
 _MULT = (_RNG.integers(0, 2**31, M, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[None, :]
@@ -98,7 +107,8 @@ def _sketch(k: int):
                     high.append(found.sum(dtype=np.uint64).astype(np.int64))
                     low.append(words.mix(found ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64))
                     regs.append(registers(found).tobytes() if len(found) else None)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(regs, pa.binary())], ["id", "n", "high", "low", "regs"])
+                own = [batch.column(c).slice(lo, hi - lo) for c in (0, 2, 3)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(regs, pa.binary())], ["id", "file", "at", "n", "high", "low", "regs"])
 
     return run
 
@@ -248,85 +258,141 @@ def _joined(percent: int):
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Rows (key, id, ...) dealt out so that any two of a key meet in some (x, y), sorted by it."""
-    blocks = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = rows.join(blocks, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")).drop("own", "other", "blocks")
+    """Rows (key, id, lead, ...) dealt out so that each leading member of a key meets all its members in some cell
+    (x, y) of a leading block and a block, sorted by it."""
+    size, leaders = F.count(F.lit(1)), F.sum(F.col("lead").cast("int"))
+    of = rows.groupBy("key").agg(F.ceil(size / BLOCK).cast("int").alias("blocks"), F.ceil(leaders / BLOCK).cast("int").alias("leading"), (size == leaders).alias("alike"))
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    cell = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    as_member = F.transform(every("leading"), lambda x: cell(x, block("blocks")))
+    as_leader = F.transform(every("blocks"), lambda y: cell(block("leading"), y))
+    cells = F.when(F.col("lead"), F.array_union(as_member, as_leader)).otherwise(as_member)
+    # where all lead, a cell serves two blocks both ways
+    whole = F.transform(every("blocks"), lambda y: cell(F.least(block("blocks"), y), F.greatest(block("blocks"), y)))
+    dealt = rows.join(of.where("leading > 0"), "key").withColumn("cell", F.explode(F.when(F.col("alike"), whole).otherwise(cells)))
+    dealt = dealt.select(*rows.columns, "cell.x", "cell.y").drop("lead")
     return dealt.repartition(parts(rows.sparkSession), "key", "x", "y").sortWithinPartitions("key", "x", "y")
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids``: broadcast up to a counted bound, by shuffle beyond it."""
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if small else ids, "id", "left_semi")
+def _full_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, k: int, scratch: Scratch, name: str) -> DataFrame:
+    """(id, s) with the whole shingle sets of the representatives ``ids``."""
+    wanted = scratch.save(classes.join(ids.distinct(), "id", "left_semi").select("id", "file", "at"), f"{name}_ids")
+    return scratch.save(picked(docs.select("file", "at", "text"), wanted).select("id", "text").mapInArrow(_sets(k), "id long, s binary"), f"{name}_sets")
 
 
-def _full_sets(ids: DataFrame, docs: DataFrame, k: int, scratch: Scratch, name: str) -> DataFrame:
-    """(id, s) with the whole shingle sets of ``ids``."""
-    return scratch.save(_texts(docs, scratch.save(ids.distinct(), f"{name}_ids")).select("id", "text").mapInArrow(_sets(k), "id long, s binary"), f"{name}_sets")
-
-
-def _verify(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, k: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
+def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
-    one, other = (sketches.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("regs").alias(f"r{c}")) for c in "ab")
+    one, other = (classes.select(F.col("id").alias(c), F.col("n").cast("int").alias(f"n{c}"), F.col("regs").alias(f"r{c}")) for c in "ab")
     likely = scratch.save(pairs.join(other, "b").join(one, "a").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_likely(CUT), pairs.select("a", "b").schema), f"{name}_likely")
-    sets = _full_sets(likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))), docs, k, scratch, name)
+    sets = _full_sets(likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))), classes, docs, k, scratch, name)
     one, other = (sets.select(F.col("id").alias(c), F.col("s").alias(f"s{c}")) for c in "ab")
     out = scratch.save(likely.join(other, "b").join(one, "a").select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), likely.schema), f"{name}_links")
     scratch.drop(f"{name}_sets")
     return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for each row of ``docs``.
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, n, c, shingle) of the sets (id, n, c, s)."""
+    for batch in batches:
+        sets = [np.frombuffer(s.as_buffer(), dtype=np.int64) for s in batch.column(3)]
+        at = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in range(3)), pa.array(np.concatenate([*sets, np.zeros(0, dtype=np.int64)]))], ["id", "n", "c", "shingle"])
+
+
+def _by_rare_shingles(members: DataFrame, percent: int) -> DataFrame:
+    """Members (id, n, c, s) dealt anew: rows (key, id, n, c, lead), a row for each of a set's rarest shingles.
+
+    With shingles in one order, by how many members have them, two sets whose overlap is o or more share one of the
+    first n - o + 1 shingles of both. The larger of a pair has an overlap of percent / 100 of its size at least, the
+    smaller one 2 * percent / (100 + percent) of its own, so the larger finds the smaller among its leading ones.
+    """
+    rows = members.select("id", "n", "c", "s").mapInArrow(_shingles, "id long, n int, c long, shingle long")
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    ordered = rows.join(often, "shingle", "left").groupBy("id", "n", "c").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "shingle"))).alias("s"))
+    longest = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100).cast("int") + 1
+    leading = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)).cast("int") + 1
+    first = F.slice("s", F.lit(1), longest)
+    dealt = ordered.select("id", "n", "c", F.posexplode(first).alias("place", "x"), leading.alias("leading")).where("x.often > 1")
+    return dealt.select(F.col("x.shingle").alias("key"), "id", "n", "c", (F.col("place") < F.col("leading")).alias("lead"))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Keys of rows (key, id, c, lead) whose members are in several components: top, the component with most members
+    in the bucket, the number outside of it, and the number of leading members."""
+    a_part = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("lead").cast("int")).alias("leads"))
+    a_key = a_part.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("n"), F.sum("leads").alias("leads"))
+    return a_key.where("parts > 1").select("key", F.col("most.c").alias("top"), (F.col("n") - F.col("most.n")).alias("outside"), "leads")
+
 
-    Two documents are linked when 100 * |A & B| >= percent * |A | B| over their sets of distinct ``k``-word shingles of
-    the ASCII-lower-cased text. component_id is the least id reachable over links, itself included; kept marks it.
-    Null and empty texts have no shingles and no links. Rows that repeat an id are one node. A row without an id is
-    linked with nothing: component_id null, kept true. Other columns of ``docs`` are ignored, whatever their names.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """(id, n_shingles, component_id, kept, file, at) for each row of ``docs``.
+
+    Two rows are linked when 100 * |A & B| >= percent * |A | B| over their sets of distinct ``k``-word shingles of the
+    ASCII-lower-cased text. component_id is the least id reachable over links, itself included; kept marks exactly one
+    row of each group, one of that id. Null and empty texts have no shingles and no links, so each is a group. Every row
+    is a node of its own: rows that repeat an id are linked only if their texts are, and of equal ones the first read
+    is kept. A row without an id is linked like any other and kept only where no row with an id is in its group, whose
+    component_id is then null. The id is an integer column; any other type is refused. (file, at) locates the row in its
+    file. Other columns of ``docs`` are ignored, whatever their names.
     """
+    integer_ids(docs, id_col)
     scratch = Scratch(docs.sparkSession, "near")
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketch = scratch.save(docs.mapInArrow(_sketch(k), "id long, n long, high long, low long, regs binary"), "sketch")
-    named = sketch.where("id is not null and n > 0")
-    classes = scratch.save(named.groupBy("high", "low", "n").agg(F.min("id").alias("id"), F.min_by("regs", "id").alias("regs")), "classes")
-    sketches = classes.select("id", F.col("n").cast("int").alias("n"), "regs")
-    bands = sketches.mapInArrow(_bands, "key long, id long, n int")
+    docs, file, at = located(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), scratch)
+    docs = docs.select("id", "text", F.col(file).alias("file"), F.col(at).alias("at"))
+    sketch = docs.mapInArrow(_sketch(k), "id long, file string, at long, n long, high long, low long, regs binary")
+    sketch = scratch.save(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "row").alias("first")
+    classes = sketch.where("n > 0").select("high", "low", "n", first, "regs", "file", "at").groupBy("high", "low", "n")
+    classes = classes.agg(F.min("first").alias("first"), F.min_by(F.struct("regs", "file", "at"), "first").alias("x"))
+    classes = scratch.save(classes.select("high", "low", F.col("n").cast("int").alias("n"), "first", F.col("first.row").alias("id"), "x.*"), "classes")
+    bands = scratch.save(classes.select("id", "n", "regs").mapInArrow(_bands, "key long, id long, n int"), "bands")
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("lead")).where("c > 1").select("key", "lead")
     members = scratch.save(bands.join(shared, "key"), "members")
+    scratch.drop("bands")
 
     star = scratch.save(members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "star")
-    links = _verify(star, docs, sketches, k, percent, scratch, "star")
+    links = _verify(star, docs, classes, k, percent, scratch, "star")
     found = components(links, scratch, "first")
 
-    labelled = members.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
+    labelled = members.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"), F.lit(True).alias("lead"))
     labelled = scratch.save(labelled, "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
-    rest = scratch.save(labelled.join(mixed, "key", "left_semi"), "mixed")
-    likely = scratch.save(_in_blocks(rest.join(sketches.select("id", "regs"), "id")).mapInArrow(_partnered(percent), "key long, id long").distinct(), "partnered")
-    sets = _full_sets(likely.select("id"), docs, k, scratch, "cross")
+    rest = scratch.save(labelled.join(_mixed(labelled), "key"), "mixed")
+    large = scratch.save(rest.where(F.col("outside") > LARGE).select("id", "n", "c").distinct(), "large")
+    # two members of one component need not meet, so all but those of the largest one lead
+    rest = rest.where(F.col("outside") <= LARGE).select("key", "id", "n", "c", (F.col("c") != F.col("top")).alias("lead"))
+    if not large.isEmpty():
+        sets = _full_sets(large.select("id"), classes, docs, k, scratch, "large")
+        anew = scratch.save(_by_rare_shingles(large.join(sets, "id"), percent), "rare")
+        fewer = F.when(F.col("leads") <= F.col("outside"), F.col("lead")).otherwise(F.col("c") != F.col("top"))
+        rest = scratch.save(rest.unionByName(anew.join(_mixed(anew), "key").select("key", "id", "n", "c", fewer.alias("lead"))), "rest")
+    likely = scratch.save(_in_blocks(rest.join(classes.select("id", "regs"), "id")).mapInArrow(_partnered(percent), "key long, id long").distinct(), "partnered")
+    sets = _full_sets(likely.select("id"), classes, docs, k, scratch, "cross")
     full = rest.join(likely, ["key", "id"], "left_semi").join(sets, "id")
     cross = scratch.save(_in_blocks(full).mapInArrow(_joined(percent), "a long, b long").distinct(), "cross_links")
-    # an id that stands on several texts links them
-    of = classes.select("high", "low", F.col("n").alias("size"), F.col("id").alias("rep"))
-    rows = sketch.select("id", "n", "high", "low").join(of, (sketch["high"] == of["high"]) & (sketch["low"] == of["low"]) & (sketch["n"] == of["size"]), "left")
-    rows = scratch.save(rows.select("id", "n", F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep")), "rows")
-    twice = rows.where("rep is not null").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
-    links = links.unionByName(cross).unionByName(twice.join(rows, "id").where("rep <> a").select("a", F.col("rep").alias("b")))
-    found = components(links, scratch, "last")
+    found = components(links.unionByName(cross), scratch, "last")
 
-    rows = rows.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-    rows = rows.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id"))
-    return rows.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    named = classes.select("id", "high", "low", "n", "first").join(found, "id", "left")
+    leads = named.where("component is not null").groupBy("component").agg(F.min("first").alias("least"))
+    named = scratch.save(named.join(leads, "component", "left").select("high", "low", F.col("n").cast("long").alias("n"), F.coalesce("least", "first").alias("first")), "named")
+    rows = sketch.select("id", "file", "at", "row", "n", "high", "low").join(named, ["high", "low", "n"], "left")
+    return rows.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first.id")).otherwise(F.col("id")).alias("component_id"),
+        F.coalesce(F.col("first.row") == F.col("row"), F.lit(True)).alias("kept"), "file", "at",
+    )
 
 
 def op2_setsketch_near_dedup(spark, sf_dir: str) -> DataFrame:
     """The contract's query: 4-word shingles of every whole text."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=4)
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=4).drop("file", "at")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row of least id of each near-duplicate group (5-word shingles, 0.8); rows without an id stay."""
-    verdict = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(verdict, "doc_id", "left_anti").select(*docs.columns)
+    """Keep one row of each near-duplicate group (5-word shingles, 0.8): of least id, of those the first read.
+
+    Rows are told by their places, so rows that repeat an id are judged apart.
+    """
+    scratch = Scratch(spark, "near-stage")
+    docs, file, at = located(docs, scratch)
+    gone = scratch.save(near_duplicates(docs.select("doc_id", "text")).where("not kept").select("file", "at"), "gone")
+    return without(docs, file, at, gone)
