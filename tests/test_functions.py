@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
-from tidemark.operators import agreement, narrative, providers, questions, segments
+from tidemark.operators import agreement, audio, frames, incremental, narrative, providers, questions, segments, workflow
 
 
 def value(spark, expr, **columns):
@@ -79,9 +79,112 @@ def test_renumber(spark):
 
 
 def test_aliases(spark):
-    names = spark.createDataFrame([("p1", "Ann Lee", "安", ["Annie"]), ("p2", "ann-lee", None, [])], "id string, en string, zh string, aliases array<string>")
-    asked = spark.createDataFrame([("ann-lee",), ("ANN LEE",), ("annie",), ("安",), ("zoe",)], "name string")
-    assert {r["name"]: r["id"] for r in narrative.match_alias(asked, names).collect()} == {"ann-lee": "p2", "ANN LEE": "p1", "annie": "p1", "安": "p1", "zoe": None}
+    names = spark.createDataFrame([(1, "p1", "Ann Lee", "安", ["Annie"]), (1, "p2", "ann-lee", None, []), (1, "p3", None, "J.R.", None), (1, "p4", "Zed", None, ["annie"])], "video_id long, id string, en string, zh string, aliases array<string>")
+    seen = spark.createDataFrame([(1, n, i) for i, n in enumerate(("ann-lee", "ANN LEE", "annie", "安", "zoe", "JR"))], "video_id long, name string, ord long")
+    matched = narrative.match_alias(names, seen)
+    assert {r["id"]: r["alias"] for r in matched.collect()} == {"p1": "ann-lee", "p2": "ann-lee", "p3": None, "p4": "annie"}
+    assert sorted(r["name"] for r in narrative.unmatched(matched, seen).collect()) == ["ANN LEE", "JR", "zoe", "安"]
+
+
+def test_rework_compares_with_the_key(spark):
+    rows = [("q1", "a", "B", "A"), ("q1", "b", "B", "A"), ("q2", "a", "A", "A"), ("q2", "b", "A", "A"), ("q3", "b", "C", "A"), ("q3", "a", "A", "A"), ("q4", "a", None, "A"), ("q5", "a", "B", None)]
+    got = [tuple(r) for r in agreement.rework(spark.createDataFrame(rows, "qid string, annotator string, response string, answer string")).collect()]
+    assert got == [("q1", "A", 2, 0.0, ["B", "B"]), ("q3", "A", 2, 0.5, ["A", "C"])]
+
+
+def test_downstream_of_descriptions(spark):
+    changed = spark.createDataFrame([(1, "S2"), (2, "S5")], "video_id long, stage string")
+    got = sorted(tuple(r) for r in incremental.downstream(spark, changed).collect())
+    assert got == [(1, "S3"), (1, "S4"), (1, "S5"), (1, "S6"), (1, "S7"), (2, "S6"), (2, "S7")]
+
+
+def test_causes_need_verified_boundaries(spark):
+    rows = [(1, 0, 0.0, 1.0, "verified", None), (1, 1, 2.0, 3.0, "split", 0), (1, 2, 2.0, 3.0, "refined", 0), (1, 3, 4.0, 5.0, "verified", 1), (1, 4, 2.5, 5.0, "verified", 2), (1, 5, 9.0, 9.5, "verified", 77), (1, 6, 9.0, 9.5, "verified", 6)]
+    got = {r["ord"]: r["fault"] for r in narrative.causal_faults(spark.createDataFrame(rows, "video_id long, ord long, s double, e double, boundary_state string, cause long")).collect()}
+    assert got == {1: "unverified", 2: None, 3: "unverified", 4: "order", 5: "missing", 6: "self loop"}
+
+
+def test_empty_spans_widen_around_their_start(spark):
+    rows = [(0, 10.0, 5.0, "minor"), (1, 10.0, 10.0, "key"), (2, 900.0, 950.0, "key"), (3, 5.0, 7.0, "key"), (4, -5.0, -1.0, "minor")]
+    got = {r["ord"]: (r["s"], r["e"], r["importance"], r["todo"]) for r in narrative.normalise_spans(spark.createDataFrame(rows, "ord long, s double, e double, importance string"), 700.0).collect()}
+    assert got == {0: (9.0, 11.0, "minor", False), 1: (9.0, 11.0, "minor", False), 2: (699.0, 700.0, "minor", False), 3: (5.0, 7.0, "minor", False), 4: (0.0, 1.0, "minor", False)}
+
+
+def test_boundary_shares_count_both_halves(spark):
+    rows = [(1, "a", 0.0, 9.0, "split", None, None, 4.0), (1, "b", 0.0, 9.0, "rejected", None, None, None), (1, "c", 0.0, 9.0, "verified", None, None, None), (1, "d", 0.0, 9.0, "refined", 1.0, 8.0, None)]
+    v = spark.createDataFrame(rows, "video_id long, id string, s double, e double, decision string, rs double, re double, at double")
+    got = narrative.boundary_stats(narrative.apply_verdicts(v), v.where("decision = 'rejected'")).first()
+    assert (got["n"], got["refined_ratio"], got["rejected_ratio"]) == (5, 0.6, 0.2)
+
+
+def test_coverage_counts_capabilities_and_spans(spark):
+    rows = [(1, "mcq", ["L1_ocr", "L1_action", "L5_needle"], "single_scene", [(0.0, 1.0), (90.0, 95.0)]), (1, "open", ["L2_counting"], "whole_video", [(30.0, 31.0)])]
+    q = spark.createDataFrame(rows, "video_id long, task_type string, capability array<string>, min_watch string, spans array<struct<s: double, e: double>>")
+    got = questions.coverage(q, 100.0).first()
+    assert (got["n"], got["L1"], got["L2"], got["L5"], got["b0"], got["b1"], got["b3"], got["cross"]) == (2, 2, 1, 1, 1, 1, 1, 1)
+
+
+def test_sounds(spark):
+    levels = {1: [0.1] * 10 + [0.9] * 10, 2: [0.1] * 20, 3: [0.1, 0.3, 0.1, 0.1] * 5, 4: [0.9]}
+    rows = [(1, seg, seg * 100 + i, x) for seg, xs in levels.items() for i, x in enumerate(xs)]
+    f = spark.createDataFrame(rows, "video_id long, seg long, frame_no long, rms double")
+    base = spark.createDataFrame([(1, 0.1)], "video_id long, baseline double")
+    got = {r["seg"]: (r["a"], r["b"], r["type"]) for r in audio.detect(f, base, ["video_id", "seg"], 0.1).collect()}
+    # 1: mean 0.5 is loud enough for music; 2: no peak; 3: the mean is 1.5 times the baseline; 4: one frame is too short
+    assert got == {1: (105, 119, "music"), 3: (300, 319, "noise")}
+    assert audio.active_bounds(f.where("seg = 2"), spark.createDataFrame([(1, 0.2)], "video_id long, baseline double"), ["video_id", "seg"]).count() == 0
+
+
+def test_names_keep_dots(spark):
+    assert value(spark, T.name_key(F.lit("J.R. Ewing\u3000-x_·Y"))) == "j.r.ewingxy"
+
+
+def test_reuse_needs_done_stages(spark):
+    m = spark.createDataFrame([(1, "a", "done"), (1, "b", "done"), (2, "a", "done"), (2, "b", "skipped"), (3, "a", "done"), (3, "b", "done")], "video_id long, stage string, state string")
+    assert [r[0] for r in workflow.reusable(m, spark.createDataFrame([(1,), (2,)], "video_id long"), 2).collect()] == [1]
+
+
+def test_scenes_by_list_order(spark):
+    scenes = spark.createDataFrame([(1, 7, 0.0, 60.0, 1), (1, 3, 60.0, 120.0, 2)], "video_id long, scene_id long, s double, e double, place int")
+    events = spark.createDataFrame([(1, 0, 50.0, 70.0), (1, 1, 200.0, 201.0)], "video_id long, ord long, s double, e double")
+    assert {r["ord"]: r["scene_id"] for r in narrative.scene_of(events, scenes, 60.0).collect()} == {0: 7, 1: None}
+
+
+def test_frame_numbers_that_collide(spark):
+    times = [0.0, 0.4, 0.6, 1.0, 4.0, 4.4]
+    names = spark.createDataFrame([(1, f"f_{int(t):07d}_{round(t % 1 * 1000):03d}.jpg") for t in times] + [(1, "cover.jpg")], "video_id long, name string")
+    assert sorted((r["t"], r["frame_no"]) for r in frames.index(names, 1.0).collect()) == [(0.0, 0), (0.4, 1), (0.6, 2), (1.0, 3), (4.0, 4), (4.4, 5)]
+
+
+def test_distinct_times_round_half_to_even(spark):
+    times = F.array(*(F.lit(float(x)) for x in range(10)))
+    assert value(spark, I.distinct_times(times, F.lit(0.0), F.lit(9.0), 3)) == [0.0, 4.0, 9.0]
+    assert value(spark, I.distinct_times(times, F.lit(2.0), F.lit(3.0), 3)) == [2.0, 3.0]
+    assert value(spark, I.distinct_times(times, F.lit(5.0), F.lit(5.0), 3)) == []
+
+
+def test_backoff_and_fatal_statuses(spark):
+    assert [providers.backoff(0, None, 1.0), providers.backoff(9, None, 0.0), providers.backoff(1, 500.0, 0.0), providers.backoff(1, -1.0, 0.0)] == [1.0, 15.0, 60.0, 0.0]
+
+    class Refuses:
+        calls = 0
+
+        def complete(self, prompts):
+            self.calls += 1
+            e = RuntimeError("no")
+            e.status_code = 401 if self.calls > 1 else 429
+            raise e
+
+    got = providers.complete(spark.createDataFrame([("1", "a")], "request_hash string, prompt string"), Refuses, wait=lambda s: None).first()
+    assert got["ok"] is False and got["response"] is None
+
+
+def test_hashes_cascade(spark):
+    rows = [(1, f"S{i}", "x") for i in range(1, 8)]
+    a = {r["stage"]: r["hash"] for r in incremental.cascaded(spark.createDataFrame(rows, "video_id long, stage string, digest string")).collect()}
+    rows[1] = (1, "S2", "other")
+    b = {r["stage"]: r["hash"] for r in incremental.cascaded(spark.createDataFrame(rows, "video_id long, stage string, digest string")).collect()}
+    assert {s for s in a if a[s] != b[s]} == {"S2", "S3", "S4", "S5", "S6", "S7"} and len(set(a.values())) == 7
 
 
 def test_provider_retries(spark):
@@ -94,7 +197,7 @@ def test_provider_retries(spark):
             return [None if self.calls < 2 or p == "bad" else p.upper() for p in prompts]
 
     asked = spark.createDataFrame([("1", "a"), ("1", "a"), ("2", "bad")], "request_hash string, prompt string")
-    got = sorted(tuple(r) for r in providers.complete(asked, Flaky).select("request_hash", "response", "ok").collect())
+    got = sorted(tuple(r) for r in providers.complete(asked, Flaky, wait=lambda s: None).select("request_hash", "response", "ok").collect())
     assert got == [("1", "A", True), ("1", "A", True), ("2", None, False)]
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class Thresholds:
+    # Fixed values of the data model.
     window_sec: float = 180.0
     event_window_sec: float = 60.0
     event_step_sec: float = 30.0
@@ -33,11 +34,22 @@ class Thresholds:
     bilingual_share: float = 0.95
     qa_count: int = 8
     option_spread: float = 0.35
+    shot_zh: int = 80
+    shot_en: int = 60
+    segment_zh: int = 400
+    segment_en: int = 350
+    anchors: int = 2
+    elements: int = 6
+    reference_zh: int = 80
+    reference_en: int = 220
+    target_sec: float = 5.0
+    span_tolerance: float = 1.0
 
 
 DEFAULT = Thresholds()
 
 # Fixed values of the data model.
+VERIFIED_STATES = ("verified", "refined")
 BOUNDARY_STATES = ("verified", "refined", "split", "unreviewed")  # of kept events; rejected_final leaves
 TIME_BUCKETS = 4
 GENRES = ("movie", "documentary", "tv_series", "variety", "sports", "lecture", "tutorial", "interview", "vlog", "egocentric", "animation", "unknown")

@@ -30,6 +30,22 @@ def within(s: Column, e: Column, low: Column, high: Column, tolerance: float = 1
     return (s >= low - tolerance) & (e <= high + tolerance)
 
 
+def pair(span: Column) -> Column:
+    """A span given as an array of two numbers, as a struct; null unless its end is after its start."""
+    a, b = F.try_element_at(span, F.lit(1)), F.try_element_at(span, F.lit(2))
+    return F.when((F.size(span) == 2) & (b > a), F.struct(a.alias("s"), b.alias("e")))
+
+
+def distinct_times(times: Column, low: Column, high: Column, most: int) -> Column:
+    """At most ``most`` of the sorted frame times in [low, high], evenly by place; places round half to even."""
+    last = F.element_at(times, -1)
+    a, b = clamp(low, 0.0, last), clamp(high, 0.0, last)
+    seen = F.filter(times, lambda t: (t >= a) & (t <= b))
+    place = lambda i: F.bround(i * (F.size(seen) - 1) / F.lit(max(most - 1, 1)), 0).cast("int")
+    some = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.get(seen, place(i)))
+    return F.when((F.size(times) == 0) | (b <= a), F.array().cast("array<double>")).when(F.size(seen) <= most, seen).otherwise(some)
+
+
 def time_bucket(t: Column, duration: Column, buckets: int = 4) -> Column:
     """Which of ``buckets`` equal parts of the timeline ``t`` is in."""
     return F.when(duration <= 0, F.lit(0)).otherwise(F.least(F.lit(buckets - 1), F.floor(t / F.when(duration > 0, duration) * buckets))).cast("int")
@@ -39,8 +55,10 @@ def duration_bucket(seconds: Column) -> Column:
     return F.when(seconds < 300, "<5m").when(seconds < 900, "5-15m").when(seconds < 2400, "15-40m").when(seconds <= 7200, "40m-2h").otherwise(">2h")
 
 
-def quota(seconds: Column, per_hour: int = 24, least: int = 10) -> Column:
-    return F.greatest(F.lit(least), F.ceil(seconds / 3600 * per_hour)).cast("int")
+def quota(seconds: Column, per_hour: int = 24, least: int = 10, override: Column | None = None) -> Column:
+    """Questions for a timeline; an ``override`` that isn't null wins."""
+    n = F.greatest(F.lit(least), F.ceil(seconds / 3600 * per_hour)).cast("int")
+    return n if override is None else F.coalesce(override.cast("int"), n)
 
 
 def pad_fraction(seed: Column) -> Column:
@@ -48,6 +66,13 @@ def pad_fraction(seed: Column) -> Column:
     return 0.2 + 0.6 * (F.conv(F.substring(F.sha2(seed, 256), 1, 8), 16, 10).cast("long") % 1000) / 999.0
 
 
+def padding(seed: Column, width: Column, least: float) -> Column:
+    """Uneven room on both sides of a span: twice its width (or ``least``) in all, cut by the fraction of its seed."""
+    total = 2.0 * F.greatest(F.lit(least), width)
+    left = F.round(total * pad_fraction(seed), 3)
+    return F.struct(left.alias("before"), F.round(total - total * pad_fraction(seed), 3).alias("after"))
+
+
 def frame_name(t: Column) -> Column:
     """``f_{seconds:07}_{milliseconds:03}.jpg`` with a carry when milliseconds round to 1000."""
     ms = F.round(t * 1000).cast("long")

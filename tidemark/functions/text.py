@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.config import DEFAULT, Thresholds
+
 #: Unicode white space.
 BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 ANCHOR = r"\d{1,2}:\d{2}"
@@ -18,7 +20,8 @@ EN_ORDINAL = (
     r"earlier|previously|later|afterwards?|beginning|ending)\b"
 )
 QUOTED = "[“\"『「][^”\"』」]{2,}[”\"』」]"
-# Fixed value: CJK, kana and hangul one by one, Latin words, numbers.
+# Fixed value: CJK, kana and hangul one by one, Latin words, numbers. The number part has no backslash, which the SQL of
+# the checks would need twice.
 TOKEN = "[一-鿿㐀-䶿぀-ヿ가-힯]|[A-Za-z]+(?:'[A-Za-z]+)?|[0-9]+(?:[.][0-9]+)?"
 
 # Keywords of the eight elements of a description.
@@ -117,8 +120,8 @@ def elements(x: Column) -> Column:
 
 
 def name_key(x: Column) -> Column:
-    """A name without spaces, underscores, dots, dashes; lower case."""
-    return F.lower(F.regexp_replace(x, "[ _·.\\-]", ""))
+    """A name without white space, underscores, dashes and middle dots; lower case."""
+    return F.lower(F.translate(x, BLANKS + "_-·", ""))
 
 
 def question_key(x: Column) -> Column:
@@ -126,14 +129,48 @@ def question_key(x: Column) -> Column:
     return F.regexp_replace(F.lower(x), "[^\\p{L}\\p{N}]+", "")
 
 
+def answered_key(zh: Column, en: Column, answer: Column) -> Column:
+    """What makes a question the same: letters and digits of the first filled side, and the answer."""
+    side = lambda x: F.regexp_replace(F.coalesce(x, F.lit("")), "[^\\p{L}\\p{N}]+", "")
+    return F.concat(F.when(side(zh) != "", side(zh)).otherwise(F.lower(side(en))), F.lit("|"), F.coalesce(answer, F.lit("")))
+
+
+def similarity(a: Column, b: Column, one: Column | None = None, other: Column | None = None) -> Column:
+    """Likeness of two texts: the cosine of their embeddings where both have one, else of their trigrams; 0 if one is
+    empty."""
+    grams = jaccard(ngrams(a), ngrams(b))
+    value = grams if one is None else F.when(one.isNotNull() & other.isNotNull(), cosine(one, other)).otherwise(grams)
+    return F.when((F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == ""), 0.0).otherwise(value)
+
+
+def description_faults(level: Column, zh: Column, en: Column, n_elements: Column, limits: Thresholds = DEFAULT) -> Column:
+    """What a description lacks, joined: length (either language is enough), clock times (segments only; either language),
+    elements."""
+    zh, en = F.coalesce(zh, F.lit("")), F.coalesce(en, F.lit(""))
+    shot = level == "shot"
+    short = F.when(shot, (zh_len(zh) < limits.shot_zh) & (en_len(en) < limits.shot_en)).otherwise((zh_len(zh) < limits.segment_zh) & (en_len(en) < limits.segment_en))
+    few = ~shot & (anchors(zh) < limits.anchors) & (anchors(en) < limits.anchors)
+    return F.concat_ws("; ", F.when(short, "length"), F.when(few, "anchors"), F.when(n_elements < limits.elements, F.concat(F.lit("elements "), n_elements.cast("string"))))
+
+
+def referring_fault(zh: Column, en: Column) -> Column:
+    """Why a question stem isn't accepted: too short in both languages, or nothing in either places it; null if fine."""
+    zh, en = F.coalesce(zh, F.lit("")), F.coalesce(en, F.lit(""))
+    return F.when((zh_len(zh) < 15) & (en_len(en) < 10), "short").when(~(referring(zh) | referring(en)), "no context")
+
+
 def first_text(*sides: Column) -> Column:
     """The first side that is neither null nor empty."""
     return F.coalesce(*(F.when(s != "", s) for s in sides))
 
 
+# Fixed value: punctuation that may close an option.
+CLOSING = "。.,，;；!！?？、"
+
+
 def option_key(x: Column) -> Column:
     """An option without outer white space and closing punctuation; lower case."""
-    return F.lower(F.regexp_replace(x, r"^[\s　]*|[\s　。.,，;；!！?？、]*$", ""))
+    return F.lower(F.regexp_replace(F.regexp_replace(x, r"^[\s　]*", ""), f"[\\s　{CLOSING}]*$", ""))
 
 
 def language_prior(options: Column, *questions: Column) -> Column:

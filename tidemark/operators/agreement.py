@@ -66,10 +66,28 @@ def gold_accuracy(responses: DataFrame, least: float = 0.9) -> DataFrame:
 
 
 def rework(responses: DataFrame) -> DataFrame:
-    """Questions on which not all answers agree with the most frequent one, least agreement first."""
-    a = responses.where("response is not null").groupBy("qid", "response").agg(F.count(F.lit(1)).alias("c"))
-    out = a.groupBy("qid").agg(F.sum("c").alias("n"), (F.max("c") / F.sum("c")).alias("agreement"))
-    return out.where("n >= 2 and agreement < 1")
+    """Questions on which a response (qid, annotator, response, answer) differs from the answer key, least agreement first.
+
+    Rows without a response or without a key don't count. ``answers`` are the responses by annotator.
+    """
+    told = responses.where("response is not null and answer is not null")
+    answers = F.transform(F.array_sort(F.collect_list(F.struct("annotator", "response"))), lambda x: x["response"])
+    out = told.groupBy("qid", "answer").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("response") == F.col("answer")).cast("double")).alias("agreement"), answers.alias("answers"))
+    return out.where("agreement < 1").orderBy("agreement", "qid")
+
+
+def keys(questions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(qid, answer) of the multiple-choice questions that have one, and of the gold ones among them."""
+    known = questions.where("task_type = 'mcq' and answer <> ''")
+    return known.select("qid", "answer"), known.where("is_gold").select("qid", "answer")
+
+
+def mcq_stats(responses: DataFrame) -> DataFrame:
+    """One row a batch of (qid, annotator, response, answer, is_gold): alpha of the items that aren't gold, raters whose
+    gold accuracy is too low, and questions to rework."""
+    alpha = alpha_nominal(responses.where("not is_gold and response <> ''").select(F.col("qid").alias("unit"), F.col("response").alias("value")))
+    flagged = gold_accuracy(responses).agg(F.sum(F.col("flagged").cast("int")).alias("flagged"))
+    return alpha.join(flagged).join(rework(responses).agg(F.count(F.lit(1)).alias("rework")))  # one row each
 
 
 def interval_items(responses: DataFrame, least: float = 0.5) -> DataFrame:

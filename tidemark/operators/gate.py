@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import DEFAULT, Thresholds
+from tidemark.operators.narrative import union_keep_first
 
 GATES = ("coverage", "event_density", "key_span", "shot_desc", "segment_gate", "qa_count", "bilingual", "qa_coverage", "alpha", "miou", "open_agree", "stages", "schema")
 
@@ -46,5 +47,30 @@ def effect(gated: DataFrame) -> DataFrame:
     return gated.withColumn("review_status", F.when(F.col("pass"), "verified").otherwise("draft"))
 
 
-def batch_verdict(gated: DataFrame) -> DataFrame:
-    return gated.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("pass").cast("int")).alias("passed"), F.bool_and("pass").alias("all_pass"))
+def human_todo(noted: DataFrame, events: DataFrame, gaps: DataFrame) -> DataFrame:
+    """What people must look at: (video_id, kind, event_id, s, e, reason), the first of each kind, event and span.
+
+    ``noted`` are todos that steps have written, first in rank; then key events without a review, split and rejected
+    boundaries of ``events`` (video_id, event_id, s, e, importance, boundary_state, reason), and ``gaps`` (video_id, s,
+    e, reason).
+    """
+    columns = ("video_id", "kind", "event_id", "s", "e", "reason")
+    key = events.where("importance = 'key' and boundary_state = 'unreviewed'").withColumn("kind", F.lit("key_event_unreviewed")).withColumn("reason", F.lit(None).cast("string"))
+    edge = events.where("boundary_state in ('split', 'rejected_final')").withColumn("kind", F.concat(F.lit("boundary_"), "boundary_state"))
+    holes = gaps.withColumn("kind", F.lit("uncovered_gap")).withColumn("event_id", F.lit(None).cast(events.schema["event_id"].dataType))
+    out = union_keep_first(*(x.select(*columns) for x in (noted, key, edge, holes)), key=["video_id", "kind", "event_id", "s", "e"], order=["reason"])
+    return out.select(*columns)
+
+
+def batch_verdict(gated: DataFrame, todos: DataFrame) -> DataFrame:
+    """One row a batch: videos, those that pass, whether all do, and how many todos people have."""
+    verdict = gated.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("pass").cast("int")).alias("passed"), F.bool_and("pass").alias("all_pass"))
+    return verdict.join(todos.agg(F.count(F.lit(1)).alias("human_todo_total")))  # one row each
+
+
+def report(gated: DataFrame, todos: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
+    """The release report, one JSON row: the verdict, the thresholds that it was taken by, and each failed video's reasons."""
+    failed = gated.where("not pass").agg(F.sort_array(F.collect_list(F.struct("video_id", "reasons"))).alias("failed"))
+    used = {k: getattr(limits, k) for k in ("events_per_hour", "qa_count", "bilingual_share", "alpha", "iou_share", "open_share")}
+    thresholds = F.struct(*(F.lit(v).alias(k) for k, v in used.items())).alias("thresholds")
+    return batch_verdict(gated, todos).join(failed).select(F.to_json(F.struct("n", "passed", "all_pass", "human_todo_total", thresholds, "failed")).alias("report"))

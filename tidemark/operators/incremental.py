@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Which stage reads which.
-DEPENDS = (("S1", "S2"), ("S1", "S3"), ("S2", "S4"), ("S3", "S4"), ("S4", "S5"), ("S5", "S6"), ("S6", "S7"))
+# Which stage is read by which. S1 structure, S2 descriptions, S3 events, S4 the whole, S5 questions,
+# S6 verification, S7 filters.
+DEPENDS = (
+    ("S1", "S2"), ("S1", "S3"), ("S2", "S3"), ("S1", "S4"), ("S3", "S4"), ("S1", "S5"), ("S3", "S5"), ("S4", "S5"), ("S5", "S6"), ("S5", "S7"), ("S6", "S7"),
+)
 
 
 def content_hash(*columns: Column) -> Column:
@@ -20,6 +23,33 @@ def stage_hashes(rows: DataFrame, by: list[str], order: Column, digest: Column)
     return rows.groupBy(*by).agg(F.sha2(F.array_join(parts, ""), 256).alias("hash"))
 
 
+def cascaded(payloads: DataFrame, depends=DEPENDS) -> DataFrame:
+    """Stage hashes of ``payloads`` (video_id, stage, digest) that change with anything upstream: a stage's hash is over
+    its name, its own digest, and the hashes of the stages that it reads. A stage without a payload has digest ''."""
+    stages = sorted({s for pair in depends for s in pair})
+    out = payloads.groupBy("video_id").pivot("stage", stages).agg(F.first("digest"))
+    for stage in stages:  # names are in an order that has each stage after what it reads
+        upstream = [F.col(src) for src, dst in depends if dst == stage]
+        out = out.withColumn(stage, F.sha2(F.concat_ws("|", F.lit(stage), F.coalesce(stage, F.lit("")), *upstream), 256))
+    return out.select("video_id", F.explode(F.array(*(F.struct(F.lit(s).alias("stage"), F.col(s).alias("hash")) for s in stages))).alias("x")).select("video_id", "x.*")
+
+
+def manifest_rows(states: DataFrame, gaps: DataFrame) -> DataFrame:
+    """What a product carries of its manifest, one row a video: its stages as (stage, state, first 12 characters of the
+    hash), and its gaps rounded to milliseconds."""
+    stages = states.groupBy("video_id").agg(F.sort_array(F.collect_list(F.struct("stage", "state", F.left(F.coalesce("input_hash", F.lit("")), F.lit(12)).alias("input_hash")))).alias("stages"))
+    holes = gaps.groupBy("video_id").agg(F.sort_array(F.collect_list(F.struct(F.round("s", 3).alias("s"), F.round("e", 3).alias("e"), "reason"))).alias("gaps"))
+    return stages.join(holes, "video_id", "left").withColumn("gaps", F.coalesce("gaps", F.array().cast("array<struct<s: double, e: double, reason: string>>")))
+
+
+def restored(previous: DataFrame, states: DataFrame, made_by: dict[str, str]) -> DataFrame:
+    """The tracks of a previous product (video_id, one column a track) that a new run starts from: those whose stage is
+    done, others null. ``made_by``: track to stage."""
+    done = states.where("state = 'done'").groupBy("video_id").agg(F.collect_set("stage").alias("__done"))
+    out = previous.join(done, "video_id", "left")
+    return out.select("video_id", *(F.when(F.array_contains("__done", stage), F.col(track)).alias(track) for track, stage in made_by.items()))
+
+
 def needs_run(current: DataFrame, manifest: DataFrame, key: list[str]) -> DataFrame:
     """``current`` (key, hash) rows that aren't done with the same hash in ``manifest`` (key, state, input_hash)."""
     met = current.join(manifest, key, "left")
@@ -33,7 +63,7 @@ def latest(manifest: DataFrame, key: list[str], at: str) -> DataFrame:
 
 
 def downstream(spark: SparkSession, changed: DataFrame, depends=DEPENDS) -> DataFrame:
-    """(video_id, stage): everything that reads, directly or not, a changed stage. The stage graph is seven rows."""
+    """(video_id, stage): everything that reads, directly or not, a changed stage. The stage graph is a constant."""
     edges = spark.createDataFrame(list(depends), "src string, dst string")
     reach = found = changed.select("video_id", "stage").distinct()
     for _ in range(len(depends)):

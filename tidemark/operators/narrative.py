@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.config import VERIFIED_STATES
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
 
 
 def scene_of(events: DataFrame, scenes: DataFrame, width: float) -> DataFrame:
-    """The first scene, in list order, that holds an event's middle; null without one. Joined by time bucket."""
+    """The first scene, in list order (``place``), that holds an event's middle; null without one. Joined by time bucket."""
     mid = events.withColumn("mid", (F.col("s") + F.col("e")) / 2).withColumn("__b", F.floor(F.col("mid") / width))
-    spread = scenes.select("video_id", "scene_id", F.col("s").alias("ss"), F.col("e").alias("se"), F.explode(F.sequence(F.floor(F.col("s") / width), F.floor(F.col("e") / width))).alias("__b"))
+    spread = scenes.select("video_id", "scene_id", "place", F.col("s").alias("ss"), F.col("e").alias("se"), F.explode(F.sequence(F.floor(F.col("s") / width), F.floor(F.col("e") / width))).alias("__b"))
     met = mid.join(spread, ["video_id", "__b"]).where("ss <= mid and mid <= se")
-    found = met.groupBy("video_id", "ord").agg(F.min("scene_id").alias("scene_id"))
+    found = met.groupBy("video_id", "ord").agg(F.min_by("scene_id", "place").alias("scene_id"))
     return events.join(found, ["video_id", "ord"], "left")
 
 
@@ -26,12 +27,15 @@ def alignment(events: DataFrame, scenes: DataFrame, least: float = 0.5) -> DataF
 
 
 def causal_faults(events: DataFrame) -> DataFrame:
-    """Each edge cause -> event with the first rule it breaks: missing, self loop, unverified boundary, order."""
+    """Each edge cause -> event with the first rule it breaks: missing, self loop, unverified boundary, order.
+
+    Both ends must have a verified or refined boundary; a split one doesn't count.
+    """
     edges = events.where("cause is not null").select("video_id", "ord", "cause", F.col("s").alias("es"), F.col("boundary_state").alias("eb"))
     causes = events.select("video_id", F.col("ord").alias("cause"), F.col("e").alias("ce"), F.col("boundary_state").alias("cb"))
     fault = (
         F.when(F.col("cb").isNull(), "missing").when(F.col("cause") == F.col("ord"), "self loop")
-        .when((F.col("cb") == "unreviewed") | (F.col("eb") == "unreviewed"), "unverified").when(F.col("ce") > F.col("es") + 1e-6, "order")
+        .when(~(F.col("cb").isin(*VERIFIED_STATES) & F.coalesce(F.col("eb").isin(*VERIFIED_STATES), F.lit(False))), "unverified").when(F.col("ce") > F.col("es") + 1e-6, "order")
     )
     return edges.join(causes, ["video_id", "cause"], "left").select("video_id", "ord", "cause", fault.alias("fault"), fault.isNull().alias("valid"))
 
@@ -41,26 +45,33 @@ def character_stats(appearances: DataFrame) -> DataFrame:
     return appearances.groupBy("video_id", "name").agg(F.min("s").alias("first_seen"), F.sum(F.greatest(F.lit(0.0), F.col("e") - F.col("s"))).alias("screen_time"), F.count(F.lit(1)).alias("appearances"))
 
 
-def match_alias(mentions: DataFrame, names: DataFrame) -> DataFrame:
-    """``mentions`` (name) with the id of ``names`` (id, en, zh, aliases): exact names first, then normalised ones,
-    then aliases; the least id of the best level wins."""
-    options = names.select("id", F.explode(F.array_compact(F.concat(
-        F.array(*(F.when(F.col(c).isNotNull(), F.struct(F.lit(0).alias("level"), F.col(c).alias("key"))) for c in ("en", "zh", "id"))),
-        F.array(*(F.when(F.col(c).isNotNull(), F.struct(F.lit(1).alias("level"), T.name_key(F.col(c)).alias("key"))) for c in ("en", "zh", "id"))),
-        F.transform("aliases", lambda a: F.struct(F.lit(2).alias("level"), T.name_key(a).alias("key"))),
-    ))).alias("o")).select("id", "o.level", "o.key")
-    wanted = mentions.select("name").distinct().select("name", F.explode(F.array(F.struct(F.lit(0).alias("level"), F.col("name").alias("key")), F.struct(F.lit(1).alias("level"), T.name_key(F.col("name")).alias("key")), F.struct(F.lit(2).alias("level"), T.name_key(F.col("name")).alias("key")))).alias("w")).select("name", "w.level", "w.key")
-    best = wanted.join(options, ["level", "key"]).groupBy("name").agg(F.min(F.struct("level", "id")).alias("m"))
-    return mentions.join(best, "name", "left").select(*mentions.columns, F.col("m.id").alias("id"))
+def match_alias(names: DataFrame, seen: DataFrame) -> DataFrame:
+    """``names`` (id, en, zh, aliases) of each video with the name of ``seen`` (name, ord) that each stands for.
+
+    A person's candidates are tried in order: en, zh, id, then the aliases. Each is looked up as it is, then
+    normalised; of several seen names with one normal form the first counts. ``alias`` is null without a hit.
+    """
+    tried = F.filter(F.concat(F.array("en", "zh", "id"), F.coalesce("aliases", F.array().cast("array<string>"))), lambda c: F.coalesce(c, F.lit("")) != "")
+    tried = names.select("video_id", "id", F.posexplode(tried).alias("p", "c")).withColumn("key", T.name_key(F.col("c")))
+    exact = seen.select("video_id", F.col("name").alias("c"), F.col("name").alias("hit")).distinct()
+    normal = seen.groupBy("video_id", T.name_key(F.col("name")).alias("key")).agg(F.min_by("name", "ord").alias("near"))
+    met = tried.join(exact, ["video_id", "c"], "left").join(normal, ["video_id", "key"], "left").withColumn("alias", F.coalesce("hit", "near"))
+    best = met.where("alias is not null").groupBy("video_id", "id").agg(F.min_by("alias", "p").alias("alias"))
+    return names.join(best, ["video_id", "id"], "left")
+
+
+def unmatched(matched: DataFrame, seen: DataFrame) -> DataFrame:
+    """Names of ``seen`` that no person of ``match_alias`` stands for, for merging by hand."""
+    return seen.join(matched.select("video_id", F.col("alias").alias("name")), ["video_id", "name"], "left_anti")
 
 
 def normalise_spans(events: DataFrame, duration: float, key_width: float = 3.0) -> DataFrame:
-    """Clamp to the timeline; an empty span gets a second on both sides; a key event that is still bad or too narrow
-    becomes minor, and bad ones are told."""
+    """Clamp to the timeline; an empty span gets a second on both sides of its start; a key event that is still bad or
+    too narrow becomes minor, and bad ones are told."""
     s, e = I.clamp(F.col("s"), 0.0, duration), I.clamp(F.col("e"), 0.0, duration)
     out = events.withColumn("ns", s).withColumn("ne", e)
     empty = F.col("ns") >= F.col("ne")
-    out = out.withColumn("ns2", F.when(empty, F.greatest(F.lit(0.0), F.col("ns") - 1)).otherwise(F.col("ns"))).withColumn("ne2", F.when(empty, F.least(F.lit(duration), F.col("ne") + 1)).otherwise(F.col("ne")))
+    out = out.withColumn("ns2", F.when(empty, F.greatest(F.lit(0.0), F.col("ns") - 1)).otherwise(F.col("ns"))).withColumn("ne2", F.when(empty, F.least(F.lit(duration), F.col("ns") + 1)).otherwise(F.col("ne")))
     bad = F.col("ns2") >= F.col("ne2")
     narrow = (F.col("importance") == "key") & (F.col("ne2") - F.col("ns2") < key_width)
     out = out.withColumn("todo", bad).withColumn("narrow", narrow & ~bad)
@@ -82,10 +93,38 @@ def apply_verdicts(candidates: DataFrame) -> DataFrame:
     return candidates.select("video_id", F.explode(rows).alias("r")).select("video_id", "r.*")
 
 
-def boundary_stats(candidates: DataFrame) -> DataFrame:
-    """Per video: share of refined and split, and of rejected, among all verdicts."""
-    share = lambda *d: F.avg(F.col("decision").isin(*d).cast("double"))
-    return candidates.groupBy("video_id").agg(F.count(F.lit(1)).alias("n"), share("refined", "split").alias("refined_ratio"), share("rejected").alias("rejected_ratio"))
+def refine(candidates: DataFrame, *rounds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(kept, rejected) of ``candidates`` (video_id, id, s, e) after each round of verdicts (video_id, id, decision, rs,
+    re, at). The first round reviews all, a later one what the one before has refined or split; a row without a verdict
+    is unreviewed. Both have video_id, id, s, e; the kept ones their boundary_state."""
+    pending, kept, rejected = candidates.select("video_id", "id", "s", "e"), None, None
+    both = lambda one, other: other if one is None else one.unionByName(other)
+    for i, verdicts in enumerate(rounds):
+        judged = pending.join(verdicts.select("video_id", "id", "decision", "rs", "re", "at"), ["video_id", "id"], "left")
+        rejected = both(rejected, judged.where("decision = 'rejected'").select("video_id", "id", "s", "e"))
+        rows = apply_verdicts(judged.withColumn("decision", F.coalesce("decision", F.lit("unreviewed"))))
+        again = F.col("boundary_state").isin("refined", "split") & F.lit(i + 1 < len(rounds))
+        kept = both(kept, rows.where(~again))
+        pending = rows.where(again).select("video_id", "id", "s", "e")
+    return kept, rejected
+
+
+def pair_dedup(events: DataFrame, clusters: DataFrame, least: float = 0.85) -> DataFrame:
+    """(video_id, kept, merged) of clusters of two events (video_id, ord, s, txt) whose texts are alike: the longer text
+    stays, of equal ones the earlier."""
+    sized = clusters.join(clusters.groupBy("video_id", "cluster").agg(F.count(F.lit(1)).alias("n")).where("n = 2"), ["video_id", "cluster"])
+    both = sized.join(events.select("video_id", "ord", "s", "e", "txt"), ["video_id", "ord"]).groupBy("video_id", "cluster").agg(F.array_sort(F.collect_list(F.struct("s", "e", "ord", "txt"))).alias("x"))
+    one, other = F.col("x")[0], F.col("x")[1]
+    alike = both.where(T.similarity(one["txt"], other["txt"]) >= least)
+    first = F.length(one["txt"]) >= F.length(other["txt"])
+    return alike.select("video_id", F.when(first, one["ord"]).otherwise(other["ord"]).alias("kept"), F.when(first, other["ord"]).otherwise(one["ord"]).alias("merged"))
+
+
+def boundary_stats(kept: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Per video, of the rows after a split and the rejected ones: the share of refined and split, and of rejected."""
+    rows = kept.select("video_id", "boundary_state").unionByName(rejected.select("video_id", F.lit("rejected").alias("boundary_state")))
+    share = lambda *d: F.round(F.avg(F.col("boundary_state").isin(*d).cast("double")), 3)
+    return rows.groupBy("video_id").agg(F.count(F.lit(1)).alias("n"), share("refined", "split").alias("refined_ratio"), share("rejected").alias("rejected_ratio"))
 
 
 def neighbour_alerts(events: DataFrame, ratio: float = 0.8) -> DataFrame:

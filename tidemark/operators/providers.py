@@ -7,6 +7,8 @@ their hash, answered once, and joined back.
 
 from __future__ import annotations
 
+import random
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -23,19 +25,43 @@ def recorded(requests: DataFrame, recordings: DataFrame) -> DataFrame:
     return requests.join(recordings.dropDuplicates(["request_hash"]), "request_hash", "left").withColumn("ok", F.col("response").isNotNull())
 
 
-def complete(requests: DataFrame, make: Callable[[], object], tries: int = 4) -> DataFrame:
-    """Answer ``prompt`` of each request by a provider made once a task; failures come back with ok false."""
+# Statuses that no repetition mends, and the longest waits in seconds.
+FATAL = (400, 401, 403, 404, 413, 415, 422)
+LONGEST_BACKOFF, LONGEST_RETRY_AFTER = 30.0, 60.0
+
+
+def backoff(attempt: int, retry_after: float | None, share: float) -> float:
+    """Seconds before the next try: what the provider asks for, else doubling; ``share`` in [0, 1] spreads tasks apart."""
+    if retry_after is not None:
+        return min(max(0.0, retry_after), LONGEST_RETRY_AFTER)
+    return min(2.0**attempt, LONGEST_BACKOFF) * (0.5 + 0.5 * share)
+
+
+def complete(requests: DataFrame, make: Callable[[], object], tries: int = 4, wait: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Answer ``prompt`` of each request by a provider made once a task; failures come back with ok false.
+
+    Open prompts are asked again after ``backoff``. An error with a ``status_code`` in ``FATAL`` ends the tries; one
+    with ``retry_after`` says how long to wait.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         provider = make()
         for batch in batches:
             answers: list[str | None] = [None] * len(batch)
-            for _ in range(tries):
+            for attempt in range(tries):
                 open_ = [i for i, a in enumerate(answers) if a is None]
                 if not open_:
                     break
-                for i, a in zip(open_, provider.complete([batch["prompt"].iloc[i] for i in open_]), strict=True):
-                    answers[i] = a
+                after = None
+                try:
+                    for i, a in zip(open_, provider.complete([batch["prompt"].iloc[i] for i in open_]), strict=True):
+                        answers[i] = a
+                except Exception as e:
+                    if getattr(e, "status_code", None) in FATAL:
+                        break
+                    after = getattr(e, "retry_after", None)
+                if None in answers and attempt + 1 < tries:
+                    wait(backoff(attempt, after, random.random()))
             yield pd.DataFrame({"request_hash": batch["request_hash"], "response": answers, "ok": [a is not None for a in answers]})
 
     distinct = requests.select("request_hash", "prompt").dropDuplicates(["request_hash"])

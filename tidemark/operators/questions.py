@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.config import CAPABILITIES, HARD_CAPABILITIES, SUBTITLE_CAPABILITIES
+from tidemark.config import CAPABILITIES, DEFAULT, HARD_CAPABILITIES, SUBTITLE_CAPABILITIES, Thresholds
+from tidemark.functions import intervals as I
 from tidemark.functions import text as T
 
 CHANNELS = ("blind", "subtitle", "single_frame", "synopsis", "language_prior", "subtitle_locate", "blind_similar")
@@ -37,7 +38,7 @@ def drops_by_channel(questions: DataFrame) -> DataFrame:
 
 def difficulty(questions: DataFrame) -> Column:
     """hard by capability, several spans or a whole-video need; easy if one scene is enough and no channel hit."""
-    hard = F.arrays_overlap("capability", F.array(*map(F.lit, HARD_CAPABILITIES))) | (F.col("n_spans") >= 2) | F.coalesce(F.col("min_watch") == "whole_video", F.lit(False))
+    hard = F.arrays_overlap("capability", F.array(*map(F.lit, HARD_CAPABILITIES))) | (F.size("spans") >= 2) | F.coalesce(F.col("min_watch") == "whole_video", F.lit(False))
     hit = _flag(questions, "blind") | _flag(questions, "single_frame") | _flag(questions, "subtitle") | _flag(questions, "synopsis") | _flag(questions, "language_prior")
     easy = F.coalesce(F.col("min_watch") == "single_scene", F.lit(True)) & ~hit
     return F.when(hard, "hard").when(easy, "easy").otherwise("medium")
@@ -66,11 +67,15 @@ def renumber(questions: DataFrame) -> DataFrame:
 
 
 def coverage(questions: DataFrame, duration: float, least_layer: int = 2) -> DataFrame:
-    """The capability matrix of each video, its five checks and whether all pass."""
-    bucket = F.least(F.lit(3), F.floor(F.col("s") / duration * 4))
+    """The capability matrix of each video, its five checks and whether all pass.
+
+    Every capability of a question counts for its layer, and every span of its evidence (``spans``) for the quarter of
+    the timeline that it starts in.
+    """
     count = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("int"))
-    layers = {f"L{i}": count(F.exists("capability", (lambda layer: lambda c: c.startswith(layer))(f"L{i}"))).alias(f"L{i}") for i in range(1, 6)}
-    buckets = {f"b{i}": count(bucket == i).alias(f"b{i}") for i in range(4)}
+    total = lambda c: F.coalesce(F.sum(F.size(c)), F.lit(0))
+    layers = {f"L{i}": total(F.filter("capability", (lambda layer: lambda c: c.startswith(layer))(f"L{i}"))).alias(f"L{i}") for i in range(1, 6)}
+    buckets = {f"b{i}": total(F.filter("spans", (lambda n: lambda x: I.time_bucket(x["s"], F.lit(duration)) == n)(i))).alias(f"b{i}") for i in range(4)}
     tasks = {t: count(F.col("task_type") == t).alias(t) for t in ("mcq", "temporal_grounding", "open", "summary")}
     out = questions.groupBy("video_id").agg(F.count(F.lit(1)).alias("n"), *layers.values(), count(F.col("min_watch").isin("cross_scene", "whole_video")).alias("cross"), *tasks.values(), *buckets.values())
     share = lambda c: F.col(c) / F.col("n")
@@ -116,6 +121,53 @@ def first_fault(q: DataFrame, spread: float = 0.35) -> Column:
     )
 
 
+def faults(questions: DataFrame, anchors: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
+    """``questions`` with ``fault``, the first rule that each breaks, or null.
+
+    ``questions``: video_id, qid, duration, task_type, question, evidence and target (arrays of two numbers), anchor_id,
+    options, answer, ref_zh, ref_en. ``anchors``: video_id, anchor_id, s, e. Evidence must be valid, inside the
+    timeline, inside some anchor of the video, and touch the question's own anchor; a temporal target must be inside
+    that; then come the rules of each task type. A video without anchors is only checked against its timeline. A
+    video's anchors are a bounded pool (capped when they are chosen), so they are joined as one array.
+    """
+    tol = limits.span_tolerance
+    pool = anchors.groupBy("video_id").agg(F.collect_list(F.struct("s", "e")).alias("pool"))
+    own = anchors.select("video_id", "anchor_id", F.struct("s", "e").alias("own")).dropDuplicates(["video_id", "anchor_id"])
+    q = questions.join(pool, "video_id", "left").join(own, ["video_id", "anchor_id"], "left")
+    q = q.withColumn("any", F.filter("pool", lambda a: a["e"] > a["s"])).withColumn("spans", F.transform("evidence", I.pair))
+    outside = lambda p: (p["s"] < 0) | ((F.col("duration") > 0) & (p["e"] > F.col("duration") + tol))
+    inside = lambda p: F.exists("any", lambda a: I.within(p["s"], p["e"], a["s"], a["e"], tol))
+    a_span = lambda p: F.when(p.isNull(), "evidence").when(outside(p), "evidence outside").when((F.size("any") > 0) & ~inside(p), "evidence off anchors")
+    first = F.try_element_at(F.filter(F.transform("spans", a_span), lambda x: x.isNotNull()), F.lit(1))
+    good = F.col("own.e") > F.col("own.s")
+    touches = F.exists("spans", lambda p: I.overlap_ratio(p["s"], p["e"], F.col("own.s"), F.col("own.e")) > 0)
+    kind, target = F.col("task_type"), I.pair(F.col("target"))
+    temporal, mcq, open_ = kind == "temporal_grounding", kind == "mcq", kind.isin("open", "summary")
+    lengths = F.transform("options", lambda o: F.greatest(T.zh_len(o), T.en_len(o)).cast("double"))
+    at = F.array_position(F.array(*map(F.lit, "ABCD")), F.col("answer")).cast("int")
+    longest, mine = F.array_max(lengths), F.try_element_at(lengths, at)
+    zh, en = F.coalesce("ref_zh", F.lit("")), F.coalesce("ref_en", F.lit(""))
+    fault = F.coalesce(
+        F.when((F.coalesce("question", F.lit("")) == "") | (F.coalesce(F.size("evidence"), F.lit(0)) <= 0), "no question or evidence"),
+        F.when(~F.coalesce(kind.isin("mcq", "temporal_grounding", "open", "summary"), F.lit(False)), "task type"),
+        first,
+        F.when(F.col("own").isNotNull() & ~F.coalesce(good, F.lit(False)), "anchor"),
+        F.when(F.col("pool").isNotNull() & F.col("own").isNull(), "unknown anchor"),
+        F.when(good & ~touches, "evidence off own anchor"),
+        F.when(temporal & target.isNull(), "target"),
+        F.when(temporal & outside(target), "target outside"),
+        F.when(temporal & good & ~I.within(target["s"], target["e"], F.col("own.s"), F.col("own.e"), tol), "target off anchor"),
+        F.when(mcq & ((F.coalesce(F.size("options"), F.lit(0)) != 4) | (F.coalesce(at, F.lit(0)) == 0)), "options or answer"),
+        F.when(mcq & (longest <= 0), "empty options"),
+        F.when(mcq & (option_spread(lengths) >= limits.option_spread), "option lengths"),
+        F.when(mcq & (mine == longest) & (F.size(F.filter(lengths, lambda x: x == longest)) == 1), "longest option"),
+        F.when(temporal & (target["e"] - target["s"] < limits.target_sec), "target width"),
+        F.when(open_ & (T.zh_len(zh) < limits.reference_zh) & (T.en_len(en) < limits.reference_en), "short reference"),
+        F.when(open_ & (T.anchors(zh) + T.anchors(en) < 2) & ~F.concat(zh, en).contains('"'), "no details"),
+    )
+    return q.withColumn("fault", fault).drop("pool", "own", "any", "spans")
+
+
 def known_capabilities(capability: Column) -> Column:
     """Unknown capabilities go; none left means causal."""
     kept = F.array_intersect(F.coalesce(capability, F.array().cast("array<string>")), F.array(*map(F.lit, CAPABILITIES)))

@@ -73,12 +73,16 @@ def timeline(events: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def verification_kpis(verdicts: DataFrame, by: list[str]) -> DataFrame:
-    """Of (task_type, verified, passed, regen, dropped): shares rounded to 3, null where nothing was verified."""
+    """Of (task_type, verified, passed, regen, dropped, leaked): shares rounded to 3, null where nothing was verified.
+
+    A dropped question has leaked into the synopsis, or its verifier disagreed to the end.
+    """
     kind = lambda *t: F.col("task_type").isin(*t)
     n = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("int"))
     share = lambda k: F.round(n(k & F.col("verified") & F.col("passed")) / F.nullif(n(k & F.col("verified")), F.lit(0)), 3)
     return verdicts.groupBy(*by).agg(
-        n(F.col("verified")).alias("verified"), F.sum("regen").alias("regen"), n(F.col("dropped")).alias("dropped"), share(kind("mcq")).alias("verify_agreement"),
+        n(F.col("verified")).alias("verified"), F.sum("regen").alias("regen"), n(F.col("dropped")).alias("dropped"),
+        n(F.col("dropped") & F.col("leaked")).alias("synopsis_leak_dropped"), n(F.col("dropped") & ~F.col("leaked")).alias("verify_mismatch_dropped"), share(kind("mcq")).alias("verify_agreement"),
         share(kind("temporal_grounding")).alias("temporal_miou_ratio"), share(kind("open", "summary")).alias("open_agreement"),
     )
 
@@ -142,8 +146,8 @@ def deficits(coverage: DataFrame, quota: Column, least_layer: int = 2) -> DataFr
 
 
 def reusable(manifest: DataFrame, products: DataFrame, stages: int) -> DataFrame:
-    """Videos whose stages are all done (or skipped) and whose product exists."""
-    done = manifest.where(F.col("state").isin("done", "skipped")).groupBy("video_id").agg(F.countDistinct("stage").alias("n")).where(F.col("n") == stages)
+    """Videos whose stages are all done and whose product exists; a skipped stage isn't done."""
+    done = manifest.where("state = 'done'").groupBy("video_id").agg(F.countDistinct("stage").alias("n")).where(F.col("n") == stages)
     return done.join(products.select("video_id").distinct(), "video_id", "left_semi").select("video_id")
 
 

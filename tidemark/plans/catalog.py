@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.config import DEFAULT, MODALITIES
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
-from tidemark.operators import agreement, audio, gate, incremental, joins, narrative, providers, questions, segments, workflow
+from tidemark.operators import agreement, audio, frames, gate, incremental, joins, narrative, providers, questions, segments, workflow
 from tidemark.plans import checks
 from tidemark.sources import fixtures as X
 from tidemark.sources import json_io
@@ -59,7 +59,7 @@ def qc_gold_accuracy(spark, d):
 
 @query
 def qc_rework(spark, d):
-    return agreement.rework(X.responses(spark, d).where("task_type = 'mcq'")).withColumn("agreement", r6("agreement"))
+    return agreement.rework(X.responses(spark, d).where("task_type = 'mcq'")).withColumn("agreement", r6("agreement")).withColumn("answers", F.array_join("answers", ","))
 
 
 @query
@@ -87,7 +87,7 @@ def qc_open_agreement(spark, d):
 
 @query
 def text_rouge_l(spark, d):
-    """ROUGE-L of the first turn's tokens against the reply's (the fold is quadratic, so benchmark items stand in)."""
+    """ROUGE-L of the tokens of each benchmark item and the next."""
     b = X.table(spark, d, "benchmark")
     pairs = b.join(b.select((F.col("item_id") - 1).alias("item_id"), F.col("text").alias("other")), "item_id")
     return pairs.select("item_id", r6(T.rouge_l(T.tokens(F.col("text")), T.tokens(F.col("other")))).alias("rouge_l"))
@@ -101,7 +101,7 @@ def _facts(spark, d) -> DataFrame:
         e.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_events"), n((F.col("importance") == "key") & ~((F.col("s") >= 0) & (F.col("s") < F.col("e")) & (F.col("e") <= 720))).alias("n_bad_key")),
         s.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_shots")),
         q.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_qa"), n(F.col("task_type") == "temporal_grounding").alias("n_temporal"), n(F.col("ord") % 30 != 0).alias("n_bilingual")),
-        questions.coverage(q.withColumn("capability", F.array("capability")), X.DURATION).select("video_id", F.col("ok").alias("coverage_ok")),
+        questions.coverage(_qa(spark, d), X.DURATION).select("video_id", F.col("ok").alias("coverage_ok")),
         agreement.pass_ratio(agreement.interval_items(r.where("task_type = 'temporal_grounding'")), ["video_id"], DEFAULT.iou_share).select("video_id", F.col("ratio").alias("miou_ratio")),
     ]
     out = v
@@ -122,7 +122,40 @@ def qc_release_gate(spark, d):
 
 @query
 def qc_batch_verdict(spark, d):
-    return gate.batch_verdict(gate.release_gate(_facts(spark, d)))
+    return gate.batch_verdict(gate.release_gate(_facts(spark, d)), _todos(spark, d))
+
+
+def _todos(spark, d) -> DataFrame:
+    """Todos that steps noted (some twice, some told again by the events), the events, and uncovered gaps."""
+    e = X.events(spark, d).withColumn("event_id", F.col("ord").cast("string"))
+    none = F.lit(None).cast("string")
+    noted = e.where("ord % 6 = 3").select("video_id", F.when(F.col("ord") % 4 == 3, "key_event_unreviewed").otherwise("event_span_invalid").alias("kind"), "event_id", "s", "e", F.lit("noted").alias("reason"))
+    gaps = segments.gaps(X.videos(spark, d), X.spans(spark, d), DEFAULT.coverage_eps, DEFAULT.coverage_eps, True).select("video_id", F.round("s", 3).alias("s"), F.round("e", 3).alias("e"), F.lit("uncovered").alias("reason"))
+    return gate.human_todo(noted.unionByName(noted), e.withColumn("reason", none), gaps)
+
+
+@query
+def human_todo(spark, d):
+    return _todos(spark, d)
+
+
+@query
+def release_report(spark, d):
+    out = gate.report(gate.release_gate(_facts(spark, d)), _todos(spark, d))
+    get = lambda path: F.get_json_object("report", f"$.{path}")
+    return out.select(get("n").cast("long").alias("n"), get("human_todo_total").cast("long").alias("todos"), get("thresholds.alpha").cast("double").alias("alpha"), F.size(F.from_json(get("failed"), "array<struct<video_id: bigint, reasons: string>>")).cast("long").alias("failed"))
+
+
+@query
+def mcq_stats(spark, d):
+    return agreement.mcq_stats(X.responses(spark, d).where("task_type = 'mcq'")).withColumn("alpha", r6("alpha"))
+
+
+@query
+def answer_keys(spark, d):
+    q = X.qa(spark, d).withColumn("answer", F.when(F.col("ord") % 10 != 1, F.col("answer")))
+    every, gold = agreement.keys(q)
+    return every.join(gold.select("qid", F.lit(True).alias("gold")), "qid", "left").select("qid", "answer", F.coalesce("gold", F.lit(False)).alias("gold"))
 
 
 # --- ordered operators
@@ -181,10 +214,9 @@ def first_fit_clusters(spark, d):
 
 @query
 def pair_dedup(spark, d):
-    """Of clusters of two like events the longer description stays (here: later end, then larger id)."""
-    both = segments.first_fit_clusters(X.spans(spark, d)).join(X.spans(spark, d), ["video_id", "ord"])
-    g = both.groupBy("video_id", "cluster").agg(F.count(F.lit(1)).alias("n"), F.min("txt").alias("lo"), F.max("txt").alias("hi"), F.max(F.struct("e", "ord")).alias("k"), F.min(F.struct("e", "ord")).alias("m"))
-    return g.where("n = 2 and lo = hi").select("video_id", F.col("k.ord").alias("kept"), F.col("m.ord").alias("merged"))
+    """Of clusters of two events with like descriptions the longer one stays."""
+    e = X.spans(spark, d).withColumn("txt", F.concat(F.repeat(F.concat("txt", F.lit(" at the gate ")), 3), F.repeat(F.lit("!"), (F.col("ord") % 9).cast("int"))))
+    return narrative.pair_dedup(e, segments.first_fit_clusters(e))
 
 
 @query
@@ -207,6 +239,14 @@ def window_subtitle_join(spark, d):
     return met.groupBy("video_id", "s", "e").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rs", "ord", "txt"))), lambda x: x["txt"]), "\n").alias("subtitles"))
 
 
+@query
+def window_ocr_join(spark, d):
+    """Screen text of each window, joined by pipes; screen text counts by its point in time."""
+    ocr = X.points(spark, d).where("ord % 4 = 1").select("video_id", "ord", F.col("t").alias("rs"), F.col("t").alias("re"), "txt")
+    met = joins.range_join(_windows(spark, d), ocr, DEFAULT.window_sec)
+    return met.groupBy("video_id", "s", "e").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rs", "ord", "txt"))), lambda x: x["txt"]), " | ").alias("ocr"))
+
+
 @query
 def shot_segment_join(spark, d):
     shots = X.shots(spark, d).select("video_id", "ord", F.col("s").alias("rs"), F.col("e").alias("re"))
@@ -261,18 +301,30 @@ def responses_semi_anti(spark, d):
 
 @query
 def alias_match(spark, d):
-    """Supplier mentions in several spellings against suppliers by nation."""
+    """Suppliers of a nation as persons, against mentions in several spellings, and the mentions that are left."""
+    names, seen = _persons(spark, d)
+    matched = narrative.match_alias(names, seen)
+    return matched.select("video_id", "id", "alias").unionByName(narrative.unmatched(matched, seen).select("video_id", F.lit(None).cast("string").alias("id"), F.col("name").alias("alias")))
+
+
+def _persons(spark, d) -> tuple[DataFrame, DataFrame]:
     s = X.table(spark, d, "supplier")
-    names = s.select(F.col("s_suppkey").cast("string").alias("id"), F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).alias("en"), F.lit(None).cast("string").alias("zh"), F.array(F.concat(F.lit("No-"), F.col("s_suppkey").cast("string"))).alias("aliases"))
-    mention = F.when(F.col("s_suppkey") % 3 == 0, F.col("s_name")).when(F.col("s_suppkey") % 3 == 1, F.upper(F.regexp_replace("s_name", "#", "_#"))).otherwise(F.concat(F.lit("no "), F.col("s_suppkey").cast("string")))
-    return narrative.match_alias(s.select(F.col("s_suppkey").alias("k"), mention.alias("name")), names)
+    k = F.col("s_suppkey")
+    names = s.select(F.col("s_nationkey").alias("video_id"), k.cast("string").alias("id"), F.when(k % 2 == 0, F.col("s_name")).alias("en"), F.when(k % 5 == 0, F.concat(F.lit("J.R."), k.cast("string"))).alias("zh"), F.array(F.concat(F.lit("No-"), k.cast("string"))).alias("aliases"))
+    spelt = F.array(F.col("s_name"), F.upper(F.regexp_replace("s_name", "#", "_ #")), F.concat(F.lit("no "), k.cast("string")), F.concat(F.lit("JR"), k.cast("string")), F.concat(F.lit("j.r.·"), k.cast("string")))
+    seen = s.select(F.col("s_nationkey").alias("video_id"), k, F.posexplode(spelt).alias("p", "name")).where((k + F.col("p")) % 3 == 0)
+    return names, seen.select("video_id", "name", (F.col("s_suppkey") * 10 + F.col("p")).alias("ord"))
 
 
 # --- questions
 
 
 def _qa(spark, d) -> DataFrame:
-    return X.qa(spark, d).withColumn("capability", F.array("capability")).withColumn("n_spans", F.when(F.col("ord") % 9 == 0, 2).otherwise(1))
+    """Questions with several capabilities and spans of evidence."""
+    first, later = F.struct("s", "e"), F.struct((F.col("s") / 2).alias("s"), (F.col("s") / 2 + 4).alias("e"))
+    return X.qa(spark, d).select(
+        "*", F.when(F.col("ord") % 9 == 0, F.array(first, later)).otherwise(F.array(first)).alias("spans"), F.when(F.col("ord") % 5 == 0, F.array("capability", F.lit("L5_needle"))).otherwise(F.array("capability")).alias("caps")
+    ).drop("capability").withColumnRenamed("caps", "capability")
 
 
 @query
@@ -315,6 +367,45 @@ def question_dedup(spark, d):
     return questions.first_of_key(rows, F.md5(T.question_key(F.col("text")).cast("binary")), ["doc_id"]).select("doc_id", "n_same")
 
 
+@query
+def question_keys(spark, d):
+    """The first question of each key of text and answer."""
+    p = X.points(spark, d)
+    zh = F.when(F.col("ord") % 5 == 0, F.lit("第 三 次？")).when(F.col("ord") % 5 == 1, " ，")
+    rows = p.select("video_id", "ord", T.answered_key(zh, F.concat(F.upper("txt"), F.lit(" -- who_is it?")), F.when(F.col("ord") % 3 != 0, X.pick(F.col("ord") % 4, "ABCD"))).alias("key"))
+    return questions.first_of_key(rows, F.concat_ws(":", "video_id", "key"), ["ord"]).select("video_id", "ord", "key", "n_same")
+
+
+def _asked(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Questions with evidence, anchors and references of every kind of fault, and the anchors."""
+    o, s, e = F.col("ord"), F.col("s"), F.col("e")
+    two = lambda a, b: F.array(a, b)
+    words = F.array(*(F.left(F.repeat(F.lit(c), 20), F.lit(6) + (o % m).cast("int")) for c, m in zip("abcd", (3, 5, 7, 4), strict=True)))
+    evidence = F.when(o % 17 == 0, F.array(two(e, s))).when(o % 17 == 1, F.array().cast("array<array<double>>")).when(o % 17 == 2, F.array(two(s, s + 100_000))).when(o % 9 == 0, F.array(two(s, e), two(s / 2, s / 2 + 4))).otherwise(F.array(two(s, e)))
+    target = F.when(o % 8 == 5, F.array().cast("array<double>")).when(o % 8 == 4, two(s, s + 40)).when(o % 16 == 6, two(s - 0.5, s + 5.5)).otherwise(two(s, e))
+    q = X.qa(spark, d).select(
+        "video_id", "ord", "qid", F.lit(X.DURATION).alias("duration"), F.when(o % 41 == 0, "essay").otherwise(F.col("task_type")).alias("task_type"), F.when(o % 37 == 0, "").otherwise(F.col("txt")).alias("question"),
+        evidence.alias("evidence"), target.alias("target"), F.when(o % 3 == 1, o - 1).otherwise(o).alias("anchor_id"),
+        F.when(o % 31 == 0, F.slice(words, 1, 3)).when(o % 43 == 0, F.array_repeat(F.lit("  "), 4)).otherwise(words).alias("options"), F.when(o % 29 == 0, "E").otherwise(F.col("answer")).alias("answer"),
+        F.when(o % 4 == 0, F.concat(F.repeat(F.lit("字"), 80), F.lit(" 00:10 00:20"))).when(o % 4 == 2, "短").when(o % 4 == 3, F.repeat(F.lit("字"), 90)).alias("ref_zh"), F.when(o % 4 == 1, F.concat(F.repeat(F.lit("word "), 220), F.lit('"quoted"'))).alias("ref_en"),
+    )
+    anchors = X.events(spark, d).where("ord % 3 <> 1").select("video_id", o.alias("anchor_id"), (s - 3).alias("s"), F.when(o % 30 == 0, s - 3).otherwise(e + 3).alias("e"))
+    return q, anchors
+
+
+@query
+def question_validation(spark, d):
+    return questions.faults(*_asked(spark, d)).select("qid", "fault")
+
+
+@query
+def referring_check(spark, d):
+    o = F.col("ord")
+    zh = F.when(o % 3 == 0, F.concat(F.lit("第三次出现的是谁和谁在"), F.repeat(F.lit("字"), (o % 7).cast("int")))).when(o % 3 == 1, F.repeat(F.lit("字"), 16))
+    en = F.when(o % 5 == 0, F.concat("txt", F.repeat(F.lit(" word"), (o % 12).cast("int")))).when(o % 5 == 1, "who enters the room at 12:30 and then leaves it with the box")
+    return X.points(spark, d).select("ord", T.referring_fault(zh, en).alias("fault"))
+
+
 @query
 def question_faults(spark, d):
     q = X.qa(spark, d)
@@ -403,6 +494,23 @@ def element_gate(spark, d):
     return x.select("doc_id", F.col("n").cast("long").alias("n"), reasons.alias("reasons"))
 
 
+@query
+def description_gate(spark, d):
+    """Both levels, either language."""
+    o = F.col("ord")
+    zh = F.when(o % 4 == 0, F.concat(F.repeat(F.lit("字"), (60 + o % 50).cast("int")), F.lit(" 00:10"))).when(o % 4 == 1, F.concat(F.repeat(F.lit("镜"), 400), F.lit(" 约 00:10 约 00:20")))
+    en = F.when(o % 4 == 2, F.concat(F.repeat(F.lit("word "), (50 + o % 20).cast("int")))).when(o % 4 == 3, F.concat(F.repeat(F.lit("word "), 350), F.lit("00:10 00:20")))
+    return X.points(spark, d).select("ord", T.description_faults(F.when(o % 2 == 0, "shot").otherwise("segment"), zh, en, (o % 9).cast("int")).alias("faults"))
+
+
+@query
+def text_similarity(spark, d):
+    o = F.col("ord")
+    other = F.when(o % 7 == 0, "").when(o % 7 == 1, F.lit(None)).otherwise(F.concat("txt", F.lit(" again")))
+    vector = lambda k: F.when(o % 3 != 0, F.array(*(((o * k) % m).cast("float") for m in (5, 7, 11))))
+    return X.points(spark, d).select("ord", r6(T.similarity(F.col("txt"), other, vector(1), F.when(o % 2 == 0, vector(3)))).alias("similarity"))
+
+
 @query
 def option_prior(spark, d):
     q = X.points(spark, d)
@@ -434,7 +542,8 @@ def time_buckets(spark, d):
 @query
 def duration_buckets(spark, d):
     o = X.table(spark, d, "orders").select(F.col("o_orderkey"), (F.col("o_totalprice") / 40).alias("sec"))
-    return o.select("o_orderkey", I.duration_bucket(F.col("sec")).alias("bucket"), I.quota(F.col("sec")).alias("quota"))
+    asked = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_orderkey") % 50)
+    return o.select("o_orderkey", I.duration_bucket(F.col("sec")).alias("bucket"), I.quota(F.col("sec")).alias("quota"), I.quota(F.col("sec"), override=asked).alias("wanted"))
 
 
 @query
@@ -448,12 +557,58 @@ def frame_names(spark, d):
     return p.select("ord", "name", r6(I.frame_time(F.col("name"))).alias("back"))
 
 
+@query
+def paddings(spark, d):
+    p = I.padding(F.concat_ws("|", F.col("ord").cast("string"), F.col("txt")), F.col("e") - F.col("s"), 4.0)
+    return X.spans(spark, d).select("ord", p["before"].alias("before"), p["after"].alias("after"))
+
+
+@query
+def span_pairs(spark, d):
+    o = F.col("ord")
+    given = F.when(o % 4 == 0, F.array("e", "s")).when(o % 4 == 1, F.array("s")).when(o % 4 == 2, F.array("s", "e", "e")).otherwise(F.array("s", "e"))
+    p = I.pair(given)
+    return X.spans(spark, d).select("ord", p["s"].alias("s"), p["e"].alias("e"))
+
+
+@query
+def distinct_frames(spark, d):
+    """At most five real frames around the middle of each span."""
+    times = X.points(spark, d).groupBy("video_id").agg(F.array_sort(F.collect_set("t")).alias("times"))
+    got = I.distinct_times(F.col("times"), F.col("s") - 30, F.col("e") + 30, 5)
+    return X.spans(spark, d).join(times, "video_id").select("ord", F.size(got).alias("n"), F.array_join(F.transform(got, lambda t: F.format_string("%.3f", t)), " ").alias("times"))
+
+
+def _names(spark, d) -> DataFrame:
+    """Frame files of every video, and files that aren't frames."""
+    return X.points(spark, d).select("video_id", F.when(F.col("ord") % 23 == 0, F.concat(F.lit("cover_"), "ord", F.lit(".jpg"))).otherwise(I.frame_name(F.col("t"))).alias("name"))
+
+
+@query
+def frame_index(spark, d):
+    """At one frame in five seconds many times fall on one number."""
+    return frames.index(_names(spark, d), 0.2)
+
+
+@query
+def frame_owners(spark, d):
+    v = X.videos(spark, d).select(F.col("video_id").cast("string").alias("expected"), F.when(F.col("video_id") % 3 == 0, F.lit(None)).when(F.col("video_id") % 3 == 1, "other").otherwise(F.col("video_id").cast("string")).alias("video_id"), F.col("video_id").alias("k"))
+    directory = F.when(F.col("k") % 2 == 0, F.col("expected")).otherwise("elsewhere")
+    return frames.owned(v, directory).select("expected", "foreign")
+
+
+@query
+def frame_statistics(spark, d):
+    """Of stored indexes, and of indexes built from names where none is stored."""
+    p = X.points(spark, d).where("video_id % 2 = 0")
+    stored = p.groupBy("video_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("ord").cast("string"), "t"))).alias("frames"))
+    return frames.statistics(frames.loaded(stored, _names(spark, d), 0.2)).withColumn("step", r6("step"))
+
+
 @query
 def frame_index_check(spark, d):
-    w = Window.partitionBy("video_id").orderBy("ord")
-    rows = X.points(spark, d).withColumn("back", F.coalesce(F.col("t") < F.lag("t").over(w), F.lit(False)))
-    a = rows.groupBy("video_id").agg(F.sum(F.col("back").cast("int")).alias("backward"), F.min("t").alias("first"), F.max("t").alias("last"))
-    return a.select("video_id", "backward", ((F.col("backward") == 0) & (F.col("first") <= 1.5) & (720 - F.col("last") <= 1.5)).alias("ok"))
+    rows = X.points(spark, d).select("video_id", F.col("ord").alias("frame_no"), "t")
+    return frames.verified(rows, F.lit(720.0), 0.5)
 
 
 @query
@@ -472,7 +627,7 @@ def every_kth_point(spark, d):
 
 @query
 def normalise_spans(spark, d):
-    e = X.events(spark, d).withColumn("e", F.when(F.col("ord") % 10 == 0, F.col("s")).otherwise(F.col("e")))
+    e = X.events(spark, d).withColumn("e", F.when(F.col("ord") % 10 == 0, F.col("s")).when(F.col("ord") % 10 == 1, F.col("s") - 5).otherwise(F.col("e")))
     return narrative.normalise_spans(e, 700.0).select("ord", r6("s").alias("s"), r6("e").alias("e"), "importance", "todo", "narrow")
 
 
@@ -500,7 +655,18 @@ def boundary_apply(spark, d):
 
 @query
 def boundary_stats(spark, d):
-    return narrative.boundary_stats(_verdicts(spark, d)).withColumn("refined_ratio", r6("refined_ratio")).withColumn("rejected_ratio", r6("rejected_ratio"))
+    v = _verdicts(spark, d)
+    return narrative.boundary_stats(narrative.apply_verdicts(v), v.where("decision = 'rejected'"))
+
+
+@query
+def boundary_rounds(spark, d):
+    """Two rounds: what the first refines or splits is judged again, halves by their own verdicts."""
+    first = _verdicts(spark, d)
+    o = F.length("id") + F.expr("cast(regexp_extract(id, '[0-9]+', 0) as bigint)")
+    again = narrative.apply_verdicts(first).select("video_id", "id", X.pick(o % 4, ("verified", "refined", "split", "rejected")).alias("decision"), (F.col("s") + 0.1).alias("rs"), (F.col("e") - 0.1).alias("re"), ((F.col("s") * 3 + F.col("e")) / 4).alias("at"))
+    kept, rejected = narrative.refine(first.select("video_id", "id", "s", "e"), first, again.where(F.length("id") % 5 != 0))
+    return kept.unionByName(rejected.withColumn("boundary_state", F.lit("rejected"))).select("video_id", "id", r6("s").alias("s"), r6("e").alias("e"), "boundary_state")
 
 
 @query
@@ -526,7 +692,9 @@ def candidate_union(spark, d):
 
 
 def _frames(spark, d) -> DataFrame:
-    return X.points(spark, d).select("video_id", F.col("ord").alias("frame_no"), (F.col("v") / 100).alias("rms"), (F.col("ord") % 3 == 0).alias("speech"), F.floor(F.col("t") / 60).cast("long").alias("seg"))
+    """Loudness frames of half a second, numbered in a video, in segments of about a minute."""
+    n = F.row_number().over(Window.partitionBy("video_id").orderBy("t", "ord")) - 1
+    return X.points(spark, d).select("video_id", n.alias("frame_no"), (F.col("v") / 100).alias("rms"), (F.col("ord") % 3 == 0).alias("speech"), F.floor(F.col("t") / 60).cast("long").alias("seg"))
 
 
 @query
@@ -544,9 +712,8 @@ def audio_baseline(spark, d):
 @query
 def audio_events(spark, d):
     f = _frames(spark, d)
-    out = audio.segment_features(f, audio.baseline(f), ["video_id", "seg"])
-    out = out.withColumn("type", audio.classify(F.col("ratio"), F.col("peak"), F.col("burst")))
-    return out.select("video_id", "seg", "lo", "hi", r6("peak").alias("peak"), r6("ratio").alias("ratio"), r6("burst").alias("burst"), "type", audio.confidence(F.col("type")).alias("confidence"))
+    out = audio.detect(f, audio.baseline(f), ["video_id", "seg"], frame_sec=0.5)
+    return out.select("video_id", "seg", "a", "b", r6("peak").alias("peak"), r6("ratio").alias("ratio"), r6("burst").alias("burst"), "type", "confidence")
 
 
 @query
@@ -568,6 +735,33 @@ def stage_hashes(spark, d):
     return _stage_hashes(spark, d)
 
 
+@query
+def stage_cascade(spark, d):
+    """Hashes of all stages of a video; one video in three has no description payload."""
+    v = X.videos(spark, d).select("video_id", F.explode(F.array(*(F.lit(f"S{i}") for i in range(1, 8)))).alias("stage")).where("stage <> 'S2' or video_id % 3 <> 0")
+    return incremental.cascaded(v.withColumn("digest", incremental.content_hash(F.col("stage"), F.col("video_id"))))
+
+
+def _states(spark, d) -> DataFrame:
+    e = X.table(spark, d, "events").select(F.col("user_id").alias("video_id"), F.col("event_type").alias("stage"), X.pick(F.col("event_id") % 3, ("failed", "done", "skipped")).alias("state"), F.md5(F.col("event_id").cast("string").cast("binary")).alias("input_hash"), "event_id")
+    return incremental.latest(e, ["video_id", "stage"], "event_id")
+
+
+@query
+def manifest_rows(spark, d):
+    gaps = segments.gaps(X.videos(spark, d), X.spans(spark, d), DEFAULT.coverage_eps, DEFAULT.coverage_eps, True).withColumn("reason", F.lit("uncovered"))
+    out = incremental.manifest_rows(_states(spark, d), gaps)
+    return out.select("video_id", F.array_join(F.transform("stages", lambda x: F.concat_ws(":", x["stage"], x["state"], x["input_hash"])), " ").alias("stages"), F.size("gaps").alias("n_gaps"), F.get("gaps", F.lit(0))["s"].alias("first_gap"))
+
+
+@query
+def restored_tracks(spark, d):
+    """Tracks that a new run starts from: those whose stage is done."""
+    kinds = ("click", "view", "purchase")
+    old = X.points(spark, d).groupBy("video_id").agg(*(F.sum(F.when(F.col("txt") == k, F.col("ord"))).alias(k) for k in kinds))
+    return incremental.restored(old, _states(spark, d), {k: k for k in kinds})
+
+
 @query
 def stage_needs_run(spark, d):
     now = _stage_hashes(spark, d)
@@ -672,7 +866,7 @@ def timeline_order(spark, d):
 
 @query
 def verification_kpis(spark, d):
-    v = X.qa(spark, d).select("video_id", "task_type", (F.col("ord") % 3 != 0).alias("verified"), (F.col("ord") % 5 != 0).alias("passed"), (F.col("ord") % 2).alias("regen"), (F.col("ord") % 15 == 1).alias("dropped"))
+    v = X.qa(spark, d).select("video_id", "task_type", (F.col("ord") % 3 != 0).alias("verified"), (F.col("ord") % 5 != 0).alias("passed"), (F.col("ord") % 2).alias("regen"), (F.col("ord") % 15 == 1).alias("dropped"), (F.col("ord") % 2 == 1).alias("leaked"))
     return workflow.verification_kpis(v, ["video_id"])
 
 
@@ -680,7 +874,7 @@ def verification_kpis(spark, d):
 def open_item_agreement(spark, d):
     a = X.qa(spark, d).where("task_type in ('open', 'summary')").withColumn("r", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
     a = a.withColumn("text", F.when((F.col("ord") + F.col("r")) % 4 == 0, "").when((F.col("ord") + F.col("r")) % 4 == 1, F.col("txt")).otherwise(F.concat("txt", F.lit(" and other words"))))
-    return workflow.open_items(a, T.jaccard(T.ngrams(F.col("text")), T.ngrams(F.col("txt"))))
+    return workflow.open_items(a, F.greatest(T.rouge_l(T.tokens(F.col("text")), T.tokens(F.col("txt"))), T.similarity(F.col("text"), F.col("txt"))))
 
 
 @query

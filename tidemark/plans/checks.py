@@ -10,6 +10,20 @@ _RATIO = "CASE WHEN least({e1}-{s1},{e2}-{s2}) <= 0 THEN 0.0 ELSE greatest(0.0,
 _BLANK = r"[\s\x0b\x1c-\x1f\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+
+
+def _name_key(c: str) -> str:
+    return f"lower(regexp_replace({c}, '[_·\\-]|{_BLANK}', '', 'g'))"
+
+
+_PERSONS = f"""
+persons AS (SELECT s_nationkey AS video_id, s_suppkey::VARCHAR AS id, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS en, CASE WHEN s_suppkey % 5 = 0 THEN 'J.R.' || s_suppkey END AS zh, ['No-' || s_suppkey] AS aliases FROM supplier),
+seen AS (SELECT video_id, name, ord, {_name_key("name")} AS key FROM (SELECT s_nationkey AS video_id, s_suppkey * 10 + p AS ord, ([s_name, upper(replace(s_name, '#', '_ #')), 'no ' || s_suppkey, 'JR' || s_suppkey, 'j.r.·' || s_suppkey])[p + 1] AS name
+  FROM supplier, range(5) r(p) WHERE (s_suppkey + p) % 3 = 0)),
+tried AS (SELECT video_id, id, p, c, {_name_key("c")} AS key FROM (SELECT video_id, id, unnest(list_concat([en, zh, id], aliases)) AS c, generate_subscripts(list_concat([en, zh, id], aliases), 1) AS p FROM persons) WHERE c <> '')
+"""
+
+
 def _sql(body: str, views: str = "") -> str:
     return f"WITH RECURSIVE {VIEWS.strip()}{',' if views else ''} {views} {body}"
 
@@ -50,31 +64,38 @@ SELECT video_id, round(s, 6) AS s, round(e, 6) AS e FROM (
 """
 
 _LINK = """
-linked AS (SELECT p.video_id, p.ord, p.s, p.e, min(c.scene_id) AS scene_id FROM v_spans p LEFT JOIN v_scenes c ON p.video_id = c.video_id AND c.s <= (p.s + p.e) / 2 AND (p.s + p.e) / 2 <= c.e GROUP BY ALL)
+linked AS (SELECT p.video_id, p.ord, p.s, p.e, arg_min(c.scene_id, c.place) AS scene_id FROM v_spans p LEFT JOIN v_scenes c ON p.video_id = c.video_id AND c.s <= (p.s + p.e) / 2 AND (p.s + p.e) / 2 <= c.e GROUP BY ALL)
 """
 
 _VERDICTS = """
 v_verdicts AS (SELECT video_id, 'c' || ord AS id, s, e, (['verified','refined','split','rejected','odd'])[(ord % 5 + 1)::INT] AS decision, s + 0.25::DOUBLE AS rs, e + 0.5::DOUBLE AS re, (s + e) / 2 AS at_ FROM v_spans)
 """
 
-_FRAMES = "v_frames AS (SELECT video_id, ord AS frame_no, v / 100 AS rms, ord % 3 = 0 AS speech, floor(t / 60)::BIGINT AS seg FROM v_points)"
+_FRAMES = "v_frames AS (SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY t, ord) - 1 AS frame_no, v / 100 AS rms, ord % 3 = 0 AS speech, floor(t / 60)::BIGINT AS seg FROM v_points)"
 _BASE = """
 base AS (SELECT video_id, CASE WHEN b > 0 THEN b ELSE 1e-6 END AS baseline FROM (SELECT video_id, coalesce(quantile_cont(rms, 0.5) FILTER (WHERE speech), quantile_cont(rms, 0.5)) AS b FROM v_frames GROUP BY video_id))
 """
 
+_BOUNDS = """
+bounds AS (SELECT video_id, seg, greatest(lo, first - 5) AS a, least(hi, last + 5) AS b FROM (SELECT video_id, seg, min(frame_no) AS lo, max(frame_no) AS hi, min(frame_no) FILTER (WHERE loud) AS first, max(frame_no) FILTER (WHERE loud) AS last
+  FROM (SELECT *, rms >= greatest(1.2 * baseline, 1e-5) AS loud FROM v_frames JOIN base USING (video_id)) GROUP BY video_id, seg) WHERE first IS NOT NULL)
+"""
+
 _FLAGS = """
-q AS (SELECT *, NOT (capability IN ('L1_audio_asr','L1_ocr','L4_subtitle_visual','L4_narration_align')) AS visual, CASE WHEN ord % 9 = 0 THEN 2 ELSE 1 END AS n_spans FROM v_qa),
+q AS (SELECT *, NOT (capability IN ('L1_audio_asr','L1_ocr','L4_subtitle_visual','L4_narration_align')) AS visual,
+  CASE WHEN ord % 9 = 0 THEN 2 ELSE 1 END AS n_spans, CASE WHEN ord % 5 = 0 THEN [capability, 'L5_needle'] ELSE [capability] END AS caps FROM v_qa),
 dq AS (SELECT *, blind OR (subtitle AND visual) OR (single_frame AND visual) AS dropped FROM q)
 """
 
 _COVERAGE = """
-cv AS (SELECT video_id, count(*) AS n, {layers}, count(*) FILTER (WHERE min_watch IN ('cross_scene','whole_video')) AS "cross", {tasks}, {buckets} FROM v_qa GROUP BY video_id),
+cq AS (SELECT *, CASE WHEN ord % 5 = 0 THEN [capability, 'L5_needle'] ELSE [capability] END AS caps, CASE WHEN ord % 9 = 0 THEN [s, s / 2] ELSE [s] END AS starts FROM v_qa),
+cv AS (SELECT video_id, count(*) AS n, {layers}, count(*) FILTER (WHERE min_watch IN ('cross_scene','whole_video')) AS "cross", {tasks}, {buckets} FROM cq GROUP BY video_id),
 cm AS (SELECT *, least(L1, L2, L3, L4, L5) >= 2 AS ok_layers, "cross" / n::DOUBLE >= 0.5 AS ok_cross, mcq / n::DOUBLE BETWEEN 0.5 AND 0.7 AS ok_mcq, temporal_grounding / n::DOUBLE BETWEEN 0.15 AND 0.25 AS ok_temporal,
   least(b0, b1, b2, b3) / (b0 + b1 + b2 + b3)::DOUBLE >= 0.15 AS ok_buckets FROM cv)
 """.format(
-    layers=", ".join(f"count(*) FILTER (WHERE capability LIKE 'L{i}%') AS L{i}" for i in range(1, 6)),
+    layers=", ".join(f"sum(len(list_filter(caps, lambda c: starts_with(c, 'L{i}'))))::BIGINT AS L{i}" for i in range(1, 6)),
     tasks=", ".join(f"count(*) FILTER (WHERE task_type = '{t}') AS {t}" for t in ("mcq", "temporal_grounding", "open", "summary")),
-    buckets=", ".join(f"count(*) FILTER (WHERE least(3, floor(s / 720 * 4)) = {i}) AS b{i}" for i in range(4)),
+    buckets=", ".join(f"sum(len(list_filter(starts, lambda x: least(3, floor(x / 720 * 4)) = {i})))::BIGINT AS b{i}" for i in range(4)),
 )
 
 _MIOU = "items AS (SELECT video_id, qid, avg(" + _IOU.format(s1="s", e1="e", s2="rs", e2="re") + ") AS miou FROM v_responses WHERE task_type = 'temporal_grounding' GROUP BY video_id, qid)"
@@ -128,7 +149,7 @@ SELECT annotator, count(*) AS total, count(*) FILTER (WHERE response = answer) A
 FROM v_responses WHERE task_type = 'mcq' AND is_gold GROUP BY annotator
 """),
     "qc_rework": _sql("""
-SELECT qid, sum(c)::BIGINT AS n, round(max(c) / sum(c)::DOUBLE, 6) AS agreement FROM (SELECT qid, response, count(*) AS c FROM v_responses WHERE task_type = 'mcq' GROUP BY qid, response) GROUP BY qid HAVING sum(c) >= 2 AND max(c) < sum(c)
+SELECT qid, answer, count(*) AS n, round(avg((response = answer)::INT::DOUBLE), 6) AS agreement, string_agg(response, ',' ORDER BY annotator) AS answers FROM v_responses WHERE task_type = 'mcq' GROUP BY qid, answer HAVING avg((response = answer)::INT) < 1
 """),
     "qc_interval_miou": _sql("""
 SELECT *, ratio >= 0.9 AS ok FROM (SELECT video_id, count(*) AS n, round(avg(miou), 6) AS mean_iou, round(avg(CASE WHEN miou >= 0.5 THEN 1.0::DOUBLE ELSE 0 END), 3) AS ratio FROM items GROUP BY video_id)
@@ -139,7 +160,6 @@ g AS (SELECT conv_id, turn, {_ngrams("text")} AS a, {_ngrams("reply")} AS b FROM
 SELECT conv_id, turn, round({_JACCARD.format(a="a", b="b")}, 6) AS similarity FROM g
 """,
     "qc_release_gate": _sql(f"SELECT video_id, {', '.join(_GATES)}, unevaluated, passes, reasons, CASE WHEN passes THEN 'verified' ELSE 'draft' END AS review_status FROM gd", _GATE),
-    "qc_batch_verdict": _sql("SELECT count(*) AS n, count(*) FILTER (WHERE passes) AS passed, bool_and(passes) AS all_pass FROM gd", _GATE),
     "span_union": _sql("SELECT * FROM u", _UNION.format(eps=1.0)),
     "span_coverage_gaps": _sql(_GAPS.format(test="e - s > 1.0"), _UNION.format(eps=1.0)),
     "nonspeech_gaps": _sql(_GAPS.format(test="e - s >= 0.5"), _UNION.format(eps=0.0)),
@@ -200,13 +220,13 @@ SELECT video_id, ord, "next", round(ratio, 6) AS ratio FROM (SELECT video_id, or
 SELECT q.qid, round((q.s + q.e) / 2, 6) AS mid, string_agg(p.txt, ' ' ORDER BY p.s, p.ord) AS txt FROM v_qa q JOIN v_spans p ON p.video_id = q.video_id AND p.e >= q.s AND p.s <= q.e AND p.ord % 4 = 0 WHERE q.task_type = 'mcq' GROUP BY q.qid, q.s, q.e
 """),
     "responses_semi_anti": _sql("SELECT annotator, CASE WHEN is_gold THEN 'gold' ELSE 'other' END AS part, count(*) AS n FROM v_responses GROUP BY ALL"),
-    "alias_match": """
-WITH m AS (SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN s_name WHEN 1 THEN upper(replace(s_name, '#', '_#')) ELSE 'no ' || s_suppkey END AS name FROM supplier),
-o AS (SELECT s_suppkey::VARCHAR AS id, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS en, s_suppkey AS n FROM supplier),
-z AS (SELECT id, 0 AS level, en AS key FROM o WHERE en IS NOT NULL UNION ALL SELECT id, 0, id FROM o UNION ALL SELECT id, 1, lower(regexp_replace(en, '[ _·.\\-]', '', 'g')) FROM o WHERE en IS NOT NULL UNION ALL SELECT id, 1, lower(id) FROM o UNION ALL SELECT id, 2, 'no' || n FROM o),
-w AS (SELECT DISTINCT name, unnest([0, 1, 2]) AS level FROM m),
-j AS (SELECT w.name, min((w.level, z.id)) AS best FROM w JOIN z ON z.level = w.level AND z.key = CASE WHEN w.level = 0 THEN w.name ELSE lower(regexp_replace(w.name, '[ _·.\\-]', '', 'g')) END GROUP BY w.name)
-SELECT m.k, m.name, j.best[2] AS id FROM m LEFT JOIN j USING (name)
+    "alias_match": f"""
+WITH {_PERSONS},
+n1 AS (SELECT video_id, key, arg_min(name, ord) AS near FROM seen GROUP BY ALL),
+hit AS (SELECT t.video_id, t.id, arg_min(coalesce(x.name, n1.near), t.p) AS alias FROM tried t LEFT JOIN (SELECT DISTINCT video_id, name FROM seen) x ON x.video_id = t.video_id AND x.name = t.c
+  LEFT JOIN n1 ON n1.video_id = t.video_id AND n1.key = t.key WHERE coalesce(x.name, n1.near) IS NOT NULL GROUP BY ALL)
+SELECT persons.video_id, persons.id, hit.alias FROM persons LEFT JOIN hit USING (video_id, id)
+UNION ALL SELECT video_id, NULL, name FROM seen WHERE NOT EXISTS (SELECT 1 FROM hit WHERE hit.video_id = seen.video_id AND hit.alias = seen.name)
 """,
     "coverage_matrix": _sql("SELECT *, ok_layers AND ok_cross AND ok_mcq AND ok_temporal AND ok_buckets AS ok FROM cm", _COVERAGE),
     "drop_policy": _sql("SELECT qid, dropped FROM dq", _FLAGS),
@@ -214,7 +234,7 @@ SELECT m.k, m.name, j.best[2] AS id FROM m LEFT JOIN j USING (name)
 SELECT channel, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN blind THEN 'blind' END, CASE WHEN subtitle THEN 'subtitle' END, CASE WHEN single_frame THEN 'single_frame' END], lambda x: x IS NOT NULL)) AS channel FROM dq WHERE dropped) GROUP BY channel
 """, _FLAGS),
     "difficulty": _sql("""
-SELECT CASE WHEN capability IN ('L2_counting','L2_ordering','L3_causal','L3_counterfactual','L3_prediction','L5_needle','L5_foreshadow') OR n_spans >= 2 OR min_watch = 'whole_video' THEN 'hard'
+SELECT CASE WHEN list_has_any(caps, ['L2_counting','L2_ordering','L3_causal','L3_counterfactual','L3_prediction','L5_needle','L5_foreshadow']) OR n_spans >= 2 OR min_watch = 'whole_video' THEN 'hard'
   WHEN min_watch = 'single_scene' AND NOT blind AND NOT single_frame AND NOT subtitle THEN 'easy' ELSE 'medium' END AS difficulty, count(*) AS n, sum(ord)::BIGINT AS ords FROM q GROUP BY 1
 """, _FLAGS),
     "channel_sets": _sql("""
@@ -261,21 +281,22 @@ SELECT doc_id, ({" + ".join(_like("lower(text)", w) + "::BIGINT" for w in T.ELEM
     "json_extract": "SELECT event_id, CASE WHEN event_id % 4 <> 3 THEN props END AS body FROM events",
     "time_buckets": _sql("SELECT video_id, least(3, floor(s / 720 * 4))::INT AS bucket, count(*) AS n FROM v_spans GROUP BY ALL"),
     "duration_buckets": """
-SELECT o_orderkey, CASE WHEN x < 300 THEN '<5m' WHEN x < 900 THEN '5-15m' WHEN x < 2400 THEN '15-40m' WHEN x <= 7200 THEN '40m-2h' ELSE '>2h' END AS bucket, greatest(10, ceil(x / 3600 * 24))::INT AS quota FROM (SELECT o_orderkey, o_totalprice / 40 AS x FROM orders)
+SELECT o_orderkey, CASE WHEN x < 300 THEN '<5m' WHEN x < 900 THEN '5-15m' WHEN x < 2400 THEN '15-40m' WHEN x <= 7200 THEN '40m-2h' ELSE '>2h' END AS bucket, greatest(10, ceil(x / 3600 * 24))::INT AS quota,
+  CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey % 50 ELSE greatest(10, ceil(x / 3600 * 24)) END::INT AS wanted FROM (SELECT o_orderkey, o_totalprice / 40 AS x FROM orders)
 """,
     "pad_fractions": _sql("SELECT ord, round(0.2::DOUBLE + 0.6::DOUBLE * (('0x' || substr(sha256(ord || '|' || txt), 1, 8))::BIGINT % 1000) / 999.0::DOUBLE, 6) AS frac FROM v_spans"),
     "frame_names": _sql("SELECT ord, 'f_' || lpad((round(t * 1000)::BIGINT // 1000)::VARCHAR, 7, '0') || '_' || lpad((round(t * 1000)::BIGINT % 1000)::VARCHAR, 3, '0') || '.jpg' AS name, round(round(t * 1000) / 1000, 6) AS back FROM v_points"),
     "frame_index_check": _sql("""
-SELECT video_id, backward, backward = 0 AND first <= 1.5 AND 720 - last <= 1.5 AS ok FROM (SELECT video_id, count(*) FILTER (WHERE t < lt) AS backward, min(t) AS first, max(t) AS last FROM (SELECT *, lag(t) OVER (PARTITION BY video_id ORDER BY ord) AS lt FROM v_points) GROUP BY video_id)
+SELECT video_id, backward, backward = 0 AND first <= 1.5 AND 720 - last <= 2.5 AS ok FROM (SELECT video_id, count(*) FILTER (WHERE t < lt) AS backward, min(t) AS first, max(t) AS last FROM (SELECT *, lag(t) OVER (PARTITION BY video_id ORDER BY ord) AS lt FROM v_points) GROUP BY video_id)
 """),
     "keyframes": _sql("SELECT ord, round((s + e) / 2, 6) AS mid, round(s + (e - s) * 1 / 4, 6) AS inner1, round(s + (e - s) * 2 / 4, 6) AS inner2, round(s + (e - s) * 3 / 4, 6) AS inner3 FROM v_spans"),
     "every_kth_point": _sql("SELECT video_id, ord FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY t, ord) AS rn FROM v_points) WHERE (rn - 1) % 4 = 0"),
     "normalise_spans": _sql("""
 SELECT ord, round(a, 6) AS s, round(b, 6) AS e, CASE WHEN a >= b OR (importance = 'key' AND b - a < 3) THEN 'minor' ELSE importance END AS importance, a >= b AS todo, importance = 'key' AND b - a < 3 AND NOT a >= b AS narrow
-FROM (SELECT ord, importance, CASE WHEN s >= e THEN greatest(0.0, s - 1) ELSE s END AS a, CASE WHEN s >= e THEN least(700.0, e + 1) ELSE e END AS b FROM (SELECT ord, importance, greatest(0.0, least(700.0, s)) AS s, greatest(0.0, least(700.0, CASE WHEN ord % 10 = 0 THEN s ELSE e END)) AS e FROM v_events))
+FROM (SELECT ord, importance, CASE WHEN s >= e THEN greatest(0.0, s - 1) ELSE s END AS a, CASE WHEN s >= e THEN least(700.0, s + 1) ELSE e END AS b FROM (SELECT ord, importance, greatest(0.0, least(700.0, s)) AS s, greatest(0.0, least(700.0, CASE ord % 10 WHEN 0 THEN s WHEN 1 THEN s - 5 ELSE e END)) AS e FROM v_events))
 """),
     "causal_validate": _sql("""
-SELECT video_id, ord, cause, fault, fault IS NULL AS valid FROM (SELECT x.video_id, x.ord, x.cause, CASE WHEN c.ord IS NULL THEN 'missing' WHEN x.cause = x.ord THEN 'self loop' WHEN c.boundary_state = 'unreviewed' OR x.boundary_state = 'unreviewed' THEN 'unverified' WHEN c.e > x.s + 1e-6 THEN 'order' END AS fault
+SELECT video_id, ord, cause, fault, fault IS NULL AS valid FROM (SELECT x.video_id, x.ord, x.cause, CASE WHEN c.ord IS NULL THEN 'missing' WHEN x.cause = x.ord THEN 'self loop' WHEN c.boundary_state NOT IN ('verified', 'refined') OR x.boundary_state NOT IN ('verified', 'refined') THEN 'unverified' WHEN c.e > x.s + 1e-6 THEN 'order' END AS fault
 FROM v_events x LEFT JOIN v_events c ON c.video_id = x.video_id AND c.ord = x.cause WHERE x.cause IS NOT NULL)
 """),
     "character_stats": """
@@ -288,7 +309,10 @@ UNION ALL SELECT video_id, id || 'a', round(s, 6), round(at_, 6), 'split' FROM v
 UNION ALL SELECT video_id, id || 'b', round(at_, 6), round(e, 6), 'split' FROM v_verdicts WHERE decision = 'split' AND at_ > s AND at_ < e
 UNION ALL SELECT video_id, id, round(s, 6), round(e, 6), 'unreviewed' FROM v_verdicts WHERE decision = 'odd' OR (decision = 'split' AND NOT (at_ > s AND at_ < e))
 """, _VERDICTS),
-    "boundary_stats": _sql("SELECT video_id, count(*) AS n, round(avg((decision IN ('refined', 'split'))::INT::DOUBLE), 6) AS refined_ratio, round(avg((decision = 'rejected')::INT::DOUBLE), 6) AS rejected_ratio FROM v_verdicts GROUP BY video_id", _VERDICTS),
+    "boundary_stats": _sql("""
+SELECT video_id, sum(w)::BIGINT AS n, round(sum(w) FILTER (WHERE decision = 'refined' OR w = 2) / sum(w)::DOUBLE, 3) AS refined_ratio, round(coalesce(sum(w) FILTER (WHERE decision = 'rejected'), 0) / sum(w)::DOUBLE, 3) AS rejected_ratio
+FROM (SELECT *, CASE WHEN decision = 'split' AND at_ > s AND at_ < e THEN 2 ELSE 1 END AS w FROM v_verdicts) GROUP BY video_id
+""", _VERDICTS),
     "event_density": _sql("SELECT video_id, round(count(*) / 0.2::DOUBLE, 1) AS per_hour, count(*) FILTER (WHERE importance = 'key') AS n_key FROM v_events GROUP BY video_id"),
     "importance_batches": _sql("SELECT video_id, ((rn - 1) // 40)::BIGINT AS batch, count(*) AS n, min(ord) AS first FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY s, ord) AS rn FROM v_events) GROUP BY ALL"),
     "candidate_union": _sql("""
@@ -300,18 +324,17 @@ SELECT video_id, frame_no, round(sqrt(avg(x * x)), 6) AS rms FROM (SELECT user_i
     "audio_baseline": _sql("SELECT video_id, round(baseline, 6) AS baseline FROM base", _FRAMES + "," + _BASE),
     "audio_events": _sql("""
 SELECT *, CASE WHEN type IN ('music', 'applause') THEN 0.8 ELSE 0.6 END::DOUBLE AS confidence FROM (
-SELECT video_id, seg, lo, hi, round(peak, 6) AS peak, round(r, 6) AS ratio, round(b, 6) AS burst, CASE WHEN r >= 6 OR peak >= 0.5 THEN 'music' WHEN b >= 3 AND r >= 2 THEN 'applause' WHEN r >= 2 THEN 'sfx' ELSE 'noise' END AS type FROM h)
-""", _FRAMES + "," + _BASE + """,
-f AS (SELECT *, row_number() OVER (PARTITION BY video_id, seg ORDER BY frame_no) > count(*) OVER (PARTITION BY video_id, seg) // 2 AS late FROM v_frames),
-h AS (SELECT video_id, seg, lo, hi, peak, mean / baseline AS r, CASE WHEN first > 0 THEN second / first ELSE 1.0 END AS b FROM (SELECT video_id, seg, min(frame_no) AS lo, max(frame_no) AS hi, max(rms) AS peak, avg(rms) AS mean, avg(rms) FILTER (WHERE late) AS second, avg(rms) FILTER (WHERE NOT late) AS first FROM f GROUP BY video_id, seg) JOIN base USING (video_id))
-"""),
-    "audio_active_bounds": _sql("""
-SELECT video_id, seg, greatest(min(frame_no), coalesce(min(frame_no) FILTER (WHERE rms >= 1.2 * baseline) - 5, min(frame_no))) AS a, least(max(frame_no), coalesce(max(frame_no) FILTER (WHERE rms >= 1.2 * baseline) + 5, max(frame_no))) AS b FROM v_frames JOIN base USING (video_id) GROUP BY video_id, seg
-""", _FRAMES + "," + _BASE),
+SELECT video_id, seg, a, b, round(peak, 6) AS peak, round(r, 6) AS ratio, round(burst, 6) AS burst, CASE WHEN r >= 6 OR mean >= 0.5 THEN 'music' WHEN burst >= 3 AND r >= 2 THEN 'applause' WHEN r >= 2 THEN 'sfx' ELSE 'noise' END AS type
+FROM h JOIN bounds USING (video_id, seg) WHERE peak >= 2 * baseline AND (b - a) * 0.5 >= 0.8)
+""", _FRAMES + "," + _BASE + "," + _BOUNDS + """,
+f AS (SELECT *, row_number() OVER (PARTITION BY video_id, seg ORDER BY frame_no) > greatest(1, count(*) OVER (PARTITION BY video_id, seg) // 2) AS late FROM v_frames),
+h AS (SELECT video_id, seg, peak, mean, baseline, mean / baseline AS r, second / CASE WHEN first = 0 THEN 1e-6 ELSE first END AS burst FROM (SELECT video_id, seg, max(rms) AS peak, avg(rms) AS mean, avg(rms) FILTER (WHERE late) AS second, avg(rms) FILTER (WHERE NOT late) AS first FROM f GROUP BY video_id, seg) JOIN base USING (video_id))
+"""),
+    "audio_active_bounds": _sql("SELECT * FROM bounds", _FRAMES + "," + _BASE + "," + _BOUNDS),
     "stage_hashes": f"WITH {_STAGE} SELECT * FROM sh",
     "stage_needs_run": "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey % 4 <> 3",
     "stage_downstream": _sql("SELECT video_id, dst AS stage FROM v_videos JOIN closure ON src = 'S' || (video_id % 7 + 1)", """
-edges(src, dst) AS (VALUES ('S1','S2'),('S1','S3'),('S2','S4'),('S3','S4'),('S4','S5'),('S5','S6'),('S6','S7')),
+edges(src, dst) AS (VALUES ('S1','S2'),('S1','S3'),('S2','S3'),('S1','S4'),('S3','S4'),('S1','S5'),('S3','S5'),('S4','S5'),('S5','S6'),('S5','S7'),('S6','S7')),
 closure(src, dst) AS (SELECT src, dst FROM edges UNION SELECT c.src, x.dst FROM closure c JOIN edges x ON x.src = c.dst)
 """),
     "manifest_latest": "SELECT user_id AS video_id, event_type AS stage, max(event_id) AS updated, round(arg_max(value, event_id), 6) AS v FROM events GROUP BY ALL",
@@ -351,13 +374,11 @@ gr AS (SELECT video_id, cluster, min(ord) AS lo, max(ord) AS hi FROM ev GROUP BY
 SELECT video_id, video_id % 3 = 1 OR (video_id % 3 = 2 AND count(*) <= 2) AS answered, md5(CASE WHEN video_id % 3 = 1 OR (video_id % 3 = 2 AND count(*) <= 2) THEN string_agg(ord::VARCHAR, ',' ORDER BY ord::VARCHAR DESC) ELSE string_agg(ord::VARCHAR, ',' ORDER BY s, ord::VARCHAR) END) AS digest FROM v_spans GROUP BY video_id
 """),
     "verification_kpis": _sql("""
-SELECT video_id, count(*) FILTER (WHERE ord % 3 <> 0) AS verified, sum(ord % 2)::BIGINT AS regen, count(*) FILTER (WHERE ord % 15 = 1) AS dropped, """ + ", ".join(
+SELECT video_id, count(*) FILTER (WHERE ord % 3 <> 0) AS verified, sum(ord % 2)::BIGINT AS regen, count(*) FILTER (WHERE ord % 15 = 1) AS dropped,
+  count(*) FILTER (WHERE ord % 15 = 1 AND ord % 2 = 1) AS synopsis_leak_dropped, count(*) FILTER (WHERE ord % 15 = 1 AND ord % 2 = 0) AS verify_mismatch_dropped, """ + ", ".join(
         f"round(count(*) FILTER (WHERE {k} AND ord % 3 <> 0 AND ord % 5 <> 0)::DOUBLE / nullif(count(*) FILTER (WHERE {k} AND ord % 3 <> 0), 0), 3) AS {n}"
         for k, n in (("task_type = 'mcq'", "verify_agreement"), ("task_type = 'temporal_grounding'", "temporal_miou_ratio"), ("task_type IN ('open', 'summary')", "open_agreement"))
     ) + " FROM v_qa GROUP BY video_id"),
-    "open_item_agreement": _sql(f"""
-SELECT qid, round(avg(l), 3) AS agreement, count(*) AS n_raters, avg(l) >= 0.6 AS passes FROM (SELECT qid, ({_JACCARD.format(a="a", b="b")} >= 0.5)::INT::DOUBLE AS l FROM (SELECT qid, {_ngrams("text")} AS a, {_ngrams("txt")} AS b FROM ops WHERE text <> '')) GROUP BY qid
-""", "ops AS (SELECT qid, txt, CASE (ord + r) % 4 WHEN 0 THEN '' WHEN 1 THEN txt ELSE txt || ' and other words' END AS text FROM v_qa, range(3) x(r) WHERE task_type IN ('open', 'summary'))"),
     "pipeline_temporal_ratio": _sql("SELECT video_id, round(avg((ord % 10 >= 5)::INT::DOUBLE) FILTER (WHERE ord % 3 <> 0), 3) AS ratio FROM v_qa WHERE task_type = 'temporal_grounding' GROUP BY video_id"),
     "rescreen_summary": _sql("SELECT count(*) AS before, count(*) FILTER (WHERE NOT dropped) AS after, count(*) FILTER (WHERE dropped) AS dropped FROM dq", _FLAGS),
     "evidence_frame_times": _sql("SELECT ord, 4::INT AS n, round(round(s + (e - s) / 5, 3), 6) AS first FROM v_spans"),
@@ -378,7 +399,7 @@ SELECT stem, arg_min(path, (r, path)) AS path FROM (SELECT DISTINCT '/v/' || p_p
 """,
     "qa_deficits": _sql("SELECT video_id, " + ", ".join(f"greatest(0, 2 - L{i})::BIGINT AS L{i}" for i in range(1, 6)) + ", greatest(0, 75 - mcq)::BIGINT AS mcq, greatest(0, 22 - temporal_grounding)::BIGINT AS temporal_grounding FROM cm", _COVERAGE),
     "stage_reuse": """
-SELECT video_id FROM (SELECT user_id AS video_id, event_type AS stage, max(event_id) AS i FROM events GROUP BY ALL) WHERE i % 3 <> 0 AND video_id % 2 = 0 GROUP BY video_id HAVING count(DISTINCT stage) = 5
+SELECT video_id FROM (SELECT user_id AS video_id, event_type AS stage, max(event_id) AS i FROM events GROUP BY ALL) WHERE i % 3 = 1 AND video_id % 2 = 0 GROUP BY video_id HAVING count(DISTINCT stage) = 5
 """,
     "question_round": _sql("""
 SELECT video_id, ord, key, video_id || '_q' || CASE WHEN place < 10 THEN '0' ELSE '' END || place AS qid FROM (SELECT f.*, row_number() OVER (PARTITION BY video_id ORDER BY ord) + coalesce(have, 0) AS place FROM f LEFT JOIN (SELECT video_id, count(*) AS have FROM known GROUP BY video_id) USING (video_id)) WHERE place <= 60
@@ -395,7 +416,6 @@ FROM (SELECT *, (ord % 8) / 8.0::DOUBLE AS x, list_position(['blind','subtitle',
 """),
     "call_trace": "SELECT role AS model, sha256(text) AS input_hash, (turn % 4)::INT AS images, turn % 3 AS retries, turn % 5 <> 0 AS ok, left(text, 200) AS out_summary FROM conversations",
     "first_fit_clusters": _sql("SELECT video_id, ord, c::BIGINT AS cluster FROM w", _FIRST_FIT),
-    "pair_dedup": _sql("SELECT video_id, max((e, ord))[2] AS kept, min((e, ord))[2] AS merged FROM w JOIN o USING (video_id, ord) GROUP BY video_id, c HAVING count(*) = 2 AND min(txt) = max(txt)", _FIRST_FIT),
     "ocr_confidence_filter": _sql("SELECT ord FROM v_points WHERE ord % 11 >= 8 AND ord % 7 <> 0"),
     "modality_whitelist": _sql("SELECT ord, CASE ord % 4 WHEN 1 THEN 'audio' WHEN 2 THEN 'speech,visual' ELSE 'visual' END AS modality FROM v_points"),
     "language_coalesce": _sql("SELECT ord, CASE WHEN ord % 3 = 1 THEN '字' ELSE txt END AS text, CASE WHEN ord % 3 = 1 THEN '字' ELSE 'long' END AS description FROM v_points"),
@@ -408,3 +428,142 @@ SELECT video_id, id, row_number() OVER (PARTITION BY video_id ORDER BY s, coales
     "span_in_view": _sql("SELECT ord, round(a, 6) AS s, round(b, 6) AS e FROM (SELECT ord, greatest(s, floor(s / 60) * 60 + 5) AS a, least(e, floor(s / 60) * 60 + 55) AS b FROM v_spans) WHERE b - a >= 2"),
     "options_rendering": _sql("SELECT ord, 'A. ' || txt || chr(10) || 'B. cat' || chr(10) || 'C. dog' AS text FROM v_points"),
 }
+
+# --- longest common subsequences, by rows of the table
+
+
+def _tokens(c: str) -> str:
+    return f"list_transform(regexp_extract_all({c}, '{T.TOKEN.replace("'", "''")}'), lambda x: lower(x))"
+
+
+def _rouge(pairs: str) -> str:
+    """CTEs that give ROUGE-L of the distinct pairs (a, b) of a query as rl (a, b, f1)."""
+    return f"""
+pr AS (SELECT a, b, {_tokens("a")} AS x, {_tokens("b")} AS y FROM (SELECT DISTINCT a, b FROM ({pairs}))),
+lc(a, b, i, r) AS (SELECT a, b, 0, list_transform(range(0, len(y) + 1), lambda k: 0) FROM pr
+  UNION ALL SELECT a, b, i, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (
+    SELECT pr.a, pr.b, i + 1 AS i, list_transform(range(1, len(y) + 2), lambda j: CASE WHEN j > 1 AND y[j - 1] = x[i + 1] THEN r[j - 1] + 1 ELSE r[j] END) AS c FROM lc JOIN pr ON pr.a = lc.a AND pr.b = lc.b WHERE i < len(x))),
+rl AS (SELECT pr.a, pr.b, CASE WHEN lc.r[-1] = 0 THEN 0.0 ELSE 2.0 * lc.r[-1] / (len(x) + len(y)) END::DOUBLE AS f1 FROM pr JOIN lc ON lc.a = pr.a AND lc.b = pr.b AND lc.i = len(x))
+"""
+
+
+_TODOS = f"""
+noted AS (SELECT video_id, CASE WHEN ord % 4 = 3 THEN 'key_event_unreviewed' ELSE 'event_span_invalid' END AS kind, ord::VARCHAR AS event_id, s, e, 'noted' AS reason FROM v_events WHERE ord % 6 = 3),
+told AS (SELECT *, 0 AS rank FROM noted
+  UNION ALL SELECT video_id, 'key_event_unreviewed', ord::VARCHAR, s, e, NULL, 1 FROM v_events WHERE importance = 'key' AND boundary_state = 'unreviewed'
+  UNION ALL SELECT video_id, 'boundary_' || boundary_state, ord::VARCHAR, s, e, NULL, 2 FROM v_events WHERE boundary_state IN ('split', 'rejected_final')
+  UNION ALL SELECT video_id, 'uncovered_gap', NULL, round(s, 3), round(e, 3), 'uncovered', 3 FROM ({_GAPS.format(test="e - s > 1.0")})),
+todo AS (SELECT video_id, kind, event_id, s, e, arg_min(coalesce(reason, ''), rank) AS reason FROM told GROUP BY ALL)
+"""
+
+_ASKED = f"""
+aq AS (SELECT video_id, ord, qid, CASE WHEN ord % 41 = 0 THEN 'essay' ELSE task_type END AS kind, CASE WHEN ord % 37 = 0 THEN '' ELSE txt END AS question,
+  CASE WHEN ord % 17 = 0 THEN [[e, s]] WHEN ord % 17 = 1 THEN [] WHEN ord % 17 = 2 THEN [[s, s + 100000]] WHEN ord % 9 = 0 THEN [[s, e], [s / 2, s / 2 + 4]] ELSE [[s, e]] END::DOUBLE[][] AS ev,
+  CASE WHEN ord % 8 = 5 THEN [] WHEN ord % 8 = 4 THEN [s, s + 40] WHEN ord % 16 = 6 THEN [s - 0.5, s + 5.5] ELSE [s, e] END::DOUBLE[] AS target, CASE WHEN ord % 3 = 1 THEN ord - 1 ELSE ord END AS anchor_id,
+  CASE WHEN ord % 31 = 0 THEN ({_WORDS})[1:3] WHEN ord % 43 = 0 THEN ['  ', '  ', '  ', '  '] ELSE {_WORDS} END AS options, CASE WHEN ord % 29 = 0 THEN 'E' ELSE answer END AS answer,
+  CASE ord % 4 WHEN 0 THEN repeat('字', 80) || ' 00:10 00:20' WHEN 2 THEN '短' WHEN 3 THEN repeat('字', 90) ELSE '' END AS zh, CASE ord % 4 WHEN 1 THEN repeat('word ', 220) || '"quoted"' ELSE '' END AS en FROM v_qa),
+av AS (SELECT video_id, ord AS anchor_id, s - 3 AS s, CASE WHEN ord % 30 = 0 THEN s - 3 ELSE e + 3 END AS e FROM v_events WHERE ord % 3 <> 1),
+pools AS (SELECT video_id, list([s, e]) FILTER (WHERE e > s) AS pool FROM av GROUP BY video_id),
+met AS (SELECT aq.*, pools.video_id IS NOT NULL AS pooled, coalesce(pool, []::DOUBLE[][]) AS pool, av.anchor_id IS NOT NULL AS known, av.s AS s, av.e AS e,
+  list_transform(options, lambda o: greatest(length(regexp_replace(o, '{_BLANK}', '', 'g')), len(list_filter(string_split_regex(o, '{_BLANK}+'), lambda w: w <> '')))) AS size_,
+  target[2] > target[1] AS aimed FROM aq LEFT JOIN pools USING (video_id) LEFT JOIN av USING (video_id, anchor_id)),
+ruled AS (SELECT *, list_position(['A', 'B', 'C', 'D'], answer) AS at_, list_filter(list_transform(ev, lambda p: CASE WHEN NOT p[2] > p[1] THEN 'evidence' WHEN p[1] < 0 OR p[2] > 721 THEN 'evidence outside'
+  WHEN len(pool) > 0 AND len(list_filter(pool, lambda a: p[1] >= a[1] - 1 AND p[2] <= a[2] + 1)) = 0 THEN 'evidence off anchors' END), lambda x: x IS NOT NULL)[1] AS off,
+  len(list_filter(ev, lambda p: least(p[2], e) > greatest(p[1], s))) > 0 AS touches FROM met)
+"""
+
+SQL |= {
+    "text_rouge_l": "WITH RECURSIVE "
+    + _rouge("SELECT x.text AS a, y.text AS b FROM benchmark x JOIN benchmark y ON y.item_id = x.item_id + 1")
+    + "SELECT x.item_id, round(f1, 6) AS rouge_l FROM benchmark x JOIN benchmark y ON y.item_id = x.item_id + 1 JOIN rl ON rl.a = x.text AND rl.b = y.text",
+    "open_item_agreement": _sql(f"""
+SELECT qid, round(avg(l), 3) AS agreement, count(*) AS n_raters, avg(l) >= 0.6 AS passes FROM (
+  SELECT qid, (greatest(f1, {_JACCARD.format(a="g", b="h")}) >= 0.5)::INT::DOUBLE AS l FROM (SELECT qid, text, txt, {_ngrams("text")} AS g, {_ngrams("txt")} AS h FROM ops WHERE text <> '') JOIN rl ON rl.a = text AND rl.b = txt) GROUP BY qid
+""", "ops AS (SELECT qid, txt, CASE (ord + r) % 4 WHEN 0 THEN '' WHEN 1 THEN txt ELSE txt || ' and other words' END AS text FROM v_qa, range(3) x(r) WHERE task_type IN ('open', 'summary'))," + _rouge("SELECT text AS a, txt AS b FROM ops")),
+    "text_similarity": _sql(f"""
+SELECT ord, round(CASE WHEN coalesce(b, '') = '' THEN 0.0 WHEN ord % 3 <> 0 AND ord % 2 = 0 THEN CASE WHEN vv * ww > 0 THEN vw / (sqrt(vv) * sqrt(ww)) ELSE 0 END ELSE {_JACCARD.format(a="g", b="h")} END, 6) AS similarity
+FROM (SELECT *, x * x + y * y + z * z AS vv, p * p + q * q + r * r AS ww, x * p + y * q + z * r AS vw, {_ngrams("txt")} AS g, {_ngrams("coalesce(b, '')")} AS h FROM (
+  SELECT ord, txt, CASE ord % 7 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE txt || ' again' END AS b, (ord % 5)::DOUBLE AS x, (ord % 7)::DOUBLE AS y, (ord % 11)::DOUBLE AS z,
+  (ord * 3 % 5)::DOUBLE AS p, (ord * 3 % 7)::DOUBLE AS q, (ord * 3 % 11)::DOUBLE AS r FROM v_points))
+"""),
+    "pair_dedup": _sql(f"""
+SELECT video_id, CASE WHEN first THEN x[1].ord ELSE x[2].ord END AS kept, CASE WHEN first THEN x[2].ord ELSE x[1].ord END AS merged FROM (SELECT video_id, x, length(x[1].t) >= length(x[2].t) AS first FROM (
+  SELECT video_id, c, list({{'ord': ord, 't': t, 'g': g}} ORDER BY s, e, ord) AS x FROM (SELECT *, {_ngrams("t")} AS g FROM (SELECT w.video_id, w.c, o.ord, o.s, o.e, repeat(o.txt || ' at the gate ', 3) || repeat('!', (o.ord % 9)::INT) AS t FROM w JOIN o USING (video_id, ord))) GROUP BY video_id, c HAVING count(*) = 2)
+  WHERE {_JACCARD.format(a="x[1].g", b="x[2].g")} >= 0.85)
+""", _FIRST_FIT),
+    "human_todo": _sql("SELECT video_id, kind, event_id, s, e, nullif(reason, '') AS reason FROM todo", _UNION.format(eps=1.0) + "," + _TODOS),
+    "qc_batch_verdict": _sql("SELECT count(*) AS n, count(*) FILTER (WHERE passes) AS passed, bool_and(passes) AS all_pass, (SELECT count(*) FROM todo) AS human_todo_total FROM gd", _GATE + "," + _TODOS),
+    "release_report": _sql("SELECT count(*) AS n, (SELECT count(*) FROM todo) AS todos, 0.8::DOUBLE AS alpha, count(*) FILTER (WHERE NOT passes) AS failed FROM gd", _GATE + "," + _TODOS),
+    "mcq_stats": "WITH al AS (" + SQL["qc_mcq_alpha_non_gold"] + """),
+g AS (SELECT * FROM (""" + SQL["qc_gold_accuracy"] + """)), r AS (SELECT * FROM (""" + SQL["qc_rework"] + """))
+SELECT alpha, (SELECT sum(flagged::INT) FROM g)::BIGINT AS flagged, (SELECT count(*) FROM r) AS rework FROM al
+""",
+    "answer_keys": _sql("SELECT qid, answer, is_gold AS gold FROM v_qa WHERE task_type = 'mcq' AND ord % 10 <> 1"),
+    "window_ocr_join": _sql("""
+SELECT w.video_id, w.s, w.e, count(*) AS n, string_agg(p.txt, ' | ' ORDER BY p.t, p.ord) AS ocr FROM (SELECT video_id, k * 180.0::DOUBLE AS s, least((k + 1) * 180.0, 720.0)::DOUBLE AS e FROM v_videos, range(4) r(k)) w
+JOIN v_points p ON p.video_id = w.video_id AND p.t >= w.s AND p.t <= w.e AND p.ord % 4 = 1 GROUP BY w.video_id, w.s, w.e
+"""),
+    "question_keys": _sql("""
+SELECT video_id, min(ord) AS ord, key, count(*) AS n_same FROM (SELECT video_id, ord, CASE WHEN ord % 5 = 0 THEN '第三次' ELSE regexp_replace(lower(txt || ' -- who_is it?'), '[^\\p{L}\\p{N}]+', '', 'g') END || '|' || CASE WHEN ord % 3 <> 0 THEN substr('ABCD', (ord % 4 + 1)::INT, 1) ELSE '' END AS key FROM v_points) GROUP BY video_id, key
+"""),
+    "question_validation": _sql("""
+SELECT qid, CASE WHEN question = '' OR len(ev) = 0 THEN 'no question or evidence' WHEN kind = 'essay' THEN 'task type' WHEN off IS NOT NULL THEN off WHEN known AND NOT e > s THEN 'anchor' WHEN pooled AND NOT known THEN 'unknown anchor'
+  WHEN known AND NOT touches THEN 'evidence off own anchor' WHEN kind = 'temporal_grounding' AND aimed IS NOT TRUE THEN 'target' WHEN kind = 'temporal_grounding' AND (target[1] < 0 OR target[2] > 721) THEN 'target outside'
+  WHEN kind = 'temporal_grounding' AND known AND NOT (target[1] >= s - 1 AND target[2] <= e + 1) THEN 'target off anchor' WHEN kind = 'mcq' AND (len(options) <> 4 OR coalesce(at_, 0) = 0) THEN 'options or answer'
+  WHEN kind = 'mcq' AND list_max(size_) <= 0 THEN 'empty options' WHEN kind = 'mcq' AND list_stddev_pop(size_) / list_avg(size_) >= 0.35 THEN 'option lengths'
+  WHEN kind = 'mcq' AND size_[at_] = list_max(size_) AND len(list_filter(size_, lambda x: x = size_[at_])) = 1 THEN 'longest option' WHEN kind = 'temporal_grounding' AND target[2] - target[1] < 5 THEN 'target width'
+  WHEN kind IN ('open', 'summary') AND length(regexp_replace(zh, '\\s', '', 'g')) < 80 AND len(list_filter(string_split(en, ' '), lambda w: w <> '')) < 220 THEN 'short reference'
+  WHEN kind IN ('open', 'summary') AND len(regexp_extract_all(zh || en, '\\d{1,2}:\\d{2}')) < 2 AND NOT contains(zh || en, '"') THEN 'no details' END AS fault FROM ruled
+""", _ASKED),
+    "referring_check": _sql("""
+SELECT ord, CASE WHEN length(zh) < 15 AND len(list_filter(string_split(en, ' '), lambda w: w <> '')) < 10 THEN 'short' WHEN NOT (contains(zh, '第三次') OR regexp_matches(en, '\\d{1,2}:\\d{2}')) THEN 'no context' END AS fault FROM (
+SELECT ord, CASE ord % 3 WHEN 0 THEN '第三次出现的是谁和谁在' || repeat('字', (ord % 7)::INT) WHEN 1 THEN repeat('字', 16) ELSE '' END AS zh,
+  CASE ord % 5 WHEN 0 THEN txt || repeat(' word', (ord % 12)::INT) WHEN 1 THEN 'who enters the room at 12:30 and then leaves it with the box' ELSE '' END AS en FROM v_points)
+"""),
+    "description_gate": _sql("""
+SELECT ord, concat_ws('; ', CASE WHEN CASE WHEN shot THEN nz < 80 AND ne < 60 ELSE nz < 400 AND ne < 350 END THEN 'length' END, CASE WHEN NOT shot AND az < 2 AND ae < 2 THEN 'anchors' END, CASE WHEN n < 6 THEN 'elements ' || n END) AS faults FROM (
+SELECT ord, ord % 2 = 0 AS shot, ord % 9 AS n, length(regexp_replace(zh, '\\s', '', 'g')) AS nz, len(list_filter(string_split(en, ' '), lambda w: w <> '')) AS ne, len(regexp_extract_all(zh, '\\d{1,2}:\\d{2}')) AS az, len(regexp_extract_all(en, '\\d{1,2}:\\d{2}')) AS ae FROM (
+SELECT ord, CASE ord % 4 WHEN 0 THEN repeat('字', (60 + ord % 50)::INT) || ' 00:10' WHEN 1 THEN repeat('镜', 400) || ' 约 00:10 约 00:20' ELSE '' END AS zh, CASE ord % 4 WHEN 2 THEN repeat('word ', (50 + ord % 20)::INT) WHEN 3 THEN repeat('word ', 350) || '00:10 00:20' ELSE '' END AS en FROM v_points))
+"""),
+    "paddings": _sql("""
+SELECT ord, round(total * f, 3) AS before, round(total - total * f, 3) AS after FROM (SELECT ord, 2.0::DOUBLE * greatest(4.0::DOUBLE, e - s) AS total, 0.2::DOUBLE + 0.6::DOUBLE * (('0x' || substr(sha256(ord || '|' || txt), 1, 8))::BIGINT % 1000) / 999.0::DOUBLE AS f FROM v_spans)
+"""),
+    "span_pairs": _sql("SELECT ord, CASE WHEN k AND b > a THEN a END AS s, CASE WHEN k AND b > a THEN b END AS e FROM (SELECT ord, ord % 4 IN (0, 3) AS k, CASE WHEN ord % 4 = 0 THEN e ELSE s END AS a, CASE WHEN ord % 4 = 0 THEN s ELSE e END AS b FROM v_spans)"),
+    "distinct_frames": _sql("""
+SELECT ord, len(g)::INT AS n, array_to_string(list_transform(g, lambda t: format('{:.3f}', t)), ' ') AS times FROM (SELECT ord, CASE WHEN hi <= lo THEN [] WHEN len(f) <= 5 THEN f ELSE list_transform(range(0, 5), lambda i: f[(round_even(i * (len(f) - 1) / 4.0, 0) + 1)::INT]) END AS g FROM (
+SELECT *, list_filter(times, lambda t: t >= lo AND t <= hi) AS f FROM (SELECT p.ord, times, greatest(0.0, least(times[-1], p.s - 30)) AS lo, greatest(0.0, least(times[-1], p.e + 30)) AS hi FROM v_spans p JOIN (SELECT video_id, list(DISTINCT t ORDER BY t) AS times FROM v_points GROUP BY video_id) USING (video_id))))
+"""),
+    "frame_index": _sql("""
+SELECT video_id, (i + max(no - i) OVER (PARTITION BY video_id ORDER BY t))::BIGINT AS frame_no, t FROM (SELECT video_id, t, row_number() OVER (PARTITION BY video_id ORDER BY t) AS i, round_even(t * 0.2, 0) AS no FROM (SELECT DISTINCT video_id, t FROM v_points WHERE ord % 23 <> 0))
+"""),
+    "frame_owners": _sql("SELECT video_id::VARCHAR AS expected, CASE video_id % 3 WHEN 0 THEN video_id % 2 <> 0 WHEN 1 THEN true ELSE false END AS foreign FROM v_videos"),
+    "frame_statistics": _sql("""
+SELECT video_id, count(*) AS n, min(t) AS first, max(t) AS last, CASE WHEN count(*) > 1 THEN round((max(t) - min(t)) / (count(*) - 1), 6) END AS step FROM (
+SELECT video_id, t FROM v_points WHERE video_id % 2 = 0 UNION ALL SELECT DISTINCT video_id, t FROM v_points WHERE video_id % 2 <> 0 AND ord % 23 <> 0) GROUP BY video_id
+"""),
+    "boundary_rounds": _sql("""
+SELECT video_id, id, round(s, 6) AS s, round(e, 6) AS e, state AS boundary_state FROM done
+UNION ALL SELECT video_id, id, round(s, 6), round(e, 6), 'rejected' FROM v_verdicts WHERE decision = 'rejected'
+UNION ALL SELECT video_id, id, round(s, 6), round(e, 6), 'rejected' FROM two WHERE d = 'rejected'
+""", _VERDICTS + """,
+one AS (SELECT video_id, id, s, e, 'verified' AS state FROM v_verdicts WHERE decision = 'verified' UNION ALL SELECT video_id, id, rs, re, 'refined' FROM v_verdicts WHERE decision = 'refined'
+  UNION ALL SELECT video_id, id || 'a', s, at_, 'split' FROM v_verdicts WHERE decision = 'split' AND at_ > s AND at_ < e UNION ALL SELECT video_id, id || 'b', at_, e, 'split' FROM v_verdicts WHERE decision = 'split' AND at_ > s AND at_ < e
+  UNION ALL SELECT video_id, id, s, e, 'unreviewed' FROM v_verdicts WHERE decision = 'odd' OR (decision = 'split' AND NOT (at_ > s AND at_ < e))),
+two AS (SELECT *, (s * 3 + e) / 4 AS cut, CASE WHEN length(id) % 5 <> 0 THEN (['verified', 'refined', 'split', 'rejected'])[((length(id) + regexp_extract(id, '[0-9]+')::BIGINT) % 4 + 1)::INT] ELSE 'unreviewed' END AS d FROM one WHERE state IN ('refined', 'split')),
+done AS (SELECT video_id, id, s, e, state FROM one WHERE state NOT IN ('refined', 'split') UNION ALL SELECT video_id, id, s, e, 'verified' FROM two WHERE d = 'verified' UNION ALL SELECT video_id, id, s + 0.1::DOUBLE, e - 0.1::DOUBLE, 'refined' FROM two WHERE d = 'refined'
+  UNION ALL SELECT video_id, id || 'a', s, cut, 'split' FROM two WHERE d = 'split' AND cut > s AND cut < e UNION ALL SELECT video_id, id || 'b', cut, e, 'split' FROM two WHERE d = 'split' AND cut > s AND cut < e
+  UNION ALL SELECT video_id, id, s, e, 'unreviewed' FROM two WHERE d = 'unreviewed' OR (d = 'split' AND NOT (cut > s AND cut < e)))
+"""),
+    "stage_cascade": _sql("SELECT video_id, unnest(['S1', 'S2', 'S3', 'S4', 'S5', 'S6', 'S7']) AS stage, unnest([h1, h2, h3, h4, h5, h6, h7]) AS hash FROM h7_", """
+p0 AS (SELECT video_id, list_transform(range(1, 8), lambda i: CASE WHEN i = 2 AND video_id % 3 = 0 THEN '' ELSE sha256('S' || i || chr(31) || video_id) END) AS p FROM v_videos),
+h1_ AS (SELECT *, sha256('S1|' || p[1]) AS h1 FROM p0), h2_ AS (SELECT *, sha256('S2|' || p[2] || '|' || h1) AS h2 FROM h1_), h3_ AS (SELECT *, sha256('S3|' || p[3] || '|' || h1 || '|' || h2) AS h3 FROM h2_),
+h4_ AS (SELECT *, sha256('S4|' || p[4] || '|' || h1 || '|' || h3) AS h4 FROM h3_), h5_ AS (SELECT *, sha256('S5|' || p[5] || '|' || h1 || '|' || h3 || '|' || h4) AS h5 FROM h4_),
+h6_ AS (SELECT *, sha256('S6|' || p[6] || '|' || h5) AS h6 FROM h5_), h7_ AS (SELECT *, sha256('S7|' || p[7] || '|' || h5 || '|' || h6) AS h7 FROM h6_)
+"""),
+    "manifest_rows": _sql(f"""
+SELECT m.video_id, stages, coalesce(n, 0)::INT AS n_gaps, first AS first_gap FROM (SELECT video_id, string_agg(stage || ':' || (['failed', 'done', 'skipped'])[(i % 3 + 1)::INT] || ':' || left(md5(i::VARCHAR), 12), ' ' ORDER BY stage) AS stages FROM lastst GROUP BY video_id) m
+LEFT JOIN (SELECT video_id, count(*) AS n, round(min(s), 3) AS first FROM ({_GAPS.format(test="e - s > 1.0")}) GROUP BY video_id) USING (video_id)
+""", _UNION.format(eps=1.0) + ", lastst AS (SELECT user_id AS video_id, event_type AS stage, max(event_id) AS i FROM events GROUP BY ALL)"),
+    "restored_tracks": "WITH lastst AS (SELECT user_id AS video_id, event_type AS stage, max(event_id) AS i FROM events GROUP BY ALL), o AS (SELECT user_id AS video_id, " + ", ".join(f"sum(event_id) FILTER (WHERE event_type = '{k}')::BIGINT AS {k}" for k in ("click", "view", "purchase")) + " FROM events GROUP BY user_id) SELECT o.video_id, "
+    + ", ".join(f"CASE WHEN EXISTS (SELECT 1 FROM lastst x WHERE x.video_id = o.video_id AND x.stage = '{k}' AND x.i % 3 = 1) THEN {k} END AS {k}" for k in ("click", "view", "purchase")) + " FROM o",
+}

@@ -42,8 +42,11 @@ def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve scenes of a minute each; their list runs backwards (``place``)."""
     k = F.explode(F.sequence(F.lit(0), F.lit(11)))
-    return videos(spark, sf_dir).select("video_id", k.alias("k")).select("video_id", (F.col("k") + 1).cast("long").alias("scene_id"), (F.col("k") * 60.0).alias("s"), (F.col("k") * 60.0 + 60).alias("e"))
+    return videos(spark, sf_dir).select("video_id", k.alias("k")).select(
+        "video_id", (F.col("k") + 1).cast("long").alias("scene_id"), (F.col("k") * 60.0).alias("s"), (F.col("k") * 60.0 + 60).alias("e"), (11 - F.col("k")).alias("place")
+    )
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +86,7 @@ v_points AS (SELECT user_id AS video_id, event_id AS ord, round(epoch_us(ts) / 3
 v_spans AS (SELECT video_id, ord, t AS s, round(t + v / 10, 3) AS e, txt, v FROM v_points),
 v_videos AS (SELECT DISTINCT video_id, 720.0::DOUBLE AS duration, ({_list(GENRES)})[(video_id % 12 + 1)::INT] AS genre FROM v_points),
 v_shots AS (SELECT video_id, ord, t AS s, coalesce(lead(t) OVER (PARTITION BY video_id ORDER BY t, ord), 720.0) AS e FROM v_points),
-v_scenes AS (SELECT video_id, (k + 1)::BIGINT AS scene_id, k * 60.0::DOUBLE AS s, k * 60.0::DOUBLE + 60 AS e FROM v_videos, range(12) r(k)),
+v_scenes AS (SELECT video_id, (k + 1)::BIGINT AS scene_id, k * 60.0::DOUBLE AS s, k * 60.0::DOUBLE + 60 AS e, 11 - k AS place FROM v_videos, range(12) r(k)),
 v_events AS (SELECT *, CASE WHEN ord % 3 = 0 THEN 'key' ELSE 'minor' END AS importance, ({_list(BOUNDARY_STATES)})[(ord % 4 + 1)::INT] AS boundary_state,
   CASE WHEN ord % 2 = 0 THEN lag(ord) OVER (PARTITION BY video_id ORDER BY s, ord) END AS cause FROM v_spans),
 v_qa AS (SELECT video_id, ord, s, e, txt, video_id || '_q' || ord AS qid,
