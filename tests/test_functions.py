@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
-from tidemark.operators import agreement, audio, frames, incremental, narrative, providers, questions, segments, workflow
+from tidemark.operators import agreement, audio, frames, gate, incremental, narrative, providers, questions, segments, workflow
 
 
 def value(spark, expr, **columns):
@@ -216,3 +216,32 @@ def test_embeddings(spark):
 
     got = providers.embed(spark.createDataFrame([(1, "a"), (2, "bcd")], "id long, text string"), Lengths).collect()
     assert sorted((r["id"], r["embedding"]) for r in got) == [(1, [1.0, 1.0]), (2, [3.0, 1.0])]
+
+
+def test_sets_and_vectors_against_brute_force(spark, monkeypatch):
+    import random
+
+    import numpy as np
+
+    from tidemark.operators import pairs
+
+    r = random.Random(2)
+    sets = {i: r.sample(range(40), r.randint(0, 25)) for i in range(60)} | {100 + i: list(range(i, i + 20)) for i in range(5)}
+    frame = spark.createDataFrame(list(sets.items()), "id long, items array<long>")
+    for least in (0.3, 0.85):
+        want = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and len({*sets[a]} & {*sets[b]}) / len({*sets[a]} | {*sets[b]}) >= least}
+        assert {(x["id"], x["other"]) for x in pairs.similar_sets(frame, least).collect()} == want
+    monkeypatch.setattr(pairs, "BLOCK", 7)
+    g = np.random.default_rng(1)
+    rows = [(int(i % 3) if i % 11 else None, int(i), [float(x) for x in g.normal(size=4)] if i % 13 else [0.0] * 4) for i in range(80)]
+    table = spark.createDataFrame(rows, "label long, id long, vector array<double>")
+    cosine = lambda a, b: np.dot(a, b) / max(np.linalg.norm(a) * np.linalg.norm(b), 1e-300)
+    want = {(q[1], x[1]) for q in rows if q[1] % 20 == 0 for x in rows if q[0] is not None and q[0] == x[0] and q[1] != x[1] and cosine(q[2], x[2]) >= 0.4}
+    assert want and {(x["id"], x["other"]) for x in pairs.vector_search(table.where("id % 20 = 0"), table, 0.4).collect()} == want
+
+
+def test_decisions_are_written_back(spark):
+    products = spark.sql("SELECT * FROM VALUES (1, named_struct('review_status', 'draft', 'rejected_reasons', 'old', 'kept', 1)), (2, named_struct('review_status', 'verified', 'rejected_reasons', cast(null as string), 'kept', 2)), (3, named_struct('review_status', 'draft', 'rejected_reasons', 'x', 'kept', 3)) AS t(video_id, annotation_meta)")
+    gated = spark.createDataFrame([(1, True, ""), (2, False, "alpha")], "video_id int, pass boolean, reasons string")
+    got = {r["video_id"]: tuple(r["annotation_meta"]) for r in gate.written_back(products, gated).collect()}
+    assert got == {1: ("verified", None, 1), 2: ("draft", "alpha", 2), 3: ("draft", None, 3)}

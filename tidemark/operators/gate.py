@@ -44,7 +44,21 @@ def release_gate(facts: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
 
 
 def effect(gated: DataFrame) -> DataFrame:
-    return gated.withColumn("review_status", F.when(F.col("pass"), "verified").otherwise("draft"))
+    """The decision's effect: passing videos are verified and lose earlier reasons, others are drafts with theirs."""
+    return gated.withColumn("review_status", F.when(F.col("pass"), "verified").otherwise("draft")).withColumn("rejected_reasons", F.when(~F.col("pass"), F.col("reasons")))
+
+
+def written_back(products: DataFrame, gated: DataFrame) -> DataFrame:
+    """Products (video_id, annotation_meta, ...) with the gate's decision in their annotation_meta, as a new version.
+
+    A product that wasn't judged stays as it is.
+    """
+    verdict = effect(gated).select("video_id", F.col("review_status").alias("__status"), F.col("rejected_reasons").alias("__reasons"))
+    out = products.join(verdict, "video_id", "left")
+    meta = F.col("annotation_meta")
+    status = F.coalesce("__status", meta["review_status"])
+    fields = [f for f in products.schema["annotation_meta"].dataType.names if f not in ("review_status", "rejected_reasons")]
+    return out.select(*(c for c in products.columns if c != "annotation_meta"), F.struct(status.alias("review_status"), F.col("__reasons").alias("rejected_reasons"), *(meta[f].alias(f) for f in fields)).alias("annotation_meta"))
 
 
 def human_todo(noted: DataFrame, events: DataFrame, gaps: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,7 +81,7 @@ def normalise_spans(events: DataFrame, duration: float, key_width: float = 3.0)
 
 
 def apply_verdicts(candidates: DataFrame) -> DataFrame:
-    """One boundary round on (video_id, id, s, e, decision, rs, re, at): refined spans move, split ones become two
+    """One boundary round on (video_id, id, s, e, decision, rs, re, at, ...): refined spans move, split ones become two
     rows, rejected ones leave, verified and unknown ones stay."""
     row = lambda i, s, e, state: F.struct(i.alias("id"), s.alias("s"), e.alias("e"), F.lit(state).alias("boundary_state"))
     i, s, e = F.col("id"), F.col("s"), F.col("e")
@@ -90,22 +92,26 @@ def apply_verdicts(candidates: DataFrame) -> DataFrame:
         .when(F.col("decision") == "verified", F.array(row(i, s, e, "verified")))
         .otherwise(F.array(row(i, s, e, "unreviewed")))
     )
-    return candidates.select("video_id", F.explode(rows).alias("r")).select("video_id", "r.*")
+    own = [c for c in candidates.columns if c not in ("id", "s", "e", "decision", "rs", "re", "at", "boundary_state")]
+    return candidates.select(*own, F.explode(rows).alias("r")).select(*own, "r.*")
 
 
-def refine(candidates: DataFrame, *rounds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kept, rejected) of ``candidates`` (video_id, id, s, e) after each round of verdicts (video_id, id, decision, rs,
-    re, at). The first round reviews all, a later one what the one before has refined or split; a row without a verdict
-    is unreviewed. Both have video_id, id, s, e; the kept ones their boundary_state."""
-    pending, kept, rejected = candidates.select("video_id", "id", "s", "e"), None, None
+def refine(candidates: DataFrame, *rounds: DataFrame | Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(kept, rejected) of ``candidates`` (video_id, id, s, e, ...) after each round of verdicts (video_id, id, decision,
+    rs, re, at), given as a table or made from the pending rows. The first round reviews all, a later one what the one
+    before has refined or split; a row without a verdict is unreviewed. The kept rows have their boundary_state; both
+    have ``origin``, if candidates have it."""
+    own = ["video_id", "id", "s", "e"] + [c for c in candidates.columns if c == "origin"]
+    pending, kept, rejected = candidates.select(*own), None, None
     both = lambda one, other: other if one is None else one.unionByName(other)
     for i, verdicts in enumerate(rounds):
+        verdicts = verdicts(pending) if callable(verdicts) else verdicts
         judged = pending.join(verdicts.select("video_id", "id", "decision", "rs", "re", "at"), ["video_id", "id"], "left")
-        rejected = both(rejected, judged.where("decision = 'rejected'").select("video_id", "id", "s", "e"))
+        rejected = both(rejected, judged.where("decision = 'rejected'").select(*own))
         rows = apply_verdicts(judged.withColumn("decision", F.coalesce("decision", F.lit("unreviewed"))))
         again = F.col("boundary_state").isin("refined", "split") & F.lit(i + 1 < len(rounds))
         kept = both(kept, rows.where(~again))
-        pending = rows.where(again).select("video_id", "id", "s", "e")
+        pending = rows.where(again).select(*own)
     return kept, rejected
 
 

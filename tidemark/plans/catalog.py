@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from tidemark.config import DEFAULT, MODALITIES
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
-from tidemark.operators import agreement, audio, frames, gate, incremental, joins, narrative, providers, questions, segments, workflow
+from tidemark.operators import agreement, audio, engine, frames, gate, incremental, joins, narrative, pairs, providers, questions, segments, workflow
 from tidemark.plans import checks
 from tidemark.sources import fixtures as X
 from tidemark.sources import json_io
 
 QUERIES: dict = {}
 ORACLES = checks.SQL
-#: At most this many benchmark items of one to six words are broadcast; beyond it they meet the documents unbroadcast.
+#: At most this many benchmark items, or candidates with their items, are broadcast; beyond it they are not.
 BROADCAST_ITEMS = 10_000
 
 
@@ -424,7 +424,9 @@ def capability_defaults(spark, d):
 def language_prior_leak(spark, d):
     """Benchmark items that stand word for word in a document: candidates share five inner words, the whole text decides.
 
-    Items of one to six words have no such key and are looked for in each document; items without a word are not.
+    Items of one to six words have no such key and are looked for in each document; items without a word are not. The
+    keys, and then the candidates, are broadcast behind a count, so texts don't move; beyond it both are joined by
+    shuffle.
     """
     words = lambda c: F.filter(F.split(c, "[ \\n]"), lambda w: w != "")
     run = lambda w, i: F.array_join(F.slice(w, i, 5), " ")
@@ -433,8 +435,11 @@ def language_prior_leak(spark, d):
     items = items.where("size(w) >= 7").select("item_id", "item", run(F.col("w"), F.lit(2)).alias("key"))
     docs = X.table(spark, d, "documents").select("doc_id", "text", words(F.col("text")).alias("w"))
     runs = docs.where("size(w) >= 5").select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 4), lambda i: run(F.col("w"), i)))).alias("key"))
-    met = runs.join(items, "key").select("doc_id", "item_id", "item").distinct()
-    long = met.join(docs.select("doc_id", "text"), "doc_id").where(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
+    few = items.limit(BROADCAST_ITEMS + 1).count() <= BROADCAST_ITEMS
+    met = runs.join(F.broadcast(items.select("item_id", "key")) if few else items.select("item_id", "key"), "key").select("doc_id", "item_id").distinct()
+    met = met.join(items.select("item_id", "item"), "item_id")
+    rare = met.limit(BROADCAST_ITEMS + 1).count() <= BROADCAST_ITEMS
+    long = docs.select("doc_id", "text").join(F.broadcast(met) if rare else met, "doc_id").where(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
     n = short.count()
     if not n:
         return long
@@ -473,18 +478,20 @@ def tokens(spark, d):
 
 @query
 def ngram_neardup(spark, d):
-    """Trigram similarity of each benchmark item with the next five."""
-    b = X.table(spark, d, "benchmark").select("item_id", T.ngrams(F.col("text")).alias("g"))
-    near = b.select(F.explode(F.sequence(F.col("item_id") - 5, F.col("item_id") - 1)).alias("item_id"), F.col("item_id").alias("other"), F.col("g").alias("h"))
-    return b.join(near, "item_id").select("item_id", "other", r6(T.jaccard(F.col("g"), F.col("h"))).alias("similarity"))
+    """All pairs of benchmark items and variants of them with like trigrams."""
+    b = X.table(spark, d, "benchmark").select(F.col("item_id").cast("long").alias("id"), "text")
+    longer = b.select((F.col("id") + 1_000_000).alias("id"), F.concat("text", F.lit(" and so on")).alias("text"))
+    loud = b.where("id % 3 = 0").select((F.col("id") + 2_000_000).alias("id"), F.concat(F.lit("Q: "), F.upper("text")).alias("text"))
+    every = b.unionByName(longer).unionByName(loud)
+    return pairs.similar_sets(every.select("id", T.ngrams(F.col("text")).alias("items")), DEFAULT.similarity).withColumn("similarity", r6("similarity"))
 
 
 @query
 def embedding_neardup(spark, d):
-    """Pairs of one label with cosine 0.4 or more; the labelled vectors are a query set of this table."""
-    e = X.table(spark, d, "embeddings")
-    pairs = e.join(e.select(F.col("vec_id").alias("other"), F.col("embedding").alias("second"), "label"), "label").where("vec_id < other")
-    return pairs.select("vec_id", "other", T.cosine(F.col("embedding"), F.col("second")).alias("c")).where("c >= 0.4").select("vec_id", "other", F.round("c", 5).alias("cosine"))
+    """A search: rows whose vec_id is divisible by 20 are the queries, against all rows of their label, cosine 0.4 or more."""
+    e = X.table(spark, d, "embeddings").select("label", F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = pairs.vector_search(e.where("id % 20 = 0"), e, 0.4)
+    return found.select(F.col("id").alias("vec_id"), "other", F.round("cosine", 5).alias("cosine"))
 
 
 @query
@@ -688,6 +695,57 @@ def candidate_union(spark, d):
     return narrative.numbered(narrative.union_keep_first(mined, window, sound, key=["video_id", "ord"], order=["s"]).where("e > s"), "e%d", ["video_id"], ["s", "ord"]).select("video_id", "ord", "src", "id")
 
 
+def _number(c):
+    return F.regexp_extract(c, "[0-9]+", 0).cast("long")
+
+
+@query
+def event_engine(spark, d):
+    """Candidates to events: two boundary rounds, dedup, grading, spans, scenes, and the todos left."""
+    o = F.col("ord")
+    candidates = X.spans(spark, d).select("video_id", F.concat(F.lit("c"), o.cast("string")).alias("id"), "s", "e", F.concat(F.repeat(F.concat("txt", F.lit(" at the gate ")), 3), F.repeat(F.lit("!"), (o % 9).cast("int"))).alias("txt"))
+    n = _number("id")
+    shifted = lambda p, k: p.select("video_id", "id", X.pick((n + k) % 5, ("verified", "refined", "split", "rejected", "odd")).alias("decision"), (F.col("s") + 0.25).alias("rs"), (F.col("e") + 0.5).alias("re"), ((F.col("s") + F.col("e")) / 2).alias("at"))
+    grade = lambda e: e.where(n % 4 != 0).select("video_id", "id", F.when(n % 3 == 0, "key").otherwise("minor").alias("importance"))
+    group = lambda e: e.groupBy("video_id", "cluster").agg(F.min(F.struct("ord", "id")).alias("a"), F.max(F.struct("ord", "id")).alias("z")).select("video_id", "cluster", F.col("a.id").alias("keep"), F.array("z.id", F.lit("none")).alias("merge"))
+    events, todos = engine.event_engine(candidates, [lambda p: shifted(p, 0), lambda p: shifted(p, F.length("id"))], grade, X.scenes(spark, d), 700.0, group)
+    rows = events.select("video_id", F.lit("event").alias("kind"), "id", "s", "e", "event_id", "importance", "boundary_state", "scene_id", F.array_join("sources", ",").alias("sources"))
+    return rows.unionByName(todos, allowMissingColumns=True).withColumn("s", r6("s")).withColumn("e", r6("e"))
+
+
+@query
+def global_block(spark, d):
+    v = X.videos(spark, d)
+    e = narrative.scene_of(X.events(spark, d), X.scenes(spark, d), 60.0).withColumn("id", F.col("ord").cast("string")).where("video_id % 4 <> 0")
+    seen = X.spans(spark, d).where("video_id % 4 <> 0").select("video_id", F.when(F.col("ord") % 2 == 0, F.col("txt")).otherwise(F.upper("txt")).alias("name"), "s", "e")
+    people = v.where("video_id % 3 <> 0").select("video_id", F.explode(F.array(*map(F.lit, ("click", "view", "Sign-Up", "nobody")))).alias("en")).select("video_id", F.concat(F.lit("p_"), "en").alias("id"), "en", F.lit(None).cast("string").alias("zh"), F.array(F.lit("ERROR")).alias("aliases"))
+    order = e.where("video_id % 2 = 0").groupBy("video_id").agg(F.reverse(F.array_sort(F.collect_list("id"))).alias("ids"))
+    out = engine.global_block(v, e, X.scenes(spark, d), people, seen, order)
+    who = F.transform("characters", lambda c: F.concat_ws(":", "video_id", c["id"], F.coalesce(c["alias"], F.lit("-")), F.coalesce(c["appearances"], F.lit(0)).cast("string")))
+    return out.select("video_id", F.array_join(who, " ").alias("characters"), F.array_join("unmerged", ",").alias("unmerged"), F.size("causes").alias("n_causes"), F.md5(F.array_join("timeline", ",").cast("binary")).alias("timeline"), F.size("misaligned").alias("n_misaligned"))
+
+
+@query
+def annotated_windows(spark, d):
+    """Windows from the cache, from answers, and those that fail, which are gaps."""
+    w = _windows(spark, d).withColumn("prompt", F.concat_ws("|", "video_id", (F.col("s") / 180).cast("int")))
+    key = providers.request_hash(F.lit("window"), F.col("prompt"))
+    n = (F.col("s") / 180).cast("int") + F.col("video_id")
+    cache = w.where(n % 3 == 0).select(key.alias("key_hash"), F.lit("held").alias("response"))
+    answer = lambda q: q.withColumn("response", F.when(n % 5 != 1, F.concat(F.lit("said "), "prompt"))).withColumn("ok", F.col("response").isNotNull())
+    done, gaps, fresh = engine.annotated_windows(w, cache, answer)
+    done = done.join(fresh.select("key_hash", F.lit(True).alias("fresh")), "key_hash", "left")
+    return done.select("video_id", "s", "e", "id", "response", F.coalesce("fresh", F.lit(False)).alias("fresh")).unionByName(gaps.select("video_id", "s", "e", F.col("reason").alias("response")), allowMissingColumns=True)
+
+
+@query
+def caption_requests(spark, d):
+    """One caption in twenty seconds; how many different frames are asked for."""
+    frames_ = X.points(spark, d).where("video_id % 5 <> 0").select("video_id", "t")
+    asked = engine.caption_requests(X.videos(spark, d), frames_, X.spans(spark, d).where("ord % 4 = 0"), 0.05)
+    return asked.groupBy("video_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("key_hash").alias("n_frames"), F.sum("frame").alias("frames")).withColumn("frames", F.round("frames", 3))
+
+
 # --- audio
 
 

@@ -121,12 +121,13 @@ _STAGE = "sh AS (SELECT o_custkey, sha256(string_agg(" + _HASH.format("o_orderke
 _WORDS = "[" + ", ".join(f"left(repeat('{c}', 20), (6 + ord % {m})::INT)" for c, m in zip("abcd", (3, 5, 7, 4), strict=True)) + "]"
 
 _R = "least(x.e - x.s, o.e - o.s) > 0 AND (least(x.e, o.e) - greatest(x.s, o.s)) / least(x.e - x.s, o.e - o.s) > 0.5"
-_FIRST_FIT = f"""
-o AS (SELECT video_id, ord, s, e, txt, row_number() OVER (PARTITION BY video_id ORDER BY s, e, ord) AS rn FROM v_spans),
-w AS (SELECT video_id, rn, ord, 0 AS c, [{{'s': s, 'e': e, 'c': 0}}] AS cl FROM o WHERE rn = 1
-  UNION ALL SELECT video_id, rn, ord, k, list_append(cl, {{'s': s, 'e': e, 'c': k}}) FROM (SELECT o.*, w.cl,
+_FIRST_FIT_FROM = f"""
+o AS (SELECT video_id, ord, s, e, txt, row_number() OVER (PARTITION BY video_id ORDER BY s, e, ord) AS rn FROM {{source}}),
+w AS (SELECT video_id, rn, ord, 0 AS c, [{{{{'s': s, 'e': e, 'c': 0}}}}] AS cl FROM o WHERE rn = 1
+  UNION ALL SELECT video_id, rn, ord, k, list_append(cl, {{{{'s': s, 'e': e, 'c': k}}}}) FROM (SELECT o.*, w.cl,
     coalesce(list_min(list_transform(list_filter(w.cl, lambda x: {_R}), lambda x: x.c)), list_max(list_transform(w.cl, lambda x: x.c)) + 1) AS k FROM w JOIN o ON o.video_id = w.video_id AND o.rn = w.rn + 1))
 """
+_FIRST_FIT = _FIRST_FIT_FROM.format(source="v_spans")
 
 SQL: dict[str, str] = {
     "qc_krippendorff_alpha": _alpha("SELECT doc_id AS unit, quality AS value FROM labels UNION ALL SELECT doc_id, 1 - toxic FROM labels"),
@@ -265,12 +266,6 @@ SELECT doc_id, length(regexp_replace(text, '{_BLANK}', '', 'g'))::INT AS zh_len,
     "referring_context": _sql("SELECT ord, ord % 4 <> 2 AS ok FROM v_points"),
     "tokens": f"""
 SELECT conv_id, turn, len(w)::INT AS n, md5(array_to_string(w, ' ')) AS digest FROM (SELECT conv_id, turn, list_transform(regexp_extract_all(text || ' 约 12:30 新娘 it''s 3.5', '{T.TOKEN.replace("'", "''")}'), lambda x: lower(x)) AS w FROM conversations)
-""",
-    "ngram_neardup": f"""
-WITH g AS (SELECT item_id, {_ngrams("text")} AS g FROM benchmark) SELECT a.item_id, b.item_id AS other, round({_JACCARD.format(a="a.g", b="b.g")}, 6) AS similarity FROM g a JOIN g b ON b.item_id - a.item_id BETWEEN 1 AND 5
-""",
-    "embedding_neardup": """
-SELECT vec_id, other, round(c, 5) AS cosine FROM (SELECT a.vec_id, b.vec_id AS other, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id) WHERE c >= 0.4
 """,
     "element_gate": f"""
 SELECT doc_id, n, concat_ws('; ', CASE WHEN words < 350 THEN 'short' END, CASE WHEN anchors < 2 THEN 'anchors' END, CASE WHEN n < 6 THEN 'elements' END) AS reasons FROM (
@@ -566,4 +561,61 @@ LEFT JOIN (SELECT video_id, count(*) AS n, round(min(s), 3) AS first FROM ({_GAP
 """, _UNION.format(eps=1.0) + ", lastst AS (SELECT user_id AS video_id, event_type AS stage, max(event_id) AS i FROM events GROUP BY ALL)"),
     "restored_tracks": "WITH lastst AS (SELECT user_id AS video_id, event_type AS stage, max(event_id) AS i FROM events GROUP BY ALL), o AS (SELECT user_id AS video_id, " + ", ".join(f"sum(event_id) FILTER (WHERE event_type = '{k}')::BIGINT AS {k}" for k in ("click", "view", "purchase")) + " FROM events GROUP BY user_id) SELECT o.video_id, "
     + ", ".join(f"CASE WHEN EXISTS (SELECT 1 FROM lastst x WHERE x.video_id = o.video_id AND x.stage = '{k}' AND x.i % 3 = 1) THEN {k} END AS {k}" for k in ("click", "view", "purchase")) + " FROM o",
+    "ngram_neardup": f"""
+WITH b AS (SELECT item_id::BIGINT AS id, text FROM benchmark UNION ALL SELECT item_id + 1000000, text || ' and so on' FROM benchmark UNION ALL SELECT item_id + 2000000, 'Q: ' || upper(text) FROM benchmark WHERE item_id % 3 = 0),
+g AS (SELECT id, {_ngrams("text")} AS g FROM b)
+SELECT x.id, y.id AS other, round({_JACCARD.format(a="x.g", b="y.g")}, 6) AS similarity FROM g x JOIN g y ON x.id < y.id AND least(len(x.g), len(y.g)) >= 0.8 * greatest(len(x.g), len(y.g)) WHERE {_JACCARD.format(a="x.g", b="y.g")} >= 0.85
+""",
+    "embedding_neardup": """
+SELECT vec_id, other, round(c, 5) AS cosine FROM (SELECT a.vec_id, b.vec_id AS other, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id AND a.vec_id % 20 = 0) WHERE c >= 0.4
+""",
+    "event_engine": _sql("""
+SELECT video_id, 'event' AS kind, id, round(s, 6) AS s, round(e, 6) AS e, 'e' || row_number() OVER (PARTITION BY video_id ORDER BY s, e, id) AS event_id, CASE WHEN importance = 'key' AND e - s < 3 THEN 'minor' ELSE importance END AS importance, state AS boundary_state, scene_id, sources FROM (
+  SELECT n.*, (SELECT arg_min(c.scene_id, c.place) FROM v_scenes c WHERE c.video_id = n.video_id AND c.s <= (n.s + n.e) / 2 AND (n.s + n.e) / 2 <= c.e) AS scene_id FROM norm n WHERE e > s)
+UNION ALL SELECT video_id, 'boundary_rejected', id, round(s, 6), round(e, 6), NULL, NULL, NULL, NULL, NULL FROM rejected
+UNION ALL SELECT video_id, 'boundary_split', id, round(s, 6), round(e, 6), NULL, NULL, NULL, NULL, NULL FROM done WHERE state = 'split'
+UNION ALL SELECT video_id, 'event_span_invalid', id, round(s, 6), round(e, 6), NULL, NULL, NULL, NULL, NULL FROM norm WHERE NOT e > s
+""", f"""
+cand AS (SELECT video_id, 'c' || ord AS id, 'c' || ord AS origin, s, e, repeat(txt || ' at the gate ', 3) || repeat('!', (ord % 9)::INT) AS txt, ord % 5 AS d FROM v_spans),
+one AS (SELECT video_id, id, origin, s, e, 'verified' AS state FROM cand WHERE d = 0 UNION ALL SELECT video_id, id, origin, s + 0.25::DOUBLE, e + 0.5::DOUBLE, 'refined' FROM cand WHERE d = 1
+  UNION ALL SELECT video_id, id || 'a', origin, s, (s + e) / 2, 'split' FROM cand WHERE d = 2 AND e > s UNION ALL SELECT video_id, id || 'b', origin, (s + e) / 2, e, 'split' FROM cand WHERE d = 2 AND e > s
+  UNION ALL SELECT video_id, id, origin, s, e, 'unreviewed' FROM cand WHERE d = 4 OR (d = 2 AND NOT e > s)),
+two AS (SELECT *, (regexp_extract(id, '[0-9]+')::BIGINT + length(id)) % 5 AS d FROM one WHERE state IN ('refined', 'split')),
+done AS (SELECT video_id, id, origin, s, e, state FROM one WHERE state NOT IN ('refined', 'split') UNION ALL SELECT video_id, id, origin, s, e, 'verified' FROM two WHERE d = 0 UNION ALL SELECT video_id, id, origin, s + 0.25::DOUBLE, e + 0.5::DOUBLE, 'refined' FROM two WHERE d = 1
+  UNION ALL SELECT video_id, id || 'a', origin, s, (s + e) / 2, 'split' FROM two WHERE d = 2 AND e > s UNION ALL SELECT video_id, id || 'b', origin, (s + e) / 2, e, 'split' FROM two WHERE d = 2 AND e > s
+  UNION ALL SELECT video_id, id, origin, s, e, 'unreviewed' FROM two WHERE d = 4 OR (d = 2 AND NOT e > s)),
+rejected AS (SELECT video_id, id, s, e FROM cand WHERE d = 3 UNION ALL SELECT video_id, id, s, e FROM two WHERE d = 3),
+rows_ AS (SELECT done.*, cand.txt, row_number() OVER (PARTITION BY done.video_id ORDER BY done.s, done.e, done.id) AS ord FROM done JOIN cand ON cand.video_id = done.video_id AND cand.id = done.origin),
+{_FIRST_FIT_FROM.format(source="rows_")},
+cl AS (SELECT r.*, w.c, count(*) OVER (PARTITION BY r.video_id, w.c) AS n FROM rows_ r JOIN w USING (video_id, ord)),
+two_ AS (SELECT video_id, c, list({{'id': id, 't': txt, 'g': {_ngrams("txt")}}} ORDER BY s, e, ord) AS x FROM cl WHERE n = 2 GROUP BY video_id, c),
+take AS (SELECT video_id, CASE WHEN length(x[1].t) >= length(x[2].t) THEN x[1].id ELSE x[2].id END AS keep, CASE WHEN length(x[1].t) >= length(x[2].t) THEN x[2].id ELSE x[1].id END AS gone FROM two_ WHERE {_JACCARD.format(a="x[1].g", b="x[2].g")} >= 0.85
+  UNION ALL SELECT video_id, arg_min(id, ord), arg_max(id, ord) FROM cl WHERE n > 2 GROUP BY video_id, c),
+kept AS (SELECT r.video_id, r.id || CASE WHEN t.gone IS NULL THEN '' ELSE '_m1' END AS id, r.s, r.e, r.state, t.gone AS sources FROM rows_ r LEFT JOIN take t ON t.video_id = r.video_id AND t.keep = r.id WHERE NOT EXISTS (SELECT 1 FROM take z WHERE z.video_id = r.video_id AND z.gone = r.id)),
+norm AS (SELECT video_id, id, state, sources, CASE WHEN a >= b THEN greatest(0.0, a - 1) ELSE a END AS s, CASE WHEN a >= b THEN least(700.0, a + 1) ELSE b END AS e, CASE WHEN k % 4 <> 0 AND k % 3 = 0 THEN 'key' ELSE 'minor' END AS importance FROM (
+  SELECT *, regexp_extract(id, '[0-9]+')::BIGINT AS k, greatest(0.0, least(700.0, s)) AS a, greatest(0.0, least(700.0, e)) AS b FROM kept))
+"""),
+    "global_block": _sql(f"""
+SELECT v.video_id, coalesce(who, '') AS characters, coalesce(loose, '') AS unmerged, coalesce(n_causes, 0)::INT AS n_causes, md5(coalesce(ids, '')) AS timeline, coalesce(n_misaligned, 0)::INT AS n_misaligned FROM v_videos v
+LEFT JOIN (SELECT h.video_id, string_agg(h.video_id || ':' || h.id || ':' || coalesce(h.alias, '-') || ':' || coalesce(n, 0), ' ' ORDER BY h.id) AS who FROM hit h LEFT JOIN (SELECT video_id, name, count(*) AS n FROM app GROUP BY ALL) s ON s.video_id = h.video_id AND s.name = h.alias GROUP BY h.video_id) USING (video_id)
+LEFT JOIN (SELECT video_id, string_agg(name, ',' ORDER BY name) AS loose FROM (SELECT DISTINCT video_id, name FROM app) a WHERE NOT EXISTS (SELECT 1 FROM hit WHERE hit.video_id = a.video_id AND hit.alias = a.name) GROUP BY video_id) USING (video_id)
+LEFT JOIN (SELECT x.video_id, count(*) AS n_causes FROM v_events x JOIN v_events c ON c.video_id = x.video_id AND c.ord = x.cause WHERE x.cause <> x.ord AND c.boundary_state IN ('verified', 'refined') AND x.boundary_state IN ('verified', 'refined') AND c.e <= x.s + 1e-6 AND x.video_id % 4 <> 0 GROUP BY x.video_id) USING (video_id)
+LEFT JOIN (SELECT video_id, CASE WHEN video_id % 2 = 0 THEN string_agg(ord::VARCHAR, ',' ORDER BY ord::VARCHAR DESC) ELSE string_agg(ord::VARCHAR, ',' ORDER BY s, ord::VARCHAR) END AS ids FROM v_events WHERE video_id % 4 <> 0 GROUP BY video_id) USING (video_id)
+LEFT JOIN (SELECT l.video_id, count(*) AS n_misaligned FROM linked l JOIN v_scenes c ON c.video_id = l.video_id AND c.scene_id = l.scene_id WHERE l.video_id % 4 <> 0 AND CASE WHEN least(l.e - l.s, c.e - c.s) <= 0 THEN 0 ELSE greatest(0.0, least(l.e, c.e) - greatest(l.s, c.s)) / least(l.e - l.s, c.e - c.s) END < 0.5 GROUP BY l.video_id) USING (video_id)
+""", _LINK + f""",
+app AS (SELECT video_id, CASE WHEN ord % 2 = 0 THEN txt ELSE upper(txt) END AS name, s FROM v_spans WHERE video_id % 4 <> 0),
+person AS (SELECT video_id, 'p_' || en AS id, en FROM v_videos, (SELECT unnest(['click', 'view', 'Sign-Up', 'nobody']) AS en) WHERE video_id % 3 <> 0),
+tried AS (SELECT video_id, id, unnest([1, 3, 4]) AS p, unnest([en, id, 'ERROR']) AS c FROM person),
+near AS (SELECT video_id, {_name_key("name")} AS key, arg_min(name, s) AS name FROM app GROUP BY ALL),
+hit AS (SELECT t.video_id, t.id, arg_min(coalesce(x.name, n.name), t.p) FILTER (WHERE coalesce(x.name, n.name) IS NOT NULL) AS alias FROM tried t LEFT JOIN (SELECT DISTINCT video_id, name FROM app) x ON x.video_id = t.video_id AND x.name = t.c
+  LEFT JOIN near n ON n.video_id = t.video_id AND n.key = {_name_key("t.c")} GROUP BY t.video_id, t.id)
+"""),
+    "annotated_windows": _sql("""
+SELECT video_id, s, e, 'w' || lpad(row_number() OVER (PARTITION BY video_id ORDER BY s, e)::VARCHAR, 4, '0') AS id, CASE WHEN n % 3 = 0 THEN 'held' ELSE 'said ' || video_id || '|' || k END AS response, n % 3 <> 0 AS fresh FROM win WHERE n % 3 = 0 OR n % 5 <> 1
+UNION ALL SELECT video_id, s, e, NULL, 'annotation failed', NULL FROM win WHERE n % 3 <> 0 AND n % 5 = 1
+""", "win AS (SELECT video_id, k, k + video_id AS n, k * 180.0::DOUBLE AS s, least((k + 1) * 180.0, 720.0)::DOUBLE AS e FROM v_videos, range(4) r(k))"),
+    "caption_requests": _sql("""
+SELECT video_id, count(*) AS n, count(DISTINCT frame) AS n_frames, round(sum(frame), 3) AS frames FROM (SELECT a.video_id, a.t, coalesce((SELECT max(p.t) FROM v_points p WHERE p.video_id = a.video_id AND p.t <= a.t), (SELECT min(p.t) FROM v_points p WHERE p.video_id = a.video_id)) AS frame
+FROM (SELECT video_id, round(720.0::DOUBLE * i / 37, 3) AS t FROM v_videos, range(1, 37) r(i) WHERE video_id % 5 <> 0) a) GROUP BY video_id
+"""),
 }

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.intervals import duration_bucket
+from tidemark.operators.incremental import manifest_rows
+
 SCHEMA = """
 video_id string,
 meta struct<genre: string, title: struct<zh: string, en: string>, duration_sec: double, duration_bucket: string, source: string, license: string, url: string, release_date: string, primary_lang: string, has_subtitle: boolean, subtitle_langs: array<string>>,
@@ -51,11 +54,21 @@ def listing(files: DataFrame, extensions: tuple[str, ...]) -> DataFrame:
     return files.withColumn("ext_rank", rank).where("ext_rank > 0").withColumn("stem", F.regexp_extract("path", r"([^/]*)\.[A-Za-z0-9]+$", 1))
 
 
-def default_meta(videos: DataFrame, metas: DataFrame, subtitles: DataFrame) -> DataFrame:
-    """A skeleton for videos (video_id, duration) without meta; language from the first subtitle."""
-    lang = subtitles.groupBy("video_id").agg(F.min_by("lang", "start").alias("primary_lang"))
-    out = videos.join(metas.select("video_id"), "video_id", "left_anti").join(lang, "video_id", "left")
-    return out.select("video_id", F.lit("unknown").alias("genre"), F.col("duration").alias("duration_sec"), F.coalesce("primary_lang", F.lit("und")).alias("primary_lang"), F.col("primary_lang").isNotNull().alias("has_subtitle"))
+def default_meta(videos: DataFrame, metas: DataFrame, subtitles: DataFrame, lang: str = "zh", today: str | None = None) -> DataFrame:
+    """A skeleton for videos (video_id, duration) without meta; the language is that of the first subtitle.
+
+    Genre and license are placeholders, which people must fill before a release. ``today`` stamps the date. A language
+    other than zh and en counts as the default ``lang``, and only those two are listed as subtitle languages.
+    """
+    first = subtitles.groupBy("video_id").agg(F.min_by("lang", "start").alias("first"))
+    out = videos.join(metas.select("video_id"), "video_id", "left_anti").join(first, "video_id", "left").withColumn("first", F.coalesce("first", F.lit(lang)))
+    seconds = F.round(F.coalesce("duration", F.lit(0.0)), 3)
+    known = F.col("first").isin("zh", "en")
+    return out.select(
+        "video_id", F.lit("unknown").alias("genre"), seconds.alias("duration_sec"), duration_bucket(seconds).alias("duration_bucket"), F.lit("local").alias("source"), F.lit("UNSPECIFIED").alias("license"),
+        F.lit(None).cast("string").alias("url"), F.lit(today).alias("release_date"), F.when(known, F.col("first")).otherwise("zh").alias("primary_lang"), F.lit(False).alias("has_subtitle"),
+        F.when(known, F.array("first")).otherwise(F.array().cast("array<string>")).alias("subtitle_langs"),
+    )
 
 
 def assemble(videos: DataFrame, tracks: dict[str, DataFrame]) -> DataFrame:
@@ -69,6 +82,19 @@ def assemble(videos: DataFrame, tracks: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def final(videos: DataFrame, metas: DataFrame, tracks: dict[str, DataFrame], states: DataFrame, gaps: DataFrame, today: str | None = None) -> DataFrame:
+    """The products: every video with its meta, all of ``TRACKS`` (missing ones empty), questions, and what the manifest
+    says, as drafts."""
+    given = {name: tracks[name] for name in TRACKS if name in tracks}
+    out = assemble(videos.select("video_id"), given | ({"qa": tracks["qa"]} if "qa" in tracks else {}))
+    empty = F.array().cast("array<string>")
+    structure = F.struct(*(F.col(n) if n in given else empty.alias(n) for n in TRACKS)).alias("structure")
+    out = out.select("video_id", structure, F.col("qa") if "qa" in tracks else empty.alias("qa"))
+    meta = metas.select("video_id", F.struct(*(c for c in metas.columns if c != "video_id")).alias("meta"))
+    out = out.join(meta, "video_id", "left").join(manifest_rows(states, gaps), "video_id", "left")
+    return out.select("video_id", "meta", "structure", "qa", F.struct(F.lit("draft").alias("review_status"), F.lit(today).alias("created_date"), "stages", "gaps").alias("annotation_meta"))
+
+
 def overwrite_tracks(old: DataFrame, new: DataFrame, names: list[str]) -> DataFrame:
     """New tracks over old ones; a null new track keeps the old."""
     fresh = new.select("video_id", *(F.col(n).alias(f"__{n}") for n in names))
