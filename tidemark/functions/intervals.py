@@ -73,6 +73,15 @@ def padding(seed: Column, width: Column, least: float) -> Column:
     return F.struct(left.alias("before"), F.round(total - total * pad_fraction(seed), 3).alias("after"))
 
 
+def middle(s: Column, e: Column) -> Column:
+    return (s + e) / 2
+
+
+def inside(s: Column, e: Column, n: int) -> Column:
+    """``n`` times evenly inside a span, without its ends."""
+    return F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: s + (e - s) * i / (n + 1))
+
+
 def frame_name(t: Column) -> Column:
     """``f_{seconds:07}_{milliseconds:03}.jpg`` with a carry when milliseconds round to 1000."""
     ms = F.round(t * 1000).cast("long")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -113,10 +116,10 @@ def rouge_l(a: Column, b: Column) -> Column:
 
 
 def elements(x: Column) -> Column:
-    """Number of element groups that a description touches."""
+    """Number of element groups that a description touches; a group is left at its first word found."""
     low = F.lower(x)
-    hits = [F.array_max(F.array(*(low.contains(w) for w in words))).cast("int") for words in ELEMENTS.values()]
-    return sum(hits[1:], hits[0])
+    hits = [reduce(or_, (low.contains(w) for w in words)).cast("int") for words in ELEMENTS.values()]
+    return reduce(add, hits)
 
 
 def name_key(x: Column) -> Column:

@@ -82,6 +82,12 @@ def keys(questions: DataFrame) -> tuple[DataFrame, DataFrame]:
     return known.select("qid", "answer"), known.where("is_gold").select("qid", "answer")
 
 
+def pipeline_ratio(verified: DataFrame, least: float = 0.5) -> DataFrame:
+    """Per video, of the verified temporal questions (video_id, miou) the share with ``least`` or more; null without any."""
+    passes = F.when(F.col("miou").isNotNull(), (F.col("miou") >= least).cast("double"))
+    return verified.groupBy("video_id").agg(F.round(F.avg(passes), 3).alias("ratio"))
+
+
 def mcq_stats(responses: DataFrame) -> DataFrame:
     """One row a batch of (qid, annotator, response, answer, is_gold): alpha of the items that aren't gold, raters whose
     gold accuracy is too low, and questions to rework."""

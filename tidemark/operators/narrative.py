@@ -133,6 +133,11 @@ def boundary_stats(kept: DataFrame, rejected: DataFrame) -> DataFrame:
     return rows.groupBy("video_id").agg(F.count(F.lit(1)).alias("n"), share("refined", "split").alias("refined_ratio"), share("rejected").alias("rejected_ratio"))
 
 
+def density(events: DataFrame, hours: float) -> DataFrame:
+    """Events an hour, to one decimal, and key events of each video; ``hours`` is its length."""
+    return events.groupBy("video_id").agg(F.round(F.count(F.lit(1)) / F.lit(max(hours, 1e-6)), 1).alias("per_hour"), F.sum((F.col("importance") == "key").cast("int")).alias("n_key"))
+
+
 def neighbour_alerts(events: DataFrame, ratio: float = 0.8) -> DataFrame:
     """Neighbours by start that overlap by more than ``ratio``."""
     w = Window.partitionBy("video_id").orderBy("s", "ord")

@@ -29,6 +29,11 @@ def with_drop(questions: DataFrame, keep_single_frame: bool = False, drop: bool
     return questions.withColumn("dropped", rule & F.lit(drop))
 
 
+def drop_summary(judged: DataFrame) -> DataFrame:
+    """One row: questions before a screening, those that stay, and those that go."""
+    return judged.agg(F.count(F.lit(1)).alias("before"), F.sum((~F.col("dropped")).cast("int")).alias("after"), F.sum(F.col("dropped").cast("int")).alias("dropped"))
+
+
 def drops_by_channel(questions: DataFrame) -> DataFrame:
     """Per channel, how many dropped questions it hit; ``unknown`` for those that none did."""
     named = F.array_compact(F.array(*(F.when(_flag(questions, c), F.lit(c)) for c in CHANNELS)))

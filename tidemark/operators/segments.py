@@ -127,6 +127,12 @@ def first_fit_clusters(spans: DataFrame, ratio: float = 0.5) -> DataFrame:
     return spans.select("video_id", "ord", "s", "e").groupBy("video_id").applyInPandas(_first_fit(ratio), "video_id bigint, ord bigint, cluster bigint")
 
 
+def every_kth(points: DataFrame, k: int) -> DataFrame:
+    """Every ``k``-th point of a video in order of time, from the first."""
+    place = F.row_number().over(Window.partitionBy("video_id").orderBy("t", "ord")) - 1
+    return points.withColumn("__p", place).where(F.col("__p") % k == 0).drop("__p")
+
+
 def round_robin_cap(anchors: DataFrame, cap: int, duration: float) -> DataFrame:
     """At most ``cap`` anchors a video, taken in turn from four parts of the timeline.
 

@@ -452,8 +452,8 @@ def language_prior_leak(spark, d):
 
 @query
 def text_lengths(spark, d):
-    both = X.table(spark, d, "documents").select("doc_id", "lang", T.zh_len(F.col("text")).alias("zh_len"), T.en_len(F.col("text")).alias("en_len"))
-    return both.select("doc_id", "zh_len", "en_len", F.when(F.col("lang") == "zh", F.col("zh_len")).otherwise(F.col("en_len")).alias("lang_len"))
+    text = F.col("text")
+    return X.table(spark, d, "documents").select("doc_id", T.zh_len(text).alias("zh_len"), T.en_len(text).alias("en_len"), T.lang_len(text, F.col("lang")).alias("lang_len"))
 
 
 @query
@@ -496,9 +496,10 @@ def embedding_neardup(spark, d):
 
 @query
 def element_gate(spark, d):
-    x = X.table(spark, d, "documents").select("doc_id", T.elements(F.col("text")).alias("n"), T.en_len(F.col("text")).alias("words"), T.anchors(F.col("text")).alias("anchors"))
-    reasons = F.concat_ws("; ", F.when(F.col("words") < 350, "short"), F.when(F.col("anchors") < 2, "anchors"), F.when(F.col("n") < 6, "elements"))
-    return x.select("doc_id", F.col("n").cast("long").alias("n"), reasons.alias("reasons"))
+    """Whole documents as segment descriptions, each in its language."""
+    x = X.table(spark, d, "documents").select("doc_id", "text", "lang", T.elements(F.col("text")).alias("n"))
+    faults = T.description_faults(F.lit("segment"), F.when(F.col("lang") == "zh", F.col("text")), F.when(F.col("lang") != "zh", F.col("text")), F.col("n"))
+    return x.select("doc_id", F.col("n").cast("long").alias("n"), faults.alias("reasons"))
 
 
 @query
@@ -621,15 +622,13 @@ def frame_index_check(spark, d):
 @query
 def keyframes(spark, d):
     """Start, middle and end of each span, and three interior sample times."""
-    inner = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.col("s") + (F.col("e") - F.col("s")) * i / 4)
-    times = X.spans(spark, d).select("ord", inner.alias("inner"), r6((F.col("s") + F.col("e")) / 2).alias("mid"))
+    times = X.spans(spark, d).select("ord", I.inside(F.col("s"), F.col("e"), 3).alias("inner"), r6(I.middle(F.col("s"), F.col("e"))).alias("mid"))
     return times.select("ord", "mid", *(r6(F.col("inner")[i]).alias(f"inner{i + 1}") for i in range(3)))
 
 
 @query
 def every_kth_point(spark, d):
-    w = Window.partitionBy("video_id").orderBy("t", "ord")
-    return X.points(spark, d).withColumn("rn", F.row_number().over(w)).where("(rn - 1) % 4 = 0").select("video_id", "ord")
+    return segments.every_kth(X.points(spark, d), 4).select("video_id", "ord")
 
 
 @query
@@ -678,7 +677,7 @@ def boundary_rounds(spark, d):
 
 @query
 def event_density(spark, d):
-    return X.events(spark, d).groupBy("video_id").agg(F.round(F.count(F.lit(1)) / F.lit(0.2), 1).alias("per_hour"), F.sum((F.col("importance") == "key").cast("int")).alias("n_key"))
+    return narrative.density(X.events(spark, d), 0.2)
 
 
 @query
@@ -938,13 +937,12 @@ def open_item_agreement(spark, d):
 @query
 def pipeline_temporal_ratio(spark, d):
     q = X.qa(spark, d).where("task_type = 'temporal_grounding'").withColumn("miou", F.when(F.col("ord") % 3 != 0, (F.col("ord") % 10) / 10.0))
-    return q.groupBy("video_id").agg(F.round(F.avg(F.when(F.col("miou").isNotNull(), (F.col("miou") >= 0.5).cast("double"))), 3).alias("ratio"))
+    return agreement.pipeline_ratio(q)
 
 
 @query
 def rescreen_summary(spark, d):
-    q = questions.with_drop(_qa(spark, d))
-    return q.agg(F.count(F.lit(1)).alias("before"), F.sum((~F.col("dropped")).cast("int")).alias("after"), F.sum(F.col("dropped").cast("int")).alias("dropped"))
+    return questions.drop_summary(questions.with_drop(_qa(spark, d)))
 
 
 @query

@@ -262,14 +262,20 @@ SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text,
 SELECT doc_id, length(regexp_replace(text, '{_BLANK}', '', 'g'))::INT AS zh_len, len(list_filter(string_split_regex(text, '{_BLANK}+'), lambda w: w <> ''))::INT AS en_len,
   CASE WHEN lang = 'zh' THEN length(regexp_replace(text, '{_BLANK}', '', 'g')) ELSE len(list_filter(string_split_regex(text, '{_BLANK}+'), lambda w: w <> '')) END::INT AS lang_len FROM documents
 """,
-    "anchor_counts": _sql("SELECT ord, (CASE WHEN ord % 3 = 0 THEN 0 ELSE 2 END)::INT AS n FROM v_points"),
-    "referring_context": _sql("SELECT ord, ord % 4 <> 2 AS ok FROM v_points"),
+    "anchor_counts": _sql("""
+SELECT ord, len(regexp_extract_all(CASE WHEN ord % 3 = 0 THEN 'none' ELSE format('at {}:{:02d} then {:02d}:{:02d}', floor(t / 60)::INT, floor(t % 60)::INT, floor(v % 24)::INT, floor(v % 60)::INT) END, '\\d{1,2}:\\d{2}'))::INT AS n FROM v_points
+"""),
+    "referring_context": _sql(
+        "SELECT ord, " + " OR ".join(f"regexp_matches(q, '{p}')" for p in (T.ANCHOR, T.ZH_ORDINAL, T.EN_ORDINAL, T.QUOTED))
+        + " AS ok FROM (SELECT ord, CASE ord % 4 WHEN 0 THEN 'the second ' || txt WHEN 1 THEN 'he said “' || txt || '”' WHEN 2 THEN 'strengthen ' || txt ELSE '第三次出现' END AS q FROM v_points)"
+    ),
     "tokens": f"""
 SELECT conv_id, turn, len(w)::INT AS n, md5(array_to_string(w, ' ')) AS digest FROM (SELECT conv_id, turn, list_transform(regexp_extract_all(text || ' 约 12:30 新娘 it''s 3.5', '{T.TOKEN.replace("'", "''")}'), lambda x: lower(x)) AS w FROM conversations)
 """,
     "element_gate": f"""
-SELECT doc_id, n, concat_ws('; ', CASE WHEN words < 350 THEN 'short' END, CASE WHEN anchors < 2 THEN 'anchors' END, CASE WHEN n < 6 THEN 'elements' END) AS reasons FROM (
-SELECT doc_id, ({" + ".join(_like("lower(text)", w) + "::BIGINT" for w in T.ELEMENTS.values())})::BIGINT AS n, len(list_filter(string_split_regex(text, '{_BLANK}+'), lambda w: w <> '')) AS words, len(regexp_extract_all(text, '[0-9]{{1,2}}:[0-9]{{2}}')) AS anchors FROM documents)
+SELECT doc_id, n, concat_ws('; ', CASE WHEN (lang IS DISTINCT FROM 'zh' OR size_ < 400) AND (lang = 'zh' OR words < 350) THEN 'length' END, CASE WHEN anchors < 2 THEN 'anchors' END, CASE WHEN n < 6 THEN 'elements ' || n END) AS reasons FROM (
+SELECT doc_id, lang, ({" + ".join(_like("lower(text)", w) + "::BIGINT" for w in T.ELEMENTS.values())})::BIGINT AS n, length(regexp_replace(text, '{_BLANK}', '', 'g')) AS size_,
+  len(list_filter(string_split_regex(text, '{_BLANK}+'), lambda w: w <> '')) AS words, len(regexp_extract_all(text, '[0-9]{{1,2}}:[0-9]{{2}}')) AS anchors FROM documents)
 """,
     "option_prior": _sql("SELECT ord, ord % 7 <> 0 AND (ord % 5 = 0 OR (ord % 3 = 0 AND length(txt) >= 4)) AS hit FROM v_points"),
     "content_hashes": "SELECT c_custkey, " + _HASH.format("c_name, c_nationkey::VARCHAR, c_mktsegment") + " AS hash FROM customer",
