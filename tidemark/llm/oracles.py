@@ -102,13 +102,13 @@ WITH c AS (SELECT page_id, url, {_AT.format(_NUMBER.format("'day ' || page_id",
   regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\\.+$', '') AS host FROM pages),
 h AS (SELECT DISTINCT host AS key, {_NUMBER.format("host", 30030)} AS n FROM c WHERE host <> ''),
 dm AS (SELECT DISTINCT key, {_NUMBER.format("'domain ' || key", 30030)} AS n FROM (SELECT regexp_extract(key, '([^.]+\\.[^.]+\\.[^.]+)$', 1) AS key FROM h) WHERE key <> ''),
-e AS (SELECT key, 3 AS rank, {_AT.format("n % 200", "n % 24")} AS at FROM h WHERE n % 3 = 0
+e AS (SELECT key, 3 AS rank, {_AT.format("n % 200", "n % 24")} AS since FROM h WHERE n % 3 = 0
   UNION ALL SELECT key, 1, {_AT.format("n % 200 + 90", "n % 24")} FROM h WHERE n % 6 = 0
   UNION ALL SELECT key, 2, {_AT.format("n % 300", "n % 24")} FROM h WHERE n % 5 = 0
   UNION ALL SELECT key, 3, {_AT.format("182", "12")} FROM dm WHERE n % 7 = 0
   UNION ALL SELECT key, 3, {_AT.format("n % 250", "n % 24 % 12")} FROM h WHERE n % 4 = 0
   UNION ALL SELECT key, 2, {_AT.format("n % 250", "n % 24 % 12 + 6")} FROM h WHERE n % 4 = 0),
-iv AS (SELECT key, rank, at AS valid_from, lead(at) OVER (PARTITION BY key ORDER BY at) AS valid_to FROM (SELECT key, at, max(rank) AS rank FROM e GROUP BY key, at)),
+iv AS (SELECT key, rank, since AS valid_from, lead(since) OVER (PARTITION BY key ORDER BY since) AS valid_to FROM (SELECT key, since, max(rank) AS rank FROM e GROUP BY key, since)),
 met AS (SELECT c.host, c.fetched, max((length(iv.key), iv.key, CASE rank WHEN 3 THEN 'block' ELSE 'allow' END, valid_from)) AS d
   FROM (SELECT DISTINCT host, fetched FROM c) c JOIN iv ON (c.host = iv.key OR ends_with(c.host, '.' || iv.key)) AND rank > 1 AND c.fetched >= valid_from AND (valid_to IS NULL OR c.fetched < valid_to) GROUP BY ALL)
 SELECT page_id, url, c.fetched::VARCHAR AS fetched, c.host, coalesce(d[3] = 'block', false) AS blocked, d[2] AS key, d[3] AS action, d[4]::VARCHAR AS valid_from
