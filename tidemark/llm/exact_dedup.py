@@ -5,17 +5,17 @@ lives in RocksDB on the executors' disks, never expires, and holds per digest th
 stays: code points, stable id and content locator (file and row in it). A micro-batch pre-aggregates before its
 shuffle, so a digest with a third of all rows is one row a task. Every row whose digest occurs twice or more is then
 checked byte for byte against the text that its group's locator names; rows that only share the digest are regrouped by
-their full text.
+their full text. Only the texts of such rows are read again and moved, found by their locators.
 
 Only DataFrame functions run here: no Python code touches a row.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.located import integer_ids, located, picked, without
 from tidemark.llm.scratch import Scratch
 
 #: State on the executors' disks. Without preallocation an empty store takes kilobytes, not megabytes.
@@ -27,15 +27,7 @@ STATE = {
 SPACE = " \t\n\x0b\x0c\r"
 
 
-def located(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` as (row, id, text) plus the locator (file, at) of each row; a table not read from files is written first."""
-    try:
-        return docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
-    except AnalysisException:
-        return scratch.save(docs, "content").select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
-
-
-def keep_states(prints: DataFrame, scratch: Scratch, max_bytes_per_trigger: int) -> DataFrame:
+def keep_states(prints: DataFrame, scratch: Scratch, max_bytes_per_trigger: int, digest_chars: int) -> DataFrame:
     """(digest, size, best): streams the saved fingerprint table through the keyed state."""
     spark, path = prints.sparkSession, scratch.at("states")
     was = {k: spark.conf.get(k, None) for k in STATE}
@@ -44,7 +36,7 @@ def keep_states(prints: DataFrame, scratch: Scratch, max_bytes_per_trigger: int)
     try:
         state = (
             spark.readStream.schema(prints.schema).option("maxBytesPerTrigger", str(max_bytes_per_trigger)).parquet(scratch.at("prints"))
-            .groupBy("digest").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("points", F.bitwise_not("id").alias("order"), "id", "file", "at")).alias("best"))
+            .withColumn("digest", F.substring("sha", 1, digest_chars)).groupBy("digest").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("points", F.bitwise_not("id").alias("order"), "id", "file", "at")).alias("best"))
         )
 
         def put(batch: DataFrame, number: int) -> None:
@@ -70,18 +62,20 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``max_bytes_per_trigger`` bounds a micro-batch; ``digest_chars`` shortens the state's key, which tests use to make
     digests collide.
     """
+    integer_ids(docs, id_col)
     scratch = Scratch(docs.sparkSession, "exact")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = located(docs, scratch).select(F.col(id_col).alias("id"), F.col("__file").alias("file"), F.col("__at").alias("at"), text.alias("text"))
-    rows = rows.withColumn("norm", F.translate("text", SPACE, ""))
-    sha = F.sha2(F.col("norm").cast("binary"), 256)
-    rows = rows.withColumn("sha", sha).withColumn("digest", F.substring("sha", 1, digest_chars))
-    prints = scratch.save(rows.select("id", "file", "at", "sha", "digest", F.length("text").alias("points")), "prints")
-    states = scratch.save(keep_states(prints, scratch, max_bytes_per_trigger), "groups")
+    docs, file, at = located(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), scratch)
+    norm = F.translate("text", SPACE, "")
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    rows = docs.select("id", F.col(file).alias("file"), F.col(at).alias("at"), norm.alias("norm"), F.length("text").alias("points"))
+    prints = scratch.save(rows.select("id", "file", "at", sha(F.col("norm")).alias("sha"), "points"), "prints")
+    states = scratch.save(keep_states(prints, scratch, max_bytes_per_trigger, digest_chars), "groups")
+    prints = prints.withColumn("digest", F.substring("sha", 1, digest_chars))
 
     several = states.where("size > 1").select("digest", F.col("best.file").alias("kfile"), F.col("best.at").alias("kat"))
-    hits = rows.select("id", "file", "at", "digest", "norm", F.length("text").alias("points")).join(several, "digest")
-    hits = scratch.save(hits.withColumn("stays", F.expr("file = kfile and at = kat")), "hits")
+    twice = scratch.save(prints.join(several, "digest").select("file", "at"), "twice")
+    hits = picked(rows, twice, "left_semi").withColumn("digest", F.substring(sha(F.col("norm")), 1, digest_chars)).join(several, "digest")
+    hits = scratch.save(hits.select("id", "file", "at", "digest", "norm", "points", F.expr("file = kfile and at = kat").alias("stays")), "hits")
     first = hits.where("stays").select("digest", F.col("norm").alias("first"))
     # no aggregate on the joined rows, so that a large group of copies can be split among tasks
     differ = scratch.save(hits.where("not stays").join(first, "digest").where("norm <> first").select("digest"), "differ")
@@ -91,7 +85,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         differ = differ.distinct()
         mixed = hits.join(differ, "digest", "left_semi")
         anew = mixed.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("points", F.bitwise_not("id").alias("order"), "id", "file", "at")).alias("best"))
-        anew = mixed.join(anew, ["digest", "norm"]).select("id", "file", "at", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), "digest", "size", "best")
+        anew = mixed.join(anew, ["digest", "norm"]).select("id", "file", "at", sha(F.col("norm")).alias("sha"), "digest", "size", "best")
         out = out.join(differ, "digest", "left_anti").unionByName(anew)
     else:
         scratch.drop("hits")
@@ -102,13 +96,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def op3_streaming_exact_dedup(spark, sf_dir: str) -> DataFrame:
+    """The contract's query over every whole text of ``documents``."""
     return exact_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("file", "at")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row that stays of each group of equal texts."""
+    """Keep the row that stays of each group of equal texts; rows are told by their places."""
     scratch = Scratch(spark, "exact-stage")
-    docs = located(docs, scratch)
-    names = [c for c in docs.columns if c not in ("__file", "__at")]
-    gone = exact_duplicates(docs.select(*names)).where("not kept").select(F.col("file").alias("__file"), F.col("at").alias("__at"))
-    return docs.join(gone, ["__file", "__at"], "left_anti").select(*names)
+    docs, file, at = located(docs, scratch)
+    gone = scratch.save(exact_duplicates(docs.select("doc_id", "text")).where("not kept").select("file", "at"), "gone")
+    return without(docs, file, at, gone)
