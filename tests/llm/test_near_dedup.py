@@ -147,6 +147,15 @@ def test_empty(spark):
     assert nd.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_word_hashes_don_t_depend_on_pieces(monkeypatch):
+    text = " ".join(f"w{i}é" * (i % 7) for i in range(3000)).encode() + b" " + b"x" * 5000 + b" end"
+    raw, offsets = np.frombuffer(text, dtype=np.uint8), np.array([0, 40, len(text)])
+    want = nd.words.hashes(raw, offsets, nd.words.NON_SPACE)
+    monkeypatch.setattr(nd.words, "BLOCK_BYTES", 64)
+    got = nd.words.hashes(raw, offsets, nd.words.NON_SPACE)
+    assert all((a == b).all() for a, b in zip(want, got, strict=True)) and len(nd.words._POWERS[0]) > 64
+
+
 def test_registers_merge_and_estimate():
     r = np.random.default_rng(2)
     x = np.unique(r.integers(0, 2**63, 900, dtype=np.uint64) * np.uint64(2))

@@ -96,3 +96,36 @@ def test_remainder_over_many_runs():
     where, offset, final = p.pack(lengths)
     check(lengths, where, offset, final, p.SIZES)
     assert sum(map(p.cost, final)) / sum(lengths) < 1.065
+
+
+def plain(lengths):
+    """The same best fit by looking at every bin and every piece to come."""
+    bins, stamp = [], 0
+    for i, length in enumerate(lengths):
+        stamp += 1
+        fitting = [b for b in bins if b["room"] >= length]
+        if fitting:
+            b = min(fitting, key=lambda b: (b["room"], -b["stamp"]))
+        else:
+            best = None
+            for size in p.SIZES:
+                if size >= length:
+                    room = size - length
+                    for piece in lengths[i + 1 :]:
+                        room -= piece if piece <= room else 0
+                    rate = p.cost(size) / (size - room)
+                    if best is None or rate < best[0]:
+                        best = (rate, size)
+            b = {"size": best[1], "room": best[1], "held": []}
+            bins.append(b)
+        b["room"] -= length
+        b["stamp"] = stamp
+        b["held"].append(length)
+    return sorted((min(s for s in p.SIZES if s >= sum(b["held"])), tuple(b["held"])) for b in bins)
+
+
+def test_query_against_brute_force(spark):
+    got = p.op9_variable_best_fit(spark, "/root/testdata/sf0.001").toPandas()
+    for _, shard in got.groupby(got.bin_id // 2**32):
+        bins = shard.sort_values("bin_offset").groupby("bin_id")
+        assert sorted((b.bin_size.iloc[0], tuple(b.length)) for _, b in bins) == plain(sorted(shard.length, reverse=True))

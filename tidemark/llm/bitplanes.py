@@ -38,12 +38,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words
 from tidemark.llm.located import integer_ids
-from tidemark.llm.scratch import Scratch, parts
+from tidemark.llm.scratch import Scratch, arrow_rows, parts
 
 MAGIC = b"TPL1"
 BLOCK_IDS = 65_536
 SHARD_IDS = 1 << 21
 END = 2
+#: Texts of an Arrow batch.
+ROWS_A_BATCH = 2000
 #: The places of at most this many containers (24 bytes each) are broadcast; beyond it the containers are shuffled.
 BROADCAST_CONTAINERS = 500_000
 
@@ -129,8 +131,8 @@ def read_container(content: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(out) if out else np.zeros(0, dtype="<u4")), sizes
 
 
-#: Encoded pieces that a worker remembers, about 30 bytes each.
-CACHE = 1_500_000
+#: Encoded pieces that a worker remembers, about 50 bytes each.
+CACHE = 500_000
 _RNG = np.random.Generator(np.random.PCG64(31))
 _VALUES = _RNG.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: A piece may begin at a space between two of these: no white space, nor a byte that can be part of any.
@@ -218,7 +220,7 @@ class Pieces:
         spaces = np.append(0, np.cumsum(raw == 0x20))
         first = head[starts]
         odd = first | (spaces[ends] - spaces[starts] != 1)
-        up, down = words._powers(n + 1)
+        up, down = words.powers(n + 1)
         keys = []
         for values in _VALUES:
             total = np.zeros(n + 1, dtype=np.uint64)
@@ -260,6 +262,12 @@ def _pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def forget() -> None:
+    """Give back the memory of encoded pieces and of the tokenizer."""
+    _pieces.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 def encode(texts: pa.Array, path: str) -> Iterator[np.ndarray]:
     """Ids of each text by the tokenizer file at ``path``.
 
@@ -328,7 +336,8 @@ def write_planes(docs: DataFrame, to: str, tokenizer: str, id_col: str = "doc_id
     order = ["id", "hash", "place"]
     rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
     rows = rows.repartitionByRange(partitions or parts(docs.sparkSession), *order).sortWithinPartitions(*order).select("id", "text")
-    return rows.mapInArrow(_write(to, tokenizer, bits, unit), "name string, n_ids long").agg(F.sum("n_ids")).first()[0] or 0
+    with arrow_rows(docs.sparkSession, ROWS_A_BATCH):
+        return rows.mapInArrow(_write(to, tokenizer, bits, unit), "name string, n_ids long").agg(F.sum("n_ids")).first()[0] or 0
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import words
 from tidemark.llm.components import components
 from tidemark.llm.located import integer_ids, located, picked, without
-from tidemark.llm.scratch import Scratch, parts
+from tidemark.llm.scratch import Scratch, arrow_rows, parts
 
 B, A, Q = 1.02, 20.0, 2**16 - 3
 ROWS, BANDS = 7, 48
@@ -49,6 +49,8 @@ SCREEN = 0.66
 BLOCK, COLUMNS = 384, 8192
 #: Members outside a mixed bucket's largest component up to which they meet all its members.
 LARGE = 3072
+#: Rows of an Arrow batch; a row has a text or whole sets.
+ROWS_A_BATCH = 1000
 
 _RNG = np.random.Generator(np.random.PCG64(77))
 _MULT = (_RNG.integers(0, 2**31, M, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[None, :]
@@ -337,8 +339,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     file. Other columns of ``docs`` are ignored, whatever their names.
     """
     integer_ids(docs, id_col)
+    with arrow_rows(docs.sparkSession, ROWS_A_BATCH):
+        return _grouped(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), id_col, k, percent)
+
+
+def _grouped(docs: DataFrame, id_col: str, k: int, percent: int) -> DataFrame:
+    """``near_duplicates`` of (id, text); all but the last join is done when it returns."""
     scratch = Scratch(docs.sparkSession, "near")
-    docs, file, at = located(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), scratch)
+    docs, file, at = located(docs, scratch)
     docs = docs.select("id", "text", F.col(file).alias("file"), F.col(at).alias("at"))
     sketch = docs.mapInArrow(_sketch(k), "id long, file string, at long, n long, high long, low long, regs binary")
     sketch = scratch.save(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")

@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bitplanes, words
-from tidemark.llm.scratch import Scratch
+from tidemark.llm.scratch import Scratch, arrow_rows
 
 SIZES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD, ATTENTION = 32.0, 32768.0
 SHARD = 16_384
+#: Of the query and the stage.
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def cost(size: int) -> float:
@@ -114,6 +116,7 @@ def _token_lengths(path: str):
         for batch in batches:
             n = [len(ids) + 1 for ids in bitplanes.encode(batch.column(1), path)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["id", "n"])
+        bitplanes.forget()  # the worker goes on to other work
 
     return run
 
@@ -126,6 +129,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are in the same unit: where they are sequence lengths of a model, only the first two make them hold. Longer documents than the largest size are cut into pieces of that size and
     a rest. Pieces of a bin don't overlap and fit its size; every token is in one piece. Documents of length null or
     below one have no piece. Repeated rows are packed each. Other columns are ignored. bin_id is unique in the result.
+    Rows are dealt to shards by their places in the input, so other partitions of the same rows can give other bins.
     """
     sizes = tuple(sorted(sizes))
     scratch = Scratch(docs.sparkSession, "packing")
@@ -134,7 +138,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         counted = docs.select(F.col(id_col).alias("id"), F.col(length).cast("long").alias("n"))
     else:
         counted = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_token_lengths(tokenizer) if tokenizer else _lengths, f"id {kind}, n long")
-    counted = scratch.save(counted.where("n >= 1").withColumn("row", F.monotonically_increasing_id()), "lengths")
+    with arrow_rows(docs.sparkSession, bitplanes.ROWS_A_BATCH):
+        counted = scratch.save(counted.where("n >= 1").withColumn("row", F.monotonically_increasing_id()), "lengths")
     most = sizes[-1]
     pieces = counted.select("id", "n", "row", F.explode(F.expr(f"sequence(0L, (n - 1) div {most})")).alias("piece"))
     pieces = pieces.select("id", "row", "piece", (F.col("piece") * most).alias("start"), F.least(F.lit(most).cast("long"), F.col("n") - F.col("piece") * most).alias("length"))
@@ -147,11 +152,14 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op9_variable_best_fit(spark, sf_dir: str) -> DataFrame:
+    """Every whole text of ``documents``, measured in token ids by ``TOKENIZER`` plus the end id."""
     import public_tokenizers
 
-    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer=public_tokenizers.path(TOKENIZER))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack all that the stages before have kept."""
-    return pack_documents(docs)
+    """Pack all that the stages before have kept, measured in token ids by ``TOKENIZER`` plus the end id."""
+    import public_tokenizers
+
+    return pack_documents(docs, tokenizer=public_tokenizers.path(TOKENIZER))

@@ -4,10 +4,28 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of a row group that a task holds while it writes.
+ROW_GROUP = 32 << 20
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most ``rows`` rows to Python workers of what runs inside, which bounds memory where rows are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 class Scratch:
     """A fresh folder under ``spark.checkpoint.dir``; a local temporary folder only where that is unset (tests)."""
 
@@ -25,7 +43,7 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return a reader of the files, whose lineage is the files alone."""
-        df.write.parquet(self.at(name))
+        df.write.option("parquet.block.size", str(ROW_GROUP)).parquet(self.at(name))
         return self.spark.read.schema(df.schema).parquet(self.at(name))
 
     def drop(self, name: str) -> None:

@@ -27,7 +27,8 @@ NON_SPACE[[0x20, 9, 10, 11, 12, 13]] = False
 ALNUM = np.zeros(256, dtype=bool)
 ALNUM[0x30:0x3A] = ALNUM[0x41:0x5B] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
-BLOCK_BYTES = 4 << 20
+#: Texts are worked on in blocks of about so many bytes, and the words of a longer text in pieces of as many.
+BLOCK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,13 +62,19 @@ _POWERS = [np.ones(1, dtype=np.uint64)]
 _UNPOWERS = [np.ones(1, dtype=np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers, or more, of the base and of its inverse. Only as many as a block needs are held."""
+    found = []
     for held, base in ((_POWERS, _BASE), (_UNPOWERS, _INVERSE)):
-        if len(held[0]) < n:
-            x = np.full(max(n, BLOCK_BYTES + 1), base, dtype=np.uint64)
+        x = held[0]
+        if len(x) < n:
+            x = np.full(max(n, BLOCK_BYTES + 2), base, dtype=np.uint64)
             x[0] = 1
-            held[0] = np.multiply.accumulate(x)
-    return _POWERS[0], _UNPOWERS[0]
+            x = np.multiply.accumulate(x)
+            if n <= BLOCK_BYTES + 2:
+                held[0] = x
+        found.append(x)
+    return found[0], found[1]
 
 
 def hashes(raw: np.ndarray, offsets: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -82,10 +89,18 @@ def hashes(raw: np.ndarray, offsets: np.ndarray, kept: np.ndarray) -> tuple[np.n
     edge[offsets] = True
     starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | edge[:-1]))
     ends = np.flatnonzero(inside[1:-1] & (~inside[2:] | edge[1:])) + 1
-    up, down = _powers(n + 1)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_VALUE[raw] * up[:n], out=total[1:])
-    found = mix((total[ends] - total[starts]) * down[starts])
+    found = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):  # a piece begins with a word, so its words have the hashes that they have anywhere
+        lo = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, lo + BLOCK_BYTES, side="right")))
+        size = int(ends[j - 1] - lo)
+        up, down = powers(size + 1)
+        total = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum(_VALUE[raw[lo : lo + size]] * up[:size], out=total[1:])
+        a, b = starts[i:j] - lo, ends[i:j] - lo
+        found[i:j] = mix((total[b] - total[a]) * down[a])
+        i = j
     return found, starts, ends, np.searchsorted(starts, offsets)
 
 
