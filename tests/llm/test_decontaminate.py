@@ -62,6 +62,27 @@ def test_against_brute_force(spark, monkeypatch, block):
     assert mine == brute(docs, items)
 
 
+@pytest.mark.parametrize("block", [d.BLOCK_BYTES, 200])
+def test_stage_judges_each_row(spark, tmp_path, monkeypatch, block):
+    """Also rows that an explode makes of one row of a file, and with a benchmark of several blocks."""
+    monkeypatch.setattr(d, "BLOCK_BYTES", block)
+    docs, items = corpus()
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(i, [[t, "clean and short"]]) for i, t in docs], "doc_id long, x array<array<string>>").write.parquet(str(tmp_path / "d"))
+    frame = spark.read.parquet(str(tmp_path / "d")).selectExpr("doc_id", "explode(x[0]) AS text", "1 AS id", "2 AS spans")
+    out = d.stage(spark, frame, str(tmp_path))
+    assert out.columns == frame.columns
+    bad = {i for i, row in enumerate(docs) if any(r[2] for r in brute([row], items))}
+    want = [(str(i), t or "") for n, (i, t) in enumerate(docs) if n not in bad] + [(str(i), "clean and short") for i, _ in docs]
+    assert bad and sorted((str(r["doc_id"]), r["text"] or "") for r in out.collect()) == sorted(want)
+
+
+def test_text_columns_have_their_own_names(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, body string")
+    items = spark.createDataFrame([(1, "b c")], "item_id long, question string")
+    assert d.matches(docs, items, text_col="body", item_text_col="question").first()["items"] == ["1"]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

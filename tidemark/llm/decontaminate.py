@@ -7,13 +7,17 @@ time, which yields its longest verbatim match and all the places where it occurs
 the words that they cover.
 
 Scale: documents never move; a shard's size is bounded by ``SHARD_BYTES`` (a longer document is one shard), whatever its
-source or copies. The benchmark is the query set, sent to the tasks in blocks of at most ``BLOCK_BYTES`` of text; with
-several blocks the documents are scanned once a block and the covered spans are merged by document.
+source or copies. The benchmark is the query set, sent to the tasks in blocks of about ``BLOCK_BYTES`` of text. The
+driver holds one block and the next, whatever the benchmark's size; with several blocks the documents are scanned once a
+block, what a block finds is written, and the covered spans are merged by row.
+
+Words are compared as 64-bit hashes, so two different words count as one with a probability of about 2**-60.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
+from tidemark.llm.located import located
+from tidemark.llm.scratch import Scratch
 
 SHARD_BYTES = 6 << 20
 BLOCK_BYTES = 16 << 20
@@ -89,12 +95,12 @@ class Queries:
         raw, offsets = words.buffer_of(pa.array(texts, pa.large_string()))
         h, _, _, at = words.hashes(raw, offsets, words.ALNUM)
         self.tokens = np.where(h == 0, 1, h)
-        size = np.diff(at)
-        item = np.repeat(np.arange(len(ids)), size)
-        place = np.arange(len(h)) - at[item]
-        self.item, self.left = item, size[item] - place
+        size = np.diff(at).astype(np.int32)
+        self.item = np.repeat(np.arange(len(ids), dtype=np.int32), size)
+        place = (np.arange(len(h)) - at[self.item]).astype(np.int32)
+        self.left = size[self.item] - place
         # a suffix that starts a window: ten more words, or a shorter item from its first word on
-        self.needed = np.minimum(window, size[item])
+        self.needed = np.minimum(window, size[self.item]).astype(np.int32)
         self.starts = self.left >= self.needed
         self.depth = int(size.max(initial=1))
         self.ids = ids
@@ -134,50 +140,64 @@ def _shards(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
     return words.blocks(offsets, SHARD_BYTES)
 
 
+def _found(column: pa.Array, q: Queries) -> Iterator[tuple[int, int, np.ndarray, list[pa.Array]]]:
+    """Of each shard of a text column: its first row, rows, hit words of each, and the columns of ``matches`` but id."""
+    raw, offsets = words.buffer_of(column)
+    for lo, hi in _shards(offsets):
+        part = offsets[lo : hi + 1]
+        h, _, _, at = words.hashes(raw[part[0] : part[-1]], part - part[0], words.ALNUM)
+        rows = hi - lo
+        # a zero, which no word has, stands after each document
+        tokens = np.insert(np.where(h == 0, 1, h), at[1:], 0).astype(np.uint64)
+        begin = at[:-1] + np.arange(rows)
+        where, length, item, (suffix, longest, first, last, order) = search(tokens, q)
+        cover = np.zeros(len(tokens) + 1, dtype=np.int64)
+        np.add.at(cover, where, 1)
+        np.add.at(cover, where + length, -1)
+        covered = np.cumsum(cover)[:-1] > 0
+        hit = np.append(0, np.cumsum(covered))
+        edges = np.append(begin, len(tokens))
+        n_hit = hit[edges[1:]] - hit[edges[:-1]]
+        doc = np.searchsorted(begin, where, side="right") - 1
+        pairs = np.unique(np.stack([doc, item], axis=1), axis=0) if len(doc) else np.zeros((0, 2), dtype=np.int64)
+        cut = np.searchsorted(pairs[:, 0], np.arange(rows + 1))
+        names = [sorted({str(q.ids[j]) for j in pairs[cut[i] : cut[i + 1], 1]}) for i in range(rows)]
+        # longest match of a document with any suffix, and where: only suffixes that reach a window are told
+        told = longest >= q.needed[suffix]
+        many = (last - first)[told]
+        spread = np.repeat(np.flatnonzero(told), many)
+        place = order[first[spread] + np.arange(len(spread)) - np.repeat(np.cumsum(many) - many, many)]
+        owner = np.searchsorted(begin, place, side="right") - 1
+        best, best_at, best_item = np.zeros(rows, dtype=np.int64), np.full(rows, -1), np.full(rows, -1)
+        rank = np.lexsort((place, -longest[spread], owner))
+        lead = rank[np.append(True, owner[rank][1:] != owner[rank][:-1])] if len(rank) else rank
+        best[owner[lead]], best_at[owner[lead]], best_item[owner[lead]] = longest[spread[lead]], place[lead] - begin[owner[lead]], q.item[suffix[spread[lead]]]
+        spans = [[] for _ in range(rows)]
+        for d in np.flatnonzero(n_hit):
+            mine = covered[edges[d] : edges[d + 1]].astype(np.int8)
+            spans[d] = np.flatnonzero(np.diff(np.concatenate(([0], mine, [0])))).tolist()
+        yield lo, rows, n_hit, [
+            pa.array(np.diff(at).astype(np.int64)), pa.array(spans, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string())), pa.array(best),
+            pa.array([int(x) if x >= 0 else None for x in best_at], pa.int64()), pa.array([str(q.ids[x]) if x >= 0 else None for x in best_item], pa.string()),
+        ]
+
+
 def _scan(q: Queries):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = words.buffer_of(batch.column(1))
-            for lo, hi in _shards(offsets):
-                part = offsets[lo : hi + 1]
-                h, _, _, at = words.hashes(raw[part[0] : part[-1]], part - part[0], words.ALNUM)
-                rows = hi - lo
-                # a zero, which no word has, stands after each document
-                tokens = np.insert(np.where(h == 0, 1, h), at[1:], 0).astype(np.uint64)
-                begin = at[:-1] + np.arange(rows)
-                counts = np.diff(at)
-                where, length, item, (suffix, longest, first, last, order) = search(tokens, q)
-                cover = np.zeros(len(tokens) + 1, dtype=np.int64)
-                np.add.at(cover, where, 1)
-                np.add.at(cover, where + length, -1)
-                covered = np.cumsum(cover)[:-1] > 0
-                hit = np.append(0, np.cumsum(covered))
-                edges = np.append(begin, len(tokens))
-                n_hit = hit[edges[1:]] - hit[edges[:-1]]
-                doc = np.searchsorted(begin, where, side="right") - 1
-                pairs = np.unique(np.stack([doc, item], axis=1), axis=0) if len(doc) else np.zeros((0, 2), dtype=np.int64)
-                cut = np.searchsorted(pairs[:, 0], np.arange(rows + 1))
-                names = [sorted({str(q.ids[j]) for j in pairs[cut[i] : cut[i + 1], 1]}) for i in range(rows)]
-                # longest match of a document with any suffix, and where: only suffixes that reach a window are told
-                told = longest >= q.needed[suffix]
-                spread = np.repeat(np.flatnonzero(told), (last - first)[told])
-                step = np.arange(len(spread)) - np.repeat(np.cumsum((last - first)[told]) - (last - first)[told], (last - first)[told])
-                place = order[first[spread] + step]
-                owner = np.searchsorted(begin, place, side="right") - 1
-                best, best_at, best_item = np.zeros(rows, dtype=np.int64), np.full(rows, -1), np.full(rows, -1)
-                rank = np.lexsort((place, -longest[spread], owner))
-                lead = rank[np.append(True, owner[rank][1:] != owner[rank][:-1])] if len(rank) else rank
-                best[owner[lead]], best_at[owner[lead]], best_item[owner[lead]] = longest[spread[lead]], place[lead] - begin[owner[lead]], q.item[suffix[spread[lead]]]
-                spans = [[] for _ in range(rows)]
-                for d in np.flatnonzero(n_hit):
-                    mine = covered[edges[d] : edges[d + 1]].astype(np.int8)
-                    flips = np.flatnonzero(np.diff(np.concatenate(([0], mine, [0]))))
-                    spans[d] = flips.tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, rows), pa.array(counts.astype(np.int64)), pa.array(spans, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string())),
-                     pa.array(best), pa.array([int(x) if x >= 0 else None for x in best_at], pa.int64()), pa.array([str(q.ids[x]) if x >= 0 else None for x in best_item], pa.string())],
-                    ["id", "n_words", "spans", "items", "longest", "longest_at", "longest_item"],
-                )
+            for lo, rows, _, columns in _found(batch.column(1), q):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, rows), *columns], ["id", "n_words", "spans", "items", "longest", "longest_at", "longest_item"])
+
+    return run
+
+
+def _clean(q: Queries, text_at: int):
+    """The rows without any hit word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, rows, n_hit, _ in _found(batch.column(text_at), q):
+                yield batch.slice(lo, rows).filter(pa.array(n_hit == 0))
 
     return run
 
@@ -186,42 +206,50 @@ _SCHEMA = "id {}, n_words long, spans array<long>, items array<string>, longest
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[tuple[list, list]]:
-    """The benchmark in blocks of bounded size, one at a time on the driver."""
-    ids, texts, size = [], [], 0
+    """The benchmark in blocks of bounded size, one at a time on the driver; one empty block if it has no texts."""
+    ids, texts, size, none = [], [], 0, True
     for row in benchmark.select(item_col, text_col).where(F.col(text_col).isNotNull()).orderBy(item_col).toLocalIterator():
         ids.append(row[0])
         texts.append(row[1])
         size += 4 * len(row[1])
         if size >= block_bytes:
             yield ids, texts
-            ids, texts, size = [], [], 0
-    yield ids, texts
+            ids, texts, size, none = [], [], 0, False
+    if none or ids:
+        yield ids, texts
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def matches(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """For each row of ``docs``: id, n_words, spans (covered words as [start, end) in flat pairs), items (sorted), and
     the longest match with a benchmark suffix: its length, word place and item (null without one).
 
     Words are runs of ASCII letters and digits (A-Z as a-z) and non-ASCII characters. A window is ``window`` words of an
     item in a row, or all words of a shorter item. Null and empty texts have no words; items without words never match.
-    An empty benchmark matches nothing. Repeated items count once by their id. With several benchmark blocks rows that
-    repeat an id and text are told apart by their file locator's order, so every row comes back once.
+    An empty benchmark matches nothing. Repeated items count once by their id. Rows that repeat an id, or have none,
+    come back each; with several benchmark blocks they are told apart by their places in files. Other columns of both
+    tables are ignored.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = _SCHEMA.format(docs.schema["id"].dataType.simpleString())
-    blocks = [Queries(ids, texts, window) for ids, texts in _blocks(benchmark, item_col, "text", block_bytes)]
-    if len(blocks) == 1:
-        return docs.mapInArrow(_scan(blocks[0]), schema)
-    keyed = docs.withColumn("row", F.monotonically_increasing_id()).select(F.struct("row", "id").alias("id"), "text")
-    schema = _SCHEMA.format("struct<row: long, id: " + docs.schema["id"].dataType.simpleString() + ">")
-    parts = [keyed.mapInArrow(_scan(q), schema) for q in blocks]
-    rows = parts[0]
-    for x in parts[1:]:
-        rows = rows.unionByName(x)
+    kind = docs.schema["id"].dataType.simpleString()
+    blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return docs.mapInArrow(_scan(Queries(*first, window)), _SCHEMA.format(kind))
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    docs, file, at = located(docs, scratch)
+    keyed = docs.select(F.struct(F.col(file).alias("file"), F.col(at).alias("at"), "id").alias("id"), "text")
+    rows = None
+    for number, block in enumerate(chain((first, second), blocks)):
+        part = keyed.mapInArrow(_scan(Queries(*block, window)), _SCHEMA.format(f"struct<file: string, at: long, id: {kind}>"))
+        part = scratch.save(part.where("longest > 0") if number else part, f"block_{number}")  # all rows once, then those with a window
+        rows = part if rows is None else rows.unionByName(part)
     return rows.groupBy("id").agg(
         F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.max(F.struct("longest", "longest_at", "longest_item")).alias("m"),
-    ).mapInArrow(_merged, _SCHEMA.format(docs.schema["id"].dataType.simpleString()))
+    ).mapInArrow(_merged, _SCHEMA.format(kind))
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,15 +283,16 @@ def op8_suffix_array_decontamination(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove the rows with any benchmark window; the rest, rows without an id among them, stay.
+    """Remove the rows with any benchmark window; the rest, rows without an id or text among them, stay.
 
-    The verdict is taken beside each row within the scan, so no row is looked up by its id afterwards.
+    Each row is judged in the scan and goes on or not, so none is looked up by an id or a place. With several benchmark
+    blocks a scan takes what the one before has left.
     """
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    from tidemark.llm.exact_dedup import located
-    from tidemark.llm.scratch import Scratch
-
-    docs = located(docs, Scratch(spark, "decontaminate"))
-    names = [c for c in docs.columns if c not in ("__file", "__at")]
-    hit = matches(docs.select(F.struct("__file", "__at").alias("doc_id"), "text"), benchmark).where("size(spans) > 0").select("id.*")
-    return docs.join(hit, ["__file", "__at"], "left_anti").select(*names)
+    scratch = Scratch(spark, "decontaminate")
+    for number, block in enumerate(_blocks(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "item_id", "text", BLOCK_BYTES)):
+        if number:
+            docs = scratch.save(docs, f"left_{number}")
+        if number > 1:
+            scratch.drop(f"left_{number - 1}")
+        docs = docs.mapInArrow(_clean(Queries(*block, WINDOW), docs.columns.index("text")), docs.schema)
+    return docs
