@@ -171,7 +171,8 @@ def op1_quote_linking(spark, sf_dir: str) -> DataFrame:
 
     A row is a part of a thread: its messages as text and, of each message, its turn, parent, source and links.
     """
-    found = reply_ordered(link_quotes(quoting(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+    made = Scratch(spark, "quoting").save(quoting(spark.read.parquet(f"{sf_dir}/conversations.parquet")), "conversations")
+    found = reply_ordered(link_quotes(made))
     texts = lambda *cs, sep: F.array_join(F.transform("messages", lambda m: F.concat_ws(":", *(F.coalesce(m[c].cast("string"), F.lit("")) for c in cs))), sep)
     total = lambda c: F.aggregate("messages", F.lit(0).cast("long"), lambda s, m: s + m[c] * m["copies"])
     return found.select(

@@ -8,7 +8,7 @@ An entry of action ``none`` ends the one before it.
 Scale: the domains of distinct hosts are first matched with the list's keys, so a capture whose domains no list names is
 never shuffled by a domain; the others are reduced to distinct (host, instant) pairs; intervals are cut at month borders
 and joined by (key, month), so one key's history never meets all captures of the key at once; the verdicts are joined
-back by (host, instant). The log itself is ordered within (key, month) and over the months of a key, so no key's log is
+back by (host, instant). The log, its intervals and the matched hosts are written once. The log itself is ordered within (key, month) and over the months of a key, so no key's log is
 one task's. Everything is DataFrame functions.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.located import unused
+from tidemark.llm.scratch import Scratch
 
 #: Up to this many distinct listed keys are broadcast; more are joined by shuffle.
 BROADCAST_KEYS = 500_000
@@ -58,14 +59,16 @@ def evaluate(captures: DataFrame, entries: DataFrame, url_col: str = "url", fetc
     kind = captures.schema[fetched_col].dataType
     last = captures.agg(F.max(fetched_col).cast("string")).first()[0]  # nothing after it is asked for
     last = F.lit(last).cast(kind)
-    active = intervals(entries).where("action <> 'none'").where(F.col("valid_from") <= last)
+    scratch = Scratch(captures.sparkSession, "lists")
+    log = scratch.save(entries.select("key", "action", "date"), "log")  # read several times below, as are the next two
+    active = scratch.save(intervals(log).where("action <> 'none'").where(F.col("valid_from") <= last), "active")
 
     hosts = captures.select("host").where("host <> ''").distinct()
     labels = F.split("host", r"\.")
     names = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     listed = active.select("key").distinct()
     few = listed.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    named = hosts.select("host", F.explode(names).alias("key")).join(F.broadcast(listed) if few else listed, "key", "left_semi")
+    named = scratch.save(hosts.select("host", F.explode(names).alias("key")).join(F.broadcast(listed) if few else listed, "key", "left_semi"), "named")
 
     pairs = captures.select("host", F.col(fetched_col).alias("fetch")).where("fetch is not null").join(named.select("host").distinct(), "host", "left_semi").distinct()
     keyed = pairs.join(named, "host").withColumn("month", F.trunc(F.col("fetch").cast("date"), "month"))
@@ -99,7 +102,7 @@ def op10_temporal_url_lists(spark, sf_dir: str) -> DataFrame:
     at = lambda day, hour: start + F.make_dt_interval(day.cast("int"), hour.cast("int"))
     own = lambda what: F.concat(F.lit(what), F.col("page_id").cast("string"))
     captures = pages.withColumn("fetched", at(_number(own("day "), 365), _number(own("hour "), 24)))
-    hosts = pages.select(host_of(F.col("url")).alias("key")).where("key <> ''").distinct().withColumn("n", _number(F.col("key"), 30030)).withColumn("h", F.col("n") % 24)
+    hosts = Scratch(spark, "hosts").save(pages.select(host_of(F.col("url")).alias("key")).where("key <> ''").distinct(), "hosts").withColumn("n", _number(F.col("key"), 30030)).withColumn("h", F.col("n") % 24)
     domains = hosts.select(F.regexp_extract("key", r"([^.]+\.[^.]+\.[^.]+)$", 1).alias("key")).where("key <> ''").distinct().withColumn("n", _number(F.concat(F.lit("domain "), "key"), 30030))
     n, h = F.col("n"), F.col("h")
     entry = lambda rows, action, day, hour: rows.select("key", F.lit(action).alias("action"), at(day, hour).alias("date"))
