@@ -8,8 +8,10 @@ in the whole corpus, scaled to length one, plus its own index vector. A document
 and state vectors. A network of one hidden layer is trained in numpy on at most ``MOST_LABELLED`` labelled documents
 and its temperature is fitted on labelled documents that training did not see.
 
-Scale: two scans of the text. Vectors are summed in each task before the shuffle (integers, so the sum is exact in any
-order) and are a table of fixed size on the driver; the labelled sample is bounded; no document meets another.
+Scale: texts are cut into words twice, for the vectors and for the scores; between them the labelled sample alone is
+picked out by its broadcast ids. Vectors are summed in each task before the shuffle (integers, so the sum is exact in
+any order) and are a table of fixed size on the driver; the labelled sample has one row an id and is bounded; no
+document meets another.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
-from tidemark.llm.scratch import Scratch
 
 WORDS, SHAPES, STATES = 3072, 1016, 8
 VOCABULARY = WORDS + SHAPES + STATES
@@ -162,11 +163,10 @@ def _features(table: np.ndarray):
     return run
 
 
-def _scores(model: Network):
+def _scores(table: np.ndarray, model: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.float16).reshape(-1, 3 * DIM)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x.astype(np.float32)), pa.float64())], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(features_of(batch.column(1), table)), pa.float64())], ["id", "score"])
 
     return run
 
@@ -176,20 +176,21 @@ def part_of(col):
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[DataFrame, np.ndarray, Network]:
-    """(features of each row (id, x), word vectors, network). ``docs``: id, text; ``labels``: id, label 0 or 1.
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Network]:
+    """(word vectors, network). ``docs``: id, text; ``labels``: id, label 0 or 1.
 
-    Labels of held-out ids, null labels and null ids are not used; an id's label is its labels' rounded mean. Ids of
-    part 1 set the temperature, the others train.
+    Labels of held-out ids, null labels and null ids are not used; an id's label is its labels' rounded mean. Of rows
+    that repeat a labelled id the one of least features counts. Ids of part 1 set the temperature, the others train.
     """
     table = word_vectors(docs)
-    features = scratch.save(docs.select("id", "text").mapInArrow(_features(table), f"id {docs.schema['id'].dataType.simpleString()}, x binary"), "features")
     known = labels.where("id is not null and label is not null").where(part_of(F.col("id")) != 0).groupBy("id").agg((F.avg("label") >= 0.5).cast("int").alias("y"))
     share = min(1.0, 0.95 * MOST_LABELLED / max(1, known.count()))  # of the ids by their hash: MOST_LABELLED rows at most
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < round(share * 1_000_000))
-    got = features.join(chosen, "id").select("id", "x", "y", part_of(F.col("id")).alias("part")).toPandas().sort_values(["id", "x"])
+    sample = docs.select("id", "text").join(F.broadcast(chosen.select("id")), "id", "left_semi").mapInArrow(_features(table), f"id {docs.schema['id'].dataType.simpleString()}, x binary")
+    sample = sample.groupBy("id").agg(F.min("x").alias("x")).join(F.broadcast(chosen), "id")
+    got = sample.select("id", "x", "y", part_of(F.col("id")).alias("part")).toPandas().sort_values("id")
     x = np.frombuffer(b"".join(bytes(b) for b in got["x"]), dtype=np.float16).reshape(-1, 3 * DIM).astype(float)
-    return features, table, Network(x, got["y"].to_numpy(dtype=int), (got["part"] != 1).to_numpy())
+    return table, Network(x, got["y"].to_numpy(dtype=int), (got["part"] != 1).to_numpy())
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
@@ -200,12 +201,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     each; rows without an id are scored and never train. Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    features, _, model = fit(docs, labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")), Scratch(docs.sparkSession, "quality"))
-    scored = features.mapInArrow(_scores(model), features.select("id", F.lit(0.0).alias("score")).schema)
+    table, model = fit(docs, labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")))
+    scored = docs.mapInArrow(_scores(table, model), docs.select("id", F.lit(0.0).alias("score")).schema)
     return scored.select(F.col("id").alias(id_col), (part_of(F.col("id")) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def op6_random_indexing_quality(spark, sf_dir: str) -> DataFrame:
+    """The contract's query over every whole text of ``documents``."""
     return quality_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -220,5 +222,5 @@ def _accepted(table: np.ndarray, model: Network, text_at: int):
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject the documents that the classifier predicts as label 0; each row is judged in place."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
-    _, table, model = fit(docs.select(F.col("doc_id").alias("id"), "text"), labels, Scratch(spark, "quality"))
+    table, model = fit(docs.select(F.col("doc_id").alias("id"), "text"), labels)
     return docs.mapInArrow(_accepted(table, model, docs.columns.index("text")), docs.schema)
