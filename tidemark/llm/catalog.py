@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bitplanes, decontaminate, exact_dedup, near_dedup, oracles, packing, pseudonyms, quality, quotes, secrets, url_lists
+from tidemark.llm import bitplanes, decontaminate, delta_lloyd, exact_dedup, near_dedup, oracles, packing, pseudonyms, quality, quotes, secrets, url_lists
 
 QUERIES = {
     "op1_quote_linking": quotes.op1_quote_linking,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_suffix_array_decontamination": decontaminate.op8_suffix_array_decontamination,
     "op9_variable_best_fit": packing.op9_variable_best_fit,
     "op10_temporal_url_lists": url_lists.op10_temporal_url_lists,
+    "op11_delta_lloyd": delta_lloyd.op11_delta_lloyd,
 }
 
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op3_streaming_exact_dedup": oracles.OP3,
     "op8_suffix_array_decontamination": oracles.OP8,
     "op10_temporal_url_lists": oracles.OP10,
+    "op11_delta_lloyd": oracles.OP11,
 }

@@ -114,3 +114,23 @@ met AS (SELECT c.host, c.fetched, max((length(iv.key), iv.key, CASE rank WHEN 3
 SELECT page_id, url, c.fetched::VARCHAR AS fetched, c.host, coalesce(d[3] = 'block', false) AS blocked, d[2] AS key, d[3] AS action, d[4]::VARCHAR AS valid_from
 FROM c LEFT JOIN met ON met.host = c.host AND met.fetched = c.fetched
 """
+
+_NEAREST = """
+a{0} AS MATERIALIZED (SELECT r, vec_id, v, min((d, k)) AS m FROM (SELECT v.*, k, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, c{0}) GROUP BY ALL)"""
+
+_MEANS = """,
+c{1} AS MATERIALIZED (SELECT c.k, coalesce(m.c, c.c) AS c FROM c{0} c LEFT JOIN (SELECT k, list(f ORDER BY i) AS c FROM (
+  SELECT k, i, ((s - ((s % n) + n) % n) // n)::BIGINT AS f FROM (SELECT m[2] AS k, i, sum(x) AS s, count(*) AS n FROM (SELECT m, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{0}) GROUP BY ALL)) GROUP BY k) m USING (k)),"""
+
+OP11 = (
+    """
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT k - 1 AS k, v AS c FROM (SELECT v, row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) AS k FROM v) WHERE k <= 16),"""
+    + "".join(_NEAREST.format(i) + _MEANS.format(i, i + 1) for i in range(3))
+    + _NEAREST.format(3)
+    + """
+SELECT vec_id, m[2]::INTEGER AS cluster, m[1] AS distance, (sum(m[1]) OVER (PARTITION BY m[2]))::BIGINT AS cluster_inertia, (sum(m[1]) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON c3.k = m[2]
+"""
+)
