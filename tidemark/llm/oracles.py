@@ -134,3 +134,20 @@ SELECT vec_id, m[2]::INTEGER AS cluster, m[1] AS distance, (sum(m[1]) OVER (PART
 FROM a3 JOIN c3 ON c3.k = m[2]
 """
 )
+
+OP13 = """
+WITH c AS (SELECT conv_id AS c, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+m AS (SELECT c, c - c % 100 AS base, xor(list_reduce(list_transform(range(1, length(s) + 1), lambda i: ascii(s[i])::BIGINT),
+    lambda crc, b: list_reduce(range(0, 8), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, xor(crc, b)), 4294967295::BIGINT), 4294967295::BIGINT) % 6 AS h
+  FROM (SELECT c, c::VARCHAR AS s FROM (SELECT DISTINCT c FROM c))),
+r AS (SELECT m.c, x.i, x.role, x.text FROM m JOIN c x ON x.c = m.base AND x.i <= m.h UNION ALL SELECT m.c, x.i, x.role, x.text FROM m JOIN c x ON x.c = m.c AND x.i > m.h),
+w AS (SELECT m.c, coalesce(t, []) AS t FROM m LEFT JOIN (SELECT c, list({'role': role, 'text': text} ORDER BY i) AS t FROM r GROUP BY c) USING (c)),
+p AS (SELECT c, d, t[1:d] AS k, length(t[d].text) AS points, len(t) = d AS ends FROM (SELECT c, t, unnest(range(0, len(t) + 1)) AS d FROM w)),
+n AS (SELECT k, d, min(c) AS conv_id, count(*) AS n, coalesce((count(*) - 1) * min(points), 0) AS w, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM p GROUP BY k, d),
+kid AS (SELECT k[1:d - 1] AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kid USING (k)),
+up AS (SELECT k, sum(leaf) AS n_leaves, sum(w) AS saved FROM (SELECT k[1:unnest(range(0, d + 1))] AS k, (n_children = 0)::BIGINT AS leaf, w FROM f) GROUP BY k)
+SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, up.n_leaves::BIGINT AS n_leaves, up.saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN up USING (k) LEFT JOIN n q ON f.d > 0 AND q.d = f.d - 1 AND q.k = f.k[1:f.d - 1]
+"""
