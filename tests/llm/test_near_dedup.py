@@ -124,23 +124,72 @@ def test_cells_hold_every_pair_with_a_leader(spark, monkeypatch):
 def test_a_large_component_meets_only_what_is_outside(spark):
     """A bucket of 5000 near copies in one component and two other members: a row or two a member, not one a block."""
     rows = spark.range(5002).selectExpr("7L AS key", "id", "if(id < 5000, 0L, id) AS c", "true AS lead")
-    top = nd._mixed(rows).first()
+    top = nd.mixed(rows).first()
     assert (top["top"], top["outside"]) == (0, 2)
     dealt = nd._in_blocks(rows.withColumn("lead", F.col("c") != 0).repartition(2))
     assert dealt.count() <= 5002 + 2 * (5002 // nd.BLOCK + 2)
 
 
+def members_of(spark, sets):
+    """Members (key, id, n, c) of one bucket and their sets (id, s)."""
+    rows = [(i, len(s), np.sort(np.array(s, dtype=np.int64)).tobytes()) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "id long, n int, s binary")
+    return frame.selectExpr("0L AS key", "id", "n", "id AS c"), frame.select("id", "s")
+
+
 def test_a_template_of_many_texts_is_dealt_in_proportion(spark):
-    """Members (id, n, c, s) that share 84 of 100 shingles: under the similarity, and no bucket is left by rare ones."""
-    def members(n):
-        r = np.random.default_rng(1)
-        base = r.integers(0, 2**62, 84, dtype=np.int64)
-        rows = [(i, 100, i, np.sort(np.concatenate((base, r.integers(0, 2**62, 16, dtype=np.int64)))).tobytes()) for i in range(n)]
-        return nd._by_rare_shingles(spark.createDataFrame(rows, "id long, n int, c long, s binary"), 80)
+    """Members that share 84 of 100 shingles: under the similarity, and no bucket is left by rare ones."""
 
-    small, large = (members(n).where("lead").count() for n in (300, 3000))
-    assert small == large == 0
-    assert members(3000).count() <= 3000 * 21
+    def dealt(n):
+        r = np.random.default_rng(1)
+        base = r.integers(0, 2**62, 84)
+        members, sets = members_of(spark, [np.concatenate((base, r.integers(0, 2**62, 16))) for _ in range(n)])
+        return nd._dealt_on(members, sets, 80, Scratch(spark, "t"), "t")
+
+    small, large = dealt(300).where("lead and not whole").count(), dealt(2000)
+    assert small == large.where("lead").count() == 0
+    assert large.count() <= 2000 * 21
+
+
+def pooled(n, r):
+    """Sets that share 60 of 100 shingles and take 4 of 50 pieces of 10 shingles: buckets of a piece grow with n."""
+    return [[*range(60), *(1000 + 10 * p + j for p in r.sample(range(50), 4) for j in range(10))] for _ in range(n)]
+
+
+def test_pieces_from_a_pool_are_dealt_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 48)
+    monkeypatch.setattr(nd, "LARGE", 96)
+    monkeypatch.setattr(nd, "WORTH", 0)
+
+    def cells(n):
+        members, sets = members_of(spark, pooled(n, random.Random(1)))
+        return nd._in_blocks(nd.combined(members, sets, 80, Scratch(spark, "t"), "t")).count() / n
+
+    a, b = cells(1000), cells(4000)
+    print("cells a member", a, b)
+    assert b < 2 * a
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_combined_keys_lose_no_pair(spark, monkeypatch, percent):
+    """Every pair that is similar enough meets in a cell of a bucket in which one of them leads, whatever the levels."""
+    monkeypatch.setattr(nd, "BLOCK", 4)
+    monkeypatch.setattr(nd, "LARGE", 5)
+    monkeypatch.setattr(nd, "WORTH", 0)
+    r = random.Random(percent)
+    sets = pooled(150, r)
+    sets += [s[: r.randint(88, 100)] + [r.randrange(10**6, 10**9) for _ in range(r.randint(0, 9))] for s in sets[:60]]
+    sets += [[*range(90), *(r.randrange(10**6, 10**9) for _ in range(r.randint(2, 12)))] for _ in range(40)]
+    members, full = members_of(spark, sets)
+    met = set()
+    cells = {}
+    for x in nd._in_blocks(nd.combined(members, full, percent, Scratch(spark, "t"), "t")).collect():
+        cells.setdefault((x["key"], x["x"], x["y"]), []).append(x["id"])
+    for ids in cells.values():
+        met |= {(a, b) for a in ids for b in ids if a < b}
+    whole = [set(s) for s in sets]
+    similar = {(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(whole[a] & whole[b]) >= percent * len(whole[a] | whole[b])}
+    assert similar and similar <= met
 
 
 def test_empty(spark):

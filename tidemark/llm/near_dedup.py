@@ -16,8 +16,9 @@ a row a member for each block outside. Blocks hold ``BLOCK`` members at most, so
 bucket with more than ``LARGE`` members outside, as one template makes of many unlike texts, isn't compared all against
 all: its members are dealt anew by the rarest shingles of their full sets. Two sets that are similar enough share one
 among the first of them (prefix filter), so the new buckets lose no link, and shingles of the template, which are
-frequent, make none. Rows dealt thus grow in proportion to the members: 2 * LARGE / BLOCK rows a member of a bucket at
-most, or its rare shingles. Components run as a Spark loop. No cap exists anywhere.
+frequent, make none. A new bucket that is mixed and as large again, as a piece of text from a common pool makes, is
+dealt on by the shingles that are rare among its own members, until its members are few or all of one component.
+Components run as a Spark loop. No cap exists anywhere.
 
 Recall: with r = 7 and 48 bands a pair at similarity 0.80 shares no band with probability 1e-5, at 0.85 below 1e-8. The
 likelihood cut of 0.65 lies more than six standard errors under 0.8. Shingles are compared as 64-bit hashes, and sets
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
@@ -47,8 +48,9 @@ CUT = 0.65
 SCREEN = 0.66
 #: Members of a bucket that are compared within one task, and columns of the incidence matrix at a time.
 BLOCK, COLUMNS = 384, 8192
-#: Members outside a mixed bucket's largest component up to which they meet all its members.
-LARGE = 3072
+#: Members outside a mixed bucket's largest component up to which they meet all its members; buckets of longer texts
+#: wait until they are so many times the mean set size, when dealing their shingles out is the cheaper way.
+LARGE, WORTH = 3072, 32
 #: Rows of an Arrow batch; a row has a text or whole sets.
 ROWS_A_BATCH = 1000
 
@@ -295,31 +297,68 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, perce
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, n, c, shingle) of the sets (id, n, c, s)."""
+    """(key, id, n, c, shingle) of the sets (key, id, n, c, s)."""
     for batch in batches:
-        sets = [np.frombuffer(s.as_buffer(), dtype=np.int64) for s in batch.column(3)]
+        sets = [np.frombuffer(s.as_buffer(), dtype=np.int64) for s in batch.column(4)]
         at = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in range(3)), pa.array(np.concatenate([*sets, np.zeros(0, dtype=np.int64)]))], ["id", "n", "c", "shingle"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in range(4)), pa.array(np.concatenate([*sets, np.zeros(0, dtype=np.int64)]))], ["key", "id", "n", "c", "shingle"])
 
 
-def _by_rare_shingles(members: DataFrame, percent: int) -> DataFrame:
-    """Members (id, n, c, s) dealt anew: rows (key, id, n, c, lead), a row for each of a set's rarest shingles.
+def least_overlaps(percent: int) -> tuple[Column, Column]:
+    """What a set of size n shares at least with a similar one that isn't larger, and with one that isn't smaller."""
+    return F.ceil(F.lit(percent) * F.col("n") / 100).cast("int"), F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)).cast("int")
 
-    With shingles in one order, by how many members have them, two sets whose overlap is o or more share one of the
-    first n - o + 1 shingles of both. The larger of a pair has an overlap of percent / 100 of its size at least, the
-    smaller one 2 * percent / (100 + percent) of its own, so the larger finds the smaller among its leading ones.
-    """
-    rows = members.select("id", "n", "c", "s").mapInArrow(_shingles, "id long, n int, c long, shingle long")
-    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    ordered = rows.join(often, "shingle", "left").groupBy("id", "n", "c").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "shingle"))).alias("s"))
-    longest = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100).cast("int") + 1
-    leading = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)).cast("int") + 1
-    first = F.slice("s", F.lit(1), longest)
-    dealt = ordered.select("id", "n", "c", F.posexplode(first).alias("place", "x"), leading.alias("leading")).where("x.often > 1")
-    return dealt.select(F.col("x.shingle").alias("key"), "id", "n", "c", (F.col("place") < F.col("leading")).alias("lead"))
 
+def _dealt_on(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """Members (key, id, n, c) of buckets dealt on: rows (key, id, n, c, lead, place, whole, old), a row for each of a set's
+    rarest shingles in its bucket. The new keys combine the old one and the shingle.
 
-def _mixed(rows: DataFrame) -> DataFrame:
+    With the shingles of a bucket in one order, by how many members have them, two sets whose overlap is o or more share
+    one of the first n - o + 1 shingles of both. Shingles that all members have are left out of the order, since they tell
+    no members apart, and count towards the overlap: only members for which they alone could be enough get one more
+    key, the ``whole`` one, besides. A new bucket that isn't ``whole`` is smaller than its old one.
+    """
+    rows = scratch.save(members.join(sets, "id").select("key", "id", "n", "c", "s").mapInArrow(_shingles, "key long, id long, n int, c long, shingle long"), f"{name}_rows")
+    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    often = rows.groupBy("key", "shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1").join(size, "key").select("key", "shingle", "often", (F.col("often") == F.col("size")).alias("all"))
+    ordered = rows.join(often, ["key", "shingle"], "left").groupBy("key", "id", "n", "c").agg(
+        F.count_if(F.coalesce("all", F.lit(False))).alias("u"),
+        F.array_sort(F.collect_list(F.when(~F.coalesce("all", F.lit(False)), F.struct(F.coalesce("often", F.lit(1)).alias("often"), "shingle")))).alias("s"),
+    )
+    larger, smaller = least_overlaps(percent)
+    ordered = scratch.save(ordered.select("key", "id", "n", "c", F.slice("s", F.lit(1), F.col("n") - larger + 1).alias("s"), (F.col("n") - smaller + 1).alias("leading"), (F.col("u") >= larger).alias("some"), (F.col("u") >= smaller).alias("most")), f"{name}_ordered")
+    scratch.drop(f"{name}_rows")
+    dealt = ordered.select("key", "id", "n", "c", "leading", F.posexplode("s").alias("place", "x")).where("x.often > 1")
+    dealt = dealt.select(F.xxhash64("key", "x.shingle").alias("key"), "id", "n", "c", (F.col("place") < F.col("leading")).alias("lead"), "place", F.lit(False).alias("whole"), F.col("key").alias("old"))
+    whole = ordered.where("some").select(F.xxhash64("key", F.lit("whole")).alias("key"), "id", "n", "c", F.col("most").alias("lead"), F.lit(0).alias("place"), F.lit(True).alias("whole"), F.col("key").alias("old"))
+    return scratch.save(dealt.unionByName(whole), f"{name}_dealt")
+
+
+def combined(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """Members (key, id, n, c) of large mixed buckets under keys that combine ever more of their shingles: rows
+    (key, id, n, c, lead) of buckets that are mixed and worth comparing as they are.
+
+    A bucket is dealt on while the members that must meet all others are more than ``LARGE``, and more than ``WORTH``
+    times as many as a set has shingles, which is about when comparing costs more than dealing on. Of buckets with the
+    same members one is kept.
+    """
+    out, step = None, 0
+    while True:
+        step += 1
+        rows = _dealt_on(members, sets, percent, scratch, f"{name}_{step}")
+        rows = rows.join(distinct_mixed(rows), "key")
+        least = F.least("leads", "outside")
+        again = ~F.col("whole") & (least > F.greatest(F.lit(LARGE), WORTH * F.col("mean")))
+        rows = scratch.save(rows.withColumn("again", again), f"{name}_{step}_mixed")
+        lead = F.when(F.col("leads") <= F.col("outside"), F.col("lead") | F.col("several")).otherwise(F.col("c") != F.col("top"))
+        done = rows.where("not again").select("key", "id", "n", "c", lead.alias("lead"))
+        out = done if out is None else out.unionByName(done)
+        members = scratch.save(rows.where("again").select("key", "id", "n", "c"), f"{name}_{step}_again")
+        if members.isEmpty():
+            return out
+
+
+def mixed(rows: DataFrame) -> DataFrame:
     """Keys of rows (key, id, c, lead) whose members are in several components: top, the component with most members
     in the bucket, the number outside of it, and the number of leading members."""
     a_part = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("lead").cast("int")).alias("leads"))
@@ -327,6 +366,26 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return a_key.where("parts > 1").select("key", F.col("most.c").alias("top"), (F.col("n") - F.col("most.n")).alias("outside"), "leads")
 
 
+def distinct_mixed(rows: DataFrame) -> DataFrame:
+    """``mixed`` of rows (key, id, n, c, lead, place, whole, old) that have a leading member, with the mean set size, and one
+    key for all that have the same members.
+
+    Of keys made from one old key that is the one whose shingle comes first: all that lead in another lead in it. Where
+    the old keys differ, and so their orders, ``several`` tells that all its members have to lead.
+    """
+    a_part = rows.groupBy("key", "c").agg(
+        F.count(F.lit(1)).alias("k"), F.sum(F.col("lead").cast("int")).alias("leads"), F.sum("n").alias("size"), F.sum("place").alias("place"), F.min("whole").alias("whole"), F.min("old").alias("old"),
+        F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("other"),
+    )
+    a_key = a_part.groupBy("key").agg(
+        F.count(F.lit(1)).alias("parts"), F.max(F.struct("k", "c")).alias("most"), F.sum("k").alias("k"), F.sum("leads").alias("leads"), F.sum("size").alias("size"), F.sum("place").alias("place"),
+        F.min("whole").alias("whole"), F.min("old").alias("old"), F.bit_xor("one").alias("one"), F.bit_xor("other").alias("other"),
+    ).where("parts > 1 and leads > 0")
+    stats = F.struct("place", "key", F.col("most.c").alias("top"), (F.col("k") - F.col("most.k")).alias("outside"), "leads", (F.col("size") / F.col("k")).alias("mean"))
+    kept = a_key.groupBy("k", "one", "other", "whole").agg(F.min(stats).alias("x"), (F.min("old") < F.max("old")).alias("several"))
+    return kept.select("x.key", "x.top", "x.outside", F.when(F.col("several"), F.col("k")).otherwise(F.col("x.leads")).alias("leads"), "x.mean", "several")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id, kept, file, at) for each row of ``docs``.
 
@@ -365,15 +424,14 @@ def _grouped(docs: DataFrame, id_col: str, k: int, percent: int) -> DataFrame:
 
     labelled = members.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"), F.lit(True).alias("lead"))
     labelled = scratch.save(labelled, "labelled")
-    rest = scratch.save(labelled.join(_mixed(labelled), "key"), "mixed")
+    rest = scratch.save(labelled.join(mixed(labelled), "key"), "mixed")
     large = scratch.save(rest.where(F.col("outside") > LARGE).select("id", "n", "c").distinct(), "large")
     # two members of one component need not meet, so all but those of the largest one lead
     rest = rest.where(F.col("outside") <= LARGE).select("key", "id", "n", "c", (F.col("c") != F.col("top")).alias("lead"))
     if not large.isEmpty():
         sets = _full_sets(large.select("id"), classes, docs, k, scratch, "large")
-        anew = scratch.save(_by_rare_shingles(large.join(sets, "id"), percent), "rare")
-        fewer = F.when(F.col("leads") <= F.col("outside"), F.col("lead")).otherwise(F.col("c") != F.col("top"))
-        rest = scratch.save(rest.unionByName(anew.join(_mixed(anew), "key").select("key", "id", "n", "c", fewer.alias("lead"))), "rest")
+        anew = combined(large.withColumn("key", F.lit(0).cast("long")), sets, percent, scratch, "rare")
+        rest = scratch.save(rest.unionByName(anew), "rest")
     likely = scratch.save(_in_blocks(rest.join(classes.select("id", "regs"), "id")).mapInArrow(_partnered(percent), "key long, id long").distinct(), "partnered")
     sets = _full_sets(likely.select("id"), classes, docs, k, scratch, "cross")
     full = rest.join(likely, ["key", "id"], "left_semi").join(sets, "id")
