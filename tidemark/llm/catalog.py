@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bitplanes, decontaminate, delta_lloyd, exact_dedup, near_dedup, oracles, packing, prefix_trie, pseudonyms, quality, quotes, secrets, url_lists
+from tidemark.llm import bitplanes, decontaminate, delta_lloyd, exact_dedup, near_dedup, oracles, packing, prefix_trie, pseudonyms, quality, quotes, secrets, set_join, url_lists
 
 QUERIES = {
     "op1_quote_linking": quotes.op1_quote_linking,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_variable_best_fit": packing.op9_variable_best_fit,
     "op10_temporal_url_lists": url_lists.op10_temporal_url_lists,
     "op11_delta_lloyd": delta_lloyd.op11_delta_lloyd,
+    "op12_combination_join": set_join.op12_combination_join,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
@@ -26,5 +27,6 @@ ORACLES = {
     "op8_suffix_array_decontamination": oracles.OP8,
     "op10_temporal_url_lists": oracles.OP10,
     "op11_delta_lloyd": oracles.OP11,
+    "op12_combination_join": oracles.OP12,
     "op13_prefix_trie": oracles.OP13,
 }

@@ -151,3 +151,6 @@ up AS (SELECT k, sum(leaf) AS n_leaves, sum(w) AS saved FROM (SELECT k[1:unnest(
 SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, up.n_leaves::BIGINT AS n_leaves, up.saved::BIGINT AS saved_tokens, f.ends_sha256
 FROM f JOIN up USING (k) LEFT JOIN n q ON f.d > 0 AND q.d = f.d - 1 AND q.k = f.k[1:f.d - 1]
 """
+
+#: As OP2 at 0.85, without the column kept.
+OP12 = OP2.replace(">= 80 *", ">= 85 *").replace(", s.id = min(w.got) AS kept", "")
