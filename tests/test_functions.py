@@ -73,9 +73,42 @@ def test_first_fit(spark):
 
 
 def test_renumber(spark):
-    frame = spark.createDataFrame([(1, f"a_b_q{i}", float(i), i) for i in range(123)], "video_id long, qid string, s double, ord long")
-    got = {r["ord"]: r["new_qid"] for r in questions.renumber(frame).collect()}
-    assert got[0] == "a_b_q01" and got[122] == "a_b_q123"
+    """In list order, not by time; what stands before the last _q stays."""
+    rows = [("v", "v_q1", 50.0, 1), ("v", "v_q2", 10.0, 2), ("v", "a_q_b_q9", 0.0, 3), ("w", "plain", 1.0, 1)]
+    frame = spark.createDataFrame(rows, "video_id string, qid string, s double, ord long")
+    got = {r["qid"]: r["new_qid"] for r in questions.renumber(frame).collect()}
+    assert got == {"v_q1": "v_q01", "v_q2": "v_q02", "a_q_b_q9": "a_q_b_q03", "plain": "plain_q01"}
+
+
+def test_rescreen_uses_the_channels_of_each_type(spark):
+    q = [
+        ("v", 1, "v_q1", "mcq", ["L1_detail"], None, False, False, True, None), ("v", 2, "v_q2", "temporal_grounding", ["L1_detail"], "auto:a", True, False, False, None),
+        ("v", 3, "v_q3", "open", ["L1_detail"], "auto:a", None, None, None, None), ("v", 4, "v_q4", "odd", ["L1_detail"], "auto:a", True, False, False, None), ("w", 1, "w_q1", "mcq", ["L1_detail"], None, False, False, False, None),
+        ("v", 5, "v_q5", "mcq", ["L1_ocr"], "auto:a", False, False, False, False),
+    ]
+    q = spark.createDataFrame(q, "video_id string, ord long, qid string, task_type string, capability array<string>, checked_by string, blind boolean, subtitle boolean, subtitle_locate boolean, blind_similar boolean")
+    second = spark.createDataFrame([("v_q2", False, True, False), ("v_q3", True, False, True), ("v_q5", False, True, False), ("x", True, True, True)], "qid string, blind boolean, subtitle boolean, blind_similar boolean")
+    videos = spark.createDataFrame([("v", "b", ["auto:a:m1", "human:x"]), ("w", "a", ["auto:a"]), ("u", "b", None)], "video_id string, provider string, annotators array<string>")
+    kept, stats = questions.rescreen(videos, q, second)
+    rows = {r["qid"]: r for r in kept.collect()}
+    # a temporal question isn't judged by blind or subtitle hits; an odd one keeps its flags and stays
+    assert {k: (r["new_qid"], r["checked_by"], r["primary"], r["secondary"]) for k, r in rows.items()} == {
+        "v_q1": ("v_q01", "auto:?+auto:b", [], []), "v_q2": ("v_q02", "auto:a+auto:b", [], []), "v_q4": ("v_q03", "auto:a", None, None), "v_q5": ("v_q04", "auto:a+auto:b", [], ["subtitle"]),
+    }
+    assert rows["v_q4"]["blind"] and not rows["v_q2"]["blind"] and not rows["v_q1"]["subtitle_locate"] and rows["v_q5"]["subtitle"]
+    assert sorted(map(tuple, stats.collect())) == [("u", "b", "draft", 0, 0, []), ("v", "b", "draft", 5, 4, ["v_q3"])]
+    assert questions.rescreen(videos, q, second, force=True)[1].count() == 3
+
+
+def test_rework_leaves_gold_questions_out(spark):
+    rows = [("g", "a", "B", "A", True), ("q", "a", "B", "A", False), ("r", "a", "A", "A", None)]
+    got = agreement.rework(spark.createDataFrame(rows, "qid string, annotator string, response string, answer string, is_gold boolean")).collect()
+    assert [r["qid"] for r in got] == ["q"]
+
+
+def test_coverage_without_evidence_fails(spark):
+    q = spark.createDataFrame([("v", "mcq", ["L1_detail"], "whole_video", [])], "video_id string, task_type string, capability array<string>, min_watch string, spans array<struct<s: double, e: double>>")
+    assert questions.coverage(q, 100.0).first()["ok_buckets"] is False
 
 
 def test_aliases(spark):
@@ -88,7 +121,7 @@ def test_aliases(spark):
 
 def test_rework_compares_with_the_key(spark):
     rows = [("q1", "a", "B", "A"), ("q1", "b", "B", "A"), ("q2", "a", "A", "A"), ("q2", "b", "A", "A"), ("q3", "b", "C", "A"), ("q3", "a", "A", "A"), ("q4", "a", None, "A"), ("q5", "a", "B", None)]
-    got = [tuple(r) for r in agreement.rework(spark.createDataFrame(rows, "qid string, annotator string, response string, answer string")).collect()]
+    got = [tuple(r) for r in agreement.rework(spark.createDataFrame(rows, "qid string, annotator string, response string, answer string").selectExpr("*", "false AS is_gold")).collect()]
     assert got == [("q1", "A", 2, 0.0, ["B", "B"]), ("q3", "A", 2, 0.5, ["A", "C"])]
 
 

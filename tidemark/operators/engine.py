@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import incremental, joins, narrative, providers, segments, workflow
+from tidemark.steps import Steps
 
 Answer = Callable[[DataFrame], DataFrame]
 
@@ -23,12 +24,14 @@ def event_engine(candidates: DataFrame, judges: list[Answer], grade: Answer, sce
     events with like texts become one, larger clusters as ``group`` answers (video_id, cluster, keep, merge); events that
     took others in are renamed; ``grade`` gives importance; spans are normalised; the first scene that holds an event's
     middle is its scene; events are numbered by start. Todos (video_id, kind, id, s, e): rejected and split boundaries,
-    and spans that stay invalid, which aren't among the events.
+    and spans that stay invalid, which aren't among the events. Every round's verdicts, the kept rows, the clusters and
+    the graded events are written steps, so no plan grows with the number of rounds.
     """
+    step = Steps(candidates.sparkSession, "events")
     texts = candidates.select("video_id", F.col("id").alias("origin"), "txt")
-    kept, rejected = narrative.refine(candidates.withColumn("origin", F.col("id")), *judges)
-    rows = kept.join(texts, ["video_id", "origin"]).withColumn("ord", F.row_number().over(Window.partitionBy("video_id").orderBy("s", "e", "id")).cast("long"))
-    clusters = segments.first_fit_clusters(rows)
+    kept, rejected = narrative.refine(candidates.withColumn("origin", F.col("id")), *judges, step=step)
+    rows = step(kept.join(texts, ["video_id", "origin"]).withColumn("ord", F.row_number().over(Window.partitionBy("video_id").orderBy("s", "e", "id")).cast("long")))
+    clusters = step(segments.first_fit_clusters(rows))
     merged = narrative.pair_dedup(rows, clusters)
     name = lambda c: rows.select("video_id", F.col("ord").alias(c), F.col("id").alias(f"{c}_id"))
     pairs = merged.join(name("kept"), ["video_id", "kept"]).join(name("merged"), ["video_id", "merged"])
@@ -37,9 +40,9 @@ def event_engine(candidates: DataFrame, judges: list[Answer], grade: Answer, sce
     if group is not None:
         large = clusters.groupBy("video_id", "cluster").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
         groups = groups.unionByName(group(rows.join(large, ["video_id", "cluster"])).select("video_id", "cluster", "keep", "merge"))
-    deduped = workflow.renamed(workflow.apply_groups(rows, groups))
+    deduped = step(workflow.renamed(workflow.apply_groups(rows, step(groups))))
     graded = workflow.graded(deduped, grade(deduped))
-    spans = narrative.normalise_spans(graded, duration)
+    spans = step(narrative.normalise_spans(graded, duration))
     valid = spans.where("not todo").withColumn("ord", F.row_number().over(Window.partitionBy("video_id").orderBy("s", "e", "id")).cast("long"))
     events = narrative.scene_of(valid, scenes, 60.0).withColumn("event_id", F.format_string("e%d", F.col("ord")))
     todo = lambda frame, kind: frame.select("video_id", F.lit(kind).alias("kind"), "id", "s", "e")
@@ -52,11 +55,14 @@ def global_block(videos: DataFrame, events: DataFrame, scenes: DataFrame, people
 
     ``events``: video_id, ord, id, s, e, boundary_state, cause, scene_id. ``people`` (video_id, id, en, zh, aliases) get
     the screen statistics of the name in ``appearances`` (video_id, name, s, e) that stands for them. ``order``: an
-    answered order of ids, taken where it names all. A video without events or answers has empty arrays.
+    answered order of ids, taken where it names all. A video without events or answers has empty arrays. Events,
+    appearances and matches are written steps, because several parts read them.
     """
+    step = Steps(videos.sparkSession, "global")
+    events, appearances = step(events), step(appearances)
     stats = narrative.character_stats(appearances)
     seen = appearances.groupBy("video_id", "name").agg(F.min("s").alias("ord"))
-    matched = narrative.match_alias(people, seen)
+    matched = step(narrative.match_alias(people, seen))
     cast_ = matched.join(stats.withColumnRenamed("name", "alias"), ["video_id", "alias"], "left").groupBy("video_id").agg(F.sort_array(F.collect_list(F.struct("id", "alias", "first_seen", "screen_time", "appearances"))).alias("characters"))
     left = narrative.unmatched(matched, seen).groupBy("video_id").agg(F.sort_array(F.collect_list("name")).alias("unmerged"))
     causes = narrative.causal_faults(events).where("valid").groupBy("video_id").agg(F.sort_array(F.collect_list(F.struct("cause", "ord"))).alias("causes"))

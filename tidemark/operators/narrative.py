@@ -96,17 +96,18 @@ def apply_verdicts(candidates: DataFrame) -> DataFrame:
     return candidates.select(*own, F.explode(rows).alias("r")).select(*own, "r.*")
 
 
-def refine(candidates: DataFrame, *rounds: DataFrame | Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def refine(candidates: DataFrame, *rounds: DataFrame | Callable[[DataFrame], DataFrame], step: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(kept, rejected) of ``candidates`` (video_id, id, s, e, ...) after each round of verdicts (video_id, id, decision,
     rs, re, at), given as a table or made from the pending rows. The first round reviews all, a later one what the one
     before has refined or split; a row without a verdict is unreviewed. The kept rows have their boundary_state; both
-    have ``origin``, if candidates have it."""
+    have ``origin``, if candidates have it. ``step`` writes each round's judged rows."""
     own = ["video_id", "id", "s", "e"] + [c for c in candidates.columns if c == "origin"]
     pending, kept, rejected = candidates.select(*own), None, None
     both = lambda one, other: other if one is None else one.unionByName(other)
     for i, verdicts in enumerate(rounds):
         verdicts = verdicts(pending) if callable(verdicts) else verdicts
         judged = pending.join(verdicts.select("video_id", "id", "decision", "rs", "re", "at"), ["video_id", "id"], "left")
+        judged = judged if step is None else step(judged)
         rejected = both(rejected, judged.where("decision = 'rejected'").select(*own))
         rows = apply_verdicts(judged.withColumn("decision", F.coalesce("decision", F.lit("unreviewed"))))
         again = F.col("boundary_state").isin("refined", "split") & F.lit(i + 1 < len(rounds))

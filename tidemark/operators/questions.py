@@ -57,17 +57,52 @@ def channels_of(task_type: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def combine_verdicts(first: DataFrame, second: DataFrame, channels: tuple[str, ...] = ("blind", "subtitle", "single_frame")) -> DataFrame:
-    """A second provider's verdicts added channel by channel: hit by either is hit; questions it didn't see stay."""
-    other = second.select("qid", *(F.col(c).alias(f"__{c}") for c in channels))
-    out = first.join(other, "qid", "left")
-    return out.select(*(c for c in first.columns if c not in channels), *((F.coalesce(F.col(c), F.lit(False)) | F.coalesce(F.col(f"__{c}"), F.lit(False))).alias(c) for c in channels))
+def rescreened(questions: DataFrame, second: DataFrame, provider: Column, keep_single_frame: bool = False, drop: bool = True) -> DataFrame:
+    """``questions`` after a second run of the channels by another provider.
+
+    ``questions``: qid, task_type, capability, a flag a channel as far as they were tried, checked_by. ``second``: qid and
+    the second run's flags. Only the channels of a question's type count (``channels_of``): hit by either run is hit, and
+    what is missing isn't hit. ``primary`` and ``secondary`` are the channels that each run hit, ``checked_by`` names both
+    providers, and ``dropped`` is the decision on the combined flags. A question of another type is kept as it is, with
+    its flags and without a record. A row of ``second`` for an unknown question is ignored.
+    """
+    known = [c for c in CHANNELS if c in second.columns]
+    other = second.dropDuplicates(["qid"]).select("qid", *(F.col(c).alias(f"__{c}") for c in known))
+    out = questions.join(other, "qid", "left").withColumn("__tried", channels_of(F.col("task_type"))).withColumn("__known", F.size("__tried") > 0)
+    tried = lambda c: F.array_contains("__tried", c)
+    one = {c: tried(c) & _flag(questions, c) for c in CHANNELS}
+    two = {c: tried(c) & (F.coalesce(f"__{c}", F.lit(False)) if c in known else F.lit(False)) for c in CHANNELS}
+    named = lambda hits: F.when(F.col("__known"), F.array_compact(F.array(*(F.when(h, F.lit(c)) for c, h in hits.items()))))
+    by = F.when(F.col("__known"), F.concat(F.coalesce("checked_by", F.lit("auto:?")), F.lit("+auto:"), provider)).otherwise(F.col("checked_by"))
+    kept = [c for c in questions.columns if c not in (*CHANNELS, "checked_by")]
+    flags = [F.when(F.col("__known"), one[c] | two[c]).otherwise(_flag(questions, c)).alias(c) for c in CHANNELS]
+    out = out.select(*kept, "__known", by.alias("checked_by"), named(one).alias("primary"), named(two).alias("secondary"), *flags)
+    judged = with_drop(out, keep_single_frame, drop)
+    return judged.withColumn("dropped", F.col("dropped") & F.col("__known")).drop("__known")
+
+
+def rescreen(videos: DataFrame, questions: DataFrame, second: DataFrame, force: bool = False, **policy: bool) -> tuple[DataFrame, DataFrame]:
+    """(kept questions, one row a screened video) of a second run by each video's ``provider``.
+
+    ``videos``: video_id, provider, annotators (array of ``auto:<provider>:<model>``). A video whose provider is among its
+    annotators' is left out, unless ``force``. Kept questions are numbered anew (``new_qid``) in the order of ``ord``. A
+    video's row: review_status, which is draft again until people have looked, before, after, and the dropped qids.
+    """
+    first = F.transform("annotators", lambda a: F.regexp_extract(a, "^auto:([a-z0-9_-]+)", 1))
+    screened = videos.where(F.lit(force) | ~F.coalesce(F.array_contains(first, F.col("provider")), F.lit(False)))
+    judged = rescreened(questions.join(screened.select("video_id", "provider"), "video_id"), second, F.col("provider"), **policy)
+    stats = judged.groupBy("video_id").agg(F.count(F.lit(1)).alias("before"), F.count_if(~F.col("dropped")).alias("after"), F.array_sort(F.collect_list(F.when(F.col("dropped"), F.struct("ord", "qid")))).alias("x"))
+    stats = screened.select("video_id", "provider", F.lit("draft").alias("review_status")).join(stats, "video_id", "left")
+    none = F.array().cast("array<string>")
+    stats = stats.select("video_id", "provider", "review_status", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("before", "after")), F.coalesce(F.transform("x", lambda q: q["qid"]), none).alias("dropped"))
+    return renumber(judged.where("not dropped")), stats
 
 
 def renumber(questions: DataFrame) -> DataFrame:
-    """qid becomes the prefix before its last ``_q`` with a new running number of at least two digits."""
-    prefix = F.regexp_extract("qid", r"^(.*)_q[^_]*$", 1)
-    n = F.row_number().over(Window.partitionBy("video_id").orderBy("s", "ord"))
+    """qid becomes what stands before its last ``_q`` (all of it, if none does) with a running number of at least two
+    digits, in the order of the list (``ord``)."""
+    prefix = F.regexp_replace("qid", r"_q(?!.*_q)(?s:.*)$", "")
+    n = F.row_number().over(Window.partitionBy("video_id").orderBy("ord"))
     return questions.withColumn("new_qid", F.format_string("%s_q%02d", prefix, n))
 
 
@@ -75,7 +110,7 @@ def coverage(questions: DataFrame, duration: float, least_layer: int = 2) -> Dat
     """The capability matrix of each video, its five checks and whether all pass.
 
     Every capability of a question counts for its layer, and every span of its evidence (``spans``) for the quarter of
-    the timeline that it starts in.
+    the timeline that it starts in. Without any evidence the check of the quarters fails.
     """
     count = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("int"))
     total = lambda c: F.coalesce(F.sum(F.size(c)), F.lit(0))
@@ -84,9 +119,10 @@ def coverage(questions: DataFrame, duration: float, least_layer: int = 2) -> Dat
     tasks = {t: count(F.col("task_type") == t).alias(t) for t in ("mcq", "temporal_grounding", "open", "summary")}
     out = questions.groupBy("video_id").agg(F.count(F.lit(1)).alias("n"), *layers.values(), count(F.col("min_watch").isin("cross_scene", "whole_video")).alias("cross"), *tasks.values(), *buckets.values())
     share = lambda c: F.col(c) / F.col("n")
+    marks = sum((F.col(b) for b in list(buckets)[1:]), F.col("b0"))
     checks = {
         "ok_layers": F.least(*layers) >= least_layer, "ok_cross": share("cross") >= 0.5, "ok_mcq": share("mcq").between(0.5, 0.7), "ok_temporal": share("temporal_grounding").between(0.15, 0.25),
-        "ok_buckets": F.least(*(F.col(b) / sum((F.col(x) for x in list(buckets)[1:]), F.col("b0")) for b in buckets)) >= 0.15,
+        "ok_buckets": (marks > 0) & (F.least(*buckets) >= 0.15 * marks),
     }
     for name, c in checks.items():
         out = out.withColumn(name, c)

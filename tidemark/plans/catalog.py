@@ -353,12 +353,31 @@ def channel_sets(spark, d):
     return X.qa(spark, d).select(F.explode(questions.channels_of(F.col("task_type"))).alias("channel")).groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _rescreen(spark, d) -> tuple[DataFrame, DataFrame]:
+    """A second run over all channels: two videos in three are screened, one of the three names its own provider."""
+    o = F.col("ord")
+    every = lambda n: o % n == 0
+    q = _qa(spark, d).select("*", every(19).alias("synopsis"), every(23).alias("language_prior"), every(6).alias("subtitle_locate"), every(14).alias("blind_similar"), F.when(o % 4 != 0, "auto:west").alias("checked_by"))
+    flags = zip(questions.CHANNELS, (17, None, 5, 29, 31, 10, 9), strict=True)
+    second = q.where("ord % 2 = 0").select("qid", *((every(n) if n else F.lit(None).cast("boolean")).alias(c) for c, n in flags))
+    provider = X.pick(F.col("video_id") % 3, ("north", "south", "east"))
+    return questions.rescreen(X.videos(spark, d).select("video_id", provider.alias("provider"), F.array(F.lit("auto:north:large"), F.lit("human:a")).alias("annotators")), q, second)
+
+
 @query
 def rescreen_combine(spark, d):
-    q = _qa(spark, d)
-    second = q.where("ord % 2 = 0").select("qid", (F.col("ord") % 17 == 0).alias("blind"), F.lit(None).cast("boolean").alias("subtitle"), (F.col("ord") % 5 == 0).alias("single_frame"))
-    kept = questions.with_drop(questions.combine_verdicts(q, second)).where("not dropped")
-    return questions.renumber(kept).select("qid", "new_qid")
+    return _rescreen(spark, d)[0].select("qid", "new_qid")
+
+
+@query
+def rescreen(spark, d):
+    """The kept questions with the record of both runs, and a row a video."""
+    kept, stats = _rescreen(spark, d)
+    hits = F.array_compact(F.array(*(F.when(F.col(c), F.lit(c)) for c in questions.CHANNELS)))
+    text = lambda c: F.array_join(c, ",")
+    rows = kept.select("video_id", "qid", "new_qid", "checked_by", text("primary").alias("primary_hits"), text("secondary").alias("secondary_hits"), text(hits).alias("hits"))
+    none = F.lit(None).cast("string")
+    return rows.unionByName(stats.select("video_id", none.alias("qid"), none.alias("new_qid"), F.concat(F.lit("auto:"), "provider").alias("checked_by"), F.col("before").cast("string").alias("primary_hits"), F.col("after").cast("string").alias("secondary_hits"), text("dropped").alias("hits")))
 
 
 @query

@@ -100,6 +100,19 @@ cm AS (SELECT *, least(L1, L2, L3, L4, L5) >= 2 AS ok_layers, "cross" / n::DOUBL
 
 _MIOU = "items AS (SELECT video_id, qid, avg(" + _IOU.format(s1="s", e1="e", s2="rs", e2="re") + ") AS miou FROM v_responses WHERE task_type = 'temporal_grounding' GROUP BY video_id, qid)"
 
+_ALL = ["blind", "subtitle", "single_frame", "synopsis", "language_prior", "subtitle_locate", "blind_similar"]
+_RESCREEN = f""",
+screened AS (SELECT video_id, (['north','south','east'])[(video_id % 3 + 1)::INT] AS provider FROM v_videos WHERE video_id % 3 <> 0),
+ch AS (SELECT q.*, provider, CASE WHEN task_type = 'mcq' THEN ['blind','subtitle','single_frame','synopsis','language_prior'] WHEN task_type = 'temporal_grounding' THEN ['subtitle_locate'] ELSE ['blind_similar'] END AS tried,
+  list_filter([{", ".join(f"CASE WHEN {c} THEN '{c}' END" for c in _ALL[:3])}, {", ".join(f"CASE WHEN ord % {m} = 0 THEN '{c}' END" for c, m in zip(_ALL[3:], (19, 23, 6, 14), strict=True))}], lambda x: x IS NOT NULL) AS p,
+  CASE WHEN ord % 2 = 0 THEN list_filter([{", ".join(f"CASE WHEN {f'ord % {m} = 0' if m else 'false'} THEN '{c}' END" for c, m in zip(_ALL, (17, None, 5, 29, 31, 10, 9), strict=True))}], lambda x: x IS NOT NULL) ELSE [] END AS s2 FROM q JOIN screened USING (video_id)),
+r0 AS (SELECT *, list_filter(p, lambda x: list_contains(tried, x)) AS one, list_filter(s2, lambda x: list_contains(tried, x)) AS two FROM ch),
+r1 AS (SELECT *, list_filter([{", ".join(f"'{c}'" for c in _ALL)}], lambda x: list_contains(one, x) OR list_contains(two, x)) AS hit FROM r0),
+r AS (SELECT *, len(list_filter(hit, lambda x: visual OR x NOT IN ('subtitle', 'single_frame'))) > 0 AS gone,
+  CASE WHEN ord % 4 = 0 THEN 'auto:?' ELSE 'auto:west' END || '+auto:' || provider AS checked_by FROM r1),
+kept AS (SELECT qid, regexp_extract(qid, '^(.*)_q[^_]*$', 1) || '_q' || CASE WHEN rn < 10 THEN '0' ELSE '' END || rn AS new_qid FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY ord) AS rn FROM r WHERE NOT gone))
+"""
+
 _GATES = ("coverage", "event_density", "key_span", "shot_desc", "segment_gate", "qa_count", "bilingual", "qa_coverage", "alpha", "miou", "open_agree", "stages", "schema")
 _GATE = f"""
 {_UNION.format(eps=1.0)},
@@ -150,7 +163,7 @@ SELECT annotator, count(*) AS total, count(*) FILTER (WHERE response = answer) A
 FROM v_responses WHERE task_type = 'mcq' AND is_gold GROUP BY annotator
 """),
     "qc_rework": _sql("""
-SELECT qid, answer, count(*) AS n, round(avg((response = answer)::INT::DOUBLE), 6) AS agreement, string_agg(response, ',' ORDER BY annotator) AS answers FROM v_responses WHERE task_type = 'mcq' GROUP BY qid, answer HAVING avg((response = answer)::INT) < 1
+SELECT qid, answer, count(*) AS n, round(avg((response = answer)::INT::DOUBLE), 6) AS agreement, string_agg(response, ',' ORDER BY annotator) AS answers FROM v_responses WHERE task_type = 'mcq' AND NOT is_gold GROUP BY qid, answer HAVING avg((response = answer)::INT) < 1
 """),
     "qc_interval_miou": _sql("""
 SELECT *, ratio >= 0.9 AS ok FROM (SELECT video_id, count(*) AS n, round(avg(miou), 6) AS mean_iou, round(avg(CASE WHEN miou >= 0.5 THEN 1.0::DOUBLE ELSE 0 END), 3) AS ratio FROM items GROUP BY video_id)
@@ -242,8 +255,13 @@ SELECT CASE WHEN list_has_any(caps, ['L2_counting','L2_ordering','L3_causal','L3
 SELECT channel, count(*) AS n FROM (SELECT unnest(CASE WHEN task_type = 'mcq' THEN ['blind','subtitle','single_frame','synopsis','language_prior'] WHEN task_type = 'temporal_grounding' THEN ['subtitle_locate'] ELSE ['blind_similar'] END) AS channel FROM v_qa) GROUP BY channel
 """),
     "rescreen_combine": _sql("""
-SELECT qid, regexp_extract(qid, '^(.*)_q[^_]*$', 1) || '_q' || CASE WHEN rn < 10 THEN '0' ELSE '' END || rn AS new_qid FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY s, ord) AS rn FROM c WHERE NOT (b OR (subtitle AND visual) OR (f AND visual)))
-""", _FLAGS + ", c AS (SELECT *, blind OR (ord % 2 = 0 AND ord % 17 = 0) AS b, single_frame OR (ord % 2 = 0 AND ord % 5 = 0) AS f FROM q)"),
+SELECT qid, new_qid FROM kept
+""", _FLAGS + _RESCREEN),
+    "rescreen": _sql("""
+SELECT r.video_id, r.qid, new_qid, checked_by, array_to_string(one, ',') AS primary_hits, array_to_string(two, ',') AS secondary_hits, array_to_string(hit, ',') AS hits FROM r JOIN kept USING (qid)
+UNION ALL SELECT video_id, NULL, NULL, 'auto:' || provider, before::VARCHAR, after::VARCHAR, coalesce(dropped, '') FROM screened LEFT JOIN (
+  SELECT video_id, count(*) AS before, count(*) FILTER (WHERE NOT gone) AS after, string_agg(qid, ',' ORDER BY ord) FILTER (WHERE gone) AS dropped FROM r GROUP BY video_id) USING (video_id)
+""", _FLAGS + _RESCREEN),
     "question_dedup": """
 SELECT min(doc_id) AS doc_id, count(*) AS n_same FROM documents GROUP BY regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', '', 'g')
 """,
