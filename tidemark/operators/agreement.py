@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.config import DEFAULT, Thresholds
 from tidemark.functions import intervals as I
+from tidemark.functions import text as T
 
 
 def _counts(ratings: DataFrame) -> DataFrame:
@@ -90,6 +92,58 @@ def pipeline_ratio(verified: DataFrame, least: float = 0.5) -> DataFrame:
     return verified.groupBy("video_id").agg(F.round(F.avg(passes), 3).alias("ratio"))
 
 
+def _levels(rows: DataFrame, *measures: Column, by: tuple[str, ...] = ()) -> DataFrame:
+    """``measures`` of each video and, with a null video_id and ``batch``, of all videos, from one pass over the rows."""
+    return rows.groupingSets([["video_id", *by], [*by]], "video_id", *by).agg(F.grouping("video_id").cast("boolean").alias("batch"), *measures)
+
+
+def alpha_levels(ratings: DataFrame) -> DataFrame:
+    """(video_id, batch, n_items, alpha): nominal alpha of (video_id, unit, value) rows for each video and for the batch.
+
+    Only units with two values or more count, also for how many values there are; with fewer than two alpha is null. A
+    video without such units has no row. Coincidences of all videos are counted at once.
+    """
+    c = ratings.where("value is not null").groupBy("video_id", "unit", "value").agg(F.count(F.lit(1)).alias("c"))
+    c = c.withColumn("m", F.sum("c").over(Window.partitionBy("video_id", "unit"))).where("m >= 2")
+    units = c.groupBy("video_id", "unit").agg(F.sum(F.col("c") * (F.col("c") - 1) / (F.col("m") - 1)).alias("agree"), F.first("m").alias("m"))
+    n = _levels(units, F.count(F.lit(1)).alias("n_items"), F.sum("m").alias("n"), F.sum("agree").alias("agree"))
+    values = _levels(c, F.sum("c").alias("nv"), by=("value",)).groupBy("video_id", "batch").agg(F.sum(F.col("nv") * F.col("nv")).alias("squares"), F.count(F.lit(1)).alias("kinds"))
+    alpha = _alpha(F.col("n") - F.col("agree"), F.col("n") * F.col("n") - F.col("squares"), F.col("n"), F.col("kinds")).alias("alpha")
+    return n.join(values.withColumnRenamed("batch", "__b").withColumnRenamed("video_id", "__v"), F.col("__b").eqNullSafe(n["batch"]) & F.col("__v").eqNullSafe(n["video_id"])).select("video_id", "batch", "n_items", alpha)
+
+
+def interval_levels(responses: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
+    """(video_id, batch, n, ratio, ok): the share of temporal questions whose mean IoU over raters suffices."""
+    ratio = F.round(F.avg(F.col("passes").cast("double")), 3)
+    return _levels(interval_items(responses, limits.iou), F.count(F.lit(1)).alias("n"), ratio.alias("ratio")).withColumn("ok", F.col("ratio") >= limits.iou_share)
+
+
+def open_items(answers: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
+    """(video_id, qid, n_raters, agreement, passes) of free answers (video_id, qid, text, reference).
+
+    An answer agrees where its ROUGE-L with the reference, or ``similarity`` where there is such a column, suffices;
+    a question passes where enough of its answers agree. Empty answers and questions without a reference don't count.
+    """
+    given = answers.where("text <> '' and reference <> ''")
+    like = T.rouge_l(T.tokens(F.col("text")), T.tokens(F.col("reference")))
+    like = F.greatest(like, F.col("similarity")) if "similarity" in answers.columns else like
+    share = F.avg((like >= limits.open_similarity).cast("double"))
+    return given.groupBy("video_id", "qid").agg(F.count(F.lit(1)).alias("n_raters"), F.round(share, 3).alias("agreement"), (share >= limits.open_share).alias("passes"))
+
+
+def open_levels(answers: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
+    """(video_id, batch, n, ratio, ok): the share of open questions whose raters agree with the reference."""
+    ratio = F.round(F.avg(F.col("passes").cast("double")), 3)
+    return _levels(open_items(answers, limits), F.count(F.lit(1)).alias("n"), ratio.alias("ratio")).withColumn("ok", F.col("ratio") >= limits.open_share)
+
+
+def gold_levels(responses: DataFrame, least: float = DEFAULT.gold_accuracy) -> DataFrame:
+    """(video_id, batch, flagged): the raters whose accuracy on gold items is too low, in each video and in the batch."""
+    right = F.coalesce(F.col("response") == F.col("answer"), F.lit(False)).cast("double")
+    raters = _levels(responses.where("is_gold and annotator <> ''").withColumn("right", right), F.avg("right").alias("accuracy"), by=("annotator",))
+    return raters.groupBy("video_id", "batch").agg(F.array_sort(F.collect_list(F.when(F.col("accuracy") < least, F.col("annotator")))).alias("flagged"))
+
+
 def mcq_stats(responses: DataFrame) -> DataFrame:
     """One row a batch of (qid, annotator, response, answer, is_gold): alpha of the items that aren't gold, raters whose
     gold accuracy is too low, and questions to rework."""
@@ -98,6 +152,22 @@ def mcq_stats(responses: DataFrame) -> DataFrame:
     return alpha.join(flagged).join(rework(responses).agg(F.count(F.lit(1)).alias("rework")))  # one row each
 
 
+def mcq_levels(responses: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
+    """(video_id, batch, n_items, alpha, alpha_ok, flagged, rework) of (video_id, qid, annotator, response, answer,
+    is_gold) for each video with responses, and for the batch."""
+    known = responses.where("answer <> ''")
+    ratings = known.where("not coalesce(is_gold, false) and response <> ''").select("video_id", F.col("qid").alias("unit"), F.col("response").alias("value"))
+    again = rework(known.select("qid", "annotator", "response", "answer", "is_gold"))
+    again = _levels(again.join(known.select("qid", "video_id").distinct(), "qid"), F.count(F.lit(1)).alias("rework"))
+    out = _levels(responses, F.count(F.lit(1)).alias("n_responses"))
+    for part in (alpha_levels(ratings), gold_levels(known, limits.gold_accuracy), again):
+        names = [c for c in part.columns if c not in ("video_id", "batch")]
+        part = part.select(F.col("video_id").alias("__v"), F.col("batch").alias("__b"), *names)
+        out = out.join(part, F.col("__v").eqNullSafe(out["video_id"]) & (F.col("__b") == out["batch"]), "left").drop("__v", "__b")
+    none = F.array().cast("array<string>")
+    return out.select("video_id", "batch", F.coalesce("n_items", F.lit(0)).alias("n_items"), "alpha", F.coalesce(F.col("alpha") >= limits.alpha, F.lit(False)).alias("alpha_ok"), F.coalesce("flagged", none).alias("flagged"), F.coalesce("rework", F.lit(0)).alias("rework"))
+
+
 def interval_items(responses: DataFrame, least: float = 0.5) -> DataFrame:
     """Mean IoU over raters of each temporal question (s, e against rs, re), and whether it passes."""
     mean = F.avg(I.iou(F.col("s"), F.col("e"), F.col("rs"), F.col("re")))

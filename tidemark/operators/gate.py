@@ -6,12 +6,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import DEFAULT, Thresholds
+from tidemark.operators import agreement
 from tidemark.operators.narrative import union_keep_first
 
 GATES = ("coverage", "event_density", "key_span", "shot_desc", "segment_gate", "qa_count", "bilingual", "qa_coverage", "alpha", "miou", "open_agree", "stages", "schema")
 
 
-def release_gate(facts: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
+def facts(
+    videos: DataFrame, gaps: DataFrame, events: DataFrame, shots: DataFrame, segments: DataFrame, qa: DataFrame, matrix: DataFrame, responses: DataFrame, stages: DataFrame, validity: DataFrame, limits: Thresholds = DEFAULT
+) -> DataFrame:
+    """Every fact that ``release_gate`` decides on, one row a video of ``videos`` (video_id, duration, genre).
+
+    ``gaps`` (video_id, ...): uncovered spans. ``events``: s, e, importance; a key event needs 0 <= s < e <= duration.
+    ``shots``: desc. ``segments``: quiet. ``qa``: qid, task_type, zh and en (the question), has_target, miou (the
+    pipeline's own check of a temporal question). ``matrix``: ok. ``responses``: qid, task_type, annotator, is_gold,
+    response and answer (choices), s, e, rs, re (target and rater's interval), text and reference (free answers); each
+    metric is that of the video's own responses, and null where it has none. ``stages``: state. ``validity``: valid. A
+    video that a table doesn't name has a count of 0, no matrix (which fails), or an unknown validity (which passes).
+    """
+    n = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    rows = F.count(F.lit(1))
+    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    temporal = (F.col("task_type") == "temporal_grounding") & F.col("has_target")
+    good = (F.col("s") >= 0) & (F.col("s") < F.col("e")) & (F.col("e") <= F.greatest("duration", F.lit(1e-9)))
+    of = lambda *kinds: responses.where(F.col("task_type").isin(*kinds))
+    own = lambda level, name, fact: level.where("not batch").select("video_id", F.col(name).alias(fact))
+    interval = of("temporal_grounding").where("re > rs and e is not null and s is not null")
+    choices = of("mcq").where("answer <> '' and not coalesce(is_gold, false) and response <> ''")
+    parts = [
+        gaps.groupBy("video_id").agg(rows.alias("n_gaps")),
+        events.join(videos.select("video_id", "duration"), "video_id").groupBy("video_id").agg(rows.alias("n_events"), n((F.col("importance") == "key") & ~F.coalesce(good, F.lit(False))).alias("n_bad_key")),
+        shots.groupBy("video_id").agg(rows.alias("n_shots"), n(blank("desc")).alias("n_empty_shots")),
+        segments.groupBy("video_id").agg(rows.alias("n_segments"), n(F.col("quiet")).alias("n_quiet")),
+        qa.groupBy("video_id").agg(rows.alias("n_qa"), n(temporal).alias("n_temporal"), n(~blank("zh") & ~blank("en")).alias("n_bilingual")),
+        stages.groupBy("video_id").agg(n(F.col("state") == "failed").alias("n_failed")),
+        matrix.select("video_id", F.col("ok").alias("coverage_ok")),
+        validity.select("video_id", F.col("valid").alias("schema_valid")),
+        agreement.pipeline_ratio(qa.where("task_type = 'temporal_grounding'"), limits.iou).withColumnRenamed("ratio", "pipeline_miou"),
+        own(agreement.alpha_levels(choices.select("video_id", F.col("qid").alias("unit"), F.col("response").alias("value"))), "alpha", "alpha"),
+        own(agreement.interval_levels(interval, limits), "ratio", "miou_ratio"),
+        own(agreement.open_levels(of("open", "summary"), limits), "ratio", "open_ratio"),
+    ]
+    out = videos.select("video_id", "duration", "genre")
+    for part in parts:
+        out = out.join(part, "video_id", "left")
+    return out.na.fill(0, [c for c in out.columns if c.startswith("n_")])
+
+
+def release_gate(found: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
     """One row a video from its facts: duration, genre, n_gaps, n_events, n_bad_key, n_shots, n_empty_shots, n_segments,
     n_quiet, n_qa, n_bilingual, coverage_ok, alpha, n_temporal, miou_ratio, pipeline_miou, open_ratio, n_failed,
     schema_valid.
@@ -39,12 +81,14 @@ def release_gate(facts: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
         "stages": F.col("n_failed") == 0,
         "schema": F.coalesce("schema_valid", F.lit(True)),
     }
-    out = facts.select("video_id", *(c.alias(g) for g, c in checks.items()), F.array_compact(F.array(F.when(F.col("alpha").isNull(), "alpha"), F.when(temporal.isNull() & (F.col("n_temporal") == 0), "miou"), F.when(F.col("open_ratio").isNull(), "open_agree"))).alias("unevaluated"))
+    out = found.select("video_id", *(c.alias(g) for g, c in checks.items()), F.array_compact(F.array(F.when(F.col("alpha").isNull(), "alpha"), F.when(temporal.isNull() & (F.col("n_temporal") == 0), "miou"), F.when(F.col("open_ratio").isNull(), "open_agree"))).alias("unevaluated"))
     return out.select("*", F.expr(" and ".join(GATES)).alias("pass"), F.array_join(F.array_compact(F.array(*(F.when(~F.col(g), F.lit(g)) for g in GATES))), ",").alias("reasons"))
 
 
 def effect(gated: DataFrame) -> DataFrame:
-    """The decision's effect: passing videos are verified and lose earlier reasons, others are drafts with theirs."""
+    """The decision's effect: passing videos are verified and lose earlier reasons, others are drafts with theirs.
+    ``release_unevaluated`` names the metrics that weren't evaluated, null where all were."""
+    gated = gated.withColumn("release_unevaluated", F.when(F.size("unevaluated") > 0, F.col("unevaluated")))
     return gated.withColumn("review_status", F.when(F.col("pass"), "verified").otherwise("draft")).withColumn("rejected_reasons", F.when(~F.col("pass"), F.col("reasons")))
 
 

@@ -93,25 +93,48 @@ def text_rouge_l(spark, d):
     return pairs.select("item_id", r6(T.rouge_l(T.tokens(F.col("text")), T.tokens(F.col("other")))).alias("rouge_l"))
 
 
+def _gate_responses(spark, d) -> DataFrame:
+    """Responses of all kinds. In a third of the videos raters agree; some videos lack choices, intervals or texts."""
+    v, o = F.col("video_id"), F.col("ord")
+    k = o + F.substring("annotator", 2, 1).cast("int")
+    r = X.responses(spark, d).join(X.spans(spark, d).select("video_id", "ord", F.col("txt").alias("reference")), ["video_id", "ord"])
+    lacks = ((v % 5 == 2) & (F.col("task_type") == "mcq")) | ((v % 6 == 0) & (F.col("task_type") == "temporal_grounding")) | ((v % 4 == 1) & F.col("task_type").isin("open", "summary"))
+    text = F.when(k % 4 == 0, "").when((k % 4 == 1) | (v % 3 == 0), F.col("reference")).otherwise(F.concat("reference", F.lit(" and other words")))
+    return r.where(~lacks).withColumn("response", F.when(v % 3 == 0, F.col("answer")).otherwise(F.col("response"))).withColumn("text", text)
+
+
 def _facts(spark, d) -> DataFrame:
-    v, e, q, r, s = X.videos(spark, d), X.events(spark, d), X.qa(spark, d), X.responses(spark, d), X.shots(spark, d)
-    n = lambda c: F.sum(c.cast("int"))
-    parts = [
-        segments.gaps(v, X.spans(spark, d), DEFAULT.coverage_eps, DEFAULT.coverage_eps, True).groupBy("video_id").agg(F.count(F.lit(1)).alias("n_gaps")),
-        e.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_events"), n((F.col("importance") == "key") & ~((F.col("s") >= 0) & (F.col("s") < F.col("e")) & (F.col("e") <= 720))).alias("n_bad_key")),
-        s.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_shots")),
-        q.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_qa"), n(F.col("task_type") == "temporal_grounding").alias("n_temporal"), n(F.col("ord") % 30 != 0).alias("n_bilingual")),
-        questions.coverage(_qa(spark, d), X.DURATION).select("video_id", F.col("ok").alias("coverage_ok")),
-        agreement.pass_ratio(agreement.interval_items(r.where("task_type = 'temporal_grounding'")), ["video_id"], DEFAULT.iou_share).select("video_id", F.col("ratio").alias("miou_ratio")),
-    ]
-    out = v
-    for p in parts:
-        out = out.join(p, "video_id", "left")
-    zero = ("n_gaps", "n_events", "n_bad_key", "n_shots", "n_qa", "n_temporal", "n_bilingual")
-    return out.na.fill(0, list(zero)).select(
-        "*", F.lit(0).alias("n_empty_shots"), F.col("n_shots").alias("n_segments"), F.lit(0).alias("n_quiet"), F.lit(None).cast("double").alias("alpha"), F.lit(None).cast("double").alias("pipeline_miou"),
-        F.lit(None).cast("double").alias("open_ratio"), F.when(F.col("video_id") % 50 == 0, 1).otherwise(0).alias("n_failed"), F.when(F.col("video_id") % 2 == 0, True).alias("schema_valid"),
-    )
+    v, o = F.col("video_id"), F.col("ord")
+    videos, e = X.videos(spark, d), X.events(spark, d)
+    gaps = segments.gaps(videos, X.spans(spark, d), DEFAULT.coverage_eps, DEFAULT.coverage_eps, True)
+    shots = X.shots(spark, d).withColumn("desc", F.when((v % 7 == 3) & (o % 9 == 0), "").otherwise("seen"))
+    parts = X.scenes(spark, d).where("video_id % 17 <> 4").withColumn("quiet", (v % 11 == 5) & (F.col("scene_id") == 3))
+    qa = X.qa(spark, d).select("video_id", "qid", "ord", "task_type", F.col("txt").alias("zh"), F.when(o % 30 != 0, F.col("txt")).alias("en"), (o % 20 != 13).alias("has_target"), F.when(o % 3 != 0, (o % 10) / 10.0).alias("miou"))
+    stages = videos.select("video_id", F.explode(F.array(F.lit("S1"), F.lit("S6"))).alias("stage")).withColumn("state", F.when((v % 50 == 0) & (F.col("stage") == "S6"), "failed").otherwise("done"))
+    validity = videos.where("video_id % 2 = 0 or video_id % 23 = 7").select("video_id", (v % 23 != 7).alias("valid"))
+    return gate.facts(videos, gaps, e, shots, parts, qa, questions.coverage(_qa(spark, d), X.DURATION), _gate_responses(spark, d), stages, validity)
+
+
+@query
+def gate_facts(spark, d):
+    """Every fact of the release gate of each video."""
+    return _facts(spark, d).withColumn("alpha", r6("alpha"))
+
+
+@query
+def mcq_levels(spark, d):
+    """Choice statistics of each video and of the batch."""
+    out = agreement.mcq_levels(_gate_responses(spark, d).where("task_type = 'mcq'"))
+    return out.withColumn("alpha", r6("alpha")).withColumn("flagged", F.array_join("flagged", ","))
+
+
+@query
+def open_levels(spark, d):
+    """Open and temporal questions of each video and of the batch."""
+    r = _gate_responses(spark, d)
+    kinds = (("open", agreement.open_levels(r.where("task_type in ('open', 'summary')"))), ("interval", agreement.interval_levels(r.where("task_type = 'temporal_grounding'"))))
+    one, other = (x.select(F.lit(k).alias("kind"), "video_id", "batch", "n", "ratio", "ok") for k, x in kinds)
+    return one.unionByName(other)
 
 
 @query

@@ -114,20 +114,59 @@ kept AS (SELECT qid, regexp_extract(qid, '^(.*)_q[^_]*$', 1) || '_q' || CASE WHE
 """
 
 _GATES = ("coverage", "event_density", "key_span", "shot_desc", "segment_gate", "qa_count", "bilingual", "qa_coverage", "alpha", "miou", "open_agree", "stages", "schema")
+def _tokens(c: str) -> str:
+    return f"list_transform(regexp_extract_all({c}, '{T.TOKEN.replace("'", "''")}'), lambda x: lower(x))"
+
+
+def _rouge(pairs: str) -> str:
+    """CTEs that give ROUGE-L of the distinct pairs (a, b) of a query as rl (a, b, f1)."""
+    return f"""
+pr AS (SELECT a, b, {_tokens("a")} AS x, {_tokens("b")} AS y FROM (SELECT DISTINCT a, b FROM ({pairs}))),
+lc(a, b, i, r) AS (SELECT a, b, 0, list_transform(range(0, len(y) + 1), lambda k: 0) FROM pr
+  UNION ALL SELECT a, b, i, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (
+    SELECT pr.a, pr.b, i + 1 AS i, list_transform(range(1, len(y) + 2), lambda j: CASE WHEN j > 1 AND y[j - 1] = x[i + 1] THEN r[j - 1] + 1 ELSE r[j] END) AS c FROM lc JOIN pr ON pr.a = lc.a AND pr.b = lc.b WHERE i < len(x))),
+rl AS (SELECT pr.a, pr.b, CASE WHEN lc.r[-1] = 0 THEN 0.0 ELSE 2.0 * lc.r[-1] / (len(x) + len(y)) END::DOUBLE AS f1 FROM pr JOIN lc ON lc.a = pr.a AND lc.b = pr.b AND lc.i = len(x))
+"""
+
+
+_ANSWERS = """
+gr AS (SELECT video_id, qid, ord, task_type, is_gold, annotator, CASE WHEN video_id % 3 = 0 THEN answer ELSE response END AS response, answer, s, e, rs, re, txt AS reference,
+  CASE WHEN k % 4 = 0 THEN '' WHEN k % 4 = 1 OR video_id % 3 = 0 THEN txt ELSE txt || ' and other words' END AS text
+  FROM (SELECT r.*, x.txt, r.ord + right(annotator, 1)::INT AS k FROM v_responses r JOIN v_spans x USING (video_id, ord))
+  WHERE NOT ((video_id % 5 = 2 AND task_type = 'mcq') OR (video_id % 6 = 0 AND task_type = 'temporal_grounding') OR (video_id % 4 = 1 AND task_type IN ('open', 'summary')))),
+gc AS (SELECT video_id, qid, response, count(*) AS c, sum(count(*)) OVER (PARTITION BY video_id, qid) AS m FROM gr WHERE task_type = 'mcq' AND NOT is_gold GROUP BY video_id, qid, response),
+gu AS (SELECT video_id, grouping(video_id) = 1 AS batch, count(DISTINCT qid) AS n_items, sum(c) AS n, sum(c * (c - 1) / (m - 1)) AS agree FROM gc WHERE m >= 2 GROUP BY GROUPING SETS ((video_id), ())),
+gv AS (SELECT video_id, batch, sum(nv * nv) AS squares, count(*) AS kinds FROM (SELECT video_id, grouping(video_id) = 1 AS batch, sum(c) AS nv FROM gc WHERE m >= 2 GROUP BY GROUPING SETS ((video_id, response), (response))) GROUP BY ALL),
+al AS (SELECT gu.video_id, gu.batch, n_items, CASE WHEN kinds < 2 THEN NULL WHEN n * n = squares THEN 1.0 ELSE 1 - (n - 1) * (n - agree)::DOUBLE / (n * n - squares) END AS alpha FROM gu JOIN gv ON gu.batch = gv.batch AND gu.video_id IS NOT DISTINCT FROM gv.video_id),
+oi AS (SELECT video_id, qid, avg((f1 >= 0.5)::INT) >= 0.6 AS passes FROM gr JOIN rl ON rl.a = text AND rl.b = reference WHERE task_type IN ('open', 'summary') AND text <> '' GROUP BY video_id, qid),
+ol AS (SELECT video_id, grouping(video_id) = 1 AS batch, count(*) AS n, round(avg(passes::INT), 3) AS ratio FROM oi GROUP BY GROUPING SETS ((video_id), ())),
+ii AS (SELECT video_id, qid, avg(""" + _IOU.format(s1="s", e1="e", s2="rs", e2="re") + """) >= 0.5 AS passes FROM gr WHERE task_type = 'temporal_grounding' GROUP BY video_id, qid),
+il AS (SELECT video_id, grouping(video_id) = 1 AS batch, count(*) AS n, round(avg(passes::INT), 3) AS ratio FROM ii GROUP BY GROUPING SETS ((video_id), ()))
+"""
 _GATE = f"""
 {_UNION.format(eps=1.0)},
-gp AS (SELECT video_id, count(*) AS n_gaps FROM ({_GAPS.format(test="e - s > 1.0")}) GROUP BY video_id), {_MIOU},
-mi AS (SELECT video_id, round(avg(CASE WHEN miou >= 0.5 THEN 1.0::DOUBLE ELSE 0 END), 3) AS miou_ratio FROM items GROUP BY video_id),
+gp AS (SELECT video_id, count(*) AS n_gaps FROM ({_GAPS.format(test="e - s > 1.0")}) GROUP BY video_id),
 ev AS (SELECT video_id, count(*) AS n_events, count(*) FILTER (WHERE importance = 'key' AND NOT (s >= 0 AND s < e AND e <= 720)) AS n_bad_key FROM v_events GROUP BY video_id),
-qn AS (SELECT video_id, count(*) AS n_qa, count(*) FILTER (WHERE task_type = 'temporal_grounding') AS n_temporal, count(*) FILTER (WHERE ord % 30 <> 0) AS n_bilingual FROM v_qa GROUP BY video_id), {_COVERAGE},
-g AS (SELECT v.video_id, coalesce(n_gaps, 0) = 0 AS coverage, n_events / 0.2::DOUBLE >= 45 AS event_density, n_bad_key = 0 AS key_span, n_events > 0 AS shot_desc, n_events > 0 AS segment_gate, n_qa >= 8 AS qa_count,
-  n_qa > 0 AND n_bilingual >= 0.95 * n_qa AS bilingual, ok_layers AND ok_cross AND ok_mcq AND ok_temporal AND ok_buckets AS qa_coverage, true AS alpha,
-  CASE WHEN miou_ratio IS NULL THEN n_temporal = 0 ELSE miou_ratio >= 0.9 END AS miou, true AS open_agree, v.video_id % 50 <> 0 AS stages, true AS schema,
-  CASE WHEN miou_ratio IS NULL AND n_temporal = 0 THEN 'alpha,miou,open_agree' ELSE 'alpha,open_agree' END AS unevaluated
-  FROM v_videos v LEFT JOIN gp USING (video_id) LEFT JOIN mi USING (video_id) JOIN ev USING (video_id) JOIN qn USING (video_id) JOIN cm USING (video_id)),
+sn AS (SELECT video_id, count(*) AS n_shots, count(*) FILTER (WHERE video_id % 7 = 3 AND ord % 9 = 0) AS n_empty_shots FROM v_shots GROUP BY video_id),
+pm AS (SELECT video_id, round(avg((ord % 10 >= 5)::INT), 3) AS pipeline_miou FROM v_qa WHERE task_type = 'temporal_grounding' AND ord % 3 <> 0 GROUP BY video_id),
+qn AS (SELECT video_id, count(*) AS n_qa, count(*) FILTER (WHERE task_type = 'temporal_grounding' AND ord % 20 <> 13) AS n_temporal, count(*) FILTER (WHERE ord % 30 <> 0) AS n_bilingual FROM v_qa GROUP BY video_id), {_COVERAGE},
+{{rouge}} {_ANSWERS},
+fa AS (SELECT v.video_id, v.duration, v.genre, coalesce(n_gaps, 0) AS n_gaps, n_events, n_bad_key, n_shots, n_empty_shots, CASE WHEN v.video_id % 17 <> 4 THEN 12 ELSE 0 END::BIGINT AS n_segments,
+  CASE WHEN v.video_id % 17 <> 4 AND v.video_id % 11 = 5 THEN 1 ELSE 0 END::BIGINT AS n_quiet, n_qa, n_temporal, n_bilingual, CASE WHEN v.video_id % 50 = 0 THEN 1 ELSE 0 END::BIGINT AS n_failed,
+  ok_layers AND ok_cross AND ok_mcq AND ok_temporal AND ok_buckets AS coverage_ok, CASE WHEN v.video_id % 2 = 0 OR v.video_id % 23 = 7 THEN v.video_id % 23 <> 7 END AS schema_valid,
+  pipeline_miou, round(alpha, 6) AS alpha, il.ratio AS miou_ratio, ol.ratio AS open_ratio
+  FROM v_videos v LEFT JOIN gp USING (video_id) JOIN ev USING (video_id) JOIN sn USING (video_id) JOIN qn USING (video_id) JOIN cm USING (video_id) LEFT JOIN pm USING (video_id)
+  LEFT JOIN al ON al.video_id = v.video_id LEFT JOIN il ON il.video_id = v.video_id LEFT JOIN ol ON ol.video_id = v.video_id),
+ft AS (SELECT *, coalesce(miou_ratio, CASE WHEN n_temporal > 0 THEN pipeline_miou END) AS found FROM fa),
+g AS (SELECT video_id, n_gaps = 0 AS coverage, n_events / 0.2::DOUBLE >= 45 AS event_density, n_bad_key = 0 AS key_span, n_shots > 0 AND n_empty_shots = 0 AS shot_desc, n_segments > 0 AND n_quiet = 0 AS segment_gate, n_qa >= 8 AS qa_count,
+  n_qa > 0 AND n_bilingual >= 0.95 * n_qa AS bilingual, coverage_ok AS qa_coverage, coalesce(alpha >= 0.8, true) AS alpha, CASE WHEN found IS NULL THEN n_temporal = 0 ELSE found >= 0.9 END AS miou,
+  coalesce(open_ratio >= 0.6, true) AS open_agree, n_failed = 0 AS stages, coalesce(schema_valid, true) AS schema,
+  array_to_string(list_filter([CASE WHEN alpha IS NULL THEN 'alpha' END, CASE WHEN found IS NULL AND n_temporal = 0 THEN 'miou' END, CASE WHEN open_ratio IS NULL THEN 'open_agree' END], lambda x: x IS NOT NULL), ',') AS unevaluated FROM ft),
 gd AS (SELECT *, {" AND ".join(_GATES)} AS passes, array_to_string(list_filter([{", ".join(f"CASE WHEN NOT {x} THEN '{x}' END" for x in _GATES)}], lambda x: x IS NOT NULL), ',') AS reasons FROM g)
 """
 
+_GATE = _GATE.replace("{rouge}", _rouge("SELECT DISTINCT txt || t AS a, txt AS b FROM v_spans, (VALUES (''), (' and other words')) x(t)") + ",")
+
 _HASH = "sha256(concat_ws(chr(31), {0}))"
 _STAGE = "sh AS (SELECT o_custkey, sha256(string_agg(" + _HASH.format("o_orderkey::VARCHAR, o_orderstatus") + ", '' ORDER BY o_orderkey)) AS hash FROM orders GROUP BY o_custkey)"
 
@@ -174,6 +213,17 @@ g AS (SELECT conv_id, turn, {_ngrams("text")} AS a, {_ngrams("reply")} AS b FROM
 SELECT conv_id, turn, round({_JACCARD.format(a="a", b="b")}, 6) AS similarity FROM g
 """,
     "qc_release_gate": _sql(f"SELECT video_id, {', '.join(_GATES)}, unevaluated, passes, reasons, CASE WHEN passes THEN 'verified' ELSE 'draft' END AS review_status FROM gd", _GATE),
+    "gate_facts": _sql("SELECT * FROM fa", _GATE),
+    "mcq_levels": _sql("""
+SELECT video_id, batch, coalesce(n_items, 0) AS n_items, round(alpha, 6) AS alpha, coalesce(alpha >= 0.8, false) AS alpha_ok, coalesce(flagged, '') AS flagged, coalesce(rework, 0) AS rework
+FROM (SELECT video_id, grouping(video_id) = 1 AS batch FROM gr WHERE task_type = 'mcq' GROUP BY GROUPING SETS ((video_id), ())) r
+LEFT JOIN al ON al.batch = r.batch AND al.video_id IS NOT DISTINCT FROM r.video_id
+LEFT JOIN (SELECT video_id AS v, batch AS b, string_agg(annotator, ',' ORDER BY annotator) FILTER (WHERE accuracy < 0.9) AS flagged FROM (SELECT video_id, annotator, grouping(video_id) = 1 AS batch, avg((response = answer)::INT) AS accuracy
+  FROM gr WHERE task_type = 'mcq' AND is_gold GROUP BY GROUPING SETS ((video_id, annotator), (annotator))) GROUP BY ALL) f ON f.b = r.batch AND f.v IS NOT DISTINCT FROM r.video_id
+LEFT JOIN (SELECT video_id AS v, grouping(video_id) = 1 AS b, count(*) AS rework FROM (SELECT video_id, qid FROM gr WHERE task_type = 'mcq' AND NOT is_gold GROUP BY ALL HAVING avg((response = answer)::INT) < 1) GROUP BY GROUPING SETS ((video_id), ())) w
+  ON w.b = r.batch AND w.v IS NOT DISTINCT FROM r.video_id
+""".replace("video_id, batch, coalesce(n_items", "r.video_id, r.batch, coalesce(n_items", 1), _GATE),
+    "open_levels": _sql("SELECT 'open' AS kind, *, ratio >= 0.6 AS ok FROM ol UNION ALL SELECT 'interval', *, ratio >= 0.9 FROM il", _GATE),
     "span_union": _sql("SELECT * FROM u", _UNION.format(eps=1.0)),
     "span_coverage_gaps": _sql(_GAPS.format(test="e - s > 1.0"), _UNION.format(eps=1.0)),
     "nonspeech_gaps": _sql(_GAPS.format(test="e - s >= 0.5"), _UNION.format(eps=0.0)),
@@ -451,21 +501,6 @@ SELECT video_id, id, row_number() OVER (PARTITION BY video_id ORDER BY s, coales
 # --- longest common subsequences, by rows of the table
 
 
-def _tokens(c: str) -> str:
-    return f"list_transform(regexp_extract_all({c}, '{T.TOKEN.replace("'", "''")}'), lambda x: lower(x))"
-
-
-def _rouge(pairs: str) -> str:
-    """CTEs that give ROUGE-L of the distinct pairs (a, b) of a query as rl (a, b, f1)."""
-    return f"""
-pr AS (SELECT a, b, {_tokens("a")} AS x, {_tokens("b")} AS y FROM (SELECT DISTINCT a, b FROM ({pairs}))),
-lc(a, b, i, r) AS (SELECT a, b, 0, list_transform(range(0, len(y) + 1), lambda k: 0) FROM pr
-  UNION ALL SELECT a, b, i, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (
-    SELECT pr.a, pr.b, i + 1 AS i, list_transform(range(1, len(y) + 2), lambda j: CASE WHEN j > 1 AND y[j - 1] = x[i + 1] THEN r[j - 1] + 1 ELSE r[j] END) AS c FROM lc JOIN pr ON pr.a = lc.a AND pr.b = lc.b WHERE i < len(x))),
-rl AS (SELECT pr.a, pr.b, CASE WHEN lc.r[-1] = 0 THEN 0.0 ELSE 2.0 * lc.r[-1] / (len(x) + len(y)) END::DOUBLE AS f1 FROM pr JOIN lc ON lc.a = pr.a AND lc.b = pr.b AND lc.i = len(x))
-"""
-
-
 _TODOS = f"""
 noted AS (SELECT video_id, CASE WHEN ord % 4 = 3 THEN 'key_event_unreviewed' ELSE 'event_span_invalid' END AS kind, ord::VARCHAR AS event_id, s, e, 'noted' AS reason FROM v_events WHERE ord % 6 = 3),
 told AS (SELECT *, 0 AS rank FROM noted
