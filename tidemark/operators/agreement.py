@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.config import DEFAULT, Thresholds
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
+from tidemark.steps import Steps
 
 
 def _counts(ratings: DataFrame) -> DataFrame:
@@ -32,19 +33,30 @@ def _alpha(observed, expected, n, kinds):
 
 
 def alpha_ordinal(ratings: DataFrame) -> DataFrame:
-    """Alpha with squared rank distances of ordered values; pairs of values, not of ratings, are compared."""
-    counts = _counts(ratings)
-    totals = counts.groupBy("value").agg(F.sum("c").alias("nv"))
-    order = totals.withColumn("upto", F.sum("nv").over(Window.orderBy("value")))  # one row a value of the scale
-    one, other = (order.select(F.col("value").alias(f"v{i}"), F.col("nv").alias(f"n{i}"), F.col("upto").alias(f"u{i}")) for i in "ab")
-    distance = F.pow(F.abs(F.col("ub") - F.col("ua")) + F.when(F.col("ub") >= F.col("ua"), F.col("na")).otherwise(F.col("nb")) - (F.col("na") + F.col("nb")) / 2, 2)
-    scale = one.join(other).withColumn("d", F.when(F.col("va") == F.col("vb"), 0.0).otherwise(distance))
-    pairs = counts.select("unit", F.col("value").alias("va"), F.col("c").alias("ca"), "m").join(counts.select("unit", F.col("value").alias("vb"), F.col("c").alias("cb")), "unit").where("va <> vb")
-    seen = pairs.groupBy("va", "vb").agg(F.sum(F.col("ca") * F.col("cb") / (F.col("m") - 1)).alias("o"))
-    sums = scale.join(seen, ["va", "vb"], "left").agg(F.sum(F.coalesce("o", F.lit(0.0)) * F.col("d")).alias("do"), F.sum(F.col("na") * F.col("nb") * F.col("d")).alias("de"))
-    size = totals.agg(F.sum("nv").alias("n"))
+    """Alpha with squared rank distances of ordered values, one row; null as for ``alpha_nominal``.
+
+    The distance of two values is that of their mid-ranks among all ratings that count, so a sum of squared distances is
+    twice n * sum(r * r) - sum(r) ** 2: neither values nor ratings are paired, and a continuous scale costs a sort. Ranks
+    come from a range partitioning of the values and the totals of its parts, a number a part on the driver.
+    """
+    step = Steps(ratings.sparkSession, "ordinal")
+    counts = step(_counts(ratings))
+    spread = counts.groupBy("value").agg(F.sum("c").alias("nv")).repartitionByRange("value")
+    values = step(spread.withColumn("part", F.spark_partition_id()))
+    before, n = {}, 0
+    for r in values.groupBy("part").agg(F.sum("nv").alias("n")).orderBy("part").collect():
+        before[r["part"]], n = n, n + r["n"]
+    if not n:
+        return ratings.sparkSession.createDataFrame([(None,)], "alpha double")
+    offset = F.create_map(*(F.lit(x) for kv in before.items() for x in kv))[F.col("part")]
+    upto = F.sum("nv").over(Window.partitionBy("part").orderBy("value")) + offset
+    ranks = values.select("value", "nv", (upto - F.col("nv") / 2 - n / 2).alias("r"))  # about the middle, for small sums
+    expected = ranks.agg((2 * (n * F.sum(F.col("nv") * F.col("r") * F.col("r")) - F.pow(F.sum(F.col("nv") * F.col("r")), 2))).alias("expected"))
+    c, r = F.col("c"), F.col("r")
+    unit = (F.first("m") * F.sum(c * r * r) - F.pow(F.sum(c * r), 2)) * 2 / (F.first("m") - 1)
+    observed = counts.join(ranks.select("value", "r"), "value").groupBy("unit").agg(unit.alias("d")).agg(F.sum("d").alias("observed"))
     kinds = ratings.where("value is not null").agg(F.countDistinct("value").alias("kinds"))
-    return sums.join(size).join(kinds).select(_alpha(F.col("do"), F.col("de"), F.col("n"), F.col("kinds")).alias("alpha"))
+    return observed.join(expected).join(kinds).select(_alpha(F.col("observed"), F.col("expected"), F.lit(n), F.col("kinds")).alias("alpha"))  # rows of one each
 
 
 def cohen_kappa(pairs: DataFrame) -> DataFrame:

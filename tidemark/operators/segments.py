@@ -109,11 +109,14 @@ def _first_fit(ratio: float):
     def run(video: pd.DataFrame) -> pd.DataFrame:
         video = video.sort_values(["s", "e", "ord"], kind="stable")
         s, e, found, fresh = video["s"].to_numpy(), video["e"].to_numpy(), np.zeros(len(video), dtype=np.int64), 0
+        live = np.zeros(0, dtype=np.int64)  # spans that a span which starts now can overlap
         for i in range(len(video)):
-            short = np.minimum(e[i] - s[i], e[:i] - s[:i])
-            met = found[:i][(short > 0) & (np.minimum(e[i], e[:i]) - np.maximum(s[i], s[:i]) > ratio * short)]
-            found[i] = met.min() if len(met) else fresh
+            live = live[e[live] > s[i]]
+            short = np.minimum(e[i] - s[i], e[live] - s[live])
+            met = live[(short > 0) & (np.minimum(e[i], e[live]) - s[i] > ratio * short)]
+            found[i] = found[met].min() if len(met) else fresh
             fresh += not len(met)
+            live = np.append(live, i)
         return pd.DataFrame({"video_id": video["video_id"], "ord": video["ord"], "cluster": found})
 
     return run
@@ -122,7 +125,8 @@ def _first_fit(ratio: float):
 def first_fit_clusters(spans: DataFrame, ratio: float = 0.5) -> DataFrame:
     """Each span joins the first cluster with a member that it overlaps by more than ``ratio``.
 
-    Order matters and clusters are not components, so each video's spans are folded in one pandas group.
+    Order matters and clusters are not components, so each video's spans are folded in one pandas group. A sweep in order
+    of starts drops ended spans, so a span meets only those that can overlap it.
     """
     return spans.select("video_id", "ord", "s", "e").groupBy("video_id").applyInPandas(_first_fit(ratio), "video_id bigint, ord bigint, cluster bigint")
 

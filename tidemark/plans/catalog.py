@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from tidemark.operators import agreement, audio, engine, frames, gate, increment
 from tidemark.plans import checks
 from tidemark.sources import fixtures as X
 from tidemark.sources import json_io
+from tidemark.steps import Steps
 
 QUERIES: dict = {}
 ORACLES = checks.SQL
@@ -464,29 +467,44 @@ def capability_defaults(spark, d):
 
 @query
 def language_prior_leak(spark, d):
-    """Benchmark items that stand word for word in a document: candidates share five inner words, the whole text decides.
+    """Benchmark items that stand word for word in a document: a key that an item has inside makes candidates, the whole
+    text decides.
 
-    Items of one to six words have no such key and are looked for in each document; items without a word are not. The
-    keys, and then the candidates, are broadcast behind a count, so texts don't move; beyond it both are joined by
-    shuffle.
+    Items of seven words and more have their second to sixth word as key, those of three to six their second: inner words
+    stand whole in a document. Items of one or two words may begin or end inside a word, so their keys are the three first
+    characters, or all of fewer. Keys of a document that no item has are dropped before they become rows, as long as the
+    items' keys are few enough to be broadcast; otherwise both are joined by shuffle. Candidates are written once.
     """
     words = lambda c: F.filter(F.split(c, "[ \\n]"), lambda w: w != "")
     run = lambda w, i: F.array_join(F.slice(w, i, 5), " ")
-    items = X.table(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), words(F.col("text")).alias("w"))
-    short = items.where("size(w) between 1 and 6").select("item_id", "item")
-    items = items.where("size(w) >= 7").select("item_id", "item", run(F.col("w"), F.lit(2)).alias("key"))
+    step = Steps(spark, "leak")
+    w, n = F.col("w"), F.size("w")
+    items = X.table(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), words(F.col("text")).alias("w")).where("size(w) > 0")
+    key = F.when(n >= 7, F.concat(F.lit("5:"), run(w, F.lit(2)))).when(n >= 3, F.concat(F.lit("1:"), w[1])).otherwise(F.concat(F.lit("c:"), F.substring("item", 1, 3)))
+    items = step(items.select("item_id", "item", key.alias("key")))
     docs = X.table(spark, d, "documents").select("doc_id", "text", words(F.col("text")).alias("w"))
-    runs = docs.where("size(w) >= 5").select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 4), lambda i: run(F.col("w"), i)))).alias("key"))
+    kinds = {r[0] for r in items.select(F.left("key", F.lit(2))).distinct().collect()}  # of three
+    none = F.array().cast("array<string>")
+    parts = []
+    if "5:" in kinds:
+        parts.append(F.when(n >= 5, F.transform(F.sequence(F.lit(1), n - 4), lambda i: F.concat(F.lit("5:"), run(w, i)))).otherwise(none))
+    if "1:" in kinds:
+        parts.append(F.transform(w, lambda x: F.concat(F.lit("1:"), x)))
+    if "c:" in kinds:
+        size = F.length("text")
+        grams = lambda k: F.transform(F.sequence(F.lit(1), size - k + 1), lambda i: F.concat(F.lit("c:"), F.substring(F.col("text"), i, F.lit(k))))
+        parts += [F.when(size >= k, grams(k)).otherwise(none) for k in (1, 2, 3)]
+    keys = items.select("key").distinct()
     few = items.limit(BROADCAST_ITEMS + 1).count() <= BROADCAST_ITEMS
-    met = runs.join(F.broadcast(items.select("item_id", "key")) if few else items.select("item_id", "key"), "key").select("doc_id", "item_id").distinct()
-    met = met.join(items.select("item_id", "item"), "item_id")
+    made = F.array_distinct(F.concat(none, *parts))
+    if few:
+        known = [r["key"] for r in keys.collect()]
+        made = F.array_intersect(made, F.from_json(F.lit(json.dumps(known)), "array<string>"))
+    runs = docs.select("doc_id", F.explode(made).alias("key"))
+    met = step(runs.join(items.select("item_id", "key"), "key").select("doc_id", "item_id").distinct())
     rare = met.limit(BROADCAST_ITEMS + 1).count() <= BROADCAST_ITEMS
-    long = docs.select("doc_id", "text").join(F.broadcast(met) if rare else met, "doc_id").where(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
-    n = short.count()
-    if not n:
-        return long
-    short = F.broadcast(short) if n <= BROADCAST_ITEMS else short
-    return long.unionByName(docs.join(short, F.col("text").contains(F.col("item"))).select("item_id", "doc_id"))
+    met = met.join(items.select("item_id", "item"), "item_id")
+    return docs.select("doc_id", "text").join(F.broadcast(met) if rare else met, "doc_id").where(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
 
 
 # --- text

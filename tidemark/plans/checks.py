@@ -324,7 +324,7 @@ FROM (SELECT *, CASE WHEN ord % 31 = 0 THEN o4[1:3] ELSE o4 END AS o, list_trans
 """),
     "capability_defaults": _sql("SELECT CASE WHEN ord % 5 = 0 THEN 'L3_causal' ELSE capability END AS capability, count(*) AS n FROM v_qa GROUP BY 1"),
     "language_prior_leak": """
-SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text) WHERE len(list_filter(string_split_regex(b.text, '[ \\n]'), lambda w: w <> '')) >= 7
+SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text) WHERE len(list_filter(string_split_regex(b.text, '[ \\n]'), lambda w: w <> '')) > 0
 """,
     "text_lengths": f"""
 SELECT doc_id, length(regexp_replace(text, '{_BLANK}', '', 'g'))::INT AS zh_len, len(list_filter(string_split_regex(text, '{_BLANK}+'), lambda w: w <> ''))::INT AS en_len,
