@@ -31,6 +31,8 @@ from tidemark.llm.scratch import Scratch
 SHARD_BYTES = 6 << 20
 BLOCK_BYTES = 16 << 20
 WINDOW = 10
+#: Names of items that an output batch holds, about.
+NAMES = 200_000
 
 
 def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -102,6 +104,17 @@ class Queries:
         # a suffix that starts a window: ten more words, or a shorter item from its first word on
         self.needed = np.minimum(window, size[self.item]).astype(np.int32)
         self.starts = self.left >= self.needed
+        # equal windows are one: its number at each suffix that starts it, and its items
+        self.window = np.full(len(h), -1, dtype=np.int64)
+        key = np.zeros(len(h), dtype=np.uint64)
+        for n in np.unique(self.needed[self.starts]).tolist():
+            at_n = np.flatnonzero(self.starts & (self.needed == n))
+            key[at_n] = words.sequences(self.tokens, n)[at_n]
+        begins = np.flatnonzero(self.starts)
+        _, self.window[begins] = np.unique(key[begins], return_inverse=True)
+        pairs = np.unique(np.stack([self.window[begins], self.item[begins]], axis=1), axis=0) if len(begins) else np.zeros((0, 2), dtype=np.int64)
+        self.items = pairs[:, 1]
+        self.items_of = np.searchsorted(pairs[:, 0], np.arange(self.window.max(initial=-1) + 2))
         self.depth = int(size.max(initial=1))
         self.ids = ids
 
@@ -109,13 +122,13 @@ class Queries:
 def search(tokens: np.ndarray, q: Queries) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Binary-search every suffix of ``q`` in the suffix array of ``tokens``.
 
-    Returns occurrences of windows (position, length, item) and, of each suffix with a match, (its index, match length,
-    first place, places) of its longest one, with the array itself.
+    Returns occurrences of distinct windows (position, length, window) and, of each suffix with a match, (its index, match
+    length, first place, last place) of its longest one, with the array itself.
     """
     order = suffix_array(tokens, q.depth)
     live = np.arange(len(q.tokens))
     lo, hi = np.zeros(len(live), dtype=np.int64), np.full(len(live), len(tokens), dtype=np.int64)
-    where, length, item, best = [], [], [], []
+    where, length, window, best = [], [], [], []
     offset = 0
     while len(live):
         a, b = narrowed(tokens, order, lo, hi, offset, q.tokens[live + offset])
@@ -124,24 +137,27 @@ def search(tokens: np.ndarray, q: Queries) -> tuple[np.ndarray, np.ndarray, np.n
             best.append((live[ended], np.full(ended.sum(), offset), lo[ended], hi[ended]))
         live, lo, hi = live[~ended], a[~ended], b[~ended]
         offset += 1
-        full = q.starts[live] & (q.needed[live] == offset)
-        for i in np.flatnonzero(full):
+        full = np.flatnonzero(q.starts[live] & (q.needed[live] == offset))
+        _, first = np.unique(q.window[live[full]], return_index=True)  # all suffixes with a window have its places
+        for i in full[first]:
             where.append(order[lo[i] : hi[i]])
             length.append(np.full(hi[i] - lo[i], offset))
-            item.append(np.full(hi[i] - lo[i], q.item[live[i]]))
+            window.append(np.full(hi[i] - lo[i], q.window[live[i]]))
         done = q.left[live] == offset
         best.append((live[done], np.full(done.sum(), offset), lo[done], hi[done]))
         live, lo, hi = live[~done], lo[~done], hi[~done]
     cat = lambda x, kind=np.int64: np.concatenate(x).astype(kind) if x else np.zeros(0, dtype=kind)
-    return cat(where), cat(length), cat(item), (*(cat([x[i] for x in best]) for i in range(4)), order)
+    return cat(where), cat(length), cat(window), (*(cat([x[i] for x in best]) for i in range(4)), order)
 
 
 def _shards(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
     return words.blocks(offsets, SHARD_BYTES)
 
 
-def _found(column: pa.Array, q: Queries) -> Iterator[tuple[int, int, np.ndarray, list[pa.Array]]]:
-    """Of each shard of a text column: its first row, rows, hit words of each, and the columns of ``matches`` but id."""
+def _found(column: pa.Array, q: Queries) -> Iterator[tuple[int, int, np.ndarray, tuple]]:
+    """Of each shard of a text column: its first row, rows, hit words of each, and what ``matches`` tells of them, with
+    windows in the place of items. What it holds grows with the shard's words and places of distinct windows, however
+    many items have them."""
     raw, offsets = words.buffer_of(column)
     for lo, hi in _shards(offsets):
         part = offsets[lo : hi + 1]
@@ -150,7 +166,7 @@ def _found(column: pa.Array, q: Queries) -> Iterator[tuple[int, int, np.ndarray,
         # a zero, which no word has, stands after each document
         tokens = np.insert(np.where(h == 0, 1, h), at[1:], 0).astype(np.uint64)
         begin = at[:-1] + np.arange(rows)
-        where, length, item, (suffix, longest, first, last, order) = search(tokens, q)
+        where, length, window, (suffix, longest, first, last, order) = search(tokens, q)
         cover = np.zeros(len(tokens) + 1, dtype=np.int64)
         np.add.at(cover, where, 1)
         np.add.at(cover, where + length, -1)
@@ -159,13 +175,16 @@ def _found(column: pa.Array, q: Queries) -> Iterator[tuple[int, int, np.ndarray,
         edges = np.append(begin, len(tokens))
         n_hit = hit[edges[1:]] - hit[edges[:-1]]
         doc = np.searchsorted(begin, where, side="right") - 1
-        pairs = np.unique(np.stack([doc, item], axis=1), axis=0) if len(doc) else np.zeros((0, 2), dtype=np.int64)
+        pairs = np.unique(np.stack([doc, window], axis=1), axis=0) if len(doc) else np.zeros((0, 2), dtype=np.int64)
         cut = np.searchsorted(pairs[:, 0], np.arange(rows + 1))
-        names = [sorted({str(q.ids[j]) for j in pairs[cut[i] : cut[i + 1], 1]}) for i in range(rows)]
-        # longest match of a document with any suffix, and where: only suffixes that reach a window are told
-        told = longest >= q.needed[suffix]
+        # longest match of a document with any suffix, and where: only suffixes that reach a window are told, and of
+        # those that match the same words the first
+        told = np.flatnonzero(longest >= q.needed[suffix])
+        told = told[np.argsort(suffix[told], kind="stable")]
+        _, one = np.unique(np.stack([first[told], longest[told]], axis=1), axis=0, return_index=True)
+        told = told[one]
         many = (last - first)[told]
-        spread = np.repeat(np.flatnonzero(told), many)
+        spread = np.repeat(told, many)
         place = order[first[spread] + np.arange(len(spread)) - np.repeat(np.cumsum(many) - many, many)]
         owner = np.searchsorted(begin, place, side="right") - 1
         best, best_at, best_item = np.zeros(rows, dtype=np.int64), np.full(rows, -1), np.full(rows, -1)
@@ -176,17 +195,34 @@ def _found(column: pa.Array, q: Queries) -> Iterator[tuple[int, int, np.ndarray,
         for d in np.flatnonzero(n_hit):
             mine = covered[edges[d] : edges[d + 1]].astype(np.int8)
             spans[d] = np.flatnonzero(np.diff(np.concatenate(([0], mine, [0])))).tolist()
-        yield lo, rows, n_hit, [
-            pa.array(np.diff(at).astype(np.int64)), pa.array(spans, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string())), pa.array(best),
-            pa.array([int(x) if x >= 0 else None for x in best_at], pa.int64()), pa.array([str(q.ids[x]) if x >= 0 else None for x in best_item], pa.string()),
-        ]
+        yield lo, rows, n_hit, (np.diff(at).astype(np.int64), spans, [pairs[cut[i] : cut[i + 1], 1] for i in range(rows)], best, best_at, best_item)
+
+
+def _names(q: Queries, windows: np.ndarray) -> list[str]:
+    """The items of some windows, sorted as text; an item without an id has no name."""
+    items = {int(i) for w in windows for i in q.items[q.items_of[w] : q.items_of[w + 1]]}
+    return sorted({str(q.ids[i]) for i in items if q.ids[i] is not None})
 
 
 def _scan(q: Queries):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, rows, _, columns in _found(batch.column(1), q):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, rows), *columns], ["id", "n_words", "spans", "items", "longest", "longest_at", "longest_item"])
+            for lo, rows, _, (n_words, spans, windows, best, best_at, best_item) in _found(batch.column(1), q):
+                held: tuple[bytes, list[str]] = (b"", [])
+                names, n, start = [], 0, 0
+                for i in range(rows):
+                    if (key := windows[i].tobytes()) != held[0]:  # documents with the same windows often stand together
+                        held = (key, _names(q, windows[i]))
+                    names.append(held[1])
+                    n += len(held[1])
+                    if n >= NAMES or i == rows - 1:  # a batch holds about so many names at most
+                        part = slice(start, i + 1)
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).slice(lo + start, i + 1 - start), pa.array(n_words[part]), pa.array(spans[part], pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string())), pa.array(best[part]),
+                             pa.array([int(x) if x >= 0 else None for x in best_at[part]], pa.int64()), pa.array([str(q.ids[x]) if x >= 0 and q.ids[x] is not None else None for x in best_item[part]], pa.string())],
+                            ["id", "n_words", "spans", "items", "longest", "longest_at", "longest_item"],
+                        )
+                        names, n, start = [], 0, i + 1
 
     return run
 
@@ -228,7 +264,8 @@ def matches(
 
     Words are runs of ASCII letters and digits (A-Z as a-z) and non-ASCII characters. A window is ``window`` words of an
     item in a row, or all words of a shorter item. Null and empty texts have no words; items without words never match.
-    An empty benchmark matches nothing. Repeated items count once by their id. Rows that repeat an id, or have none,
+    An empty benchmark matches nothing. Repeated items count once by their id; an item without an id hits words as any
+    other but isn't among the items. Of several items with the longest match the first in order is named. Rows that repeat an id, or have none,
     come back each; with several benchmark blocks they are told apart by their places in files. Other columns of both
     tables are ignored.
     """

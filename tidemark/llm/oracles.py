@@ -29,7 +29,7 @@ win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS x FR
 runs AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS x FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)),
 m AS (SELECT runs.doc_id, runs.i, runs.n, win.item_id FROM runs JOIN win ON runs.n = win.n AND runs.x = win.x),
 hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
-items AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS s FROM m GROUP BY doc_id)
+items AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS s FROM m WHERE item_id IS NOT NULL GROUP BY doc_id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(s), 0)::BIGINT AS n_items,
        sha256(coalesce(array_to_string(s, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
