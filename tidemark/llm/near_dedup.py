@@ -261,9 +261,9 @@ def _joined(percent: int):
     return run
 
 
-def _in_blocks(rows: DataFrame) -> DataFrame:
+def cells(rows: DataFrame) -> DataFrame:
     """Rows (key, id, lead, ...) dealt out so that each leading member of a key meets all its members in some cell
-    (x, y) of a leading block and a block, sorted by it."""
+    (x, y) of a leading block and a block."""
     size, leaders = F.count(F.lit(1)), F.sum(F.col("lead").cast("int"))
     of = rows.groupBy("key").agg(F.ceil(size / BLOCK).cast("int").alias("blocks"), F.ceil(leaders / BLOCK).cast("int").alias("leading"), (size == leaders).alias("alike"))
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
@@ -271,12 +271,20 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     as_member = F.transform(every("leading"), lambda x: cell(x, block("blocks")))
     as_leader = F.transform(every("blocks"), lambda y: cell(block("leading"), y))
-    cells = F.when(F.col("lead"), F.array_union(as_member, as_leader)).otherwise(as_member)
+    both = F.when(F.col("lead"), F.array_union(as_member, as_leader)).otherwise(as_member)
     # where all lead, a cell serves two blocks both ways
     whole = F.transform(every("blocks"), lambda y: cell(F.least(block("blocks"), y), F.greatest(block("blocks"), y)))
-    dealt = rows.join(of.where("leading > 0"), "key").withColumn("cell", F.explode(F.when(F.col("alike"), whole).otherwise(cells)))
-    dealt = dealt.select(*rows.columns, "cell.x", "cell.y").drop("lead")
-    return dealt.repartition(parts(rows.sparkSession), "key", "x", "y").sortWithinPartitions("key", "x", "y")
+    dealt = rows.join(of.where("leading > 0"), "key").withColumn("cell", F.explode(F.when(F.col("alike"), whole).otherwise(both)))
+    return dealt.select(*rows.columns, "cell.x", "cell.y").drop("lead")
+
+
+def by_cell(dealt: DataFrame) -> DataFrame:
+    """Rows of ``cells``, each cell in one partition and sorted by it."""
+    return dealt.repartition(parts(dealt.sparkSession), "key", "x", "y").sortWithinPartitions("key", "x", "y")
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    return by_cell(cells(rows))
 
 
 def _full_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, k: int, scratch: Scratch, name: str) -> DataFrame:

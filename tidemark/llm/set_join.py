@@ -37,6 +37,8 @@ from tidemark.llm.scratch import Scratch, arrow_rows
 
 #: Counters of the table that orders tokens, and the pieces in which it is summed.
 COUNTERS, SLICES = 1 << 18, 64
+#: Bits of the map that tells which tokens may be in several prefixes; it is of fixed size, in slices.
+MARKS = 1 << 26
 #: Bits of a parity signature, by the set's size between these.
 LEAST_BITS, MOST_BITS = 512, 8192
 
@@ -135,22 +137,54 @@ def _sketch(k: int, percent: int, often: np.ndarray):
     return run
 
 
-def _tokens(percent: int):
-    """(key, id, n, lead, place) of the prefixes (id, n, first)."""
+def _first_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tokens of the prefixes (first)."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.int64))], ["key"])
+
+
+def _bit(keys: np.ndarray) -> np.ndarray:
+    return (keys.astype(np.uint64) >> np.uint64(8)).astype(np.int64) % MARKS
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The slices of the map of the keys (slice, key)."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        which, bit = batch.column(0).to_numpy(), _bit(batch.column(1).to_numpy()) % (MARKS // SLICES)
+        for s in np.unique(which).tolist():
+            held.setdefault(s, np.zeros(MARKS // SLICES, dtype=bool))[bit[which == s]] = True
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([np.packbits(x, bitorder="little").tobytes() for x in held.values()], pa.binary())], ["slice", "bits"])
+
+
+def marks(keys: DataFrame) -> np.ndarray:
+    """The map of ``keys`` (key): a bit that isn't set tells that no key has it."""
+    bit = F.pmod(F.shiftrightunsigned("key", 8), F.lit(MARKS))
+    rows = keys.select(F.floor(bit / (MARKS // SLICES)).cast("int").alias("slice"), "key").repartition(SLICES, "slice").mapInArrow(_slices, "slice int, bits binary")
+    out = np.zeros((SLICES, MARKS // SLICES // 8), dtype=np.uint8)
+    for r in rows.collect():
+        out[r["slice"]] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out.ravel()
+
+
+def _tokens(percent: int, marked: np.ndarray):
+    """(key, id, n, lead, place) of the prefixes (id, n, first), without tokens that are not in ``marked``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             first = [np.frombuffer(x.as_buffer(), dtype=np.int64) for x in batch.column(2)]
-            size = np.array([len(x) for x in first])
+            size, keys = np.array([len(x) for x in first]), np.concatenate(first)
             at = np.repeat(np.arange(len(first)), size)
             place = np.arange(len(at)) - np.repeat(np.append(0, np.cumsum(size)[:-1]), size)
+            bit = _bit(keys)
+            kept = np.flatnonzero(marked[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+            keys, at, place = keys[kept], at[kept], place[kept]
             n = batch.column(1).to_numpy().astype(np.int64)
             leading = n + 2 * percent * n // -(100 + percent) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(first)), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(place < leading[at]), pa.array(place, pa.int32())], ["key", "id", "n", "lead", "place"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(place < leading[at]), pa.array(place, pa.int32())], ["key", "id", "n", "lead", "place"])
 
     return run
 
@@ -191,11 +225,15 @@ def _possible(percent: int):
 def _links(rows: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
     """Confirmed links (a, b) between components of rows (key, id, n, c, lead): each leading member of a key is compared with
     all its members."""
-    cells = nd._in_blocks(rows.join(classes.select("id", "bits"), "id"))
-    likely = scratch.save(cells.mapInArrow(_possible(percent), "key long, id long").distinct(), f"{name}_possible")
+    dealt = nd.cells(rows).join(classes.select("id", "bits"), "id")
+    likely = scratch.save(nd.by_cell(dealt).mapInArrow(_possible(percent), "key long, id long").distinct(), f"{name}_possible")
     sets = nd._full_sets(likely.select("id"), classes, docs, k, scratch, name)
-    full = rows.join(likely, ["key", "id"], "left_semi").join(sets, "id")
-    out = scratch.save(nd._in_blocks(full).mapInArrow(nd._joined(percent), "a long, b long").distinct(), f"{name}_links")
+    # what is left of several keys is often the same few members, which are compared once
+    left = rows.join(likely, ["key", "id"], "left_semi").select("key", "id", "n", "c", F.lit(True).alias("lead"), F.lit(0).alias("place"), F.lit(False).alias("whole"), F.col("key").alias("old"))
+    left = scratch.save(left, f"{name}_left")
+    left = left.join(nd.distinct_mixed(left), "key").select("key", "id", "c", (F.col("c") != F.col("top")).alias("lead"))
+    dealt = nd.cells(left).join(sets, "id")
+    out = scratch.save(nd.by_cell(dealt).mapInArrow(nd._joined(percent), "a long, b long").distinct(), f"{name}_links")
     scratch.drop(f"{name}_sets")
     return out
 
@@ -227,14 +265,14 @@ def _joined(docs: DataFrame, id_col: str, k: int, percent: int) -> DataFrame:
     classes = scratch.save(classes.select("high", "low", F.col("n").cast("int").alias("n"), "named", F.col("named.row").alias("id"), "x.*"), "classes")
 
     # the index: tokens of prefixes that several documents have, and who leads their buckets
-    tokens = scratch.save(classes.select("id", "n", "first").mapInArrow(_tokens(percent), "key long, id long, n int, lead boolean, place int"), "tokens")
-    rank = F.struct(F.xxhash64("id"), "id")
-    shared = tokens.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("lead").cast("int")).alias("leads"), F.min(rank).alias("first")).where("k > 1 and leads > 0")
-    index = scratch.save(tokens.join(shared.select("key", F.col("first.id").alias("leader")), "key"), "index")
-    scratch.drop("tokens")
+    several = scratch.save(classes.select("first").mapInArrow(_first_tokens, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "several")
+    tokens = classes.select("id", "n", "first").mapInArrow(_tokens(percent, marks(several)), "key long, id long, n int, lead boolean, place int")
+    index = scratch.save(tokens.join(several, "key", "left_semi"), "index")
+    rank = F.min(F.struct(F.xxhash64("id"), "id"))
+    leaders = index.groupBy("key").agg(F.max("lead").alias("any"), rank.alias("first")).where("any").select("key", F.col("first.id").alias("leader"))
 
     # each document meets the leader of most of its buckets
-    met = index.where("id <> leader").groupBy("id", "n", "leader").agg(F.count(F.lit(1)).alias("k"))
+    met = index.join(leaders, "key").where("id <> leader").groupBy("id", "n", "leader").agg(F.count(F.lit(1)).alias("k"))
     met = scratch.save(met.groupBy("id", "n").agg(F.max_by("leader", F.struct("k", "leader")).alias("key")), "met")
     leaders = met.select("key").distinct().join(classes.select(F.col("id").alias("key"), "n"), "key")
     star = met.select("key", "id", "n", F.col("id").alias("c"), F.lit(False).alias("lead")).unionByName(leaders.select("key", F.col("key").alias("id"), "n", F.col("key").alias("c"), F.lit(True).alias("lead")))
