@@ -278,3 +278,44 @@ def test_decisions_are_written_back(spark):
     gated = spark.createDataFrame([(1, True, ""), (2, False, "alpha")], "video_id int, pass boolean, reasons string")
     got = {r["video_id"]: tuple(r["annotation_meta"]) for r in gate.written_back(products, gated).collect()}
     assert got == {1: ("verified", None, 1), 2: ("draft", "alpha", 2), 3: ("draft", None, 3)}
+
+
+def test_verification_reaches_each_outcome(spark):
+    """Choices: wrong, then rewritten to the verifier's letter; a lost rewrite; never reconciled; a leak; no answer."""
+    from tidemark.operators import verify
+
+    row = lambda q, kind, answer, frames=True, synopsis=False, reference=None: ("v", q, len(q), kind, f"{q}?", ["w", "x"], answer, 10.0, 20.0, reference, frames, synopsis)
+    rows = [
+        row("agree", "mcq", "A"), row("fixed", "mcq", "A"), row("late", "mcq", "A"), row("never", "mcq", "A"), row("leak", "mcq", "C", synopsis=True), row("silent", "mcq", "A"), row("blind", "mcq", "A", frames=False),
+        row("near", "temporal_grounding", None), row("far", "temporal_grounding", None), row("like", "open", None, reference="r"), row("unlike", "summary", None, reference="r"), row("bare", "open", None), row("odd", "essay", None),
+    ]
+    q = spark.createDataFrame(rows, "video_id string, qid string, ord int, task_type string, question string, options array<string>, answer string, s double, e double, reference string, has_frames boolean, has_synopsis boolean")
+    asked = []
+
+    def table(name, schema, data):
+        def ask(frame):
+            asked.append((name, sorted(r["qid"] for r in frame.select("qid").collect())))
+            attempt = frame.first()["attempt"] if "attempt" in frame.columns and frame.count() else 0
+            return spark.createDataFrame([x for x in data(attempt)], schema)
+
+        return ask
+
+    choose = table("choose", "qid string, answer string, confidence double", lambda n: [("agree", "A", 0.9), ("fixed", "B" if n == 0 else "D", 0.8), ("late", "B", None), ("never", "B", 0.1 * n), ("silent", "F", 1.0)])
+    rewrite = table("rewrite", "qid string, question string, options array<string>, answer string", lambda n: [("fixed", "new", ["y"], "D"), ("late", None, None, "Q" if n == 1 else "B"), ("never", None, ["z"], "C")])
+    out, counts = verify.verified(
+        q, table("leak", "qid string, answer string", lambda n: [("leak", "C"), ("agree", "A")]),
+        table("locate", "qid string, a double, b double, lo double, hi double, confidence double", lambda n: [("near", 5.0, 21.0, 9.0, 30.0, 0.7), ("far", 25.0, 29.0, 9.0, 30.0, None)]),
+        table("free", "qid string, text string, similarity double, confidence double", lambda n: [("like", "t", 0.5, 0.2), ("unlike", "t", 0.4996, 0.2), ("bare", "t", 0.9, 0.2)]), choose, rewrite,
+    )
+    got = {r["qid"]: (r["outcome"], r["agreed"], r["flag"] or r["reason"], r["answer"], r["regen"]) for r in out.collect()}
+    assert got == {
+        "agree": ("kept", True, None, "A", 0), "fixed": ("kept", True, None, "D", 1), "late": ("kept", True, None, "B", 1), "never": ("dropped", False, "verify_mismatch", "C", 2), "leak": ("dropped", None, "synopsis_leak", "C", 0),
+        "silent": ("kept", None, "verifier failed", "A", 0), "blind": ("kept", None, "no frames", "A", 0), "near": ("kept", True, None, None, 0), "far": ("kept", False, "temporal_miou_low", None, 0), "like": ("kept", True, None, None, 0),
+        "unlike": ("kept", True, None, None, 0), "bare": ("kept", None, "no valid answer", None, 0), "odd": ("kept", None, None, None, 0),
+    }
+    final = {r["qid"]: r for r in out.collect()}
+    assert final["fixed"]["question"] == "new" and final["never"]["question"] == "never?" and final["never"]["options"] == ["z"] and final["never"]["confidence"] == pytest.approx(0.2)
+    assert [x for x in asked if x[0] == "rewrite"] == [("rewrite", ["fixed", "late", "never"]), ("rewrite", ["late", "never"])]
+    assert [x for x in asked if x[0] == "choose"][1:] == [("choose", ["fixed", "never"]), ("choose", ["late", "never"])]
+    c = counts.first()
+    assert (c["n"], c["kept"], c["verified"], c["agreed"], c["regen"], c["leaks"], c["mismatch"], c["temporal_pass"], c["open_pass"]) == (13, 11, 4, 3, 4, 1, 1, 1, 2)

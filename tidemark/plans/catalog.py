@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.config import DEFAULT, MODALITIES
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
-from tidemark.operators import agreement, audio, engine, frames, gate, incremental, joins, narrative, pairs, providers, questions, segments, workflow
+from tidemark.operators import agreement, audio, engine, frames, gate, incremental, joins, narrative, pairs, providers, questions, segments, verify, workflow
 from tidemark.plans import checks
 from tidemark.sources import fixtures as X
 from tidemark.sources import json_io
@@ -994,6 +994,38 @@ def open_item_agreement(spark, d):
     return workflow.open_items(a, F.greatest(T.rouge_l(T.tokens(F.col("text")), T.tokens(F.col("txt"))), T.similarity(F.col("text"), F.col("txt"))))
 
 
+def _verified(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Recorded answers that lead to every outcome: leaks, near and far intervals, like and unlike texts, choices that
+    agree at once, after a rewrite or never, rewrites and verdicts that fail."""
+    o = F.col("ord")
+    q = X.qa(spark, d).select(
+        "video_id", "qid", "ord", F.when(o % 47 == 0, "essay").otherwise(F.col("task_type")).alias("task_type"), F.col("txt").alias("question"), F.array(F.lit("w"), F.lit("x"), F.lit("y"), F.lit("z")).alias("options"),
+        F.when(o % 10 != 1, F.col("answer")).otherwise("D").alias("answer"), "s", "e", F.when(o % 9 != 0, F.col("txt")).otherwise(" ").alias("reference"), (o % 8 != 3).alias("has_frames"), (o % 3 == 0).alias("has_synopsis"),
+    )
+    letter = lambda n: X.pick(n % 5, "ABCDE")
+    leak = lambda r: r.where("ord % 2 = 0").select("qid", X.pick((o * 7) % 4, "ABCD").alias("answer"))
+    shift = (o % 6) / 2.0
+    locate = lambda r: r.where("ord % 7 <> 0").select("qid", (F.col("s") + shift).alias("a"), (F.col("e") + shift).alias("b"), (F.col("s") - 1).alias("lo"), (F.col("e") + 1).alias("hi"), F.lit(0.5).alias("confidence"))
+    free = lambda r: r.where("ord % 5 <> 0").select("qid", F.when(o % 4 != 0, "words").otherwise(" ").alias("text"), ((o % 10) / 10.0).alias("similarity"), F.lit(None).cast("double").alias("confidence"))
+    a = F.col("attempt")
+    choose = lambda r: r.where((o + a) % 11 != 0).select("qid", letter(F.floor(o / 2) + a * 3).alias("answer"), ((o % 10) / 10.0 + a).alias("confidence"))
+    rewrite = lambda r: r.where((o + a) % 13 != 0).select("qid", F.when(o % 2 == 0, F.concat("question", F.lit("!"))).alias("question"), F.array(F.lit("n"), a.cast("string")).alias("options"), letter(F.floor(o / 2) + a * (1 + 2 * (o % 2))).alias("answer"))
+    return verify.verified(q, leak, locate, free, choose, rewrite)
+
+
+@query
+def verification_loop(spark, d):
+    """What the checks of each type and at most two rewrites decide on every question."""
+    out, _ = _verified(spark, d)
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("-")).alias(c) for c in ("agreed", "reason", "flag")]
+    return out.select("qid", "outcome", *text, F.when(F.col("task_type") == "mcq", F.col("verifier")).alias("verifier"), F.round("score", 3).alias("score"), "confidence", "question", F.array_join("options", ",").alias("options"), "answer", "regen")
+
+
+@query
+def verification_counts(spark, d):
+    return _verified(spark, d)[1]
+
+
 @query
 def pipeline_temporal_ratio(spark, d):
     q = X.qa(spark, d).where("task_type = 'temporal_grounding'").withColumn("miou", F.when(F.col("ord") % 3 != 0, (F.col("ord") % 10) / 10.0))

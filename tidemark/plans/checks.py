@@ -167,6 +167,34 @@ gd AS (SELECT *, {" AND ".join(_GATES)} AS passes, array_to_string(list_filter([
 
 _GATE = _GATE.replace("{rouge}", _rouge("SELECT DISTINCT txt || t AS a, txt AS b FROM v_spans, (VALUES (''), (' and other words')) x(t)") + ",")
 
+_LETTER = "substr('ABCDE', (({0}) % 5 + 1)::INT, 1)"
+_VERIFIED = f"""
+vq AS (SELECT video_id, qid, ord, s, e, CASE WHEN ord % 47 = 0 THEN 'essay' ELSE task_type END AS kind, txt, CASE WHEN ord % 10 <> 1 THEN answer ELSE 'D' END AS answer, ord % 9 <> 0 AS has_ref, ord % 8 <> 3 AS frames FROM v_qa),
+lk AS (SELECT *, kind = 'mcq' AND ord % 3 = 0 AND ord % 2 = 0 AND substr('ABCD', (ord * 7 % 4 + 1)::INT, 1) = answer AS leaks FROM vq),
+tm AS (SELECT *, least(greatest(s + ord % 6 / 2.0::DOUBLE, s - 1), e + 1) AS a, least(greatest(e + ord % 6 / 2.0::DOUBLE, s - 1), e + 1) AS b FROM lk WHERE kind = 'temporal_grounding'),
+tv AS (SELECT *, frames AND e > s AND ord % 7 <> 0 AND b > a AS valid, round({_IOU.format(s1="a", e1="b", s2="s", e2="e")}, 3) AS iou FROM tm),
+ov AS (SELECT *, has_ref AND ord % 5 <> 0 AND ord % 4 <> 0 AS valid, ord % 10 / 10.0::DOUBLE AS sim FROM lk WHERE kind IN ('open', 'summary')),
+st(qid, ord, attempt, question, options, answer, verdict, sure, regen, agreed) AS (
+  SELECT qid, ord, 0, txt, 'w,x,y,z', answer, CASE WHEN ord % 11 <> 0 THEN nullif({_LETTER.format("ord // 2")}, 'E') END, ord % 10 / 10.0::DOUBLE, 0, CASE WHEN ord % 11 <> 0 AND {_LETTER.format("ord // 2")} <> 'E' THEN {_LETTER.format("ord // 2")} = answer END
+  FROM lk WHERE kind = 'mcq' AND frames AND NOT leaks
+  UNION ALL
+  SELECT qid, ord, attempt, question, options, answer, coalesce(nxt, verdict), CASE WHEN nxt IS NOT NULL THEN ord % 10 / 10.0::DOUBLE + attempt ELSE sure END, regen, coalesce(nxt = answer, false) FROM (
+    SELECT *, CASE WHEN good AND (ord + attempt) % 11 <> 0 THEN nullif({_LETTER.format("ord // 2 + attempt * 3")}, 'E') END AS nxt FROM (
+      SELECT qid, ord, attempt + 1 AS attempt, good, CASE WHEN good AND ord % 2 = 0 THEN question || '!' ELSE question END AS question, CASE WHEN good THEN 'n,' || (attempt + 1) ELSE options END AS options,
+        CASE WHEN good THEN told ELSE answer END AS answer, verdict, sure, regen + good::INT AS regen FROM (
+        SELECT *, {_LETTER.format("ord // 2 + (attempt + 1) * (1 + 2 * (ord % 2))")} AS told, (ord + attempt + 1) % 13 <> 0 AND {_LETTER.format("ord // 2 + (attempt + 1) * (1 + 2 * (ord % 2))")} <> 'E' AS good FROM st WHERE NOT agreed AND attempt < 2)))),
+fin AS (SELECT * FROM st WHERE agreed IS NULL OR agreed OR attempt = 2),
+vd AS (
+  SELECT video_id, kind, qid, 'dropped' AS outcome, NULL::BOOLEAN AS agreed, NULL::VARCHAR AS reason, 'synopsis_leak'::VARCHAR AS flag, NULL::VARCHAR AS verifier, NULL::DOUBLE AS score, NULL::DOUBLE AS confidence, txt AS question, 'w,x,y,z' AS options, answer, 0 AS regen FROM lk WHERE leaks
+  UNION ALL SELECT video_id, kind, qid, 'kept', NULL::BOOLEAN, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, NULL::DOUBLE, NULL::DOUBLE, txt, 'w,x,y,z', answer, 0 FROM lk WHERE kind = 'essay'
+  UNION ALL SELECT video_id, kind, qid, 'kept', CASE WHEN valid THEN iou >= 0.5 END, CASE WHEN NOT frames THEN 'not verified' WHEN NOT valid THEN 'no valid answer' END, CASE WHEN valid AND iou < 0.5 THEN 'temporal_miou_low' END,
+    NULL::VARCHAR, CASE WHEN valid THEN iou END, CASE WHEN valid THEN 0.5 END, txt, 'w,x,y,z', answer, 0 FROM tv
+  UNION ALL SELECT video_id, kind, qid, 'kept', CASE WHEN valid THEN sim >= 0.5 END, CASE WHEN NOT valid THEN 'no valid answer' END, CASE WHEN valid AND sim < 0.5 THEN 'open_verify_low_agreement' END, NULL::VARCHAR, CASE WHEN valid THEN sim END, CASE WHEN valid THEN 0.0 END, txt, 'w,x,y,z', answer, 0 FROM ov
+  UNION ALL SELECT video_id, kind, qid, 'kept', NULL::BOOLEAN, 'no frames', NULL::VARCHAR, NULL::VARCHAR, NULL::DOUBLE, NULL::DOUBLE, txt, 'w,x,y,z', answer, 0 FROM lk WHERE kind = 'mcq' AND NOT leaks AND NOT frames
+  UNION ALL SELECT lk.video_id, kind, qid, CASE WHEN agreed IS NULL OR agreed THEN 'kept' ELSE 'dropped' END, agreed, CASE WHEN agreed IS NULL THEN 'verifier failed' END, CASE WHEN NOT agreed THEN 'verify_mismatch' END,
+    CASE WHEN agreed IS NOT NULL THEN verdict END, NULL::DOUBLE, CASE WHEN agreed IS NOT NULL THEN sure END, question, options, fin.answer, regen FROM fin JOIN lk USING (qid))
+"""
+
 _HASH = "sha256(concat_ws(chr(31), {0}))"
 _STAGE = "sh AS (SELECT o_custkey, sha256(string_agg(" + _HASH.format("o_orderkey::VARCHAR, o_orderstatus") + ", '' ORDER BY o_orderkey)) AS hash FROM orders GROUP BY o_custkey)"
 
@@ -442,6 +470,13 @@ gr AS (SELECT video_id, cluster, min(ord) AS lo, max(ord) AS hi FROM ev GROUP BY
     "timeline_order": _sql("""
 SELECT video_id, video_id % 3 = 1 OR (video_id % 3 = 2 AND count(*) <= 2) AS answered, md5(CASE WHEN video_id % 3 = 1 OR (video_id % 3 = 2 AND count(*) <= 2) THEN string_agg(ord::VARCHAR, ',' ORDER BY ord::VARCHAR DESC) ELSE string_agg(ord::VARCHAR, ',' ORDER BY s, ord::VARCHAR) END) AS digest FROM v_spans GROUP BY video_id
 """),
+    "verification_loop": _sql("SELECT qid, outcome, coalesce(agreed::VARCHAR, '-') AS agreed, coalesce(reason, '-') AS reason, coalesce(flag, '-') AS flag, verifier, score, confidence, question, options, answer, regen FROM vd", _VERIFIED),
+    "verification_counts": _sql("""
+SELECT video_id, count(*) AS n, count(*) FILTER (WHERE outcome = 'kept') AS kept, count(*) FILTER (WHERE kind = 'mcq' AND agreed IS NOT NULL) AS verified, count(*) FILTER (WHERE kind = 'mcq' AND agreed) AS agreed, sum(regen)::BIGINT AS regen,
+  count(*) FILTER (WHERE flag = 'synopsis_leak') AS leaks, count(*) FILTER (WHERE flag = 'verify_mismatch') AS mismatch, count(*) FILTER (WHERE kind = 'temporal_grounding' AND agreed IS NOT NULL) AS temporal_verified,
+  count(*) FILTER (WHERE kind = 'temporal_grounding' AND agreed) AS temporal_pass, count(*) FILTER (WHERE kind IN ('open', 'summary') AND agreed IS NOT NULL) AS open_verified, count(*) FILTER (WHERE kind IN ('open', 'summary') AND agreed) AS open_pass
+FROM vd GROUP BY video_id
+""", _VERIFIED),
     "verification_kpis": _sql("""
 SELECT video_id, count(*) FILTER (WHERE ord % 3 <> 0) AS verified, sum(ord % 2)::BIGINT AS regen, count(*) FILTER (WHERE ord % 15 = 1) AS dropped,
   count(*) FILTER (WHERE ord % 15 = 1 AND ord % 2 = 1) AS synopsis_leak_dropped, count(*) FILTER (WHERE ord % 15 = 1 AND ord % 2 = 0) AS verify_mismatch_dropped, """ + ", ".join(
