@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import DATA
@@ -89,3 +90,38 @@ def test_log_and_final_products(spark, tmp_path):
     assert [x["start"] for x in v["structure"]["shots"]] == [0.0, 5.0] and "_win" not in v["structure"]["shots"][0] and v["structure"]["ocr"] == [] and v["meta"]["genre"] == "movie"
     assert v["annotation_meta"]["stages"][0]["input_hash"] == "0123456789ab" and v["annotation_meta"]["gaps"][0]["s"] == 1.0 and v["annotation_meta"]["review_status"] == "draft"
     assert got["w"]["structure"]["shots"] == [] and got["w"]["meta"] is None
+
+
+def test_schema_rules_at_every_depth(spark):
+    from tidemark.sources import schema
+
+    rules = {
+        "type": "object", "required": ["id", "tags"], "properties": {
+            "id": {"type": "integer"}, "tags": {"type": "array", "minItems": 1, "maxItems": 3, "items": {"type": "string", "minLength": 2}}, "size": {"type": ["number", "null"], "minimum": 1}, "on": {"const": True},
+            "text": {"anyOf": [{"$ref": "#/$defs/Short"}, {"pattern": "^long"}]}, "when": {"type": "object", "required": ["day"], "properties": {"day": {"type": "string"}}},
+        }, "$defs": {"Short": {"type": "string", "maxLength": 3}}, "allOf": [{"required": ["id"]}],
+    }
+    kind = "id double, tags array<string>, size string, on boolean, text string, when struct<day: int, _x: int>"
+    rows = [(1.0, ["ab"], None, True, "abc", None), (1.5, [], "x", False, "other", (3, 1)), (None, ["a", None, "cc", "dd"], None, None, "long one", (None, None)), (2.0, None, None, None, None, None)]
+    out = schema.validated(spark.createDataFrame(rows, kind), rules).collect()
+    assert [r["schema_valid"] for r in out] == [True, False, False, False] and [r["schema_error"] for r in out][0] == ""
+    told = [[f"{e['path']}: {e['message']}" for e in r["errors"]] for r in out]
+    assert told[1] == [
+        "id: 1.5 is not of type 'integer'", "tags: [] is too short", "size: 'x' is not of type 'number', 'null'", "on: true was expected", "text: 'other' is not valid under any of the given schemas", "when/day: 3 is not of type 'string'",
+    ]
+    assert told[2] == [
+        "<root>: 'id' is a required property", 'tags: ["a",null,"cc","dd"] is too long', "tags/0: 'a' is too short", "tags/1: null is not of type 'string'", "when: 'day' is a required property", "<root>: 'id' is a required property",
+    ]
+    assert out[3]["schema_error"] == "<root>: 'tags' is a required property"
+    with pytest.raises(ValueError, match="uniqueItems"):
+        schema.validated(spark.createDataFrame(rows, kind), {"uniqueItems": True})
+
+
+def test_private_fields_go_at_every_depth(spark):
+    from tidemark.sources import schema
+
+    kind = "_a int, b struct<_c: int, d: array<struct<e: int, _f: int>>, m: map<string, struct<g: int, _h: int>>>, only: struct<_z: int>"
+    out = schema.public(spark.createDataFrame([(1, (2, [(3, 4), None], {"k": (5, 6), "_k": (7, 8)}), (9,)), (1, None, None)], kind))
+    assert out.schema.simpleString() == "struct<b:struct<d:array<struct<e:int>>,m:map<string,struct<g:int>>>,only:struct<_z:int>>"
+    first, second = out.collect()
+    assert first["b"]["d"] == [(3,), None] and first["b"]["m"] == {"k": (5,)} and second["b"] is None

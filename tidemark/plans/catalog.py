@@ -7,13 +7,13 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.config import DEFAULT, MODALITIES
+from tidemark.config import DEFAULT, GENRES, MODALITIES
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
 from tidemark.operators import agreement, audio, engine, frames, gate, incremental, joins, narrative, pairs, providers, questions, segments, verify, workflow
 from tidemark.plans import checks
 from tidemark.sources import fixtures as X
-from tidemark.sources import json_io
+from tidemark.sources import json_io, schema
 from tidemark.steps import Steps
 
 QUERIES: dict = {}
@@ -925,6 +925,68 @@ def schema_violations(spark, d):
     return json_io.violations(o, rules).select("o_orderkey", F.array_join("violations", ",").alias("violations"))
 
 
+#: Rules of the documents that ``_documents`` makes, with three depths of nesting, references and conditions.
+DOCUMENT = {
+    "type": "object", "required": ["video_id", "meta", "events"],
+    "properties": {
+        "video_id": {"type": "string", "pattern": "^v_[0-9]{1,3}$"},
+        "meta": {"type": "object", "required": ["genre", "duration"], "properties": {"genre": {"enum": list(GENRES)}, "duration": {"type": "number", "exclusiveMinimum": 0, "maximum": 7200}}},
+        "events": {"type": "array", "minItems": 1, "items": {"$ref": "#/$defs/Event"}},
+    },
+    "$defs": {
+        "Event": {
+            "type": "object", "required": ["id", "importance"],
+            "properties": {"id": {"type": "integer", "minimum": 0}, "importance": {"enum": ["key", "minor"]}, "span": {"type": "array", "minItems": 2, "maxItems": 2, "items": {"type": "number", "minimum": 0}}},
+            "if": {"properties": {"importance": {"const": "key"}}}, "then": {"required": ["span"]},
+        },
+    },
+}
+
+
+def _documents(spark, d) -> DataFrame:
+    """Documents with events inside, private fields at three depths, and faults planted by numbers."""
+    o, v = F.col("ord"), F.col("video_id")
+    e = X.events(spark, d).where("ord % 8 < 5").select("video_id", "ord", F.when(o % 29 != 0, o).otherwise(-o).alias("id"), F.when(o % 31 != 0, F.col("importance")).otherwise("odd").alias("importance"),
+        F.when(o % 6 == 0, F.lit(None)).when(o % 37 == 0, F.array(o)).otherwise(F.array(o, F.when(o % 41 == 0, -1).otherwise(o + 1))).alias("span"), o.alias("_win"), F.struct(o.alias("n"), o.alias("_n")).alias("inner"))
+    a_video = e.groupBy("video_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.struct("id", "importance", "span", "_win", "inner").alias("x")))), lambda y: y["x"]).alias("events"))
+    out = X.videos(spark, d).join(a_video, "video_id", "left")
+    meta = F.when(v % 13 != 0, F.struct(F.when(v % 7 != 0, F.col("genre")).otherwise("noise").alias("genre"), F.when(v % 5 != 0, v).otherwise(0).alias("duration"), v.alias("_cost")))
+    return out.select(F.concat(F.when(v % 11 == 0, "x_").otherwise("v_"), v.cast("string")).alias("video_id"), meta.alias("meta"), "events", v.alias("_seen"))
+
+
+@query
+def schema_documents(spark, d):
+    """Every fault of nested documents against their schema, with its path."""
+    out = schema.validated(_documents(spark, d), DOCUMENT)
+    return out.select("video_id", "schema_error", F.explode("errors").alias("e")).select("video_id", "schema_error", "e.depth", "e.path", "e.message")
+
+
+@query
+def public_documents(spark, d):
+    """Documents without private fields at any depth."""
+    out = schema.public(_documents(spark, d))
+    return out.select("video_id", F.array_join(F.array(*map(F.lit, out.columns)), ",").alias("fields"), F.to_json("meta").alias("meta"), F.to_json("events").alias("events"))
+
+
+@query
+def described_documents(spark, d):
+    """Descriptions written into read documents; what they held besides stays."""
+    v = F.col("video_id")
+    docs = X.videos(spark, d).select(
+        v, F.struct(v.alias("shots"), F.lit("kept").alias("other")).alias("structure"),
+        F.when(v % 5 != 0, F.struct(F.lit("verified").alias("review_status"), F.array(F.struct(F.lit("gap").alias("kind"), v.alias("at"))).alias("human_todo"), F.struct(v.alias("calls")).alias("stats"))).alias("annotation_meta"), v.alias("extra"),
+    )
+    issues = F.when(v % 4 == 0, F.array(F.lit("zh missing"), F.lit("en short"))).otherwise(F.array().cast("array<string>"))
+    answers = X.videos(spark, d).where("video_id % 3 <> 0").select(v, F.array(F.concat(F.lit("s"), v.cast("string"))).alias("segments"), F.concat(F.lit("whole "), v.cast("string")).alias("detailed"), F.array(F.lit("q1")).alias("quiet"), (v % 7).alias("shot_ok"), F.lit(7).alias("shot_total"), v.alias("full_len_zh"), issues.alias("lang_issues"))
+    out = schema.described(docs, answers)
+    m = F.col("annotation_meta")
+    todo = F.array_join(F.transform(m["human_todo"], lambda t: F.concat_ws(":", t["kind"], t["at"].cast("string"))), ",")
+    return out.select(
+        v, "extra", F.col("structure.shots").alias("shots"), F.col("structure.other").alias("other"), F.array_join("structure.segments", ",").alias("segments"), F.col("global.detailed_description").alias("detailed"), m["review_status"].alias("status"),
+        todo.alias("todo"), m["stats"]["calls"].alias("calls"), m["stats"]["shot_desc_ok"].alias("shot_desc_ok"), F.array_join(m["stats"]["quiet_segments"], ",").alias("quiet"), m["stats"]["full_len_zh"].alias("full_len_zh"),
+    )
+
+
 @query
 def todo_union(spark, d):
     e = X.events(spark, d)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.config import GENRES
 from tidemark.functions import text as T
 from tidemark.sources.fixtures import SQL as VIEWS
 
@@ -195,6 +196,29 @@ vd AS (
     CASE WHEN agreed IS NOT NULL THEN verdict END, NULL::DOUBLE, CASE WHEN agreed IS NOT NULL THEN sure END, question, options, fin.answer, regen FROM fin JOIN lk USING (qid))
 """
 
+_DOCUMENTS = """
+dv AS (SELECT video_id, CASE WHEN video_id % 11 = 0 THEN 'x_' ELSE 'v_' END || video_id AS doc_id, CASE WHEN video_id % 7 <> 0 THEN genre ELSE 'noise' END AS genre, CASE WHEN video_id % 5 <> 0 THEN video_id ELSE 0 END AS duration FROM v_videos),
+ed AS (SELECT video_id, ord, CASE WHEN ord % 29 <> 0 THEN ord ELSE -ord END AS id, CASE WHEN ord % 31 <> 0 THEN importance ELSE 'odd' END AS importance,
+  CASE WHEN ord % 6 = 0 THEN NULL WHEN ord % 37 = 0 THEN [ord] ELSE [ord, CASE WHEN ord % 41 = 0 THEN -1 ELSE ord + 1 END] END AS span, row_number() OVER (PARTITION BY video_id ORDER BY ord) - 1 AS i FROM v_events WHERE ord % 8 < 5)
+"""
+_GENRE_LIST = "[" + ", ".join(f'"{g}"' for g in GENRES) + "]"
+_FAULTS = f""",
+fe AS (
+  SELECT video_id, i, 1 AS inner_, 3 AS depth, 'events/' || i || '/id' AS where_, id || ' is less than the minimum of 0' AS message FROM ed WHERE id < 0
+  UNION ALL SELECT video_id, i, 2, 3, 'events/' || i || '/importance', $$'odd' is not one of ["key", "minor"]$$ FROM ed WHERE importance = 'odd'
+  UNION ALL SELECT video_id, i, 3, 3, 'events/' || i || '/span', '[' || span[1] || '] is too short' FROM ed WHERE len(span) = 1
+  UNION ALL SELECT video_id, i, 3 + j, 4, 'events/' || i || '/span/' || (j - 1), x || ' is less than the minimum of 0' FROM (SELECT video_id, i, unnest(span) AS x, generate_subscripts(span, 1) AS j FROM ed WHERE span IS NOT NULL) WHERE x < 0
+  UNION ALL SELECT video_id, i, 9, 2, 'events/' || i, $$'span' is a required property$$ FROM ed WHERE importance = 'key' AND span IS NULL),
+faults AS (SELECT doc_id AS video_id, f.* EXCLUDE (video_id) FROM dv JOIN (
+  SELECT video_id, 0 AS i, 0 AS inner_, 0 AS nr, 0 AS depth, '<root>' AS where_, $$'meta' is a required property$$ AS message FROM dv WHERE video_id % 13 = 0
+  UNION ALL SELECT video_id, 0, 0, 1, 0, '<root>', $$'events' is a required property$$ FROM dv WHERE NOT EXISTS (SELECT 1 FROM ed WHERE ed.video_id = dv.video_id)
+  UNION ALL SELECT video_id, 0, 0, 2, 1, 'video_id', $$'$$ || doc_id || $$' does not match '^v_[0-9]{{1,3}}$'$$ FROM dv WHERE NOT regexp_matches(doc_id, '^v_[0-9]{{1,3}}$')
+  UNION ALL SELECT video_id, 0, 0, 3, 2, 'meta/genre', $$'noise' is not one of {_GENRE_LIST}$$ FROM dv WHERE video_id % 13 <> 0 AND genre = 'noise'
+  UNION ALL SELECT video_id, 0, 0, 4, 2, 'meta/duration', '0 is less than or equal to the minimum of 0' FROM dv WHERE video_id % 13 <> 0 AND duration = 0
+  UNION ALL SELECT video_id, 0, 0, 5, 2, 'meta/duration', duration || ' is greater than the maximum of 7200' FROM dv WHERE video_id % 13 <> 0 AND duration > 7200
+  UNION ALL SELECT video_id, i, inner_, 6, depth, where_, message FROM fe) f ON f.video_id = dv.video_id)
+"""
+
 _HASH = "sha256(concat_ws(chr(31), {0}))"
 _STAGE = "sh AS (SELECT o_custkey, sha256(string_agg(" + _HASH.format("o_orderkey::VARCHAR, o_orderstatus") + ", '' ORDER BY o_orderkey)) AS hash FROM orders GROUP BY o_custkey)"
 
@@ -469,6 +493,18 @@ gr AS (SELECT video_id, cluster, min(ord) AS lo, max(ord) AS hi FROM ev GROUP BY
     "importance_grading": _sql("SELECT video_id, ord::VARCHAR AS id, CASE WHEN ord % 4 <> 0 AND ord % 3 = 0 THEN 'key' ELSE 'minor' END AS importance FROM v_events"),
     "timeline_order": _sql("""
 SELECT video_id, video_id % 3 = 1 OR (video_id % 3 = 2 AND count(*) <= 2) AS answered, md5(CASE WHEN video_id % 3 = 1 OR (video_id % 3 = 2 AND count(*) <= 2) THEN string_agg(ord::VARCHAR, ',' ORDER BY ord::VARCHAR DESC) ELSE string_agg(ord::VARCHAR, ',' ORDER BY s, ord::VARCHAR) END) AS digest FROM v_spans GROUP BY video_id
+"""),
+    "schema_documents": _sql("""
+SELECT video_id, first_value(where_ || ': ' || message) OVER (PARTITION BY video_id ORDER BY depth, nr, i, inner_) AS schema_error, depth::INT AS depth, where_ AS path, message FROM faults
+""", _DOCUMENTS + _FAULTS),
+    "public_documents": _sql("""
+SELECT doc_id AS video_id, 'video_id,meta,events' AS fields, CASE WHEN video_id % 13 <> 0 THEN '{"genre":"' || genre || '","duration":' || duration || '}' END AS meta,
+  (SELECT '[' || string_agg('{"id":' || id || ',"importance":"' || importance || '"' || CASE WHEN span IS NULL THEN '' ELSE ',"span":[' || array_to_string(span, ',') || ']' END || ',"inner":{"n":' || ord || '}}', ',' ORDER BY ord) || ']' FROM ed WHERE ed.video_id = dv.video_id) AS events FROM dv
+""", _DOCUMENTS),
+    "described_documents": _sql("""
+SELECT video_id, video_id AS extra, video_id AS shots, 'kept' AS other, CASE WHEN m THEN 's' || video_id END AS segments, CASE WHEN m THEN 'whole ' || video_id END AS detailed, CASE WHEN m THEN 'draft' WHEN h THEN 'verified' END AS status,
+  concat_ws(',', CASE WHEN h THEN 'gap:' || video_id END, CASE WHEN m AND video_id % 4 = 0 THEN 'lang_issue,lang_issue' END) AS todo, CASE WHEN h THEN video_id END AS calls, CASE WHEN m THEN (video_id % 7) || '/7' END AS shot_desc_ok, CASE WHEN m THEN 'q1' END AS quiet, CASE WHEN m THEN video_id END AS full_len_zh
+FROM (SELECT *, video_id % 3 <> 0 AS m, video_id % 5 <> 0 AS h FROM v_videos)
 """),
     "verification_loop": _sql("SELECT qid, outcome, coalesce(agreed::VARCHAR, '-') AS agreed, coalesce(reason, '-') AS reason, coalesce(flag, '-') AS flag, verifier, score, confidence, question, options, answer, regen FROM vd", _VERIFIED),
     "verification_counts": _sql("""
