@@ -96,6 +96,43 @@ def test_markup_and_block_scalars():
     assert found("password: |\nuser: me\n") == []
 
 
+FORMS = (
+    '{0}: str = "{1}"', 'const {0}: string = "{1}";', '{0}: Optional[str] = "{1}"', "let {0}: string | null = '{1}'", 'os.environ["{0}"] = "{1}"', "config['{0}'] = '{1}'", '{0} = f"{1}"', "{0} = b'{1}'", '{0} = @"{1}"',
+    '{0} = """{1}"""', "{0} = '''{1}'''", '{0} = ("{1}")', '{0} = (\n    "{1}"\n)', '{0} = ["{1}"]', '{0}: ["{1}", "x"]', '{0} = \\\n    "{1}"', '{0} = os.getenv("OTHER", "{1}")', '{0} = config.get("other", "{1}")', '{0} = process.env.OTHER || "{1}"',
+    'x = os.environ.get("{0}", "{1}")', '{{"{0}": {{"value": "{1}"}}}}', '{{"{0}": {{"type": "t", "meta": {{}}, "value": "{1}"}}}}', "{0}:\n  type: t\n  value: {1}\n", "a: 1\n{0}:\n  - value: {1}\n", "[{0}]\nuser = me\nvalue = {1}\n",
+)
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_each_form_and_its_harmless_twin(form):
+    strong = "q8ZtR2mVx7LpWc4KbN9"
+    for name in ("credential", "auth_key"):
+        assert [x for x, _ in found(form.format(name, strong))] == [strong], form.format(name, strong)
+        assert found(form.format(name, "homepage")) == []
+    assert found(form.format("colour", strong)) == []
+
+
+def test_what_stands_beside_a_form_isn_t_told():
+    strong = "q8ZtR2mVx7LpWc4KbN9"
+    assert found(f'{{"credential": {{"kind": "t"}}, "colour": {{"value": "{strong}"}}}}') == []
+    assert found(f"credential:\n  kind: t\ncolour:\n  value: {strong}\n") == [] and found(f"[credential]\nkind = t\n[colour]\nvalue = {strong}\n") == []
+    assert found(f'token: QWxhZGRpbjpvcGVuQ9=\n')[0][0] == "QWxhZGRpbjpvcGVuQ9="
+    assert found(f'x = load("credential", "{strong}")') == []
+    assert found(f'password = "Zx9!kQ27" +\n  "pLm4vT81"') == [('Zx9!kQ27" +\n  "pLm4vT81', "password")]
+    assert found(f'credential = ["{strong}", "{LITERAL}"]') == [(strong, "credential"), (LITERAL, "credential")]
+
+
+def test_values_are_scored_whole():
+    """What makes a value strong may stand behind thousands of characters."""
+    r = __import__("random").Random(1)
+    long = "a" * 5000 + "".join(r.choice("bcdefghBCDEFGH0123456789") for _ in range(60_000))
+    assert [a for a, *_ in s.lexed(f'password = "{long}"')] == [12]
+    assert s.lexed(f'password = "{"a" * 70_000}"') == []
+    made = s.Made("Zx9!")
+    made.add(s.Made("kQ27pLm4vT81"))
+    assert s._score(1.0, made) == s.score(1.0, LITERAL) and s.Made("your-key-" + "x" * 90).placeholder() and not s.Made("your\nkey").placeholder()
+
+
 def program(r):
     """A random program as text and, worked out from its statements alone, the literals to be told."""
     names = ["host", "colour", "password", "authToken", "salt", "client_secret", "x1", "url"]
@@ -105,15 +142,16 @@ def program(r):
         name, terms, parts = r.choice(names), [], []
         n = r.choice((1, 1, 2, 3))
         text += r.choice(("", "  ", "export ", "var "))
-        text += name + r.choice((" = ", "=", " := ", ": ", " => "))
+        text += name + r.choice((" = ", "=", " := ", ": ", " => ", ": str = ", ": Map<string> = ", " = \\\n  "))
         known, last = True, None
         for i in range(n):
             kind = r.choice(("text", "text", "name", "call"))
             if i:
                 text += " + "
             if kind == "text":
-                q, value = r.choice("\"'"), r.choice(literals)
-                span = (len(text) + 1, len(text) + 1 + len(value))
+                q, value = r.choice(('"', "'", '"', "'", '"""', "'''")), r.choice(literals)
+                text += r.choice(("", "", "", "r", "b", "f"))
+                span = (len(text) + len(q), len(text) + len(q) + len(value))
                 text += q + value + q
                 if last == "text":
                     parts[-1] = (parts[-1][0], span[1], parts[-1][2] + value)

@@ -2,9 +2,11 @@
 
 Three base patterns are matched as they stand. Beside them a lexer reads assignments of source and configuration
 syntax (``name = "literal"``, ``name: literal``, ``"name": "literal"``, ``name := 'literal'``, ``export NAME=literal``,
-attributes and elements of markup, ``key``/``name`` attributes beside a ``value``, block scalars) into name-literal
-pairs, propagates constants (a name assigned from other names and literals, joined by ``+``), and scores a literal by
-how sensitive the names are that it reaches and by its own make-up. Only a bare word is ever a name on the right: what
+typed assignments, subscripts, strings with prefixes or triple quotes, brackets, lists, continued lines, defaults of
+environment lookups, attributes and elements of markup, ``key``/``name`` attributes beside a ``value``, block scalars)
+into name-literal pairs, propagates constants (a name assigned from other names and literals, joined by ``+``), and
+scores a literal by how sensitive the names are that it reaches and by its own make-up, from its first character to its
+last. A key that only says ``value`` or the like is named with what it stands in: an object, a block, a section. Only a bare word is ever a name on the right: what
 stands in quotes is a literal. A pair at or over ``LEAST_SCORE`` adds a span of kind ``lexed``; base spans always stay.
 
 Scale: one scan, row by row, no shuffle; the scan is linear in the text and holds one text.
@@ -15,6 +17,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,13 +36,29 @@ _PAIR = re.compile(r"(?:^|(?<=[^A-Za-z0-9_.$-]))[\"']?([A-Za-z_$][A-Za-z0-9_.$-]
 _STRING = re.compile(r"\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`")
 _BARE = re.compile(r"[^\s,;#\"'`)}\]&|<>(]+")
 _NAME = re.compile(r"[$]?\{?([A-Za-z_][A-Za-z0-9_.-]*)\}?$")
-_PLUS = re.compile(r"[ \t]*\+(?!=)[ \t]*")
+_PLUS = re.compile(r"[ \t]*\+(?!=)[ \t]*(?:\\?\n[ \t]*)?")
+#: After a colon: a type and an equals sign that begins a value.
+_TYPED = re.compile(r"[A-Za-z_][A-Za-z0-9_.?\[\]<>]*+(?:[ \t]*[|,][ \t]*[A-Za-z_][A-Za-z0-9_.?\[\]<>]*+)*(?:[ \t]+=(?![=>~])[ \t]*|=[ \t]*(?=[rbfuRBFU]{0,2}[\"'`]))")
+_SUBSCRIPT = re.compile(r"\[[ \t]*[\"']([A-Za-z_$][A-Za-z0-9_.$-]*+)[\"'][ \t]*\][ \t]*(?::=|=(?![=>~]))[ \t]*")
+_PREFIX = re.compile(r"(?:[rRbBfFuU]{1,2}|[@$L])(?=[\"'`])")
+_CONTINUED = re.compile(r"\\\n[ \t]*")
+_OPEN = re.compile(r"[(\[][ \t\n]*")
+_COMMA = re.compile(r"[ \t\n]*,[ \t\n]*")
+_GAP = re.compile(r"[ \t\n]*")
+#: A lookup with a name and a default, and an expression with a default behind it.
+_LOOKUP = re.compile(r"[A-Za-z_$][A-Za-z0-9_.$]*+\([ \t\n]*(?:\"([^\"\n]*)\"|'([^'\n]*)')[ \t\n]*,[ \t\n]*(?=[rbfuRBFU]{0,2}[\"'`])")
+_LOOKING = re.compile(r"(?i)(?:getenv|get|getordefault|getenvironmentvariable|env|config)$")
+_OTHERWISE = re.compile(r"(?:\([^()\n]*\))?[ \t]*(?:\|\||\?\?|\?:|\bor\b)[ \t]*(?=[rbfuRBFU]{0,2}[\"'`])")
+#: Names that tell nothing of what they hold, and what can stand around them.
+GENERIC = frozenset(("value", "val", "default", "data", "content", "text", "raw", "string", "plain"))
+_ANY_GENERIC = re.compile(r"(?i)(?<![A-Za-z0-9_.$-])(?:" + "|".join(sorted(GENERIC)) + r")(?![A-Za-z0-9_.$-])")
+_BRACES = re.compile(r"(?<![A-Za-z0-9_.$-])[\"']?([A-Za-z_$][A-Za-z0-9_.$-]*+)[\"']?[ \t]*+(?::|=>?)[ \t]*+\{|[{}]")
+_HEADER = re.compile(r"[ \t]*\[[ \t]*([A-Za-z_][A-Za-z0-9_. :-]*+)\][ \t]*$")
+_KEY_LINE = re.compile(r"( *)(?:- +)?[\"']?([A-Za-z_][A-Za-z0-9_.-]*+)[\"']?:[ \t]*$")
 _TAG = re.compile(r"<[A-Za-z][^<>\n]*>")
 _ATTRIBUTE = re.compile(r"(?<![A-Za-z0-9_.:-])([A-Za-z_][A-Za-z0-9_.:-]*+)[ \t]*=[ \t]*(?:\"([^\"\n]*)\"|'([^'\n]*)')")
 _ELEMENT = re.compile(r"<([A-Za-z_][A-Za-z0-9_.:-]*+)>([^<>\n]+)</\1>")
 _SCALAR = re.compile(r"[|>][+-]?[1-9]?[+-]?[ \t]*(?=\n)")
-#: Characters of a value that its score looks at; both its length and its entropy count fully long before.
-SCORED = 4096
 
 #: Words in a name, with the weight that they give a literal assigned to it.
 SENSITIVE = (
@@ -48,7 +68,9 @@ SENSITIVE = (
 LEAST_SCORE = 0.55
 #: Above this strength a literal of mixed characters lifts the weight of its name, in proportion up to one.
 LIFTED = 0.85
-_PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|example|none|null|true|false|your[-_ ].*|<.*|\$\{?.*)$")
+#: Whole texts, and beginnings, of what stands for a secret that isn't there.
+PLACEHOLDERS = frozenset(("changeme", "example", "none", "null", "true", "false"))
+LEADING = ("your-", "your_", "your ", "<", "$")
 
 
 def sensitivity(name: str) -> float:
@@ -58,46 +80,166 @@ def sensitivity(name: str) -> float:
     return max((w for word, w in SENSITIVE if (word in flat if len(word) > 4 else word in parts)), default=0.0)
 
 
+class Made:
+    """What a value is made of: its length, its characters and how often each stands in it, and its two ends. All of these
+    add up, so a value made of others is scored whole, however long it has become."""
+
+    __slots__ = ("size", "counts", "head", "tail")
+
+    def __init__(self, text: str = ""):
+        self.size, self.counts, self.head, self.tail = len(text), Counter(text), text[:9], text[-1:]
+
+    def add(self, other: Made) -> None:
+        self.head = self.head if self.size >= 9 else (self.head + other.head)[:9]
+        self.tail = other.tail or self.tail
+        self.size += other.size
+        for c, n in other.counts.items():
+            self.counts[c] += n
+
+    def placeholder(self) -> bool:
+        kinds = set(self.counts) - {"\n"}
+        if kinds and (kinds <= {"x", "X"} or kinds == {"*"} or kinds == {"."}):
+            return True
+        low = self.head.lower()
+        return (self.size <= 9 and low.strip("\n") in PLACEHOLDERS) or (low.startswith(LEADING) and self.counts.get("\n", 0) <= (self.tail == "\n"))
+
+
+def _strength(made: Made) -> float:
+    if made.size < 6 or made.placeholder():
+        return 0.0
+    entropy = -sum(p * math.log2(p) for n in made.counts.values() if (p := n / made.size) > 0)
+    kinds = sum(any(map(test, made.counts)) for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
+    return min(1.0, min(made.size, 20) / 20) * 0.4 + min(1.0, entropy / 4) * 0.4 + min(1.0, kinds / 3) * 0.2 - (0.3 if made.counts.get(" ") else 0)
+
+
 def strength(literal: str) -> float:
     """0 to 1 by length, entropy a character, and kinds of characters."""
-    if len(literal) < 6 or _PLACEHOLDER.match(literal):
-        return 0.0
-    counts = [literal.count(c) / len(literal) for c in set(literal)]
-    entropy = -sum(p * math.log2(p) for p in counts)
-    kinds = sum(any(map(test, literal)) for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    return min(1.0, len(literal) / 20) * 0.4 + min(1.0, entropy / 4) * 0.4 + min(1.0, kinds / 3) * 0.2 - (0.3 if " " in literal else 0)
+    return _strength(Made(literal))
 
 
-def score(weight: float, literal: str) -> float:
-    """Weight times strength, and for strong literals of two kinds of letters and digits a part of the missing weight."""
-    s = strength(literal)
-    mixed = sum(any(map(test, literal)) for test in (str.islower, str.isupper, str.isdigit)) > 1
+def _score(weight: float, made: Made) -> float:
+    s = _strength(made)
+    mixed = sum(any(map(test, made.counts)) for test in (str.islower, str.isupper, str.isdigit)) > 1
     lift = max(0.0, s - LIFTED) / (1 - LIFTED) if mixed else 0.0
     return weight * s + (1 - weight) * lift * s
 
 
+def score(weight: float, literal: str) -> float:
+    """Weight times strength, and for strong literals of two kinds of letters and digits a part of the missing weight."""
+    return _score(weight, Made(literal))
+
+
 Term = tuple[int, int, str, bool]  # start, end, content, whether it stood in quotes
 
 
-def _terms(text: str, at: int) -> list[Term]:
-    """The literals and bare words of a right side that begins at ``at``, joined by plus signs."""
+def _string(text: str, at: int) -> tuple[Term, int] | None:
+    """The string literal at ``at``, with its prefix and any quotes, and where it ends."""
+    if p := _PREFIX.match(text, at):
+        at = p.end()
+    if text.startswith(('"""', "'''"), at):
+        end = text.find(text[at : at + 3], at + 3)
+        return ((at + 3, end, text[at + 3 : end], True), end + 3) if end >= 0 else None
+    if s := _STRING.match(text, at):
+        k = s.lastindex
+        return (s.start(k), s.end(k), s[k], True), s.end()
+    return None
+
+
+def _terms(text: str, at: int, closing: str = "") -> tuple[list[Term], int]:
+    """The literals and bare words of an expression that begins at ``at``, joined by plus signs, and where it ends; inside
+    brackets strings that follow each other are joined as well."""
     out: list[Term] = []
     while True:
-        if s := _STRING.match(text, at):
-            k = s.lastindex
-            out.append((s.start(k), s.end(k), s[k], True))
+        if c := _CONTINUED.match(text, at):
+            at = c.end()
+        if s := _string(text, at):
+            out.append(s[0])
+            at = s[1]
+        elif text.startswith("(", at) and not closing:
+            inner, end = _terms(text, _OPEN.match(text, at).end(), ")")
+            out += inner
+            at = _GAP.match(text, end).end() if inner else end
+            at += text.startswith(")", at)
         elif b := _BARE.match(text, at):
+            if otherwise := _OTHERWISE.match(text, b.end()):
+                at = otherwise.end()
+                continue
             call = text[b.end() : b.end() + 1] == "(" or b[0][-1] in "[{"
             out.append((b.start(), b.end(), "" if call else b[0], False))
-            s = b
+            at = b.end()
         else:
-            return out
-        plus = _PLUS.match(text, s.end())
+            return out, at
+        if closing:
+            gap = _GAP.match(text, at).end()
+            if _string(text, gap):
+                at = gap
+                continue
+        plus = _PLUS.match(text, at)
         if not plus:
-            return out
+            return out, at
         at = plus.end()
 
 
+def _values(text: str, at: int) -> tuple[list[tuple[str, list[Term]]], int]:
+    """The values of a right side at ``at``, each with the name that it brings along or '', and where they end: one, or
+    every element of a list. A lookup's default is a value by the name looked up, too."""
+    if c := _CONTINUED.match(text, at):
+        at = c.end()
+    if (look := _LOOKUP.match(text, at)) and _LOOKING.search(text, look.start(), text.index("(", look.start())):
+        if s := _string(text, look.end()):
+            return [(look[look.lastindex], [s[0]]), ("", [s[0]])], s[1]
+    if not text.startswith("[", at):
+        terms, end = _terms(text, at)
+        return ([("", terms)] if terms else []), end
+    out = []
+    at = _OPEN.match(text, at).end()
+    while s := _string(text, at):
+        out.append(("", [s[0]]))
+        at = s[1]
+        if not (comma := _COMMA.match(text, at)):
+            break
+        at = comma.end()
+    return out, at
+
+
+class Surroundings:
+    """What a place stands in: the named object, block or section. Found in one pass over the text, if it is asked for."""
+
+    def __init__(self, text: str):
+        self.at, self.named = [0], [""]
+        if not _ANY_GENERIC.search(text):
+            return
+        marks: list[tuple[int, str]] = []
+        stack: list[str] = []
+        for m in _BRACES.finditer(text):
+            if m[0][-1] == "{":
+                stack.append(m[1] or (stack[-1] if stack else ""))
+            elif stack:
+                stack.pop()
+            marks.append((m.end(), stack[-1] if stack else ""))
+        lines: list[tuple[int, str]] = []
+        section, blocks, begin = "", [], 0
+        for line in text.split("\n"):
+            if header := _HEADER.match(line):
+                section, blocks = header[1], []
+            elif line.strip():
+                indent = len(line) - len(line.lstrip(" "))
+                while blocks and blocks[-1][0] >= indent:
+                    blocks.pop()
+                lines.append((begin, blocks[-1][1] if blocks else section))
+                if key := _KEY_LINE.match(line):
+                    blocks.append((indent, key[2]))
+            begin += len(line) + 1
+        self.braces = ([0] + [m[0] for m in marks], [""] + [m[1] for m in marks])
+        self.at, self.named = [0] + [x[0] for x in lines], [""] + [x[1] for x in lines]
+
+    def name(self, name: str, at: int) -> str:
+        if name.lower() not in GENERIC or len(self.at) == 1:
+            return name
+        around = self.braces[1][bisect_right(self.braces[0], at) - 1] or self.named[bisect_right(self.at, at) - 1]
+        return f"{around}.{name}" if around else name
+
+
 def _block(text: str, at: int, end: int) -> tuple[int, int, str] | None:
     """The block scalar after a ``|`` or ``>`` that ends a line at ``end``; its key stands at ``at``: the deeper lines."""
     indent = at - (text.rfind("\n", 0, at) + 1)
@@ -134,22 +276,33 @@ def pairs(text: str) -> list[tuple[str, list[Term]]]:
         if m.start(1) in tags:
             if pair := tags[m.start(1)]:
                 out.append((m.start(), *pair))
-        elif scalar := _SCALAR.match(text, m.end()):
+            continue
+        scalar = _SCALAR.match(text, m.end())
+        if scalar:
             if block := _block(text, m.start(), scalar.end()):
                 inside = block[1]
                 out.append((m.start(), m[1], [(*block, True)]))
-        elif terms := _terms(text, m.end()):
-            out.append((m.start(), m[1], terms))
-    return [x[1:] for x in sorted(out, key=lambda x: x[0])]
+            continue
+        typed = _TYPED.match(text, m.end()) if m[0].rstrip(" \t").endswith(":") else None
+        values, end = _values(text, typed.end() if typed else m.end())
+        out += [(m.start(), name or m[1], terms) for name, terms in values]
+        if len(values) > 1 or any("\n" in t[2] for _, terms in values for t in terms if t[3]):
+            inside = end
+    if "]" in text:
+        for m in _SUBSCRIPT.finditer(text):
+            values, _ = _values(text, m.end())
+            out += [(m.start(), name or m[1], terms) for name, terms in values]
+    around = Surroundings(text)
+    return [(around.name(name, at), terms) for at, name, terms in sorted(out, key=lambda x: x[0])]
 
 
 class Value:
-    """What an expression stands for: its literals, shared with the constants that it was made of, and their text."""
+    """What an expression stands for: its literals, shared with the constants that it was made of, and its make-up."""
 
-    __slots__ = ("parts", "text", "told")
+    __slots__ = ("parts", "made", "told")
 
-    def __init__(self, parts: list, text: str):
-        self.parts, self.text, self.told = parts, text[:SCORED], 0.0
+    def __init__(self, parts: list, made: Made):
+        self.parts, self.made, self.told = parts, made, 0.0
 
     def literals(self, got: float) -> Iterator[tuple[int, int]]:
         """Places of the literals that weren't told with a score of ``got`` or more; they count as told."""
@@ -172,7 +325,7 @@ def resolved(terms: list[Term], constants: dict[str, Value]) -> Value | None:
     like the result of a call, in a sum.
     """
     parts: list = []
-    texts: list[str] = []
+    made = Made()
     was_quoted = False
     for lo, hi, value, quoted in terms:
         if quoted:
@@ -180,21 +333,22 @@ def resolved(terms: list[Term], constants: dict[str, Value]) -> Value | None:
                 parts[-1] = (parts[-1][0], hi)
             else:
                 parts.append((lo, hi))
-            texts.append(value)
+            made.add(Made(value))
         else:
             names = [m[1] if (m := _NAME.match(v)) else "" for v in value.split("+")]
             if all(n in constants for n in names):
                 parts += [constants[n] for n in names]
-                texts += [constants[n].text for n in names]
+                for n in names:
+                    made.add(constants[n].made)
             elif len(terms) == 1 and value:
                 parts.append((lo, hi))
-                texts.append(value)
+                made.add(Made(value))
         was_quoted = quoted
-    return Value(parts, "".join(texts)) if parts else None
+    return Value(parts, made) if parts else None
 
 
 def lexed(text: str) -> list[tuple[int, int, str, str, float]]:
-    """(start, end, name, value, score) of the literals whose score is enough.
+    """(start, end, name, text, score) of the literals whose score is enough.
 
     A value is what its literals give together; it is scored by every name it reaches, and each of its literals is told
     once, by its best score. A name that is assigned anew stands for its last value.
@@ -210,11 +364,11 @@ def lexed(text: str) -> list[tuple[int, int, str, str, float]]:
             continue
         constants[name] = value
         if w := sensitivity(name):
-            got = score(w, value.text)
+            got = _score(w, value.made)
             if got >= LEAST_SCORE:
                 for place in value.literals(got):
                     if got > best.get(place, ("", "", 0.0))[2]:
-                        best[place] = (name, value.text, got)
+                        best[place] = (name, text[slice(*place)], got)
     return [(a, b, *rest) for (a, b), rest in sorted(best.items())]
 
 
