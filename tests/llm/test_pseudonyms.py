@@ -151,3 +151,10 @@ def test_scan_against_planted_values(spark):
         text, want, counts = cases[row["doc_id"]]
         assert row["text"] == want, text
         assert {k: row[f"n_{k}"] for k in p.KINDS} == counts
+
+
+def test_mail_names_are_permuted_whole_or_not_at_all():
+    for n in (1, 63, 64):
+        ((a, b, kind, new),) = p.found("x" * 3 + " " + "a" * n + "@example.org", b"k")
+        assert (a, kind) == (4, "email") and b == 4 + n + 12 and len(new) == n + 12
+    assert p.found("a" * 65 + "@example.org", b"k") == [] and p.found("a" * 700 + "@example.org", b"k") == []

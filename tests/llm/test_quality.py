@@ -102,3 +102,9 @@ def test_a_repeated_labelled_id_trains_once(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
     many = rows + [rows[7]] * 500
     assert quality.fit(*(spark.createDataFrame(x, "id long, text string") for x in (many,)), labels.selectExpr("doc_id AS id", "quality AS label"))[1].live
+
+
+def test_stage_keeps_all_where_nothing_was_learnt(spark, tmp_path):
+    spark.createDataFrame([(i, 0, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(20)], "doc_id long, text string")
+    assert quality.stage(spark, docs, str(tmp_path)).count() == 20

@@ -1,5 +1,6 @@
 import duckdb
 import pandas as pd
+import pytest
 
 from helpers import DATA, rows
 from tidemark.llm import oracles, quotes
@@ -82,3 +83,8 @@ def test_most_conversations_of_the_query_are_linked(spark):
 
 def test_empty(spark):
     assert quotes.link_quotes(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_ids_must_be_integers(spark):
+    with pytest.raises(ValueError, match="integer"):
+        quotes.link_quotes(spark.createDataFrame([("a", 1, "user", "x")], "conv_id string, turn long, role string, text string"))

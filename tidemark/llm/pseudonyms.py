@@ -220,7 +220,7 @@ _RUN = re.compile(r"\d+", re.ASCII)
 _LOCAL = re.compile(r"[\w.%+-]+\Z")
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])")
 _MAKERS = {"ip": ip, "date": date, "ssn": ssn, "card": card, "phone": phone}
-#: The local part of a mail address has at most this many characters (RFC 5321).
+#: The local part of a mail address has at most this many characters (RFC 5321); a longer run is none and stays whole.
 _LOCAL_MOST = 64
 
 
@@ -293,9 +293,9 @@ def found(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     out = []
     at = text.find("@")
     while at >= 0:
-        left = _LOCAL.search(text[max(0, at - _LOCAL_MOST) : at])
+        left = _LOCAL.search(text[max(0, at - _LOCAL_MOST - 1) : at])
         right = _HOST.match(text, at + 1)
-        if left and right:
+        if left and right and len(left[0]) <= _LOCAL_MOST:
             a, b = at - len(left[0]), right.end()
             if new := email(text[a:b], key):
                 out.append((a, b, "email", new))

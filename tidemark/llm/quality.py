@@ -220,7 +220,12 @@ def _accepted(table: np.ndarray, model: Network, text_at: int):
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject the documents that the classifier predicts as label 0; each row is judged in place."""
+    """Reject the documents that the classifier predicts as label 0; each row is judged in place.
+
+    Where the usable labels are not of both classes nothing was learnt, and all documents stay.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
     table, model = fit(docs.select(F.col("doc_id").alias("id"), "text"), labels)
+    if not model.live:
+        return docs
     return docs.mapInArrow(_accepted(table, model, docs.columns.index("text")), docs.schema)

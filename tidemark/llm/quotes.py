@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.located import integer_ids
 from tidemark.llm.scratch import Scratch
 
 SPAN = 512
@@ -81,8 +82,11 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     itself. Of a message's links the lowest quote level counts first, then the conversation's own, then the longest
     normalised text, then the latest turn. Null and empty texts have an empty reply and no quotes. Messages without
     conv_id or turn keep their reply and have no links. Messages that repeat (conv_id, turn) are one node: they share
-    links, and a passage that both hold at one place counts once. Other columns are ignored.
+    links, and a passage that both hold at one place counts once. conv_id and turn are integers; other types are refused.
+    Other columns are ignored.
     """
+    integer_ids(messages, conv_col)
+    integer_ids(messages, turn_col)
     scratch = Scratch(messages.sparkSession, "quotes")
     base = messages.select(F.col(conv_col).cast("long").alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     rows = parsed(base)
