@@ -319,3 +319,10 @@ def test_verification_reaches_each_outcome(spark):
     assert [x for x in asked if x[0] == "choose"][1:] == [("choose", ["fixed", "never"]), ("choose", ["late", "never"])]
     c = counts.first()
     assert (c["n"], c["kept"], c["verified"], c["agreed"], c["regen"], c["leaks"], c["mismatch"], c["temporal_pass"], c["open_pass"]) == (13, 11, 4, 3, 4, 1, 1, 1, 2)
+
+
+def test_unevaluated_metrics_are_written_back(spark):
+    products = spark.createDataFrame([(1, ("draft", None, ["old"])), (2, ("draft", None, ["old"])), (3, ("x", None, ["old"]))], "video_id long, annotation_meta struct<review_status: string, rejected_reasons: string, release_unevaluated: array<string>>")
+    gated = spark.createDataFrame([(1, True, "", ["alpha"]), (2, False, "schema", [])], "video_id long, pass boolean, reasons string, unevaluated array<string>")
+    got = {r["video_id"]: tuple(r["annotation_meta"]) for r in gate.written_back(products, gated).collect()}
+    assert got == {1: ("verified", None, ["alpha"]), 2: ("draft", "schema", ["old"]), 3: ("x", None, ["old"])}

@@ -87,22 +87,27 @@ def release_gate(found: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
 
 def effect(gated: DataFrame) -> DataFrame:
     """The decision's effect: passing videos are verified and lose earlier reasons, others are drafts with theirs.
-    ``release_unevaluated`` names the metrics that weren't evaluated, null where all were."""
-    gated = gated.withColumn("release_unevaluated", F.when(F.size("unevaluated") > 0, F.col("unevaluated")))
+    ``release_unevaluated``, where ``unevaluated`` is known, names the metrics that weren't evaluated, null where all were."""
+    if "unevaluated" in gated.columns:
+        gated = gated.withColumn("release_unevaluated", F.when(F.size("unevaluated") > 0, F.col("unevaluated")))
     return gated.withColumn("review_status", F.when(F.col("pass"), "verified").otherwise("draft")).withColumn("rejected_reasons", F.when(~F.col("pass"), F.col("reasons")))
 
 
 def written_back(products: DataFrame, gated: DataFrame) -> DataFrame:
     """Products (video_id, annotation_meta, ...) with the gate's decision in their annotation_meta, as a new version.
 
-    A product that wasn't judged stays as it is.
+    A product that wasn't judged stays as it is. Metrics that weren't evaluated are written as ``release_unevaluated``;
+    where all were, what stood there stays.
     """
-    verdict = effect(gated).select("video_id", F.col("review_status").alias("__status"), F.col("rejected_reasons").alias("__reasons"))
+    judged = effect(gated)
+    told = "release_unevaluated" in judged.columns
+    verdict = judged.select("video_id", F.col("review_status").alias("__status"), F.col("rejected_reasons").alias("__reasons"), *([F.col("release_unevaluated").alias("__open")] if told else []))
     out = products.join(verdict, "video_id", "left")
-    meta = F.col("annotation_meta")
+    meta, names = F.col("annotation_meta"), products.schema["annotation_meta"].dataType.names
     status = F.coalesce("__status", meta["review_status"])
-    fields = [f for f in products.schema["annotation_meta"].dataType.names if f not in ("review_status", "rejected_reasons")]
-    return out.select(*(c for c in products.columns if c != "annotation_meta"), F.struct(status.alias("review_status"), F.col("__reasons").alias("rejected_reasons"), *(meta[f].alias(f) for f in fields)).alias("annotation_meta"))
+    made = ("review_status", "rejected_reasons", *(["release_unevaluated"] if told else []))
+    open_ = [F.coalesce(F.col("__open"), *([meta["release_unevaluated"]] if "release_unevaluated" in names else [])).alias("release_unevaluated")] if told else []
+    return out.select(*(c for c in products.columns if c != "annotation_meta"), F.struct(status.alias("review_status"), F.col("__reasons").alias("rejected_reasons"), *(meta[f].alias(f) for f in names if f not in made), *open_).alias("annotation_meta"))
 
 
 def human_todo(noted: DataFrame, events: DataFrame, gaps: DataFrame) -> DataFrame:
