@@ -106,7 +106,7 @@ def renumber(questions: DataFrame) -> DataFrame:
     return questions.withColumn("new_qid", F.format_string("%s_q%02d", prefix, n))
 
 
-def coverage(questions: DataFrame, duration: float, least_layer: int = 2) -> DataFrame:
+def coverage(questions: DataFrame, duration: float | Column, least_layer: int = 2) -> DataFrame:
     """The capability matrix of each video, its five checks and whether all pass.
 
     Every capability of a question counts for its layer, and every span of its evidence (``spans``) for the quarter of

@@ -137,12 +137,12 @@ def every_kth(points: DataFrame, k: int) -> DataFrame:
     return points.withColumn("__p", place).where(F.col("__p") % k == 0).drop("__p")
 
 
-def round_robin_cap(anchors: DataFrame, cap: int, duration: float) -> DataFrame:
+def round_robin_cap(anchors: DataFrame, cap: int, duration: float | Column) -> DataFrame:
     """At most ``cap`` anchors a video, taken in turn from four parts of the timeline.
 
     Within a part unused anchors come first, then key events, then early ones. Videos within the cap keep all.
     """
-    scale = F.greatest(F.lit(float(duration)), F.max("e").over(Window.partitionBy("video_id")), F.lit(1.0))
+    scale = F.greatest(F.lit(duration).cast("double"), F.max("e").over(Window.partitionBy("video_id")), F.lit(1.0))
     part = F.least(F.lit(3), F.floor((F.col("s") + F.col("e")) / 2 / scale * 4)).cast("int")
     ranked = anchors.withColumn("bucket", part).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("video_id")))
     ranked = ranked.withColumn("turn", F.row_number().over(Window.partitionBy("video_id", "bucket").orderBy("used", F.col("importance") != "key", "s", "ord")))

@@ -7,10 +7,11 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.config import DEFAULT, GENRES, MODALITIES
+from tidemark.config import CAPABILITIES, DEFAULT, GENRES, MODALITIES, Thresholds
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
-from tidemark.operators import agreement, audio, engine, frames, gate, incremental, joins, narrative, pairs, providers, questions, segments, verify, workflow
+from tidemark.operators import agreement, audio, engine, frames, gate, generate, incremental, joins, narrative, pairs, providers, questions, segments, verify, workflow
+from tidemark.operators import describe as describe_tree
 from tidemark.plans import checks
 from tidemark.sources import fixtures as X
 from tidemark.sources import json_io, schema
@@ -1246,3 +1247,90 @@ def span_in_view(spark, d):
 @query
 def options_rendering(spark, d):
     return X.points(spark, d).select("ord", T.options_text(F.array("txt", F.lit("cat"), F.lit("dog"))).alias("text"))
+
+
+# --- rounds and trees of requests
+
+
+def _generation(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Recorded answers to every round: repeated questions, rows without an anchor, faults that a first or second rewrite
+    mends or none, rewrites that aren't given, and videos whose answer is empty."""
+    i, v, o = F.col("i"), F.col("video_id"), F.col("ord")
+    anchors = X.events(spark, d).select("video_id", F.concat(F.lit("e"), o.cast("string")).alias("anchor_id"), "ord", "s", F.round(F.col("e") + 6, 3).alias("e"), "importance")
+    videos = X.videos(spark, d).select("video_id", "duration", (v % 30 + 10).alias("quota"))
+    broken, long = (i % 5 < 3) & (i % 4 == 3), F.concat(F.repeat(F.lit("word "), 220), F.lit("00:10 00:20"))
+
+    def ask(requests: DataFrame) -> DataFrame:
+        rows = requests.where("not (video_id % 7 = 6 and round = 2)").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("need") + 1)))
+        at = F.try_element_at("pool", ((i * 7 + F.col("round") * 3) % F.size("pool") + 1).cast("int"))
+        kind = F.when(i % 5 < 3, "mcq").when(i % 5 == 3, "temporal_grounding").otherwise("open")
+        span = F.array(at["s"], at["e"])
+        options = F.when(broken, F.array(F.lit("aa"), F.lit("bb"))).otherwise(F.array(F.lit("aa"), F.lit("bb"), F.lit("cc"), F.lit("dd")))
+        return rows.select(
+            "video_id", i.alias("place"), F.when(i % 6 != 5, at["anchor_id"]).alias("anchor_id"), kind.alias("task_type"), F.lit(None).cast("string").alias("question_zh"),
+            F.concat(F.lit("who enters the room at 12:30 and then leaves it with "), at["anchor_id"]).alias("question_en"), F.array(span).alias("evidence"), span.alias("target"), options.alias("options"),
+            X.pick(i % 4, "ABCD").alias("answer"), F.lit("").alias("ref_zh"), long.alias("ref_en"), F.array(X.pick((i + F.col("round")) % 24, CAPABILITIES)).alias("capability"), X.pick(i % 3, ("single_scene", "cross_scene", "whole_video")).alias("min_watch"),
+        )
+
+    def rewrite(bad: DataFrame) -> DataFrame:
+        rows = bad.where((F.col("place") + F.col("attempt")) % 3 != 0)
+        mended = (F.col("attempt") == 2) | (F.col("place") % 8 == 3)
+        options = F.when(mended, F.array(F.lit("aa"), F.lit("bb"), F.lit("cc"), F.lit("dd"))).otherwise(F.col("options"))
+        named = F.when(F.col("place") % 2 == 0, F.col("anchor_id")).otherwise("")
+        return rows.withColumn("options", options).withColumn("question_en", F.concat("question_en", F.lit(" again"))).withColumn("anchor_id", named)
+
+    return generate.generated(videos, anchors, ask, rewrite, limits=Thresholds(anchor_cap=30))
+
+
+@query
+def question_generation(spark, d):
+    """Every question that rounds of generation accept."""
+    return _generation(spark, d)[0].select("video_id", "qid", "round", "anchor_id", "task_type", "key")
+
+
+@query
+def generation_report(spark, d):
+    """The matrix that the rounds reach, and what became of the answers."""
+    return _generation(spark, d)[1]
+
+
+def _described(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Recorded answers with failures at each level: no answer, no text, short or poor texts, sides that can't be filled,
+    texts that come back unlike, groups and wholes without an answer."""
+    v, o, level = F.col("video_id"), F.col("ord"), F.col("level")
+    k = v + o
+    full = F.when(level == "shot", F.repeat(F.lit("字"), 80)).when(level == "segment", F.concat(F.repeat(F.lit("镜"), 400), F.lit("00:10 00:20"))).otherwise(F.repeat(F.lit("全"), 10))
+
+    def describe(rows: DataFrame) -> DataFrame:
+        shot, m = level == "shot", F.when(level == "shot", (k + F.col("attempt")) % 4).otherwise((k + F.col("attempt")) % 5)
+        zh = F.when(shot, F.when(m == 1, full).when(m == 3, "short")).otherwise(F.when(m < 3, full).when(m == 3, F.repeat(F.lit("镜"), 400)).otherwise(" "))
+        words = F.concat(F.repeat(F.lit("word "), 350), F.when(m == 2, F.concat(F.lit("00:10 00:20 n"), F.size("parts").cast("string"))).otherwise(""))
+        en = F.when(shot, F.when(m == 2, F.repeat(F.lit("word "), 60))).otherwise(F.when(m.isin(2, 3), words))
+        return rows.where(m != 0).select("video_id", "level", "ord", zh.alias("zh"), en.alias("en"), F.when(k % 7 == 3, 2).otherwise(6).alias("elements"))
+
+    translate = lambda r: r.where(k % 3 != 0).select("video_id", "level", "ord", F.when(k % 11 == 1, " ").when(F.col("to") == "zh", full).otherwise(F.repeat(F.lit("word "), F.when(k % 5 == 0, 10).otherwise(300))).alias("text"))
+    back = lambda r: r.where(k % 4 != 0).select("video_id", "level", "ord", F.when(k % 4 == 1, "xyz").otherwise(full).alias("text"))
+
+    def combine(rows: DataFrame) -> DataFrame:
+        whole, n = level == "whole", F.size("parts")
+        starts = F.concat(F.lit("whole "), F.array_join(F.transform("parts", lambda p: p["s"].cast("int").cast("string")), "|"))
+        return rows.where(F.when(whole, v % 10 != 7).otherwise(k % 6 != 0)).select(
+            "video_id", "level", "ord", F.when(whole, F.repeat(F.lit("全"), n * 200)).otherwise("组").alias("zh"), F.when(~whole | (v % 3 != 0), starts).alias("en")
+        )
+
+    windows = segments.fixed_windows(X.videos(spark, d), 20.0).where("video_id % 4 <> 1 or s < 240")
+    shots = X.shots(spark, d).select("*", F.when(v % 5 == 0, "已有描述").alias("zh"), F.lit(None).cast("string").alias("en"))
+    return describe_tree.described(X.videos(spark, d), shots, windows, describe, translate, combine, back)
+
+
+@query
+def dense_description(spark, d):
+    """The whole description of each video with its counts and issues."""
+    out = _described(spark, d)[3]
+    return out.select("video_id", "full_len_zh", F.md5(F.coalesce("en", F.lit("-")).cast("binary")).alias("en"), F.array_join("issues", ",").alias("issues"), "shot_ok", "shot_total", "segment_ok", "segment_total", "n_quiet")
+
+
+@query
+def quiet_requests(spark, d):
+    """What no attempt could describe, at every level."""
+    return _described(spark, d)[2].select("video_id", "level", "ord", r6("s").alias("s"), r6("e").alias("e"), "reason")

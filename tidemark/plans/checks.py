@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.config import GENRES
+from tidemark.config import CAPABILITIES, GENRES
 from tidemark.functions import text as T
 from tidemark.sources.fixtures import SQL as VIEWS
 
@@ -749,3 +749,67 @@ SELECT video_id, count(*) AS n, count(DISTINCT frame) AS n_frames, round(sum(fra
 FROM (SELECT video_id, round(720.0::DOUBLE * i / 37, 3) AS t FROM v_videos, range(1, 37) r(i) WHERE video_id % 5 <> 0) a) GROUP BY video_id
 """),
 }
+
+
+def _rounds(most: int) -> str:
+    """The rounds of ``_generation`` one after the other, as far as the largest quota goes."""
+    keep = "CASE WHEN NOT inside THEN 0 WHEN NOT broken THEN 1 WHEN (i + 1) % 3 = 0 THEN 0 WHEN i % 8 = 3 THEN 2 WHEN (i + 2) % 3 = 0 THEN 0 ELSE 3 END"
+    out = ["""
+anc AS MATERIALIZED (SELECT video_id, 'e' || ord AS aid, ord, s, round(e + 6, 3) AS e, importance, greatest(720.0, max(round(e + 6, 3)) OVER (PARTITION BY video_id)) AS scale FROM v_events),
+st0 AS MATERIALIZED (SELECT video_id, video_id % 30 + 10 AS quota, 0::BIGINT AS n, []::VARCHAR[] AS used, []::VARCHAR[] AS keys, 0::BIGINT AS reused, 0::BIGINT AS dups, 0::BIGINT AS prompted, 0::BIGINT AS rounds, true AS open FROM v_videos)"""]
+    for r in range(1, most + 1):
+        out.append(f"""
+rq{r} AS MATERIALIZED (SELECT *, least(20, quota - n) AS need FROM st{r - 1} WHERE open AND n < quota AND {r} <= 2 + ceil(quota / 20.0)),
+tn{r} AS (SELECT a.*, least(3, floor((a.s + a.e) / 2 / scale * 4)) AS b, row_number() OVER (PARTITION BY a.video_id, least(3, floor((a.s + a.e) / 2 / scale * 4)) ORDER BY list_contains(q.used, aid), importance <> 'key', s, ord) AS turn FROM anc a JOIN rq{r} q USING (video_id)),
+pl{r} AS MATERIALIZED (SELECT video_id, list({{'aid': aid, 's': s, 'e': e}} ORDER BY s, e, aid) AS pool FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY turn, b) AS place FROM tn{r}) WHERE place <= 30 GROUP BY video_id),
+rw{r} AS MATERIALIZED (SELECT video_id, i, CASE WHEN i % 6 <> 5 THEN a.aid END AS aid, a.s AS s, a.e <= 721 AND a.s >= 0 AS inside, i % 5 < 3 AND i % 4 = 3 AS broken, 'who enters the room at 12:30 and then leaves it with ' || a.aid AS stem, substr('ABCD', (i % 4 + 1)::INT, 1) AS answer
+  FROM (SELECT video_id, i, pool[((i * 7 + {r} * 3) % len(pool) + 1)::INT] AS a FROM (SELECT video_id, unnest(range(0, (need + 2)::BIGINT)) AS i FROM rq{r} WHERE NOT (video_id % 7 = 6 AND {r} = 2)) JOIN pl{r} USING (video_id))),
+gd{r} AS MATERIALIZED (SELECT *, regexp_replace(lower(stem || CASE k WHEN 2 THEN ' again' WHEN 3 THEN ' again again' ELSE '' END), '[^\\p{{L}}\\p{{N}}]+', '', 'g') || '|' || answer AS key FROM (SELECT *, {keep} AS k FROM rw{r} WHERE aid IS NOT NULL) WHERE k > 0),
+fr{r} AS MATERIALIZED (SELECT g.video_id, {r}::BIGINT AS round, i, aid, s, key, q.n + row_number() OVER (PARTITION BY g.video_id ORDER BY i) AS place FROM (SELECT *, row_number() OVER (PARTITION BY video_id, key ORDER BY i) AS c FROM gd{r}) g JOIN rq{r} q ON q.video_id = g.video_id WHERE c = 1 AND NOT list_contains(q.keys, key)),
+st{r} AS MATERIALIZED (SELECT o.video_id, quota, o.n + coalesce(f.n, 0) AS n, list_distinct(list_concat(o.used, coalesce(f.used, []))) AS used, list_concat(o.keys, coalesce(f.keys, [])) AS keys, reused + coalesce(w.n, 0) - coalesce(g.n, 0) AS reused, dups + coalesce(g.n, 0) - coalesce(f.n, 0) AS dups,
+  coalesce(len(p.pool), prompted) AS prompted, CASE WHEN q.video_id IS NOT NULL THEN {r} ELSE rounds END AS rounds, open AND (q.video_id IS NULL OR w.video_id IS NOT NULL) AS open FROM st{r - 1} o LEFT JOIN (SELECT video_id FROM rq{r}) q USING (video_id) LEFT JOIN pl{r} p USING (video_id)
+  LEFT JOIN (SELECT video_id, count(aid) AS n FROM rw{r} GROUP BY video_id) w USING (video_id) LEFT JOIN (SELECT video_id, count(*) AS n FROM gd{r} GROUP BY video_id) g USING (video_id) LEFT JOIN (SELECT video_id, count(*) AS n, list(aid) AS used, list(key) AS keys FROM fr{r} GROUP BY video_id) f USING (video_id))""")
+    out.append("""
+gq AS (SELECT *, CASE WHEN i % 5 < 3 THEN 'mcq' WHEN i % 5 = 3 THEN 'temporal_grounding' ELSE 'open' END AS task_type, ({caps})[((i + round) % 24 + 1)::INT] AS capability FROM ({all}))""".format(caps=str(list(CAPABILITIES)), all=" UNION ALL ".join(f"SELECT * FROM fr{r}" for r in range(1, most + 1))))
+    return ",".join(out)
+
+
+_GENERATION = _rounds(4)
+_MATRIX = {
+        "ok_layers": "least(L1, L2, L3, L4, L5) >= 2", "ok_cross": '"cross" / m.n >= 0.5', "ok_mcq": "mcq / m.n BETWEEN 0.5 AND 0.7", "ok_temporal": "temporal_grounding / m.n BETWEEN 0.15 AND 0.25", "ok_buckets": "least(b0, b1, b2, b3) >= 0.15 * m.n",
+    }
+SQL["question_generation"] = _sql("SELECT video_id, video_id || '_q' || CASE WHEN place < 10 THEN '0' ELSE '' END || place AS qid, round, aid AS anchor_id, task_type, key FROM gq", _GENERATION)
+SQL["generation_report"] = _sql("""
+SELECT s.video_id, quota AS target, rounds, reused AS reused_anchor, dups AS duplicates_dropped, len(used) AS anchors_used, prompted AS anchors_prompted, (SELECT count(*) FROM anc WHERE anc.video_id = s.video_id) AS anchors_total, coalesce(m.n, 0) AS n, {counts}, {checks},
+  {all_} AS ok FROM st4 s LEFT JOIN (SELECT video_id, count(*) AS n, {layers}, count(*) FILTER (WHERE i % 3 > 0) AS "cross", {tasks}, {buckets} FROM gq GROUP BY video_id) m USING (video_id)
+""".format(
+    counts=", ".join(f'coalesce("{c}", 0)::BIGINT AS "{c}"' for c in ("L1", "L2", "L3", "L4", "L5", "cross", "mcq", "temporal_grounding", "open", "summary", "b0", "b1", "b2", "b3")),
+    checks=", ".join(f"coalesce({c}, false) AS {n}" for n, c in _MATRIX.items()),
+    all_=" AND ".join(f"coalesce({c}, false)" for c in _MATRIX.values()),
+    layers=", ".join(f"count(*) FILTER (WHERE starts_with(capability, 'L{i}')) AS L{i}" for i in range(1, 6)), tasks=", ".join(f"count(*) FILTER (WHERE task_type = '{t}') AS {t}" for t in ("mcq", "temporal_grounding", "open", "summary")),
+    buckets=", ".join(f"count(*) FILTER (WHERE least(3, floor(s / 720 * 4)) = {i}) AS b{i}" for i in range(4)),
+), _GENERATION)
+
+_TREE = """
+o AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY s, e) AS rn FROM v_shots),
+w AS (SELECT video_id, rn, s, s AS gs, e, 1::BIGINT AS g FROM o WHERE rn = 1
+  UNION ALL SELECT o.video_id, o.rn, o.s, CASE WHEN o.e - w.gs < 15 THEN w.gs ELSE o.s END, o.e, CASE WHEN o.e - w.gs < 15 THEN w.g ELSE w.g + 1 END FROM w JOIN o ON o.video_id = w.video_id AND o.rn = w.rn + 1),
+sh AS MATERIALIZED (SELECT *, video_id % 5 = 0 OR (video_id + g) % 7 <> 3 AS ok FROM w),
+qs AS (SELECT video_id, 'shot' AS level, g AS ord, min(gs) AS s, max(e) AS e, CASE (video_id + g + 2) % 4 WHEN 0 THEN 'no answer' WHEN 3 THEN 'length; elements 2' ELSE 'elements 2' END AS reason FROM sh WHERE NOT ok GROUP BY video_id, g),
+wn AS (SELECT video_id, k + 1 AS ord, video_id + k + 1 AS kk, k * 20.0::DOUBLE AS s, k * 20.0::DOUBLE + 20 AS e FROM v_videos, range(36) r(k) WHERE video_id % 4 <> 1 OR k < 12),
+sg AS MATERIALIZED (SELECT *, CASE WHEN kk % 7 = 3 THEN 0 WHEN kk % 5 IN (0, 1, 4) THEN 1 WHEN kk % 5 = 2 THEN 2 ELSE 0 END AS sides, CASE WHEN kk % 5 = 3 THEN 'no answer' WHEN (kk + 2) % 5 IN (1, 2) THEN 'elements 2' WHEN (kk + 2) % 5 = 3 THEN 'anchors; elements 2' ELSE 'no text' END AS reason FROM wn),
+si AS (SELECT *, CASE WHEN sides = 1 AND (kk % 3 = 0 OR kk % 11 = 1) THEN 0 WHEN sides = 1 THEN CASE WHEN kk % 5 = 0 THEN 10 ELSE 300 END ELSE 353 END AS words FROM sg WHERE sides > 0),
+sl AS (SELECT video_id, string_agg(concat_ws(',', CASE WHEN words = 0 THEN 'en fill failed' END, CASE WHEN words = 10 THEN 'length ratio' END, CASE WHEN words > 0 AND kk % 4 = 1 THEN 'back translation' END), ',' ORDER BY ord) FILTER (WHERE words IN (0, 10) OR kk % 4 = 1) AS below FROM si GROUP BY video_id),
+rk AS (SELECT *, (row_number() OVER (PARTITION BY video_id ORDER BY ord) - 1) // 15 + 1 AS part, count(*) OVER (PARTITION BY video_id) > 15 AS many FROM si),
+gr AS MATERIALIZED (SELECT video_id, part AS ord, min(s) AS s, max(e) AS e FROM rk WHERE many GROUP BY video_id, part),
+wh AS MATERIALIZED (SELECT video_id, count(*) AS n, min(s) AS s, max(e) AS e, string_agg(s::INT::VARCHAR, '|' ORDER BY s) AS starts FROM (SELECT video_id, s, e FROM gr WHERE (video_id + ord) % 6 <> 0 UNION ALL SELECT video_id, s, e FROM rk WHERE NOT many) GROUP BY video_id),
+qt AS MATERIALIZED (SELECT * FROM qs UNION ALL SELECT video_id, 'segment', ord, s, e, reason FROM sg WHERE sides = 0 UNION ALL SELECT video_id, 'group', ord, s, e, 'no answer' FROM gr WHERE (video_id + ord) % 6 = 0 UNION ALL SELECT video_id, 'whole', 1, s, e, 'no answer' FROM wh WHERE video_id % 10 = 7),
+wx AS (SELECT *, video_id + 1 AS kk, CASE WHEN video_id % 3 <> 0 THEN 2 WHEN (video_id + 1) % 3 = 0 OR (video_id + 1) % 11 = 1 THEN 0 WHEN (video_id + 1) % 5 = 0 THEN 10 ELSE 300 END AS words FROM wh WHERE video_id % 10 <> 7)
+"""
+SQL["quiet_requests"] = _sql("SELECT video_id, level, ord, round(s, 6) AS s, round(e, 6) AS e, reason FROM qt", _TREE)
+SQL["dense_description"] = _sql("""
+SELECT v.video_id, coalesce(x.n * 200, 0) AS full_len_zh, md5(CASE WHEN coalesce(words, 0) = 0 THEN '-' WHEN words = 2 THEN 'whole ' || starts ELSE rtrim(repeat('word ', words)) END) AS en,
+  concat_ws(',', below, CASE WHEN words = 0 THEN 'en fill failed' END, CASE WHEN words > 0 AND NOT x.n * 200 / words BETWEEN 0.4 AND 2.5 THEN 'length ratio' END, CASE WHEN words > 0 AND kk % 4 = 1 THEN 'back translation' END, CASE WHEN coalesce(x.n * 200, 0) < 1000 THEN 'short' END) AS issues,
+  shot_ok, shot_total, segment_ok, segment_total, coalesce(n_quiet, 0) AS n_quiet FROM v_videos v LEFT JOIN wx x USING (video_id) LEFT JOIN sl USING (video_id) LEFT JOIN (SELECT video_id, count(*) FILTER (WHERE ok) AS shot_ok, count(*) AS shot_total FROM sh GROUP BY video_id) USING (video_id)
+  LEFT JOIN (SELECT video_id, count(*) FILTER (WHERE sides > 0) AS segment_ok, count(*) AS segment_total FROM sg GROUP BY video_id) USING (video_id) LEFT JOIN (SELECT video_id, count(*) AS n_quiet FROM qt GROUP BY video_id) USING (video_id)
+""", _TREE)
