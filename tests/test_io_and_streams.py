@@ -125,3 +125,38 @@ def test_private_fields_go_at_every_depth(spark):
     assert out.schema.simpleString() == "struct<b:struct<d:array<struct<e:int>>,m:map<string,struct<g:int>>>,only:struct<_z:int>>"
     first, second = out.collect()
     assert first["b"]["d"] == [(3,), None] and first["b"]["m"] == {"k": (5,)} and second["b"] is None
+
+
+@pytest.mark.parametrize("size", [3, 11, 1000])
+def test_manifest_stream_is_the_batch_whatever_the_split(spark, tmp_path, size):
+    import random
+
+    from tidemark.streaming import manifests
+
+    r = random.Random(7)
+    rows = [(1, 1, "stage", "S1", "done", "a", None, None, None, None, None, None), (1, 2, "stage", "S2", "done", "b", "o", None, None, None, None, None), (1, 3, "stage", "S1", "done", "c", None, None, None, None, None, None),
+            (1, 4, "stage", "S5", "failed", None, None, "why", None, None, None, None), (2, 90_000, "todo", None, None, None, None, None, "q", '{"a": "é\\""}', None, None), (2, None, "todo", None, None, None, None, None, "q", "x", None, None)]
+    for _ in range(60):
+        v, at, kind = r.randrange(3), r.randrange(40), r.choice(["stage", "stage", "stage", "todo", "gap", "clear_gaps", "stats", "frames", "other"])
+        rows.append((v, at, kind, f"S{r.randrange(1, 8)}", r.choice(["done", "failed"]), r.choice(["a", "b", None]), None, None, r.choice(["x", "y", None]), r.choice(["1", "2", None]), at / 7, at / 3))
+    rows += r.sample(rows, 15)
+    r.shuffle(rows)
+    schema = "video_id long, " + incremental.LOG_KINDS
+    for at in range(0, len(rows), size):
+        spark.createDataFrame(rows[at : at + size], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        if at in (0, size):
+            manifests.keep(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    manifests.keep(spark.readStream.schema(schema).option("maxFilesPerTrigger", 9).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    want = {x["video_id"]: x for x in incremental.manifest(spark.createDataFrame(rows, schema)).collect()}
+    got = {x["video_id"]: x for x in manifests.current(spark, str(tmp_path / "out")).select(*next(iter(want.values())).asDict()).collect()}
+    assert got == want and len(want) == 3
+
+
+def test_a_changed_hash_sends_what_reads_it_back(spark):
+    row = lambda at, stage, h: (1, at, "stage", stage, "done", h, None, None, None, None, None, None)
+    schema = "video_id long, " + incremental.LOG_KINDS
+    told = lambda rows: [s["stage"] for s in incremental.manifest(spark.createDataFrame(rows, schema)).first()["stages"]]
+    first = [row(1, "S1", "a"), row(2, "S2", "b"), row(3, "S3", "c"), row(4, "S6", "d")]
+    assert told(first) == ["S1", "S2", "S3", "S6"] and told([*first, row(5, "S1", "a")]) == ["S1", "S2", "S3", "S6"]
+    assert told([*first, row(5, "S1", "x")]) == ["S1"] and told([*first, row(5, "S2", "x"), row(6, "S3", "c")]) == ["S1", "S2", "S3"]
+    assert incremental.manifest(spark.createDataFrame([], schema)).count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Which stage is read by which. S1 structure, S2 descriptions, S3 events, S4 the whole, S5 questions,
@@ -74,3 +74,47 @@ def downstream(spark: SparkSession, changed: DataFrame, depends=DEPENDS) -> Data
 
 def misses(requests: DataFrame, cache: DataFrame, key: str = "key_hash") -> DataFrame:
     return requests.join(cache.select(key).distinct(), key, "left_anti")
+
+
+#: A row of a manifest's log: when (seconds), what kind, and what that kind needs.
+LOG = ("at", "kind", "stage", "state", "input_hash", "output", "error", "name", "value", "s", "e")
+LOG_KINDS = "at long, kind string, stage string, state string, input_hash string, output string, error string, name string, value string, s double, e double"
+
+
+def manifest(log: DataFrame, depends=DEPENDS) -> DataFrame:
+    """One row a video of what its ``log`` (video_id and ``LOG``) amounts to, whatever its order; repeated rows count once.
+
+    ``stage`` rows set a stage; the last of each counts. Where a row's input hash differs from that of the row before, all
+    that reads the stage, directly or not, is pending again unless it was set later. ``todo`` rows (name, value) are a list
+    in order of time with their day; ``gap`` rows (s, e, value) count after the last ``clear_gaps``; of ``stats`` rows the
+    last of each name counts, of ``frames`` rows the last. Other kinds, and rows without a time, are passed over. Ties in
+    time go by the rest of the row. A video's log is bounded: its runs times its stages.
+    """
+    rows = log.select("video_id", *LOG).where("at is not null").distinct()
+    whole = F.struct("at", *(c for c in LOG if c not in ("at", "kind")))
+    before = Window.partitionBy("video_id", "stage").orderBy("at", whole)
+    sets = rows.where("kind = 'stage' and stage is not null").withColumn("moved", (F.row_number().over(before) > 1) & ~F.col("input_hash").eqNullSafe(F.lag("input_hash").over(before)))
+    last = sets.groupBy("video_id", "stage").agg(F.max(whole).alias("x"), F.max(F.when(F.col("moved"), F.col("at"))).alias("moved_at"))
+    reads: dict[str, set[str]] = {}
+    for _ in depends:  # the stage graph is a constant: all that each stage reads, at any distance
+        for src, dst in depends:
+            reads.setdefault(dst, set()).update({src}, reads.get(src, set()))
+    moves = F.map_from_entries(F.collect_list(F.struct("stage", "moved_at")))
+    above = F.map_from_entries(F.array(*(F.struct(F.lit(d), F.array(*map(F.lit, sorted(up)))) for d, up in sorted(reads.items()))))
+    held = last.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("stage", "x"))).alias("all"), moves.alias("moves"))
+    stale = lambda z: F.exists(F.coalesce(F.try_element_at(above, z["stage"]), F.array().cast("array<string>")), lambda u: F.coalesce(F.try_element_at("moves", u) > z["x"]["at"], F.lit(False)))
+    shown = lambda z: F.struct(z["stage"].alias("stage"), z["x"]["state"].alias("state"), z["x"]["input_hash"].alias("input_hash"), z["x"]["output"].alias("output"), z["x"]["error"].alias("error"), z["x"]["at"].alias("at"))
+    stages = held.select("video_id", F.transform(F.filter("all", lambda z: ~stale(z)), shown).alias("stages"))
+    day = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("at") / 86400).cast("int")), "yyyy-MM-dd")
+    todos = rows.where("kind = 'todo'").groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("at", "name", "value", day.alias("created")))).alias("todos"))
+    cleared = rows.where("kind in ('gap', 'clear_gaps')").withColumn("clear", F.max(F.when(F.col("kind") == "clear_gaps", F.col("at"))).over(Window.partitionBy("video_id")))
+    holes = cleared.where("kind = 'gap' and (clear is null or at > clear)").groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("at", F.round("s", 3).alias("s"), F.round("e", 3).alias("e"), F.col("value").alias("reason")))).alias("gaps"))
+    stats = rows.where("kind = 'stats' and name is not null").groupBy("video_id", "name").agg(F.max(F.struct("at", "value"))["value"].alias("value"))
+    stats = stats.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("name", "value"))).alias("stats"))
+    frames = rows.where("kind = 'frames'").groupBy("video_id").agg(F.max(F.struct("at", "value"))["value"].alias("frames"))
+    out = rows.select("video_id").distinct()
+    for part in (stages, todos, holes, stats, frames):
+        out = out.join(part, "video_id", "left")
+    for c in ("stages", "todos", "gaps", "stats"):
+        out = out.withColumn(c, F.coalesce(c, F.array().cast(out.schema[c].dataType)))
+    return out

@@ -1334,3 +1334,17 @@ def dense_description(spark, d):
 def quiet_requests(spark, d):
     """What no attempt could describe, at every level."""
     return _described(spark, d)[2].select("video_id", "level", "ord", r6("s").alias("s"), r6("e").alias("e"), "reason")
+
+
+@query
+def manifest_log(spark, d):
+    """What the logged states, todos, gaps and statistics of each video amount to."""
+    o = F.col("ord")
+    kind = F.when(o % 8 < 4, "stage").when(o % 8 == 4, "todo").when(o % 8 == 5, "gap").when(o % 8 == 6, "stats").when(o % 24 == 7, "clear_gaps").otherwise("frames")
+    log = X.spans(spark, d).select(
+        "video_id", (o * 7919 % 1000003).alias("at"), kind.alias("kind"), F.concat(F.lit("S"), (F.floor(o / 8) % 7 + 1).cast("string")).alias("stage"), X.pick(o % 3, ("done", "failed", "skipped")).alias("state"),
+        F.concat(F.lit("h"), (o % 2).cast("string")).alias("input_hash"), F.lit(None).cast("string").alias("output"), F.lit(None).cast("string").alias("error"), F.col("txt").alias("name"), o.cast("string").alias("value"), "s", "e",
+    )
+    out = incremental.manifest(log.unionByName(log.where("at % 5 = 0")))
+    shown = lambda c, *f: F.array_join(F.transform(c, lambda x: F.concat_ws(":", *(x[n].cast("string") for n in f))), " ").alias(c)
+    return out.select("video_id", shown("stages", "stage", "state", "input_hash", "at"), shown("todos", "created", "name", "value"), shown("gaps", "reason"), shown("stats", "name", "value"), "frames")

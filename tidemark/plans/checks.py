@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.config import CAPABILITIES, GENRES
 from tidemark.functions import text as T
+from tidemark.operators.incremental import DEPENDS
 from tidemark.sources.fixtures import SQL as VIEWS
 
 _IOU = "CASE WHEN greatest({e1},{e2}) - least({s1},{s2}) <= 0 THEN 0.0 ELSE greatest(0.0, least({e1},{e2}) - greatest({s1},{s2})) / (greatest({e1},{e2}) - least({s1},{s2})) END"
@@ -783,7 +784,7 @@ SQL["generation_report"] = _sql("""
 SELECT s.video_id, quota AS target, rounds, reused AS reused_anchor, dups AS duplicates_dropped, len(used) AS anchors_used, prompted AS anchors_prompted, (SELECT count(*) FROM anc WHERE anc.video_id = s.video_id) AS anchors_total, coalesce(m.n, 0) AS n, {counts}, {checks},
   {all_} AS ok FROM st4 s LEFT JOIN (SELECT video_id, count(*) AS n, {layers}, count(*) FILTER (WHERE i % 3 > 0) AS "cross", {tasks}, {buckets} FROM gq GROUP BY video_id) m USING (video_id)
 """.format(
-    counts=", ".join(f'coalesce("{c}", 0)::BIGINT AS "{c}"' for c in ("L1", "L2", "L3", "L4", "L5", "cross", "mcq", "temporal_grounding", "open", "summary", "b0", "b1", "b2", "b3")),
+    counts=", ".join(f'coalesce(m."{c}", 0)::BIGINT AS "{c}"' for c in ("L1", "L2", "L3", "L4", "L5", "cross", "mcq", "temporal_grounding", "open", "summary", "b0", "b1", "b2", "b3")),
     checks=", ".join(f"coalesce({c}, false) AS {n}" for n, c in _MATRIX.items()),
     all_=" AND ".join(f"coalesce({c}, false)" for c in _MATRIX.values()),
     layers=", ".join(f"count(*) FILTER (WHERE starts_with(capability, 'L{i}')) AS L{i}" for i in range(1, 6)), tasks=", ".join(f"count(*) FILTER (WHERE task_type = '{t}') AS {t}" for t in ("mcq", "temporal_grounding", "open", "summary")),
@@ -813,3 +814,17 @@ SELECT v.video_id, coalesce(x.n * 200, 0) AS full_len_zh, md5(CASE WHEN coalesce
   shot_ok, shot_total, segment_ok, segment_total, coalesce(n_quiet, 0) AS n_quiet FROM v_videos v LEFT JOIN wx x USING (video_id) LEFT JOIN sl USING (video_id) LEFT JOIN (SELECT video_id, count(*) FILTER (WHERE ok) AS shot_ok, count(*) AS shot_total FROM sh GROUP BY video_id) USING (video_id)
   LEFT JOIN (SELECT video_id, count(*) FILTER (WHERE sides > 0) AS segment_ok, count(*) AS segment_total FROM sg GROUP BY video_id) USING (video_id) LEFT JOIN (SELECT video_id, count(*) AS n_quiet FROM qt GROUP BY video_id) USING (video_id)
 """, _TREE)
+
+SQL["manifest_log"] = _sql("""
+SELECT v.video_id, coalesce(stages, '') AS stages, coalesce(todos, '') AS todos, coalesce(gaps, '') AS gaps, coalesce(stats, '') AS stats, frames FROM (SELECT DISTINCT video_id FROM lg) v
+LEFT JOIN (SELECT video_id, string_agg(stage || ':' || state || ':' || hash || ':' || at, ' ' ORDER BY stage) AS stages FROM lt x WHERE NOT EXISTS (SELECT 1 FROM reach c JOIN lt u ON u.stage = c.src WHERE c.dst = x.stage AND u.video_id = x.video_id AND u.moved_at > x.at) GROUP BY video_id) USING (video_id)
+LEFT JOIN (SELECT video_id, string_agg(strftime(DATE '1970-01-01' + (at // 86400)::INT, '%Y-%m-%d') || ':' || txt || ':' || ord, ' ' ORDER BY at) AS todos FROM lg WHERE ord % 8 = 4 GROUP BY video_id) USING (video_id)
+LEFT JOIN (SELECT video_id, string_agg(ord::VARCHAR, ' ' ORDER BY at) AS gaps FROM lg g WHERE ord % 8 = 5 AND NOT EXISTS (SELECT 1 FROM lg c WHERE c.video_id = g.video_id AND c.ord % 24 = 7 AND c.at >= g.at) GROUP BY video_id) USING (video_id)
+LEFT JOIN (SELECT video_id, string_agg(txt || ':' || o, ' ' ORDER BY txt) AS stats FROM (SELECT video_id, txt, arg_max(ord, at) AS o FROM lg WHERE ord % 8 = 6 GROUP BY ALL) GROUP BY video_id) USING (video_id)
+LEFT JOIN (SELECT video_id, arg_max(ord, at)::VARCHAR AS frames FROM lg WHERE ord % 8 = 7 AND ord % 24 <> 7 GROUP BY video_id) USING (video_id)
+""", """
+lg AS MATERIALIZED (SELECT *, ord * 7919 % 1000003 AS at, 'S' || (ord // 8 % 7 + 1) AS stage, (['done', 'failed', 'skipped'])[(ord % 3 + 1)::INT] AS state, 'h' || ord % 2 AS hash FROM v_spans),
+lt AS MATERIALIZED (SELECT video_id, stage, max(at) AS at, arg_max(state, at) AS state, arg_max(hash, at) AS hash, max(CASE WHEN moved THEN at END) AS moved_at FROM (SELECT *, lag(hash) OVER (PARTITION BY video_id, stage ORDER BY at) <> hash AS moved FROM lg WHERE ord % 8 < 4) GROUP BY ALL),
+edge AS (SELECT unnest([%s]) AS p),
+reach AS (SELECT p[1] AS src, p[2] AS dst FROM edge UNION SELECT r.src, p[2] FROM reach r JOIN edge ON p[1] = r.dst)
+""" % ", ".join(f"['{a}', '{b}']" for a, b in DEPENDS))
