@@ -817,14 +817,14 @@ SELECT v.video_id, coalesce(x.n * 200, 0) AS full_len_zh, md5(CASE WHEN coalesce
 
 SQL["manifest_log"] = _sql("""
 SELECT v.video_id, coalesce(stages, '') AS stages, coalesce(todos, '') AS todos, coalesce(gaps, '') AS gaps, coalesce(stats, '') AS stats, frames FROM (SELECT DISTINCT video_id FROM lg) v
-LEFT JOIN (SELECT video_id, string_agg(stage || ':' || state || ':' || hash || ':' || at, ' ' ORDER BY stage) AS stages FROM lt x WHERE NOT EXISTS (SELECT 1 FROM reach c JOIN lt u ON u.stage = c.src WHERE c.dst = x.stage AND u.video_id = x.video_id AND u.moved_at > x.at) GROUP BY video_id) USING (video_id)
-LEFT JOIN (SELECT video_id, string_agg(strftime(DATE '1970-01-01' + (at // 86400)::INT, '%Y-%m-%d') || ':' || txt || ':' || ord, ' ' ORDER BY at) AS todos FROM lg WHERE ord % 8 = 4 GROUP BY video_id) USING (video_id)
-LEFT JOIN (SELECT video_id, string_agg(ord::VARCHAR, ' ' ORDER BY at) AS gaps FROM lg g WHERE ord % 8 = 5 AND NOT EXISTS (SELECT 1 FROM lg c WHERE c.video_id = g.video_id AND c.ord % 24 = 7 AND c.at >= g.at) GROUP BY video_id) USING (video_id)
-LEFT JOIN (SELECT video_id, string_agg(txt || ':' || o, ' ' ORDER BY txt) AS stats FROM (SELECT video_id, txt, arg_max(ord, at) AS o FROM lg WHERE ord % 8 = 6 GROUP BY ALL) GROUP BY video_id) USING (video_id)
-LEFT JOIN (SELECT video_id, arg_max(ord, at)::VARCHAR AS frames FROM lg WHERE ord % 8 = 7 AND ord % 24 <> 7 GROUP BY video_id) USING (video_id)
+LEFT JOIN (SELECT video_id, string_agg(stage || ':' || state || ':' || hash || ':' || tm, ' ' ORDER BY stage) AS stages FROM lt x WHERE NOT EXISTS (SELECT 1 FROM reach c JOIN lt u ON u.stage = c.src WHERE c.dst = x.stage AND u.video_id = x.video_id AND u.moved_at > x.tm) GROUP BY video_id) USING (video_id)
+LEFT JOIN (SELECT video_id, string_agg(strftime(DATE '1970-01-01' + (tm // 86400)::INT, '%Y-%m-%d') || ':' || txt || ':' || ord, ' ' ORDER BY tm) AS todos FROM lg WHERE ord % 8 = 4 GROUP BY video_id) USING (video_id)
+LEFT JOIN (SELECT video_id, string_agg(ord::VARCHAR, ' ' ORDER BY tm) AS gaps FROM lg g WHERE ord % 8 = 5 AND NOT EXISTS (SELECT 1 FROM lg c WHERE c.video_id = g.video_id AND c.ord % 24 = 7 AND c.tm >= g.tm) GROUP BY video_id) USING (video_id)
+LEFT JOIN (SELECT video_id, string_agg(txt || ':' || o, ' ' ORDER BY txt) AS stats FROM (SELECT video_id, txt, arg_max(ord, tm) AS o FROM lg WHERE ord % 8 = 6 GROUP BY ALL) GROUP BY video_id) USING (video_id)
+LEFT JOIN (SELECT video_id, arg_max(ord, tm)::VARCHAR AS frames FROM lg WHERE ord % 8 = 7 AND ord % 24 <> 7 GROUP BY video_id) USING (video_id)
 """, """
-lg AS MATERIALIZED (SELECT *, ord * 7919 % 1000003 AS at, 'S' || (ord // 8 % 7 + 1) AS stage, (['done', 'failed', 'skipped'])[(ord % 3 + 1)::INT] AS state, 'h' || ord % 2 AS hash FROM v_spans),
-lt AS MATERIALIZED (SELECT video_id, stage, max(at) AS at, arg_max(state, at) AS state, arg_max(hash, at) AS hash, max(CASE WHEN moved THEN at END) AS moved_at FROM (SELECT *, lag(hash) OVER (PARTITION BY video_id, stage ORDER BY at) <> hash AS moved FROM lg WHERE ord % 8 < 4) GROUP BY ALL),
-edge AS (SELECT unnest([%s]) AS p),
+lg AS MATERIALIZED (SELECT *, ord * 7919 % 1000003 AS tm, 'S' || (ord // 8 % 7 + 1) AS stage, (['done', 'failed', 'skipped'])[(ord % 3 + 1)::INT] AS state, 'h' || ord % 2 AS hash FROM v_spans),
+lt AS MATERIALIZED (SELECT video_id, stage, max(tm) AS tm, arg_max(state, tm) AS state, arg_max(hash, tm) AS hash, max(CASE WHEN moved THEN tm END) AS moved_at FROM (SELECT *, lag(hash) OVER (PARTITION BY video_id, stage ORDER BY tm) <> hash AS moved FROM lg WHERE ord % 8 < 4) GROUP BY ALL),
+edge AS (SELECT unnest([EDGES]) AS p),
 reach AS (SELECT p[1] AS src, p[2] AS dst FROM edge UNION SELECT r.src, p[2] FROM reach r JOIN edge ON p[1] = r.dst)
-""" % ", ".join(f"['{a}', '{b}']" for a, b in DEPENDS))
+""".replace("EDGES", ", ".join(f"['{a}', '{b}']" for a, b in DEPENDS)))
