@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from helpers import DATA
 from tidemark.functions import intervals as I
 from tidemark.functions import text as T
 from tidemark.operators import agreement, audio, frames, gate, incremental, narrative, providers, questions, segments, workflow
+from tidemark.plans import catalog
 
 
 def value(spark, expr, **columns):
@@ -106,6 +108,17 @@ def test_rework_leaves_gold_questions_out(spark):
     assert [r["qid"] for r in got] == ["q"]
 
 
+def test_rework_over_the_whole_key(spark):
+    """The query reports every question of the key, gold ones too; the statistics of a batch go on without them."""
+    rows = [("g", "a", "B", "A", True), ("q", "a", "B", "A", False), ("r", "a", "A", "A", None), ("h", "a", None, "A", True)]
+    got = agreement.rework(spark.createDataFrame(rows, "qid string, annotator string, response string, answer string, is_gold boolean"), gold=True).collect()
+    assert sorted(r["qid"] for r in got) == ["g", "q"]
+    asked = catalog.qc_rework(spark, DATA).select(F.split("qid", "_q")[1].cast("long").alias("ord"))
+    assert asked.where("ord % 7 = 0").count() > 0  # the gold ones of the fixtures
+    n = asked.where("ord % 7 <> 0").count()
+    assert catalog.mcq_stats(spark, DATA).first()["rework"] == n
+
+
 def test_coverage_without_evidence_fails(spark):
     q = spark.createDataFrame([("v", "mcq", ["L1_detail"], "whole_video", [])], "video_id string, task_type string, capability array<string>, min_watch string, spans array<struct<s: double, e: double>>")
     assert questions.coverage(q, 100.0).first()["ok_buckets"] is False

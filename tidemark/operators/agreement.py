@@ -79,14 +79,16 @@ def gold_accuracy(responses: DataFrame, least: float = 0.9) -> DataFrame:
     return out.select("annotator", "total", "correct", accuracy.alias("accuracy"), (accuracy < least).alias("flagged"))
 
 
-def rework(responses: DataFrame) -> DataFrame:
+def rework(responses: DataFrame, gold: bool = False) -> DataFrame:
     """Questions on which a response (qid, annotator, response, answer, is_gold) differs from the answer key, least
     agreement first.
 
-    Rows without a response or without a key don't count, nor do gold questions, which measure raters. ``answers`` are
-    the responses by annotator.
+    Rows without a response or without a key don't count. Gold questions, which measure raters, count only with
+    ``gold``: the whole key, where the statistics of a batch take the rest of it. ``answers`` are the responses by
+    annotator.
     """
-    told = responses.where("response is not null and answer is not null and not coalesce(is_gold, false)")
+    told = responses.where("response is not null and answer is not null")
+    told = told if gold else told.where("not coalesce(is_gold, false)")
     answers = F.transform(F.array_sort(F.collect_list(F.struct("annotator", "response"))), lambda x: x["response"])
     out = told.groupBy("qid", "answer").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("response") == F.col("answer")).cast("double")).alias("agreement"), answers.alias("answers"))
     return out.where("agreement < 1").orderBy("agreement", "qid")

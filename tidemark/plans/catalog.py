@@ -63,7 +63,7 @@ def qc_gold_accuracy(spark, d):
 
 @query
 def qc_rework(spark, d):
-    return agreement.rework(X.responses(spark, d).where("task_type = 'mcq'")).withColumn("agreement", r6("agreement")).withColumn("answers", F.array_join("answers", ","))
+    return agreement.rework(X.responses(spark, d).where("task_type = 'mcq'"), gold=True).withColumn("agreement", r6("agreement")).withColumn("answers", F.array_join("answers", ","))
 
 
 @query

@@ -53,6 +53,11 @@ def _ngrams(c: str, n: int = 3) -> str:
 
 _JACCARD = "len(list_intersect({a}, {b})) / (len({a}) + len({b}) - len(list_intersect({a}, {b})))::DOUBLE"
 
+#: Questions to rework among those that aren't gold, as the statistics of a batch count them.
+_REWORK_NON_GOLD = _sql("""
+SELECT qid, answer, count(*) AS n, round(avg((response = answer)::INT::DOUBLE), 6) AS agreement, string_agg(response, ',' ORDER BY annotator) AS answers FROM v_responses WHERE task_type = 'mcq' AND NOT is_gold GROUP BY qid, answer HAVING avg((response = answer)::INT) < 1
+""")
+
 _UNION = """
 u0 AS (SELECT video_id, s, e, max(e) OVER (PARTITION BY video_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM v_spans WHERE e > s),
 u1 AS (SELECT *, sum(CASE WHEN before IS NULL OR s > before + {eps} THEN 1 ELSE 0 END) OVER (PARTITION BY video_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM u0),
@@ -255,7 +260,7 @@ SELECT annotator, count(*) AS total, count(*) FILTER (WHERE response = answer) A
 FROM v_responses WHERE task_type = 'mcq' AND is_gold GROUP BY annotator
 """),
     "qc_rework": _sql("""
-SELECT qid, answer, count(*) AS n, round(avg((response = answer)::INT::DOUBLE), 6) AS agreement, string_agg(response, ',' ORDER BY annotator) AS answers FROM v_responses WHERE task_type = 'mcq' AND NOT is_gold GROUP BY qid, answer HAVING avg((response = answer)::INT) < 1
+SELECT qid, answer, count(*) AS n, round(avg((response = answer)::INT::DOUBLE), 6) AS agreement, string_agg(response, ',' ORDER BY annotator) AS answers FROM v_responses WHERE task_type = 'mcq' GROUP BY qid, answer HAVING avg((response = answer)::INT) < 1
 """),
     "qc_interval_miou": _sql("""
 SELECT *, ratio >= 0.9 AS ok FROM (SELECT video_id, count(*) AS n, round(avg(miou), 6) AS mean_iou, round(avg(CASE WHEN miou >= 0.5 THEN 1.0::DOUBLE ELSE 0 END), 3) AS ratio FROM items GROUP BY video_id)
@@ -621,7 +626,7 @@ SELECT video_id, CASE WHEN first THEN x[1].ord ELSE x[2].ord END AS kept, CASE W
     "qc_batch_verdict": _sql("SELECT count(*) AS n, count(*) FILTER (WHERE passes) AS passed, bool_and(passes) AS all_pass, (SELECT count(*) FROM todo) AS human_todo_total FROM gd", _GATE + "," + _TODOS),
     "release_report": _sql("SELECT count(*) AS n, (SELECT count(*) FROM todo) AS todos, 0.8::DOUBLE AS alpha, count(*) FILTER (WHERE NOT passes) AS failed FROM gd", _GATE + "," + _TODOS),
     "mcq_stats": "WITH al AS (" + SQL["qc_mcq_alpha_non_gold"] + """),
-g AS (SELECT * FROM (""" + SQL["qc_gold_accuracy"] + """)), r AS (SELECT * FROM (""" + SQL["qc_rework"] + """))
+g AS (SELECT * FROM (""" + SQL["qc_gold_accuracy"] + """)), r AS (SELECT * FROM (""" + _REWORK_NON_GOLD + """))
 SELECT alpha, (SELECT sum(flagged::INT) FROM g)::BIGINT AS flagged, (SELECT count(*) FROM r) AS rework FROM al
 """,
     "answer_keys": _sql("SELECT qid, answer, is_gold AS gold FROM v_qa WHERE task_type = 'mcq' AND ord % 10 <> 1"),
