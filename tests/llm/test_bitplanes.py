@@ -89,3 +89,22 @@ def test_empty(spark):
     at = Scratch(spark, "t").at("c")
     assert bp.write_planes(spark.createDataFrame([], "doc_id long, text string"), at, PATH) == 0
     assert bp.read_planes(spark, at).count() == 0
+
+
+@pytest.mark.parametrize("most", [bp.CACHE, 40, 3])
+def test_pieces_in_use_stay(most, monkeypatch):
+    """Of many pieces the rare ones are forgotten, not all; ids are the same with any memory."""
+    import pyarrow as pa
+
+    asked = []
+    own = Tokenizer.from_file(PATH)
+    texts = [" ".join(["start", *(f"one{i}x{j} and the same" for j in range(4)), "end"]) for i in range(60)] + ["é  à\n two", "", None]
+    bp.forget()
+    pieces = bp._pieces(PATH)
+    new = pieces.encode_new
+    monkeypatch.setattr(pieces, "encode_new", lambda raw, starts, ends, odd: asked.extend(raw[a:b].tobytes() for a, b in zip(starts, ends, strict=True)) or new(raw, starts, ends, odd))
+    for at in range(0, len(texts), 2):
+        got = [x.tolist() for x in bp.encode(pa.array(texts[at : at + 2], pa.string()), PATH, most)]
+        assert got == [own.encode(t or "", add_special_tokens=False).ids for t in texts[at : at + 2]]
+    bp.forget()
+    assert most < 40 or asked.count(b" same") == asked.count(b" the") == 1

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words
 from tidemark.llm.located import integer_ids
-from tidemark.llm.scratch import Scratch, arrow_rows, parts
+from tidemark.llm.scratch import Scratch, arrow_rows, give_back, parts
 
 MAGIC = b"TPL1"
 BLOCK_IDS = 65_536
@@ -131,8 +131,12 @@ def read_container(content: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(out) if out else np.zeros(0, dtype="<u4")), sizes
 
 
-#: Encoded pieces that a worker remembers, about 50 bytes each.
+#: Encoded pieces that a worker remembers, about 50 bytes each. When there are more, those in use stay.
 CACHE = 500_000
+#: Bytes whose pieces are hashed at a time.
+HASHED = 1 << 17
+#: Bytes of new pieces that are one text to the tokenizer.
+RUN = 1 << 16
 _RNG = np.random.Generator(np.random.PCG64(31))
 _VALUES = _RNG.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: A piece may begin at a space between two of these: no white space, nor a byte that can be part of any.
@@ -156,6 +160,7 @@ class Pieces:
         self.tok = Tokenizer.from_file(path)
         self.spaced = np.array([(self.tok.id_to_token(i) or "").startswith("Ġ") for i in range(self.tok.get_vocab_size())])
         self.clear()
+        self.most = CACHE
         #: Whether texts must be encoded whole, because this tokenizer joins over spaces.
         self.direct = False
         probe = [b"The", b" 1st", b" word,", b" an", " É-word".encode(), b" and", b" (x)", b" y's", b" end."]
@@ -165,29 +170,67 @@ class Pieces:
     def clear(self) -> None:
         self.key, self.check = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
         self.start, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.used = np.zeros(0, dtype=bool)
         self.ids = np.zeros(0, dtype=np.uint32)
 
-    def encode_new(self, pieces: list[bytes], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def drop_unused(self) -> None:
+        """Forget the pieces that no block has had again since the last time."""
+        kept = np.flatnonzero(self.used)
+        start, size = self.start[kept], self.size[kept]
+        self.key, self.check, self.size = self.key[kept], self.check[kept], size
+        self.start = np.cumsum(size) - size
+        self.ids = self.ids[np.arange(size.sum()) + np.repeat(start - self.start, size)]
+        self.used = np.zeros(len(kept), dtype=bool)
+
+    def remember(self, key: np.ndarray, check: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Take in new pieces; where there are too many, those in use stay, and if they are too many none do."""
+        if len(self.key) + len(key) > self.most:
+            self.drop_unused()
+        if len(self.key) + len(key) > self.most:
+            self.clear()
+            return
+        start = len(self.ids) + np.cumsum(size) - size
+        order = np.argsort(np.concatenate((self.key, key)), kind="stable")
+        self.key, self.check, self.start, self.size, self.used = (
+            np.concatenate(x)[order] for x in ((self.key, key), (self.check, check), (self.start, start), (self.size, size), (self.used, np.zeros(len(key), dtype=bool)))
+        )
+        self.ids = np.concatenate((self.ids, ids))
+
+    def hashed(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, odd: np.ndarray) -> list[np.ndarray]:
+        """Two hashes of each piece, about ``HASHED`` bytes of pieces at a time; a piece has them wherever it stands."""
+        keys = [np.empty(len(starts), dtype=np.uint64) for _ in _VALUES]
+        i = 0
+        while i < len(starts):
+            lo = starts[i]
+            j = max(i + 1, int(np.searchsorted(ends, lo + HASHED, side="right")))
+            size = int(ends[j - 1] - lo)
+            up, down = words.powers(size + 1)
+            a, b = starts[i:j] - lo, ends[i:j] - lo
+            for key, values in zip(keys, _VALUES, strict=True):
+                total = np.zeros(size + 1, dtype=np.uint64)
+                np.cumsum(values[raw[lo : lo + size]] * up[:size], out=total[1:])
+                key[i:j] = words.mix((total[b] - total[a]) * down[a] + odd[i:j].astype(np.uint64))
+            i = j
+        return keys
+
+    def encode_new(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids of each piece). Pieces that begin with their only space are encoded in runs: each has one token
         that begins with a space, its first. The others (odd) are encoded one by one."""
-        runs, sizes = [], np.zeros(len(pieces), dtype=np.int64)
+        sizes = np.zeros(len(starts), dtype=np.int64)
         plain = np.flatnonzero(~odd)
-        joined, texts, length = [], [], 0
-        for i in plain:
-            joined.append(pieces[i])
-            length += len(pieces[i])
-            if length > 1 << 16:
-                texts.append(b"".join(joined).decode())
-                joined, length = [], 0
-        if joined:
-            texts.append(b"".join(joined).decode())
+        length = (ends - starts)[plain]
+        to = np.cumsum(length)
+        joined = raw[np.arange(length.sum()) + np.repeat(starts[plain] - (to - length), length)].tobytes()
+        cuts = [0, *np.unique(to[np.searchsorted(to, np.arange(RUN, len(joined), RUN))]).tolist(), len(joined)]
+        texts = [joined[a:b].decode() for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
         runs = [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
         run = np.concatenate(runs) if runs else np.zeros(0, dtype=np.uint32)
         begins = np.flatnonzero(self.spaced[run])
         if len(begins) != len(plain):
             raise _Joined
         sizes[plain] = np.diff(np.append(begins, len(run)))
-        single = [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast([pieces[i].decode() for i in np.flatnonzero(odd)], add_special_tokens=False)]
+        others = [raw[a:b].tobytes().decode() for a, b in zip(starts[odd].tolist(), ends[odd].tolist(), strict=True)]
+        single = [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(others, add_special_tokens=False)]
         sizes[odd] = [len(x) for x in single]
         ids = np.empty(sizes.sum(), dtype=np.uint32)
         mine = np.repeat(odd, sizes)
@@ -220,12 +263,7 @@ class Pieces:
         spaces = np.append(0, np.cumsum(raw == 0x20))
         first = head[starts]
         odd = first | (spaces[ends] - spaces[starts] != 1)
-        up, down = words.powers(n + 1)
-        keys = []
-        for values in _VALUES:
-            total = np.zeros(n + 1, dtype=np.uint64)
-            np.cumsum(values[raw] * up[:n], out=total[1:])
-            keys.append(words.mix((total[ends] - total[starts]) * down[starts] + odd.astype(np.uint64)))
+        keys = self.hashed(raw, starts, ends, odd)
         unique, at, back = np.unique(keys[0], return_index=True, return_inverse=True)
         check = keys[1][at]
         if (check[back] != keys[1]).any():  # two pieces share a 64-bit hash
@@ -233,9 +271,8 @@ class Pieces:
         place = np.minimum(np.searchsorted(self.key, unique), max(len(self.key) - 1, 0))
         known = (self.key[place] == unique) & (self.check[place] == check) if len(self.key) else np.zeros(len(unique), dtype=bool)
         fresh = np.flatnonzero(~known)
-        blob = raw.tobytes()
         try:
-            ids, sizes = self.encode_new([blob[a:b] for a, b in zip(starts[at[fresh]].tolist(), ends[at[fresh]].tolist(), strict=True)], odd[at[fresh]])
+            ids, sizes = self.encode_new(raw, starts[at[fresh]], ends[at[fresh]], odd[at[fresh]])
         except _Joined:
             self.direct = True
             return self.whole(raw, offsets)
@@ -245,12 +282,8 @@ class Pieces:
         size[fresh], start[fresh] = sizes, base + np.cumsum(sizes) - sizes
         if known.any():
             size[known], start[known] = self.size[place[known]], self.start[place[known]]
-        if len(self.key) + len(fresh) > CACHE:
-            self.clear()
-        else:
-            merged = np.argsort(np.concatenate((self.key, unique[fresh])), kind="stable")
-            self.key, self.check, self.start, self.size = (np.concatenate(x)[merged] for x in ((self.key, unique[fresh]), (self.check, check[fresh]), (self.start, start[fresh]), (self.size, size[fresh])))
-            self.ids = table
+            self.used[place[known]] = True
+        self.remember(unique[fresh], check[fresh], sizes, ids)
         count = size[back]
         total = np.append(0, np.cumsum(count))
         source = np.arange(total[-1]) - np.repeat(total[:-1] - start[back], count)
@@ -265,16 +298,17 @@ def _pieces(path: str) -> Pieces:
 def forget() -> None:
     """Give back the memory of encoded pieces and of the tokenizer."""
     _pieces.cache_clear()
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
-def encode(texts: pa.Array, path: str) -> Iterator[np.ndarray]:
-    """Ids of each text by the tokenizer file at ``path``.
+def encode(texts: pa.Array, path: str, remembered: int = CACHE) -> Iterator[np.ndarray]:
+    """Ids of each text by the tokenizer file at ``path``; a worker holds at most ``remembered`` encoded pieces.
 
     Byte-level BPE never merges over a single space between two characters that are not white space: the space starts
     the next piece. Texts are cut there, and each distinct piece goes through the tokenizer once.
     """
     raw, offsets = words.buffer_of(texts)
+    _pieces(path).most = remembered
     for lo, hi in words.blocks(offsets):
         ids, at = _pieces(path).encode(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
         for i in range(hi - lo):

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-
 #: Bytes of a row group that a task holds while it writes.
 ROW_GROUP = 32 << 20
 
@@ -26,6 +27,14 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, was)
 
 
+def give_back() -> None:
+    """Return a worker's freed memory to the system at the end of a task. Workers live on beside each other and serve
+    one stage after another, and else keep what their largest task took."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc
+        trim(0)
+
+
 class Scratch:
     """A fresh folder under ``spark.checkpoint.dir``; a local temporary folder only where that is unset (tests)."""
 
