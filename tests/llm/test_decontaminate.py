@@ -118,3 +118,15 @@ def test_equal_items_cost_places_plus_items():
     assert rows == batches == 2000 and (n_hit == 20).all() and spans[5] == [1, 21] and {len(w) for w in windows} == {11}
     assert set(best) == {20} and set(best_at) == {1} and set(best_item) == {0}
     assert peak < 200e6, peak
+
+
+def test_a_search_holds_little_of_a_large_batch():
+    """6 MB of text under a small benchmark: under 70 MB, where one shard of all took 148 MB."""
+    items = d.Queries([1], ["one two three four five six seven eight nine ten"], 10)
+    text = " ".join(f"w{i}" for i in range(1000))
+    docs = d.pa.array([text] * 1200, d.pa.large_string())
+    tracemalloc.start()
+    n = sum(rows for _, rows, n_hit, _ in d._found(docs, items) if not n_hit.any())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 1200 and peak < 70e6, peak

@@ -6,8 +6,8 @@ longest benchmark item. Every suffix of every benchmark item is then binary-sear
 time, which yields its longest verbatim match and all the places where it occurs; occurrences of a whole window mark
 the words that they cover.
 
-Scale: documents never move; a shard's size is bounded by ``SHARD_BYTES`` (a longer document is one shard), whatever its
-source or copies. The benchmark is the query set, sent to the tasks in blocks of about ``BLOCK_BYTES`` of text. The
+Scale: documents never move; a shard is about as long as the benchmark block that is searched in it, between
+``SHARD_BYTES`` and ``MOST_SHARD_BYTES`` (a longer document is one shard), whatever its source or copies. The benchmark is the query set, sent to the tasks in blocks of about ``BLOCK_BYTES`` of text. The
 driver holds one block and the next, whatever the benchmark's size; with several blocks the documents are scanned once a
 block, what a block finds is written, and the covered spans are merged by row.
 
@@ -26,10 +26,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words
 from tidemark.llm.located import located
-from tidemark.llm.scratch import Scratch
+from tidemark.llm.scratch import Scratch, arrow_rows, give_back
 
-SHARD_BYTES = 6 << 20
+#: A task holds about twenty times its shard's bytes, and the suffixes of the benchmark are searched once a shard: shards
+#: are small unless the benchmark is large.
+SHARD_BYTES = 2 << 20
+MOST_SHARD_BYTES = 6 << 20
 BLOCK_BYTES = 16 << 20
+#: Rows of an Arrow batch of the stage; a row has a text.
+ROWS_A_BATCH = 1000
 WINDOW = 10
 #: Names of items that an output batch holds, about.
 NAMES = 200_000
@@ -96,6 +101,7 @@ class Queries:
     def __init__(self, ids: list, texts: list[str | None], window: int):
         raw, offsets = words.buffer_of(pa.array(texts, pa.large_string()))
         h, _, _, at = words.hashes(raw, offsets, words.ALNUM)
+        self.bytes = len(raw)
         self.tokens = np.where(h == 0, 1, h)
         size = np.diff(at).astype(np.int32)
         self.item = np.repeat(np.arange(len(ids), dtype=np.int32), size)
@@ -150,8 +156,8 @@ def search(tokens: np.ndarray, q: Queries) -> tuple[np.ndarray, np.ndarray, np.n
     return cat(where), cat(length), cat(window), (*(cat([x[i] for x in best]) for i in range(4)), order)
 
 
-def _shards(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    return words.blocks(offsets, SHARD_BYTES)
+def _shards(offsets: np.ndarray, q: Queries) -> Iterator[tuple[int, int]]:
+    return words.blocks(offsets, max(SHARD_BYTES, min(q.bytes, MOST_SHARD_BYTES)))
 
 
 def _found(column: pa.Array, q: Queries) -> Iterator[tuple[int, int, np.ndarray, tuple]]:
@@ -159,7 +165,7 @@ def _found(column: pa.Array, q: Queries) -> Iterator[tuple[int, int, np.ndarray,
     windows in the place of items. What it holds grows with the shard's words and places of distinct windows, however
     many items have them."""
     raw, offsets = words.buffer_of(column)
-    for lo, hi in _shards(offsets):
+    for lo, hi in _shards(offsets, q):
         part = offsets[lo : hi + 1]
         h, _, _, at = words.hashes(raw[part[0] : part[-1]], part - part[0], words.ALNUM)
         rows = hi - lo
@@ -234,6 +240,7 @@ def _clean(q: Queries, text_at: int):
         for batch in batches:
             for lo, rows, n_hit, _ in _found(batch.column(text_at), q):
                 yield batch.slice(lo, rows).filter(pa.array(n_hit == 0))
+        give_back()
 
     return run
 
@@ -323,13 +330,13 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove the rows with any benchmark window; the rest, rows without an id or text among them, stay.
 
     Each row is judged in the scan and goes on or not, so none is looked up by an id or a place. With several benchmark
-    blocks a scan takes what the one before has left.
+    blocks a scan takes what the one before has left. What is left is written here, since the size of batches to the
+    workers is a setting of the moment in which it is.
     """
     scratch = Scratch(spark, "decontaminate")
     for number, block in enumerate(_blocks(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "item_id", "text", BLOCK_BYTES)):
+        with arrow_rows(spark, ROWS_A_BATCH):
+            docs = scratch.save(docs.mapInArrow(_clean(Queries(*block, WINDOW), docs.columns.index("text")), docs.schema), f"left_{number}")
         if number:
-            docs = scratch.save(docs, f"left_{number}")
-        if number > 1:
             scratch.drop(f"left_{number - 1}")
-        docs = docs.mapInArrow(_clean(Queries(*block, WINDOW), docs.columns.index("text")), docs.schema)
     return docs

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import words
 from tidemark.llm.components import components
 from tidemark.llm.located import integer_ids, located, picked, without
-from tidemark.llm.scratch import Scratch, arrow_rows, parts
+from tidemark.llm.scratch import Scratch, arrow_rows, give_back, parts
 
 B, A, Q = 1.02, 20.0, 2**16 - 3
 ROWS, BANDS = 7, 48
@@ -113,6 +113,7 @@ def _sketch(k: int):
                     regs.append(registers(found).tobytes() if len(found) else None)
                 own = [batch.column(c).slice(lo, hi - lo) for c in (0, 2, 3)]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(regs, pa.binary())], ["id", "file", "at", "n", "high", "low", "regs"])
+        give_back()
 
     return run
 
@@ -150,6 +151,7 @@ def _sets(k: int):
                 part = offsets[lo : hi + 1]
                 h, _, _, at = words.hashes(raw[part[0] : part[-1]], part - part[0], words.NON_SPACE)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([shingles(h[at[i] : at[i + 1]], k).tobytes() for i in range(hi - lo)], pa.binary())], ["id", "s"])
+        give_back()
 
     return run
 
@@ -257,6 +259,7 @@ def _joined(percent: int):
                     b.append(ids[j])
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        give_back()
 
     return run
 

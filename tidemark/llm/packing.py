@@ -30,6 +30,8 @@ OVERHEAD, ATTENTION = 32.0, 32768.0
 SHARD = 16_384
 #: Of the query and the stage.
 TOKENIZER = "byte_bpe_50k.json"
+#: Encoded pieces that a worker of the stage remembers.
+REMEMBERED = 100_000
 
 
 def cost(size: int) -> float:
@@ -109,19 +111,19 @@ def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n + 1)], ["id", "n"])
 
 
-def _token_lengths(path: str):
+def _token_lengths(path: str, remembered: int):
     """Token ids of each text by the tokenizer file at ``path``, and one for the end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = [len(ids) + 1 for ids in bitplanes.encode(batch.column(1), path)]
+            n = [len(ids) + 1 for ids in bitplanes.encode(batch.column(1), path, remembered)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["id", "n"])
         bitplanes.forget()  # the worker goes on to other work
 
     return run
 
 
-def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: str | None = None, sizes: tuple[int, ...] = SIZES, tokenizer: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: str | None = None, sizes: tuple[int, ...] = SIZES, tokenizer: str | None = None, remembered: int = bitplanes.CACHE) -> DataFrame:
     """One row a piece: id, piece, start (in the document), length, bin_id, bin_size, bin_offset (in the bin).
 
     A document's length is column ``length``, or its token ids by the file ``tokenizer`` plus one for the end id, or
@@ -129,6 +131,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are in the same unit: where they are sequence lengths of a model, only the first two make them hold. Longer documents than the largest size are cut into pieces of that size and
     a rest. Pieces of a bin don't overlap and fit its size; every token is in one piece. Documents of length null or
     below one have no piece. Repeated rows are packed each. Other columns are ignored. bin_id is unique in the result.
+    A worker remembers at most ``remembered`` encoded pieces of text.
     Rows are dealt to shards by their places in the input, so other partitions of the same rows can give other bins.
     """
     sizes = tuple(sorted(sizes))
@@ -137,7 +140,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if length:
         counted = docs.select(F.col(id_col).alias("id"), F.col(length).cast("long").alias("n"))
     else:
-        counted = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_token_lengths(tokenizer) if tokenizer else _lengths, f"id {kind}, n long")
+        counted = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_token_lengths(tokenizer, remembered) if tokenizer else _lengths, f"id {kind}, n long")
     with arrow_rows(docs.sparkSession, bitplanes.ROWS_A_BATCH):
         counted = scratch.save(counted.where("n >= 1").withColumn("row", F.monotonically_increasing_id()), "lengths")
     most = sizes[-1]
@@ -159,7 +162,10 @@ def op9_variable_best_fit(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack all that the stages before have kept, measured in token ids by ``TOKENIZER`` plus the end id."""
+    """Pack all that the stages before have kept, measured in token ids by ``TOKENIZER`` plus the end id.
+
+    Workers remember fewer pieces than in ``op9``: the executor's heap is as large as the stages before have made it.
+    """
     import public_tokenizers
 
-    return pack_documents(docs, tokenizer=public_tokenizers.path(TOKENIZER))
+    return pack_documents(docs, tokenizer=public_tokenizers.path(TOKENIZER), remembered=REMEMBERED)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
+from tidemark.llm.scratch import Scratch, arrow_rows, give_back
 
 WORDS, SHAPES, STATES = 3072, 1016, 8
 VOCABULARY = WORDS + SHAPES + STATES
@@ -32,6 +33,8 @@ MOST_LABELLED = 20_000
 HIDDEN, EPOCHS, BATCH, RATE = 32, 40, 128, 3e-3
 THRESHOLD = 0.3
 BLOCK = 1 << 20
+#: Texts that a worker holds and scores at a time; it keeps much of the memory that larger batches once took.
+ROWS_A_BATCH = 1000
 
 _RNG = np.random.Generator(np.random.PCG64(5))
 #: Places and signs of the index vectors; the last row, of no token, has none.
@@ -83,6 +86,7 @@ def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     used = np.flatnonzero(total.reshape(VOCABULARY, DIM).any(axis=1))
     values = total.reshape(VOCABULARY, DIM)[used].astype(np.int64)
     yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(np.ascontiguousarray(values[:, d])) for d in range(DIM))], ["bucket", *(f"v{d}" for d in range(DIM))])
+    give_back()
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -92,8 +96,9 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     own = np.zeros((VOCABULARY, DIM))
     np.put_along_axis(own, _PLACE[:-1], _SIGN[:-1], axis=1)
     around = np.zeros((VOCABULARY, DIM))
-    for r in sums.collect():  # at most VOCABULARY rows
-        around[r["bucket"]] = r[1:]
+    with arrow_rows(docs.sparkSession, ROWS_A_BATCH):
+        for r in sums.collect():  # at most VOCABULARY rows
+            around[r["bucket"]] = r[1:]
     around /= np.maximum(np.linalg.norm(around, axis=1, keepdims=True), 1e-9)
     return own / np.sqrt(NONZERO) + around
 
@@ -154,6 +159,11 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logits(x.astype(float)) / self.temperature, -30, 30)))
 
 
+def _few(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, ROWS_A_BATCH):
+        yield batch.slice(at, ROWS_A_BATCH)
+
+
 def _features(table: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +176,9 @@ def _features(table: np.ndarray):
 def _scores(table: np.ndarray, model: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(features_of(batch.column(1), table)), pa.float64())], ["id", "score"])
+            for rows in _few(batch):
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(model.score(features_of(rows.column(1), table)), pa.float64())], ["id", "score"])
+        give_back()
 
     return run
 
@@ -188,7 +200,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Network]:
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < round(share * 1_000_000))
     sample = docs.select("id", "text").join(F.broadcast(chosen.select("id")), "id", "left_semi").mapInArrow(_features(table), f"id {docs.schema['id'].dataType.simpleString()}, x binary")
     sample = sample.groupBy("id").agg(F.min("x").alias("x")).join(F.broadcast(chosen), "id")
-    got = sample.select("id", "x", "y", part_of(F.col("id")).alias("part")).toPandas().sort_values("id")
+    with arrow_rows(docs.sparkSession, ROWS_A_BATCH):
+        got = sample.select("id", "x", "y", part_of(F.col("id")).alias("part")).toPandas().sort_values("id")
     x = np.frombuffer(b"".join(bytes(b) for b in got["x"]), dtype=np.float16).reshape(-1, 3 * DIM).astype(float)
     return table, Network(x, got["y"].to_numpy(dtype=int), (got["part"] != 1).to_numpy())
 
@@ -214,7 +227,9 @@ def op6_random_indexing_quality(spark, sf_dir: str) -> DataFrame:
 def _accepted(table: np.ndarray, model: Network, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(model.score(features_of(batch.column(text_at), table)) >= THRESHOLD))
+            for rows in _few(batch):
+                yield rows.filter(pa.array(model.score(features_of(rows.column(text_at), table)) >= THRESHOLD))
+        give_back()
 
     return run
 
@@ -222,10 +237,12 @@ def _accepted(table: np.ndarray, model: Network, text_at: int):
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject the documents that the classifier predicts as label 0; each row is judged in place.
 
-    Where the usable labels are not of both classes nothing was learnt, and all documents stay.
+    Where the usable labels are not of both classes nothing was learnt, and all documents stay. The rest is written
+    here, since the size of batches to the workers is a setting of the moment in which it is.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
     table, model = fit(docs.select(F.col("doc_id").alias("id"), "text"), labels)
     if not model.live:
         return docs
-    return docs.mapInArrow(_accepted(table, model, docs.columns.index("text")), docs.schema)
+    with arrow_rows(spark, ROWS_A_BATCH):
+        return Scratch(spark, "quality").save(docs.mapInArrow(_accepted(table, model, docs.columns.index("text")), docs.schema), "accepted")
