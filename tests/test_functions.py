@@ -190,6 +190,11 @@ def test_reuse_needs_done_stages(spark):
     assert [r[0] for r in workflow.reusable(m, spark.createDataFrame([(1,), (2,)], "video_id long"), 2).collect()] == [1]
 
 
+def test_durations_exactly_at_the_tolerance_agree(spark):
+    m = spark.createDataFrame([(1, 262141.9, 262141.9 + 8 - 3), (2, 262141.9, 262146.901), (3, 10.0, 15.0), (4, 15.001, 10.0), (5, 0.1, 5.1)], "video_id long, duration_sec double, measured double")
+    assert sorted(r[0] for r in workflow.duration_conflicts(m.drop("measured"), m.drop("duration_sec")).select("video_id").collect()) == [2, 4]
+
+
 def test_scenes_by_list_order(spark):
     scenes = spark.createDataFrame([(1, 7, 0.0, 60.0, 1), (1, 3, 60.0, 120.0, 2)], "video_id long, scene_id long, s double, e double, place int")
     events = spark.createDataFrame([(1, 0, 50.0, 70.0), (1, 1, 200.0, 201.0)], "video_id long, ord long, s double, e double")

@@ -131,7 +131,9 @@ def other_provider(documents: DataFrame, provider: str) -> DataFrame:
 
 
 def duration_conflicts(metas: DataFrame, measured: DataFrame, tolerance: float = 5.0) -> DataFrame:
-    return metas.join(measured, "video_id").where(F.abs(F.col("duration_sec") - F.col("measured")) > tolerance)
+    """Rows whose two durations differ by more than ``tolerance``, to the microsecond: below that a difference of doubles
+    is noise of their last digits."""
+    return metas.join(measured, "video_id").where(F.round(F.abs(F.col("duration_sec") - F.col("measured")), 6) > tolerance)
 
 
 def first_file(listing: DataFrame) -> DataFrame:
