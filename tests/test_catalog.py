@@ -4,6 +4,7 @@ import pytest
 
 from helpers import DATA, rows
 from tidemark.plans import catalog
+from tidemark.steps import Steps
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
@@ -21,6 +22,22 @@ def test_every_oracle_has_a_query():
     assert set(catalog.ORACLES) <= set(catalog.QUERIES)
 
 
+@pytest.mark.parametrize("name", ["event_engine"])
+def test_steps_are_joined_by_shuffle(spark, monkeypatch, name):
+    """Their files are small beside their rows, so a broadcast by the size of files can fill the driver."""
+    plans, write = [], Steps.__call__
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    def seen(self, df):
+        plan(df)
+        return write(self, df)
+
+    monkeypatch.setattr(Steps, "__call__", seen)
+    plan(catalog.QUERIES[name](spark, DATA))
+    assert len(plans) > 5 and any("SortMergeJoin" in p for p in plans)
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 @pytest.mark.parametrize("most", [10_000, 0])
 def test_short_items_leak(spark, tmp_path, monkeypatch, most):
     monkeypatch.setattr(catalog, "BROADCAST_ITEMS", most)

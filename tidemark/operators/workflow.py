@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
 from tidemark.operators import segments
+from tidemark.steps import shuffled
 
 
 def ordered(order: list[str], value: str) -> Column:
@@ -48,7 +49,7 @@ def apply_groups(events: DataFrame, groups: DataFrame) -> DataFrame:
     wanted = groups.select("video_id", "cluster", "keep", F.explode("merge").alias("id")).where("id <> keep")
     known = wanted.join(events.select("video_id", "cluster", F.col("id").alias("keep")), ["video_id", "cluster", "keep"], "left_semi").join(events.select("video_id", "cluster", "id"), ["video_id", "cluster", "id"], "left_semi")
     taken = known.groupBy("video_id", F.col("keep").alias("id")).agg(F.array_sort(F.collect_set("id")).alias("sources"))
-    return events.join(known.select("video_id", "id").distinct(), ["video_id", "id"], "left_anti").join(taken, ["video_id", "id"], "left")
+    return events.join(shuffled(known.select("video_id", "id").distinct()), ["video_id", "id"], "left_anti").join(shuffled(taken), ["video_id", "id"], "left")
 
 
 def renamed(kept: DataFrame) -> DataFrame:

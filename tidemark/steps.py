@@ -2,6 +2,9 @@
 
 A frame that later steps use several times is written once to the folder that driver and executors share and read back,
 which also cuts its lineage to files: a lost executor costs tasks of one step, not of all.
+
+Sorted keys and repeated texts shrink to a small part of their rows in Parquet, so Spark, which judges by files, would
+broadcast through the driver what has no room there. Joins of steps are shuffled instead.
 """
 
 from __future__ import annotations
@@ -12,6 +15,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for a join by shuffle, however small its files are: for sides that grow with the input."""
+    return df.hint("merge")
+
+
 class Steps:
     """A fresh folder under ``spark.checkpoint.dir``; a local temporary folder only where that is unset and Spark is local."""
 
@@ -25,8 +33,8 @@ class Steps:
         self.path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        """``df``, written as the next step and read from its files."""
+        """``df``, written as the next step and read from its files, which the next join doesn't broadcast."""
         self.n += 1
         at = f"{self.path}/{self.n}"
         df.write.parquet(at)
-        return self.spark.read.schema(df.schema).parquet(at)
+        return shuffled(self.spark.read.schema(df.schema).parquet(at))
