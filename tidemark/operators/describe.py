@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.config import DEFAULT, Thresholds
 from tidemark.functions import text as T
 from tidemark.operators import joins, segments
-from tidemark.steps import Steps
+from tidemark.steps import Steps, shuffled
 
 Answer = Callable[[DataFrame], DataFrame]
 KEY = ["video_id", "level", "ord"]
@@ -39,7 +39,7 @@ def gated(asked: DataFrame, ask: Answer, step: Steps, retries: int = 2, limits:
         told = ask(now).dropDuplicates(KEY).select(*KEY, "zh", "en", F.coalesce("elements", F.lit(0)).alias("elements"), F.lit(True).alias("told"))
         faults = T.description_faults(F.col("level"), F.col("zh"), F.col("en"), F.col("elements"), limits)
         problem = F.when(F.col("told").isNull(), "no answer").when(~_filled(F.col("zh")) & ~_filled(F.col("en")), "no text").otherwise(F.nullif(faults, F.lit("")))
-        judged = step(now.drop("problem", "attempt").join(told, KEY, "left").withColumn("problem", problem).drop("told", "elements"))
+        judged = step(now.drop("problem", "attempt").join(shuffled(told), KEY, "left").withColumn("problem", problem).drop("told", "elements"))
         done.append(judged.where("problem is null"))
         open_ = judged.where("problem is not null").drop("zh", "en")
     out = open_.withColumn("zh", F.lit(None).cast("string")).withColumn("en", F.lit(None).cast("string"))
@@ -60,7 +60,7 @@ def aligned(rows: DataFrame, translate: Answer, back: Answer | None, step: Steps
     one = rows.where(has_zh != has_en).select(*KEY, F.when(has_zh, F.col("zh")).otherwise(F.col("en")).alias("text"), F.when(has_zh, "en").otherwise("zh").alias("to"))
     told = translate(one).dropDuplicates(KEY).select(*KEY, F.trim("text").alias("__t"))
     side = lambda c, other: F.when(_filled(F.col(c)), F.trim(c)).when(_filled(F.col(other)) & _filled(F.col("__t")), F.col("__t"))
-    out = rows.join(told, KEY, "left").withColumn("lost", F.when(has_zh & ~has_en & ~_filled(F.col("__t")), "en fill failed").when(has_en & ~has_zh & ~_filled(F.col("__t")), "zh fill failed"))
+    out = rows.join(shuffled(told), KEY, "left").withColumn("lost", F.when(has_zh & ~has_en & ~_filled(F.col("__t")), "en fill failed").when(has_en & ~has_zh & ~_filled(F.col("__t")), "zh fill failed"))
     out = step(out.withColumn("new", side("zh", "en")).withColumn("en", side("en", "zh")).withColumn("zh", F.col("new")).drop("new", "__t"))
     both = F.col("zh").isNotNull() & F.col("en").isNotNull()
     ratio = T.zh_len(F.col("zh")) / F.greatest(F.lit(1), T.en_len(F.col("en")))
@@ -78,7 +78,7 @@ def grouped_shots(shots: DataFrame, most: float) -> DataFrame:
     so_far = Window.partitionBy("video_id").orderBy("s", "e", "n")
     groups = segments.shot_groups(shots, most).withColumn("upto", F.sum("n").over(so_far)).withColumn("g", F.row_number().over(so_far).cast("long"))
     members = groups.select("video_id", "g", F.col("s").alias("gs"), F.col("e").alias("ge"), F.explode(F.sequence(F.col("upto") - F.col("n") + 1, F.col("upto"))).alias("place"))
-    return shots.withColumn("place", F.row_number().over(place).cast("long")).join(members, ["video_id", "place"]).drop("place")
+    return shots.withColumn("place", F.row_number().over(place).cast("long")).join(shuffled(members), ["video_id", "place"]).drop("place")
 
 
 def described(
