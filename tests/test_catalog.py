@@ -22,7 +22,7 @@ def test_every_oracle_has_a_query():
     assert set(catalog.ORACLES) <= set(catalog.QUERIES)
 
 
-@pytest.mark.parametrize("name", ["event_engine", "dense_description"])
+@pytest.mark.parametrize("name", ["event_engine", "dense_description", "quiet_requests"])
 def test_steps_are_joined_by_shuffle(spark, monkeypatch, name):
     """Their files are small beside their rows, so a broadcast by the size of files can fill the driver."""
     plans, write = [], Steps.__call__
